@@ -20,10 +20,15 @@ from ..operators.clean import dedup_keep_first, dedup_rows, drop_missing, latest
 from ..operators.features import add_features, features
 from ..operators.metrics import regression_metrics
 from ..operators.quality import correlation, duplicate_report, null_counts, quantile, rows_with_null
-from ..operators.split import chrono_split, time_index
-from ..operators.score import score_linear
-from ..session import table
+from ..operators.ml import compare_models, fit
+from ..operators.score import score, score_linear
+from ..operators.split import chrono_split, time_index, train_test
+from ..session import scratch_path, table
+from ..sinks.writers import save_model, write_kline_bodies
 from ..sources.events import bars_from_events
+from ..sources.klines import read_klines
+from ..sources.models import load_model
+from .refresh import run_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,6 +179,59 @@ def q_sample_hash(spark, sf):
     return _rounded(sample_rows(_features(spark, sf), 0.1, ["symbol", "open_time"]))
 
 
+def _train_test(spark, sf):
+    return train_test(chrono_split(_features(spark, sf)))
+
+
+def _prediction_rows(scored: DataFrame) -> DataFrame:
+    return scored.select(
+        "symbol", "open_time", schemas.LABEL, F.round("prediction", DIGITS).alias("prediction")
+    )
+
+
+def q_train_lr_predictions(spark, sf):
+    train, test = _train_test(spark, sf)
+    return _prediction_rows(fit(train, "lr").transform(test))
+
+
+def q_compare_models(spark, sf):
+    train, test = _train_test(spark, sf)
+    return compare_models(train, test, digits=DIGITS)
+
+
+def q_model_reload(spark, sf):
+    train, test = _train_test(spark, sf)
+    path = scratch_path(spark, "model")
+    save_model(fit(train, "lr"), path)
+    return _prediction_rows(score(test, load_model(path)))
+
+
+def q_klines_parse(spark, sf):
+    landed = scratch_path(spark, "landed")
+    write_kline_bodies(_bars(spark, sf), landed)
+    bronze = read_klines(spark, landed)
+    return bronze.select(
+        "symbol",
+        F.unix_millis("open_time").alias("open_time_ms"),
+        "open",
+        "high",
+        "low",
+        "close",
+        "volume",
+        F.unix_millis("close_time").alias("close_time_ms"),
+        "quote_asset_volume",
+        "number_of_trades",
+        "taker_buy_base_volume",
+        "taker_buy_quote_volume",
+        "ignore",
+    )
+
+
+def q_full_refresh(spark, sf):
+    out = run_refresh(spark, _bars(spark, sf), scratch_path(spark, "refresh"), families=("lr",))
+    return out.select("model", "metric", F.round("value", DIGITS).alias("value"))
+
+
 QUERIES: dict[str, Query] = {
     "bars_1h": q_bars_1h,
     "features": q_features,
@@ -196,6 +254,11 @@ QUERIES: dict[str, Query] = {
     "ols_one_input": q_ols_one_input,
     "score_fixed": q_score_fixed,
     "sample_hash": q_sample_hash,
+    "train_lr_predictions": q_train_lr_predictions,
+    "compare_models": q_compare_models,
+    "model_reload": q_model_reload,
+    "klines_parse": q_klines_parse,
+    "full_refresh": q_full_refresh,
 }
 
 
@@ -357,6 +420,11 @@ union all select 'persistence', 'r2', round(r2, {DIGITS}) from m""",
        round(regr_intercept(close_t_plus_10, close_prev), {DIGITS}) as intercept,
        cast(regr_count(close_t_plus_10, close_prev) as bigint) as n
 from features group by symbol""",
+    "klines_parse": _with(_BARS)
+    + """\nselect symbol, epoch_ms(open_time) as open_time_ms, "open", high, low, "close", volume,
+       epoch_ms(close_time) as close_time_ms, quote_asset_volume, number_of_trades,
+       taker_buy_base_volume, taker_buy_quote_volume, '0' as "ignore"
+from bars""",
     "score_fixed": _with(_BARS, _RAW_FEATURES, _features_cte())
     + f"\nselect symbol, open_time, round({_fixed_score_expr()}, {DIGITS}) as prediction from features",
 }

@@ -82,6 +82,37 @@ def append_metrics(metrics: DataFrame, path: str, run_id: str | None = None) ->
     stamped.write.mode("append").parquet(path)
 
 
+def write_kline_bodies(candles: DataFrame, path: str, time_col: str = schemas.OPEN_TIME) -> None:
+    """Write candles back in the landed raw form: one JSON body per symbol
+    and day (an array of 12-field arrays, numbers as text, times as epoch
+    ms), in folders ``symbol=<name>``.  A body holds one day of one
+    symbol's candles, which the candle interval bounds (1,440 one-minute
+    candles at most once keys are unique)."""
+    def text(c):
+        return F.col(c).cast("string")
+
+    def millis(c):
+        return F.unix_millis(F.col(c).cast("timestamp")).cast("string")
+
+    fields = []
+    for name in schemas.KLINE_FIELDS:
+        if name in schemas.KLINE_TIME_FIELDS:
+            fields.append(millis(name))
+        elif name == "ignore":
+            fields.append(F.lit("0"))
+        else:
+            fields.append(text(name))
+    rows = candles.select(
+        schemas.SYMBOL,
+        F.to_date(F.col(time_col)).alias("_cf_day"),
+        F.struct(F.col(time_col).alias("t"), F.array(*fields).alias("r")).alias("_cf_kline"),
+    )
+    bodies = rows.groupBy(schemas.SYMBOL, "_cf_day").agg(
+        F.to_json(F.transform(F.sort_array(F.collect_list("_cf_kline")), lambda s: s["r"])).alias("value")
+    )
+    bodies.select(schemas.SYMBOL, "value").write.mode("overwrite").partitionBy(schemas.SYMBOL).text(path)
+
+
 def save_model(model: MLWritable, path: str) -> None:
     """Save a model, replacing what is at ``path``."""
     model.write().overwrite().save(path)

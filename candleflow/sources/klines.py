@@ -48,16 +48,33 @@ def symbol_from_path(pattern: str = r"([A-Za-z0-9]+)[^/]*\.json$") -> Column:
     return F.regexp_extract(F.input_file_name(), pattern, 1)
 
 
-def read_klines(spark: SparkSession, path: str | Sequence[str], symbol: str | Column | None = None) -> DataFrame:
+def read_klines(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    symbol: str | Column | None = None,
+    whole_file: bool | None = None,
+) -> DataFrame:
     """Read landed kline files into bronze rows.
 
-    Each file is read whole (``wholetext``), so one task parses one file;
-    landed bodies are small (one request each).  ``symbol`` is a constant,
-    an expression, or taken from the file name when omitted.
+    A landed file is one response body (``whole_file=True``, one task per
+    file) or a text file with one body per line (``whole_file=False``,
+    split like any text file).  The default is line mode for a folder laid
+    out as ``symbol=<name>/...`` and whole-file mode otherwise.  ``symbol``
+    is a constant or an expression; when omitted it comes from the
+    ``symbol=`` folder or else from the file name.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    text = spark.read.option("wholetext", "true").text(paths)
-    sym = symbol if symbol is not None else symbol_from_path()
+    reader = spark.read
+    probe = reader.text(paths) if whole_file is None else None
+    partitioned = probe is not None and "symbol" in probe.columns
+    whole = whole_file if whole_file is not None else not partitioned
+    text = reader.option("wholetext", "true").text(paths) if whole else (probe or reader.text(paths))
+    if symbol is not None:
+        sym = symbol
+    elif "symbol" in text.columns:
+        sym = F.col("symbol")
+    else:
+        sym = symbol_from_path()
     return parse_klines(text, sym)
 
 
