@@ -28,6 +28,8 @@ from ..sinks.writers import save_model, write_kline_bodies
 from ..sources.events import bars_from_events
 from ..sources.klines import read_klines
 from ..sources.models import load_model
+from ..streaming.ingest import bars_stream, kline_stream
+from ..streaming.incremental import start_incremental_features
 from .refresh import run_refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -232,6 +234,61 @@ def q_full_refresh(spark, sf):
     return out.select("model", "metric", F.round("value", DIGITS).alias("value"))
 
 
+STREAM_CHUNK_DAYS = 10
+STREAM_WATERMARK = "10 minutes"
+
+
+def _chunks(df: DataFrame, time_col: str) -> tuple:
+    """Consecutive periods of STREAM_CHUNK_DAYS days, as landed by
+    successive polls.  Only the distinct period numbers reach the driver."""
+    chunk = F.floor(F.unix_date(F.to_date(F.col(time_col))) / F.lit(STREAM_CHUNK_DAYS))
+    ids = sorted(r[0] for r in df.select(chunk.alias("c")).distinct().collect())
+    return chunk, ids
+
+
+def q_stream_features(spark, sf):
+    """Land the candles as kline files in 10-day polls; after each poll run
+    the incremental feature stream to completion (availableNow)."""
+    bars = _bars(spark, sf)
+    root = scratch_path(spark, "stream-features")
+    chunk, ids = _chunks(bars, "open_time")
+    for c in ids:
+        write_kline_bodies(bars.where(chunk == F.lit(c)), f"{root}/landed", mode="append")
+        q = start_incremental_features(kline_stream(spark, f"{root}/landed"), f"{root}/features", f"{root}/state")
+        q.awaitTermination()
+    out = spark.read.parquet(f"{root}/features").drop("batch_id")
+    out = out.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")).withColumn(
+        "close_time", F.col("close_time").cast("timestamp_ntz")
+    )
+    return _rounded(out.select(*schemas.FEATURE_COLUMNS))
+
+
+def q_stream_bars(spark, sf):
+    """Land the events in 10-day polls and run the event-time bar stream
+    after each; a bar comes out once the watermark passes its hour."""
+    events = table(spark, sf, "events")
+    root = scratch_path(spark, "stream-bars")
+    chunk, ids = _chunks(events, "ts")
+    for c in ids:
+        events.where(chunk == F.lit(c)).write.mode("append").parquet(f"{root}/landed")
+        from ..streaming.ingest import events_stream
+
+        bars = bars_stream(events_stream(spark, f"{root}/landed"), watermark=STREAM_WATERMARK)
+        q = (
+            bars.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", f"{root}/bars")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination()
+    out = spark.read.parquet(f"{root}/bars")
+    return out.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")).withColumn(
+        "close_time", F.col("close_time").cast("timestamp_ntz")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "bars_1h": q_bars_1h,
     "features": q_features,
@@ -259,6 +316,8 @@ QUERIES: dict[str, Query] = {
     "model_reload": q_model_reload,
     "klines_parse": q_klines_parse,
     "full_refresh": q_full_refresh,
+    "stream_features": q_stream_features,
+    "stream_bars": q_stream_bars,
 }
 
 
@@ -370,6 +429,7 @@ def _li_order(direction: str) -> str:
 ORACLE: dict[str, str] = {
     "bars_1h": _with(_BARS) + "\nselect * from bars",
     "features": _features_sql("label_return"),
+    "stream_features": _features_sql("label_return"),
     "features_prev_policy": _features_sql("label_return_prev"),
     "features_derived_policy": _features_sql("derived"),
     "features_all_policy": _features_sql("all"),
@@ -420,6 +480,9 @@ union all select 'persistence', 'r2', round(r2, {DIGITS}) from m""",
        round(regr_intercept(close_t_plus_10, close_prev), {DIGITS}) as intercept,
        cast(regr_count(close_t_plus_10, close_prev) as bigint) as n
 from features group by symbol""",
+    "stream_bars": _with(_BARS)
+    + """\nselect * from bars
+where open_time + interval 1 hour <= (select max(ts) from events) - interval 10 minutes""",
     "klines_parse": _with(_BARS)
     + """\nselect symbol, epoch_ms(open_time) as open_time_ms, "open", high, low, "close", volume,
        epoch_ms(close_time) as close_time_ms, quote_asset_volume, number_of_trades,

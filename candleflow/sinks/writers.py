@@ -82,7 +82,9 @@ def append_metrics(metrics: DataFrame, path: str, run_id: str | None = None) ->
     stamped.write.mode("append").parquet(path)
 
 
-def write_kline_bodies(candles: DataFrame, path: str, time_col: str = schemas.OPEN_TIME) -> None:
+def write_kline_bodies(
+    candles: DataFrame, path: str, time_col: str = schemas.OPEN_TIME, mode: str = "overwrite"
+) -> None:
     """Write candles back in the landed raw form: one JSON body per symbol
     and day (an array of 12-field arrays, numbers as text, times as epoch
     ms), in folders ``symbol=<name>``.  A body holds one day of one
@@ -110,7 +112,7 @@ def write_kline_bodies(candles: DataFrame, path: str, time_col: str = schemas.OP
     bodies = rows.groupBy(schemas.SYMBOL, "_cf_day").agg(
         F.to_json(F.transform(F.sort_array(F.collect_list("_cf_kline")), lambda s: s["r"])).alias("value")
     )
-    bodies.select(schemas.SYMBOL, "value").write.mode("overwrite").partitionBy(schemas.SYMBOL).text(path)
+    bodies.select(schemas.SYMBOL, "value").write.mode(mode).partitionBy(schemas.SYMBOL).text(path)
 
 
 def save_model(model: MLWritable, path: str) -> None:
