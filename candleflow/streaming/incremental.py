@@ -68,8 +68,21 @@ class IncrementalFeatures:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         sym, t = schemas.SYMBOL, schemas.OPEN_TIME
-        new = dedup_keep_first(batch.select(*self.columns), [sym, t]).dropna(how="any")
         tail = self._tail(spark, batch_id)
+        # The micro-batch is read more than once below; keep one copy.
+        new = dedup_keep_first(batch.select(*self.columns), [sym, t]).dropna(how="any").persist()
+        try:
+            if new.isEmpty():
+                # A no-data batch (e.g. a watermark step): carry the tail on.
+                if tail is not None:
+                    tail.write.mode("overwrite").parquet(f"{self.state_path}/batch_id={batch_id}")
+                return
+            self._apply(spark, new, tail, batch_id)
+        finally:
+            new.unpersist()
+
+    def _apply(self, spark: SparkSession, new: DataFrame, tail: DataFrame | None, batch_id: int) -> None:
+        sym, t = schemas.SYMBOL, schemas.OPEN_TIME
         if tail is not None:
             last = bounded_broadcast(tail.groupBy(sym).agg(F.max(t).alias("_cf_last")))
             new = new.join(last, sym, "left")
