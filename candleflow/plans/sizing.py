@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Largest side, in rows, that we hand to a broadcast join.  The sides we
 # broadcast are narrow (a few keys and two or three numbers), so this many
 # rows stays well below the default 8 GB broadcast limit and the driver's
@@ -16,12 +17,13 @@ BROADCAST_ROW_LIMIT = 5_000_000
 def bounded_broadcast(small: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast ``small`` only after counting it.
 
-    The frame is persisted first, so the count and the later broadcast build
-    read it once.  Above the limit the frame is returned as is and the join
-    falls back to a shuffle join chosen by the planner.
+    The frame is written once to the shared checkpoint folder; the count
+    then comes from the Parquet footers and the broadcast build reads the
+    files, so the frame is computed once and nothing stays cached.  Above
+    the limit the frame is returned as is and the join falls back to a
+    shuffle join chosen by the planner.
     """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = small.count()
-    if rows <= row_limit:
-        return F.broadcast(small)
-    return small
+    written = materialize(small, "small")
+    if written.count() <= row_limit:
+        return F.broadcast(written)
+    return written

@@ -18,11 +18,13 @@ BAR_INTERVAL = "1 hour"
 def bars_from_events(events: DataFrame, interval: str = BAR_INTERVAL) -> DataFrame:
     """Aggregate events into bars with the silver candle columns.
 
-    One hash aggregation with map-side partial aggregation, so a hot symbol
-    or a hot hour is pre-aggregated in every task before the shuffle.
+    One aggregation with map-side partial aggregation, so a hot symbol or a
+    hot hour is pre-aggregated in every task before the shuffle (the
+    struct-ordered ``min_by``/``max_by`` buffers make it a sort-based
+    aggregate, which spills instead of failing on large groups).
     ``open``/``close`` are the prices at the first/last (ts, event_id).
     """
-    k = F.get_json_object("props", "$.k").try_cast("int")
+    k = F.from_json("props", "k string").getField("k").try_cast("int")
     q = k.cast("double") + F.lit(1.0)
     taker = F.pmod(k, F.lit(2)) == F.lit(0)
     order = F.struct("ts", "event_id")

@@ -80,7 +80,7 @@ def bars_stream(events: DataFrame, interval: str = BAR_INTERVAL, watermark: str
     once the watermark passes its end, so the newest, still open bar of
     each symbol waits for later events.  Columns match
     ``sources.events.bars_from_events`` with TIMESTAMP times."""
-    k = F.get_json_object("props", "$.k").try_cast("int")
+    k = F.from_json("props", "k string").getField("k").try_cast("int")
     q = k.cast("double") + F.lit(1.0)
     taker = F.pmod(k, F.lit(2)) == F.lit(0)
     ticks = events.select(
