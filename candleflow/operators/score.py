@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +15,21 @@ from ..functions.columns import linear_combination
 from .ml import assembler
 
 
+def _with_invalid_policy(model: PipelineModel, handle_invalid: str) -> PipelineModel:
+    """A copy of ``model`` whose vector assembler uses ``handle_invalid``."""
+    stages = [
+        s.copy({s.handleInvalid: handle_invalid}) if isinstance(s, VectorAssembler) else s for s in model.stages
+    ]
+    return PipelineModel(stages)
+
+
 def score(
     df: DataFrame,
     model: Transformer | None,
     inputs: Sequence[str] = schemas.MODEL_INPUTS,
     prediction_col: str = "prediction",
     keep: Sequence[str] | None = None,
+    handle_invalid: str | None = None,
 ) -> DataFrame:
     """Add ``prediction_col`` to every row of ``df`` (a table or a stream).
 
@@ -27,6 +37,10 @@ def score(
     given the assembled inputs first.  Inputs stay DOUBLE (no FLOAT
     rounding).  A missing input column or a missing model is an error.
     ``keep`` limits the output to those columns plus the prediction.
+
+    Rows with a NULL/NaN input follow the model's assembler (a model fitted
+    by ``ml.fit`` skips them, as training did); ``handle_invalid="error"``
+    raises instead and ``"keep"`` keeps every row (NaN prediction).
     """
     if model is None:
         raise RuntimeError("no model is loaded")
@@ -34,9 +48,11 @@ def score(
     if missing:
         raise ValueError(f"input columns missing: {missing}")
     if isinstance(model, PipelineModel):
+        if handle_invalid:
+            model = _with_invalid_policy(model, handle_invalid)
         scored = model.transform(df)
     else:
-        scored = model.transform(assembler(inputs, handle_invalid="keep").transform(df))
+        scored = model.transform(assembler(inputs, handle_invalid=handle_invalid or "keep").transform(df))
     if prediction_col not in scored.columns:
         if "prediction" in scored.columns:
             scored = scored.withColumnRenamed("prediction", prediction_col)

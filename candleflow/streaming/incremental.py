@@ -87,7 +87,13 @@ class IncrementalFeatures:
             last = bounded_broadcast(tail.groupBy(sym).agg(F.max(t).alias("_cf_last")))
             new = new.join(last, sym, "left")
             late = new.where(F.col(t) <= F.col("_cf_last")).drop("_cf_last")
-            late.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(self.late_path)
+            (
+                late.withColumn("batch_id", F.lit(batch_id))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id")
+                .parquet(self.late_path)
+            )
             new = new.where(F.col("_cf_last").isNull() | (F.col(t) > F.col("_cf_last"))).drop("_cf_last")
             combined = tail.select(*self.columns, "_cf_done").unionByName(
                 new.withColumn("_cf_done", F.lit(False))

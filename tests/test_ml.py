@@ -92,3 +92,14 @@ def test_tree_models_fit(spark, split):
     for fam in ("gbt", "rf"):
         m = fit(train, fam, maxIter=5) if fam == "gbt" else fit(train, fam, numTrees=5)
         assert score(test, m).where(F.col("prediction").isNull()).count() == 0
+
+
+def test_invalid_rows_follow_the_chosen_policy(spark, split):
+    train, test = train_test(split)
+    model = fit(train, "lr")
+    bad = test.limit(3).withColumn("taker_ratio", F.lit(None).cast("double"))
+    assert score(bad, model).count() == 0  # fitted with skip, as training was
+    kept = score(bad, model, handle_invalid="keep").collect()
+    assert len(kept) == 3
+    with pytest.raises(Exception):
+        score(bad, model, handle_invalid="error").collect()
