@@ -24,6 +24,7 @@ def add_features(
     time_col: str = schemas.OPEN_TIME,
     index_col: str | None = None,
     block_rows: int = DEFAULT_BLOCK_ROWS,
+    total_col: str | None = None,
 ) -> DataFrame:
     """Append ``close_t_plus_10, close_prev, return_1m, ma_5, ma_10,
     taker_ratio`` to silver rows (no rows are dropped here).
@@ -32,11 +33,12 @@ def add_features(
     series) is numbered by :func:`ordered_index` and the four window columns
     are evaluated in blocks by :func:`block_window`, so a long series is
     spread over many tasks.  Divisions are NULL-safe (``try_divide``).
-    ``index_col`` keeps the row number inside the series when given.
+    ``index_col`` keeps the row number inside the series and ``total_col``
+    the series length, when given.
     """
     parts = list(partition_by)
     idx_name = index_col or "_cf_row"
-    indexed = ordered_index(silver, [time_col], parts, index_col=idx_name)
+    indexed = ordered_index(silver, [time_col], parts, index_col=idx_name, total_col=total_col)
 
     def window_columns(w):
         return {
@@ -67,6 +69,8 @@ def add_features(
     ]
     if index_col:
         out.append(F.col(index_col))
+    if total_col:
+        out.append(F.col(total_col))
     return windowed.select(*out)
 
 

@@ -66,6 +66,12 @@ def stable_layout(df: DataFrame, keys: Sequence[str], num_partitions: int | None
     return df.repartition(n, *keys).sortWithinPartitions(*keys)
 
 
+# Rows per task of a fit.  Iterative learners (100 boosting rounds) pay a
+# task launch per partition per pass, so a fit runs on as many partitions
+# as its rows need, up to spark.sql.shuffle.partitions.
+ROWS_PER_FIT_TASK = 1_000_000
+
+
 def fit(
     train: DataFrame,
     family: str = "lr",
@@ -74,23 +80,32 @@ def fit(
     prediction_col: str = "prediction",
     handle_invalid: str = "skip",
     order_keys: Sequence[str] = (schemas.SYMBOL, schemas.OPEN_TIME),
+    rows_per_task: int = ROWS_PER_FIT_TASK,
     **params,
 ) -> PipelineModel:
     """Fit assembler + regressor on ``train`` (rows with a NULL label are
-    left out).  The input is laid out deterministically and persisted for
-    the fit's passes, then released."""
+    left out).
+
+    Tree ensembles get a deterministic layout (hash-partitioned and sorted
+    on ``order_keys``).  The input is persisted for the fit's passes, then
+    released, and narrowed to ``ceil(rows / rows_per_task)`` partitions with
+    ``coalesce``, which merges neighbouring partitions without a shuffle and
+    keeps the layout reproducible."""
     rows = train.where(F.col(label_col).isNotNull()).select(*dict.fromkeys([*order_keys, *inputs, label_col]))
-    if family != "lr":
+    if family != "lr":  # seeded sampling in tree ensembles depends on the layout
         rows = stable_layout(rows, order_keys)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        n = rows.count()
+        wanted = max(1, -(-n // int(rows_per_task)))
+        data = rows.coalesce(wanted) if wanted < rows.rdd.getNumPartitions() else rows
         pipe = Pipeline(
             stages=[
                 assembler(inputs, handle_invalid=handle_invalid),
                 estimator(family, label_col, prediction_col, **params),
             ]
         )
-        return pipe.fit(rows)
+        return pipe.fit(data)
     finally:
         rows.unpersist()
 

@@ -101,9 +101,7 @@ class IncrementalFeatures:
         else:
             combined = new.withColumn("_cf_done", F.lit(False))
 
-        feats = add_features(combined, index_col="_cf_rn")
-        n = feats.groupBy(sym).agg(F.max("_cf_rn").alias("_cf_n"))
-        feats = feats.join(bounded_broadcast(n), sym)
+        feats = add_features(combined, index_col="_cf_rn", total_col="_cf_n")
         ready = F.col("_cf_rn") <= F.col("_cf_n") - F.lit(schemas.LABEL_LEAD_ROWS)
         out_cols = [c for c in schemas.FEATURE_COLUMNS if c in feats.columns]
         emitted = drop_missing(feats.where(~F.col("_cf_done") & ready).select(*out_cols), self.null_policy)
