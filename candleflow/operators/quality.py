@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_null
+from ..session import materialize
 from .sequence import ordered_index
 
 
@@ -74,20 +75,84 @@ def quantile(
     return idx.where(F.col("_cf_rank") == target).select(*parts, F.col(column).alias(name))
 
 
-def correlation(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
+# Fields per aggregation pass.  Whole-stage codegen is switched off above
+# spark.sql.codegen.maxFields (100 by default), which makes a wide
+# aggregation many times slower, so wide reports are split into passes.
+MAX_AGG_FIELDS = 90
+
+
+def _pair_chunks(k: int, max_fields: int) -> list[list[tuple[int, int]]]:
+    """Group the pairs (i, j), i < j, so that one pass needs at most
+    ``max_fields`` sums: n, sum(u) and sum(u*u) per column used, and
+    sum(u_i*u_j) per pair."""
+    chunks: list[list[tuple[int, int]]] = []
+    current: list[tuple[int, int]] = []
+    used: set[int] = set()
+    for i in range(k):
+        for j in range(i + 1, k):
+            grown = used | {i, j}
+            if current and 1 + 2 * len(grown) + len(current) + 1 > max_fields:
+                chunks.append(current)
+                current, grown = [], {i, j}
+            current.append((i, j))
+            used = grown
+    if current:
+        chunks.append(current)
+    return chunks
+
+
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def correlation(
+    df: DataFrame,
+    columns: Sequence[str],
+    digits: int | None = None,
+    max_fields: int = MAX_AGG_FIELDS,
+) -> DataFrame:
     """Pearson correlation of every pair ``a < b`` of ``columns`` (in the
     given order), as a long table ``(col_a, col_b, corr)``.
 
-    All pairs come out of one aggregation pass over the whole table (no
-    sample, no collect); the wide result row is unpivoted with ``stack``.
-    Rows with a NULL in either column of a pair are left out of that pair.
+    Rows with a NULL or NaN in any of the columns are left out (listwise,
+    as ``dropna`` before a correlation matrix).  Whole table, no sample, no
+    collect of rows.  One pass takes the column means (a one-row result);
+    each further pass sums the mean-centred values ``u``: ``n``,
+    ``sum(u)``, ``sum(u*u)`` and ``sum(u_i*u_j)``, from which
+    ``corr = (S_ij - S_i S_j / n) / sqrt((Q_i - S_i^2/n)(Q_j - S_j^2/n))``.
+    Centring keeps the sums free of cancellation, and the pairs are split
+    into passes of at most ``max_fields`` sums so every pass stays in
+    generated code.  The input is written once to the checkpoint folder so
+    the passes read only these columns.  The passes are one SQL statement
+    (a ``UNION ALL`` of per-pass aggregations unpivoted with ``stack``).
     """
     cols = list(columns)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        c = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
-        aggs.append((F.round(c, digits) if digits is not None else c).alias(f"_cf_c{i}"))
-    wide = df.agg(*aggs)
-    stack_args = ", ".join(f"'{a}', '{b}', `_cf_c{i}`" for i, (a, b) in enumerate(pairs))
-    return wide.selectExpr(f"stack({len(pairs)}, {stack_args}) as (col_a, col_b, corr)")
+    k = len(cols)
+    xs = [f"_cf_x{i}" for i in range(k)]
+    values = df.select(*[F.col(c).cast("double").alias(x) for c, x in zip(cols, xs)])
+    values = values.where(~any_null(xs, nan_is_null=True))
+    data = materialize(values, "corr")
+    means = data.agg(*[F.avg(x).alias(x) for x in xs]).first()
+    centre = [float(means[x]) if means[x] is not None else 0.0 for x in xs]
+
+    def value(i: int, j: int) -> str:
+        cov = f"p{i}_{j} - s{i} * s{j} / n"
+        var_i = f"q{i} - s{i} * s{i} / n"
+        var_j = f"q{j} - s{j} * s{j} / n"
+        expr = f"try_divide({cov}, sqrt(({var_i}) * ({var_j})))"
+        return f"round({expr}, {int(digits)})" if digits is not None else expr
+
+    passes = []
+    for chunk in _pair_chunks(k, max_fields):
+        idx = sorted({i for pair in chunk for i in pair})
+        centred = ", ".join(f"{xs[i]} - {centre[i]!r}D AS u{i}" for i in idx)
+        sums = ["CAST(count(1) AS DOUBLE) AS n"]
+        sums += [f"sum(u{i}) AS s{i}" for i in idx]
+        sums += [f"sum(u{i} * u{i}) AS q{i}" for i in idx]
+        sums += [f"sum(u{i} * u{j}) AS p{i}_{j}" for i, j in chunk]
+        rows = ", ".join(f"{_sql_text(cols[i])}, {_sql_text(cols[j])}, {value(i, j)}" for i, j in chunk)
+        passes.append(
+            f"SELECT stack({len(chunk)}, {rows}) AS (col_a, col_b, corr) "
+            f"FROM (SELECT {', '.join(sums)} FROM (SELECT {centred} FROM {{data}}))"
+        )
+    return df.sparkSession.sql(" UNION ALL ".join(passes), data=data)

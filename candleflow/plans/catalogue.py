@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.columns import round_columns
+from ..functions.columns import numeric_columns, round_columns
 from ..operators.clean import dedup_keep_first, dedup_rows, drop_missing, latest_n, sample_rows, to_silver
 from ..operators.features import add_features, features
 from ..operators.metrics import regression_metrics
 from ..operators.quality import correlation, duplicate_report, null_counts, quantile, rows_with_null
 from ..operators.ml import compare_models, fit
-from ..operators.score import score, score_linear
+from ..operators.score import score, score_linear, to_predictions
 from ..operators.split import chrono_split, time_index, train_test
 from ..session import scratch_path, table
 from ..sinks.writers import save_model, write_kline_bodies
@@ -65,6 +65,11 @@ LINEITEM_COLUMNS = (
     "l_shipdate",
 )
 CORR_COLUMNS = (*schemas.MODEL_INPUTS, schemas.LABEL)
+# INT/DOUBLE feature columns in table order (what the legacy numeric filter
+# keeps; number_of_trades is BIGINT and left out).
+LEGACY_NUMERIC = tuple(
+    c for c in schemas.FEATURE_COLUMNS if c not in ("symbol", "open_time", "close_time", "number_of_trades")
+)
 
 
 # ---------------------------------------------------------------- Spark side
@@ -157,6 +162,18 @@ def q_correlation(spark, sf):
     return correlation(_features(spark, sf), CORR_COLUMNS, digits=DIGITS)
 
 
+def q_correlation_numeric(spark, sf):
+    """The reference's column choice: every INT/DOUBLE column (BIGINT left
+    out), all pairs, over the whole feature table."""
+    f = _features(spark, sf)
+    return correlation(f, numeric_columns(f, legacy=True), digits=DIGITS)
+
+
+def q_approx_median_close(spark, sf):
+    """The reference's median: a bounded sketch with relative error 0.1."""
+    return quantile(_bars(spark, sf), "close", 0.5, rel_err=0.1, alias="median_close")
+
+
 def q_metrics_persistence(spark, sf):
     s = chrono_split(_features(spark, sf))
     test = s.where(F.col("split") == "test").select(schemas.LABEL, F.col("close_prev").alias("prediction"))
@@ -229,6 +246,25 @@ def q_klines_parse(spark, sf):
     )
 
 
+def q_silver_from_klines(spark, sf):
+    """Landed kline files -> bronze -> silver (keyed dedup + drop NULLs)."""
+    landed = scratch_path(spark, "landed")
+    write_kline_bodies(_bars(spark, sf), landed)
+    silver = to_silver(read_klines(spark, landed))
+    return silver.select(
+        "symbol",
+        F.unix_millis("open_time").alias("open_time_ms"),
+        *[c for c in schemas.SILVER_COLUMNS if c not in ("symbol", "open_time", "close_time")],
+    )
+
+
+def q_prediction_records(spark, sf):
+    """Prediction records of the fitted linear model on the test rows."""
+    train, test = _train_test(spark, sf)
+    recs = to_predictions(score(test, fit(train, "lr")))
+    return recs.select("id", "symbol", "market_time", F.round("predicted_price", DIGITS).alias("predicted_price"))
+
+
 def q_full_refresh(spark, sf):
     out = run_refresh(spark, _bars(spark, sf), scratch_path(spark, "refresh"), families=("lr",))
     return out.select("model", "metric", F.round("value", DIGITS).alias("value"))
@@ -307,6 +343,8 @@ QUERIES: dict[str, Query] = {
     "median_close": q_median_close,
     "median_close_by_symbol": q_median_close_by_symbol,
     "correlation": q_correlation,
+    "correlation_numeric": q_correlation_numeric,
+    "approx_median_close": q_approx_median_close,
     "metrics_persistence": q_metrics_persistence,
     "ols_one_input": q_ols_one_input,
     "score_fixed": q_score_fixed,
@@ -315,6 +353,8 @@ QUERIES: dict[str, Query] = {
     "compare_models": q_compare_models,
     "model_reload": q_model_reload,
     "klines_parse": q_klines_parse,
+    "silver_from_klines": q_silver_from_klines,
+    "prediction_records": q_prediction_records,
     "full_refresh": q_full_refresh,
     "stream_features": q_stream_features,
     "stream_bars": q_stream_bars,
@@ -399,13 +439,15 @@ split as (
   from features)"""
 
 
-def _corr_sql() -> str:
-    cols = list(CORR_COLUMNS)
+def _corr_sql(columns=CORR_COLUMNS) -> str:
+    cols = list(columns)
+    complete = " and ".join(f'"{c}" is not null' for c in cols)
     parts = []
     for i, a in enumerate(cols):
         for b in cols[i + 1 :]:
             parts.append(
-                f"select '{a}' as col_a, '{b}' as col_b, round(corr({a}, {b}), {DIGITS}) as corr from features"
+                f"select '{a}' as col_a, '{b}' as col_b, round(corr(\"{a}\", \"{b}\"), {DIGITS}) as corr "
+                f"from features where {complete}"
             )
     return _with(_BARS, _RAW_FEATURES, _features_cte()) + "\n" + "\nunion all\n".join(parts)
 
@@ -466,6 +508,7 @@ where rn <= {LATEST_N}""",
     "median_close_by_symbol": _with(_BARS)
     + '\nselect symbol, quantile_disc("close", 0.5) as median_close from bars group by symbol',
     "correlation": _corr_sql(),
+    "correlation_numeric": _corr_sql(LEGACY_NUMERIC),
     "metrics_persistence": _with(_BARS, _RAW_FEATURES, _features_cte(), _SPLIT)
     + f""",
 test as (select close_t_plus_10 as y, close_prev - close_t_plus_10 as e from split
@@ -480,6 +523,10 @@ union all select 'persistence', 'r2', round(r2, {DIGITS}) from m""",
        round(regr_intercept(close_t_plus_10, close_prev), {DIGITS}) as intercept,
        cast(regr_count(close_t_plus_10, close_prev) as bigint) as n
 from features group by symbol""",
+    "silver_from_klines": _with(_BARS)
+    + """\nselect symbol, epoch_ms(open_time) as open_time_ms, "open", high, low, "close", volume,
+       quote_asset_volume, number_of_trades, taker_buy_base_volume, taker_buy_quote_volume
+from bars""",
     "stream_bars": _with(_BARS)
     + """\nselect * from bars
 where open_time + interval 1 hour <= (select max(ts) from events) - interval 10 minutes""",

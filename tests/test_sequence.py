@@ -66,3 +66,18 @@ def test_block_window_rejects_small_blocks(spark):
     df = spark.createDataFrame([(1, 1.0)], "rid long, v double")
     with pytest.raises(ValueError):
         block_window(df, [], "rid", lambda w: {"x": F.lead("v", 10).over(w)}, 0, 10, block_rows=5)
+
+
+def test_hot_series_is_spread_over_tasks(spark):
+    # one symbol holds 90 % of the rows; neither the index nor the block
+    # window may put that symbol in one task
+    rows = [("hot" if i % 10 else f"s{i % 7}", i, float(i)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "key string, t long, v double")
+    idx = ordered_index(df, ["t"], ["key"], "rid", num_partitions=8)
+    per_task = idx.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("key") == "hot").alias("n"))
+    sizes = [r.n for r in per_task.collect()]
+    assert max(sizes) < 0.5 * 5400 and sum(1 for s in sizes if s > 0) >= 4
+    win = block_window(idx, ["key"], "rid", lambda w: {"x": F.lag("v", 1).over(w)}, 1, 1, block_rows=200)
+    per_task = win.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("key") == "hot").alias("n"))
+    sizes = [r.n for r in per_task.collect()]
+    assert sum(sizes) == 5400 and max(sizes) < 0.5 * 5400
