@@ -2,6 +2,7 @@
 
 from .columns import (
     any_null,
+    as_instant,
     epoch_ms_to_timestamp,
     hash_unit,
     linear_combination,
@@ -13,10 +14,13 @@ from .columns import (
     to_double,
     to_long,
     train_cutoff,
+    utc_instant,
+    utc_wallclock,
 )
 
 __all__ = [
     "any_null",
+    "as_instant",
     "epoch_ms_to_timestamp",
     "hash_unit",
     "linear_combination",
@@ -28,4 +32,6 @@ __all__ = [
     "to_double",
     "to_long",
     "train_cutoff",
+    "utc_instant",
+    "utc_wallclock",
 ]

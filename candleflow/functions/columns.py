@@ -39,6 +39,37 @@ def epoch_ms_to_timestamp(c: ColumnOrName) -> Column:
     return F.timestamp_millis(col(c).try_cast("bigint"))
 
 
+def utc_instant(c: ColumnOrName) -> Column:
+    """TIMESTAMP_NTZ read as a UTC wall clock -> TIMESTAMP (an instant).
+
+    Built from calendar fields, so the session time zone plays no part
+    (a cast would read the wall clock in the session zone and move times
+    that fall in a daylight-saving gap)."""
+    t = col(c)
+    micros = (
+        F.unix_date(F.to_date(t)).cast("bigint") * F.lit(86_400_000_000)
+        + F.hour(t).cast("bigint") * F.lit(3_600_000_000)
+        + F.minute(t).cast("bigint") * F.lit(60_000_000)
+        + (F.date_part(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("bigint")
+    )
+    return F.timestamp_micros(micros)
+
+
+def utc_wallclock(c: ColumnOrName) -> Column:
+    """TIMESTAMP (an instant) -> TIMESTAMP_NTZ holding its UTC wall clock,
+    independent of the session time zone."""
+    seconds = F.unix_micros(col(c)).cast("decimal(20,0)") / F.lit(1_000_000)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+
+
+def as_instant(df: DataFrame, name: str) -> Column:
+    """Column ``name`` of ``df`` as TIMESTAMP; TIMESTAMP_NTZ is read as UTC."""
+    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        return utc_instant(name)
+    return F.col(name).cast("timestamp")
+
+
 def nanos_to_timestamp(c: ColumnOrName) -> Column:
     """Epoch nanoseconds read as BIGINT (foreign nanosecond Parquet) to a
     microsecond TIMESTAMP."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.columns import linear_combination
+from ..functions.columns import as_instant, linear_combination
 from .ml import assembler
 
 
@@ -90,9 +90,10 @@ def to_predictions(
     ``id`` is a stable hash of the series key and the market time (a
     sequential database id is not reproducible in parallel); ``created_at``
     is the time of the scoring query; a NULL market time becomes that time.
+    A TIMESTAMP_NTZ market time is read as UTC.
     """
     keys = [F.col(k) for k in key_cols if k in scored.columns]
-    market_time = F.coalesce(F.col(time_col).cast("timestamp"), F.current_timestamp())
+    market_time = F.coalesce(as_instant(scored, time_col), F.current_timestamp())
     return scored.select(
         F.xxhash64(*keys, F.col(time_col)).alias("id"),
         *[F.col(k) for k in key_cols if k in scored.columns],

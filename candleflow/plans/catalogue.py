@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.columns import numeric_columns, round_columns
+from ..functions.columns import numeric_columns, round_columns, utc_wallclock
 from ..operators.clean import dedup_keep_first, dedup_rows, drop_missing, latest_n, sample_rows, to_silver
 from ..operators.features import add_features, features
 from ..operators.metrics import regression_metrics
@@ -293,8 +293,8 @@ def q_stream_features(spark, sf):
         q = start_incremental_features(kline_stream(spark, f"{root}/landed"), f"{root}/features", f"{root}/state")
         q.awaitTermination()
     out = spark.read.parquet(f"{root}/features").drop("batch_id")
-    out = out.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")).withColumn(
-        "close_time", F.col("close_time").cast("timestamp_ntz")
+    out = out.withColumn("open_time", utc_wallclock("open_time")).withColumn(
+        "close_time", utc_wallclock("close_time")
     )
     return _rounded(out.select(*schemas.FEATURE_COLUMNS))
 
@@ -320,8 +320,8 @@ def q_stream_bars(spark, sf):
         )
         q.awaitTermination()
     out = spark.read.parquet(f"{root}/bars")
-    return out.withColumn("open_time", F.col("open_time").cast("timestamp_ntz")).withColumn(
-        "close_time", F.col("close_time").cast("timestamp_ntz")
+    return out.withColumn("open_time", utc_wallclock("open_time")).withColumn(
+        "close_time", utc_wallclock("close_time")
     )
 
 

@@ -65,7 +65,8 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known, so reading back needs no footer-inference job.
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.columns import as_instant
 
 
 def write_parquet(
@@ -94,7 +95,7 @@ def write_kline_bodies(
         return F.col(c).cast("string")
 
     def millis(c):
-        return F.unix_millis(F.col(c).cast("timestamp")).cast("string")
+        return F.unix_millis(as_instant(candles, c)).cast("string")
 
     fields = []
     for name in schemas.KLINE_FIELDS:

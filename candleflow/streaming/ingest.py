@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.columns import as_instant, utc_instant
 from ..sources.events import BAR_INTERVAL
 from ..sources.klines import parse_klines, symbol_from_path
 
@@ -58,10 +59,10 @@ def dedup_stream(
     """Drop repeated keys within ``watermark`` of event time.  Repeats that
     arrive later than the watermark are dropped by Spark as late data; the
     batch refresh keeps them (keyed de-duplication over the whole table).
-    The event-time column must be TIMESTAMP (not TIMESTAMP_NTZ)."""
+    Watermarks need TIMESTAMP; a TIMESTAMP_NTZ column is read as UTC."""
     ts = df.schema[time_col].dataType
     if isinstance(ts, T.TimestampNTZType):
-        df = df.withColumn(time_col, F.col(time_col).cast("timestamp"))
+        df = df.withColumn(time_col, utc_instant(time_col))
     return df.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -85,7 +86,7 @@ def bars_stream(events: DataFrame, interval: str = BAR_INTERVAL, watermark: str
     taker = F.pmod(k, F.lit(2)) == F.lit(0)
     ticks = events.select(
         F.col("event_type").alias("symbol"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        as_instant(events, "ts").alias("ts"),
         "event_id",
         "value",
         q.alias("_q"),

@@ -33,3 +33,24 @@ def test_bad_string_becomes_null_and_is_dropped_at_silver(spark):
     rows = df.orderBy("open_time").collect()
     assert rows[1].open is None
     assert to_silver(df).count() == 1
+
+
+def test_utc_conversions_ignore_the_session_zone(spark):
+    from pyspark.sql import functions as F
+
+    from candleflow.functions.columns import utc_instant, utc_wallclock
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.sql(
+            "select timestamp_ntz'2024-03-10 02:30:00.123456' as t "
+            "union all select timestamp_ntz'1969-12-31 23:59:59.5'"
+        )
+        out = df.select(
+            "t", F.unix_micros(utc_instant("t")).alias("us"), utc_wallclock(utc_instant("t")).alias("back")
+        ).collect()
+        assert [r.us for r in out] == [1710037800123456, -500000]
+        assert all(r.back == r.t for r in out)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
