@@ -87,3 +87,11 @@ def test_rows_per_symbol_and_frame_bounds(spark):
 def test_feature_columns_in_order(spark):
     out = features(series(spark, range(1, 30)))
     assert tuple(out.columns) == schemas.FEATURE_COLUMNS
+
+
+def test_empty_input_gives_empty_output(spark):
+    empty = frame(spark, [])
+    assert features(empty).count() == 0
+    from candleflow.operators.split import chrono_split, time_index
+
+    assert chrono_split(empty).count() == 0 and time_index(empty).count() == 0
