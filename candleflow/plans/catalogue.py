@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import numeric_columns, round_columns, utc_wallclock
-from ..operators.clean import dedup_keep_first, dedup_rows, drop_missing, latest_n, sample_rows, to_silver
+from ..operators.clean import dedup_keep_first, dedup_rows, latest_n, sample_rows, to_silver
 from ..operators.features import add_features, features
 from ..operators.metrics import regression_metrics
 from ..operators.quality import correlation, duplicate_report, null_counts, quantile, rows_with_null

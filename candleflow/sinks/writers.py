@@ -50,13 +50,13 @@ def write_jdbc(
 ) -> None:
     """Write a relational table over JDBC (``overwrite`` replaces it,
     ``append`` adds rows).  Every task writes its own rows in batches;
-    ``num_partitions`` caps the number of concurrent connections."""
+    ``num_partitions`` caps the number of concurrent connections (the JDBC
+    writer coalesces to it)."""
     props = dict(properties or {})
     props.setdefault("batchsize", str(batch_size))
-    out = df
-    if num_partitions and df.rdd.getNumPartitions() > num_partitions:
-        out = df.coalesce(num_partitions)
-    out.write.jdbc(url=url, table=table, mode=mode, properties=props)
+    if num_partitions:
+        props["numPartitions"] = str(int(num_partitions))
+    df.write.jdbc(url=url, table=table, mode=mode, properties=props)
 
 
 def read_jdbc(spark, url: str, table: str, properties: dict[str, str] | None = None) -> DataFrame:
