@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import any_null
+from ..plans.sizing import bounded_broadcast
 from ..session import materialize
-from .sequence import ordered_index
+from .sequence import ordered_index, running_total
 
 
 def duplicate_report(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
@@ -50,15 +51,18 @@ def quantile(
     q: float = 0.5,
     rel_err: float = 0.0,
     partition_by: Sequence[str] = (),
-    tie_break: Sequence[str] = (),
     alias: str | None = None,
 ) -> DataFrame:
     """The ``q`` quantile of ``column`` (per ``partition_by`` group).
 
     ``rel_err == 0`` is exact and discrete: the value at 1-based position
-    ``floor((n - 1) * q) + 1`` in ascending order, NULLs left out.  It is a
-    distributed sort (:func:`ordered_index`), so no group is held in one
-    task.  ``rel_err > 0`` uses ``percentile_approx`` with accuracy
+    ``floor((n - 1) * q) + 1`` in ascending order, NULLs and NaNs left out.
+    Copies of a value are counted first (map-side partial aggregation, so a
+    price repeated in a third of all rows becomes one row per task), the
+    distinct values are ranked with :func:`ordered_index` and their counts
+    summed in order with :func:`running_total`; the answer is the value
+    whose running count first reaches the position.  No group is held in
+    one task.  ``rel_err > 0`` uses ``percentile_approx`` with accuracy
     ``1 / rel_err``, a bounded sketch per group.
     """
     name = alias or f"q_{column}"
@@ -68,11 +72,25 @@ def quantile(
         accuracy = max(1, int(round(1.0 / rel_err)))
         agg = F.percentile_approx(F.col(column), float(q), accuracy).alias(name)
         return values.groupBy(*parts).agg(agg) if parts else values.agg(agg)
-    order = [column, *tie_break]
-    keep = list(dict.fromkeys([*parts, *order]))
-    idx = ordered_index(values.select(*keep), order, parts, "_cf_rank", "_cf_n")
+    counts = values.groupBy(*parts, column).agg(F.count(F.lit(1)).alias("_cf_copies"))
+    ranked = ordered_index(counts, [column], parts, "_cf_rank")
+    cum = running_total(ranked, parts, "_cf_rank", "_cf_copies", "_cf_upto")
+    totals = counts.groupBy(*parts).agg(F.sum("_cf_copies").alias("_cf_n"))
+    if parts:
+        sizes = bounded_broadcast(
+            totals.select(*[F.col(c).alias(f"_cf_g{i}") for i, c in enumerate(parts)], "_cf_n")
+        )
+        cond = None
+        for i, c in enumerate(parts):
+            term = cum[c].eqNullSafe(sizes[f"_cf_g{i}"])
+            cond = term if cond is None else cond & term
+        with_n = cum.join(sizes, cond, "inner").select(*[cum[c] for c in cum.columns], sizes["_cf_n"])
+    else:
+        total = totals.first()
+        with_n = cum.select("*", F.lit(int(total["_cf_n"]) if total and total["_cf_n"] else 0).alias("_cf_n"))
     target = F.floor((F.col("_cf_n") - F.lit(1)).cast("double") * F.lit(float(q))).cast("bigint") + F.lit(1)
-    return idx.where(F.col("_cf_rank") == target).select(*parts, F.col(column).alias(name))
+    hit = (F.col("_cf_upto") - F.col("_cf_copies") < target) & (F.col("_cf_upto") >= target)
+    return with_n.where(hit).select(*parts, F.col(column).alias(name))
 
 
 # Fields per aggregation pass.  Whole-stage codegen is switched off above

@@ -32,6 +32,7 @@ from ..session import materialize
 DEFAULT_BLOCK_ROWS = 100_000
 
 _PART = "_cf_part"
+_TIE = "_cf_tie"
 _POS = "_cf_pos"
 _SHIFT = "_cf_shift"
 _TOTAL = "_cf_total"
@@ -66,17 +67,24 @@ def ordered_index(
     folder (so the tags never change on a recompute), count rows per
     (task, partition key), turn the counts into offsets with a window over
     that small table, and broadcast the offsets back.  A hot key simply
-    spans many tasks.  Ties in ``order_by`` are numbered in an arbitrary but
-    fixed order; give a unique order for reproducible numbers.
+    spans many tasks, and so does a run of equal ``order_by`` values unless
+    the rows are exact copies (count copies first, as :func:`quantile`
+    does).  Ties in ``order_by`` are numbered in an arbitrary order that is
+    fixed once written; give a unique order for reproducible numbers.
     """
     parts = _names(partition_by)
-    keys = [col(c) for c in parts] + [col(c) for c in order_by]
+    # A hash of the whole row breaks ties, so a run of equal keys is split
+    # over tasks like any other range as long as the rows differ somewhere.
+    # It is a function of the row alone, so a re-run task sends every row to
+    # the same range as before.
+    spread = df.select("*", F.xxhash64(*[F.col(c) for c in df.columns]).alias(_TIE))
+    keys = [col(c) for c in parts] + [col(c) for c in order_by] + [F.col(_TIE)]
     if num_partitions:
-        ranged = df.repartitionByRange(num_partitions, *keys)
+        ranged = spread.repartitionByRange(num_partitions, *keys)
     else:
-        ranged = df.repartitionByRange(*keys)
+        ranged = spread.repartitionByRange(*keys)
     ranged = ranged.sortWithinPartitions(*keys).select(
-        "*",
+        *[F.col(c) for c in df.columns],
         F.spark_partition_id().alias(_PART),
         F.monotonically_increasing_id().alias(_POS),
     )
@@ -144,3 +152,44 @@ def block_window(
     new_cols = columns(w)
     computed = spread.select("*", *[c.alias(name) for name, c in new_cols.items()])
     return computed.where(F.col(_BLOCK) == F.col(_HOME)).drop(_BLOCK, _HOME)
+
+
+def running_total(
+    indexed: DataFrame,
+    partition_by: Sequence[str],
+    index_col: str,
+    value_col: str,
+    out_col: str,
+    block_rows: int = DEFAULT_BLOCK_ROWS,
+) -> DataFrame:
+    """Add ``out_col`` = ``sum(value_col)`` over all rows of the row's
+    partition up to and including it in ``index_col`` order.
+
+    Sums inside blocks of ``block_rows`` rows are a window per block (one
+    balanced shuffle); block totals become per-block offsets with a window
+    over the small table of blocks, broadcast back after a size check.
+    """
+    parts = _names(partition_by)
+    k = int(block_rows)
+    pos0 = F.col(index_col) - F.lit(1)
+    block = ((pos0 - F.pmod(pos0, F.lit(k))) / F.lit(k)).cast("bigint")
+    blocked = indexed.select("*", block.alias(_BLOCK))
+    within = Window.partitionBy(*parts, _BLOCK).orderBy(index_col).rowsBetween(Window.unboundedPreceding, 0)
+    local = blocked.select("*", F.sum(value_col).over(within).alias("_cf_local"))
+    totals = blocked.groupBy(*parts, _BLOCK).agg(F.sum(value_col).alias("_cf_block_sum"))
+    earlier = (Window.partitionBy(*parts) if parts else Window.partitionBy()).orderBy(_BLOCK)
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *[F.col(c).alias(f"_cf_b_{i}") for i, c in enumerate(parts)],
+        F.col(_BLOCK).alias("_cf_b_block"),
+        F.coalesce(F.sum("_cf_block_sum").over(earlier), F.lit(0)).alias("_cf_before"),
+    )
+    offsets = bounded_broadcast(offsets)
+    cond = local[_BLOCK] == offsets["_cf_b_block"]
+    for i, c in enumerate(parts):
+        cond = cond & local[c].eqNullSafe(offsets[f"_cf_b_{i}"])
+    joined = local.join(offsets, cond, "inner")
+    return joined.select(
+        *[local[c] for c in indexed.columns],
+        (offsets["_cf_before"] + local["_cf_local"]).alias(out_col),
+    )

@@ -80,3 +80,18 @@ def test_latest_n_property(spark, rows, n, salt):
     want = pdf.sort_values("open_time", ascending=False).groupby("symbol").head(n)
     key = lambda d: sorted(zip(d.symbol, d.open_time))
     assert key(got) == key(want)
+
+
+@SETTINGS
+@given(rows=rows_st, block=st.integers(1, 7))
+def test_running_total_property(spark, rows, block):
+    from candleflow.operators.sequence import running_total
+
+    rows = [(k or "x", t, v) for k, t, v in _unique_time(rows)]
+    df = spark.createDataFrame(rows, "k string, t int, v double")
+    idx = ordered_index(df, ["t"], ["k"], "rid", num_partitions=3)
+    got = running_total(idx, ["k"], "rid", "v", "cum", block_rows=block).toPandas()
+    pdf = pd.DataFrame(rows, columns=["k", "t", "v"]).sort_values(["k", "t"])
+    pdf["cum"] = pdf.groupby("k")["v"].cumsum()
+    m = got.merge(pdf, on=["k", "t"], suffixes=("_g", "_w"))
+    assert len(m) == len(pdf) and ((m.cum_g - m.cum_w).abs() < 1e-9).all()

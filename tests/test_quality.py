@@ -52,3 +52,13 @@ def test_numeric_columns_legacy_drops_bigint(spark):
     df = spark.createDataFrame([(1, 2, 3.0, "x")], "a int, b bigint, c double, d string")
     assert numeric_columns(df) == ["a", "b", "c"]
     assert numeric_columns(df, legacy=True) == ["a", "c"]
+
+
+def test_exact_quantile_with_a_hot_value(spark):
+    # one value holds half of all rows; answer must still be exact
+    vals = [42.0] * 3000 + [float(i) for i in range(3000)]
+    df = spark.createDataFrame([(("a" if i % 3 else "b"), v) for i, v in enumerate(vals)], "g string, x double")
+    for q in (0.1, 0.5, 0.75):
+        got = quantile(df, "x", q, alias="m").first().m
+        s = sorted(vals)
+        assert got == s[math.floor((len(s) - 1) * q)]

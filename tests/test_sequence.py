@@ -81,3 +81,15 @@ def test_hot_series_is_spread_over_tasks(spark):
     per_task = win.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("key") == "hot").alias("n"))
     sizes = [r.n for r in per_task.collect()]
     assert sum(sizes) == 5400 and max(sizes) < 0.5 * 5400
+
+
+def test_equal_order_values_are_spread(spark):
+    # half of all rows share one value of the order column (rows differ in id)
+    rows = [(i, 7.0 if i % 2 else float(i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, x double")
+    idx = ordered_index(df, ["x"], [], "rid", num_partitions=8)
+    per_task = idx.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("x") == 7.0).alias("n"))
+    sizes = [r.n for r in per_task.collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 1500
+    got = idx.orderBy("rid").select("x").toPandas().x.tolist()
+    assert got == sorted(x for _, x in rows)
