@@ -7,6 +7,7 @@ saved model scores raw feature rows without a separate assembly step.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -118,10 +119,15 @@ def compare_models(
     digits: int | None = None,
 ) -> DataFrame:
     """Fit every family on the same split and report ``(model, metric,
-    value)`` for each on the test rows."""
+    value)`` for each on the test rows.
+
+    The fits are independent Spark jobs and are submitted from one driver
+    thread each, so the many small jobs of 100 boosting rounds do not keep
+    the executors idle while the other families wait."""
+    with ThreadPoolExecutor(max_workers=max(1, len(families))) as pool:
+        models = list(pool.map(lambda fam: fit(train, fam, label_col=label_col), families))
     reports = []
-    for family in families:
-        model = fit(train, family, label_col=label_col)
+    for family, model in zip(families, models):
         scored = model.transform(test.where(F.col(label_col).isNotNull()))
         reports.append(regression_metrics(scored, label_col, "prediction", model=family, digits=digits))
     out = reports[0]
