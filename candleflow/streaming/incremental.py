@@ -101,21 +101,25 @@ class IncrementalFeatures:
         else:
             combined = new.withColumn("_cf_done", F.lit(False))
 
-        feats = add_features(combined, index_col="_cf_rn", total_col="_cf_n")
-        ready = F.col("_cf_rn") <= F.col("_cf_n") - F.lit(schemas.LABEL_LEAD_ROWS)
-        out_cols = [c for c in schemas.FEATURE_COLUMNS if c in feats.columns]
-        emitted = drop_missing(feats.where(~F.col("_cf_done") & ready).select(*out_cols), self.null_policy)
-        (
-            emitted.withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(self.out_path)
-        )
-        next_tail = feats.where(F.col("_cf_rn") > F.col("_cf_n") - F.lit(TAIL_ROWS)).select(
-            *self.columns, (F.col("_cf_done") | ready).alias("_cf_done")
-        )
-        next_tail.write.mode("overwrite").parquet(f"{self.state_path}/batch_id={batch_id}")
+        # Batch plus tail: small, and read by both writes below.
+        feats = add_features(combined, index_col="_cf_rn", total_col="_cf_n").persist()
+        try:
+            ready = F.col("_cf_rn") <= F.col("_cf_n") - F.lit(schemas.LABEL_LEAD_ROWS)
+            out_cols = [c for c in schemas.FEATURE_COLUMNS if c in feats.columns]
+            emitted = drop_missing(feats.where(~F.col("_cf_done") & ready).select(*out_cols), self.null_policy)
+            (
+                emitted.withColumn("batch_id", F.lit(batch_id))
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("batch_id")
+                .parquet(self.out_path)
+            )
+            next_tail = feats.where(F.col("_cf_rn") > F.col("_cf_n") - F.lit(TAIL_ROWS)).select(
+                *self.columns, (F.col("_cf_done") | ready).alias("_cf_done")
+            )
+            next_tail.write.mode("overwrite").parquet(f"{self.state_path}/batch_id={batch_id}")
+        finally:
+            feats.unpersist()
 
 
 def start_incremental_features(
