@@ -66,7 +66,9 @@ def run_refresh(
     """Run every stage and return this run's ``(model, metric, value)``
     rows.  ``source`` is a bronze DataFrame or a folder of landed kline
     files.  ``jdbc`` (``url``, ``table``, ``properties``) also replaces a
-    relational copy of the feature table."""
+    relational copy of the feature table.  Tables are replaced (the test
+    predictions per model), so a re-run gives the same tables; the metrics
+    table keeps every run."""
     paths = RefreshPaths(out_root.rstrip("/"))
     bronze = read_klines(spark, source) if isinstance(source, str) else source
     write_parquet(bronze, paths.bronze, partition_by=[schemas.SYMBOL])
@@ -88,8 +90,9 @@ def run_refresh(
         scored = model.transform(test).select(
             schemas.SYMBOL, schemas.OPEN_TIME, schemas.LABEL, F.col("prediction"), F.lit(family).alias("model")
         )
-        write_parquet(scored, paths.predictions, mode="append")
-        reports.append(regression_metrics(spark.read.parquet(paths.predictions).where(F.col("model") == family), model=family))
+        write_parquet(scored, paths.predictions, partition_by=["model"])
+        written = spark.read.parquet(paths.predictions).where(F.col("model") == family)
+        reports.append(regression_metrics(written, model=family))
     metrics = reports[0]
     for r in reports[1:]:
         metrics = metrics.unionByName(r)

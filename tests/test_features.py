@@ -95,3 +95,28 @@ def test_empty_input_gives_empty_output(spark):
     from candleflow.operators.split import chrono_split, time_index
 
     assert chrono_split(empty).count() == 0 and time_index(empty).count() == 0
+
+
+def test_moving_averages_lie_within_their_frames(spark):
+    from pyspark.sql import Window
+
+    from candleflow.sources.events import bars_from_events
+
+    bars = bars_from_events(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    raw = add_features(bars, block_rows=17)
+    w = Window.partitionBy("symbol").orderBy("open_time")
+    checked = raw.select(
+        "ma_5",
+        "ma_10",
+        F.min("close").over(w.rowsBetween(-4, 0)).alias("lo5"),
+        F.max("close").over(w.rowsBetween(-4, 0)).alias("hi5"),
+        F.min("close").over(w.rowsBetween(-9, 0)).alias("lo10"),
+        F.max("close").over(w.rowsBetween(-9, 0)).alias("hi10"),
+    )
+    bad = checked.where(
+        (F.col("ma_5") < F.col("lo5") - 1e-9)
+        | (F.col("ma_5") > F.col("hi5") + 1e-9)
+        | (F.col("ma_10") < F.col("lo10") - 1e-9)
+        | (F.col("ma_10") > F.col("hi10") + 1e-9)
+    )
+    assert bad.count() == 0 and checked.where(F.col("ma_10").isNull()).count() == 0

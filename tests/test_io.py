@@ -82,3 +82,17 @@ def test_refresh_from_landed_files(spark):
     from candleflow.sources.models import load_model
 
     assert load_model(f"{d}/out/models/lr") is not None
+
+
+def test_refresh_is_idempotent(spark):
+    d = _tmp("refresh2-")
+    bars = bars_from_events(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    first = run_refresh(spark, bars, f"{d}/out", families=("lr",), run_id="a")
+    n_feat = spark.read.parquet(f"{d}/out/features").count()
+    n_pred = spark.read.parquet(f"{d}/out/test_predictions").count()
+    second = run_refresh(spark, bars, f"{d}/out", families=("lr",), run_id="b")
+    assert spark.read.parquet(f"{d}/out/features").count() == n_feat
+    assert spark.read.parquet(f"{d}/out/test_predictions").count() == n_pred
+    a = {(r.metric, round(r.value, 9)) for r in first.collect()}
+    b = {(r.metric, round(r.value, 9)) for r in second.collect()}
+    assert a == b and spark.read.parquet(f"{d}/out/metrics").count() == 6
