@@ -37,7 +37,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     The cluster names it in ``spark.checkpoint.dir``; we only read it.  A
     folder of our own is set only when neither the context nor the conf has
-    one, which happens in local tests.
+    one and the master is local (tests); on a cluster that is an error, as a
+    machine-local folder would not survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="candleflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.columns import nanos_to_timestamp
 
@@ -51,12 +50,3 @@ def read_nanos_parquet(spark: SparkSession, path: str, nanos_columns: list[str])
         raise RuntimeError("set spark.sql.legacy.parquet.nanosAsLong=true to read nanosecond Parquet")
     df = spark.read.parquet(path)
     return df.select(*[nanos_to_timestamp(c).alias(c) if c in nanos_columns else c for c in df.columns])
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists on the file system Spark uses for it."""
-    try:
-        spark.read.format("binaryFile").load(path).limit(0).collect()
-        return True
-    except AnalysisException:
-        return False
