@@ -46,23 +46,26 @@ def main() -> None:
     for name in ("features", "dedup_keyed"):
         run_once(spark, name, WARM_SF)
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in QUERIES:
         if name in SKIP:
             continue
-        times[name] = round(run_once(spark, name, SF_DIR), 3)
+        try:
+            times[name] = round(run_once(spark, name, SF_DIR), 3)
+        except Exception as exc:  # noqa: BLE001 - report and go on with the rest
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     total = round(sum(times.values()), 3)
-    print(
-        json.dumps(
-            {
-                "metric": "total_query_seconds",
-                "value": total,
-                "unit": "sec",
-                "queries": times,
-                "sf": _sf_of(SF_DIR),
-                "cpus": cpus,
-            }
-        )
-    )
+    report = {
+        "metric": "total_query_seconds",
+        "value": total,
+        "unit": "sec",
+        "queries": times,
+        "sf": _sf_of(SF_DIR),
+        "cpus": cpus,
+    }
+    if failed:
+        report["failed"] = failed
+    print(json.dumps(report))
     spark.stop()
 
 
