@@ -1,7 +1,9 @@
 """Data-quality reports: duplicates, NULLs, quantiles and correlations.
 
-Every report is one or two aggregations with map-side partial aggregation,
-returned as a DataFrame; nothing is collected to the driver.
+Every report is returned as a DataFrame and built from aggregations with
+map-side partial aggregation (plus, for exact quantiles, the distributed
+index); no rows are collected to the driver, only one-row results such as
+column means or a group total.
 """
 
 from __future__ import annotations
