@@ -103,3 +103,11 @@ def test_invalid_rows_follow_the_chosen_policy(spark, split):
     assert len(kept) == 3
     with pytest.raises(Exception):
         score(bad, model, handle_invalid="error").collect()
+
+
+def test_forest_does_not_depend_on_input_partitioning(spark, split):
+    train, test = train_test(split)
+    a = score(test, fit(train, "rf", numTrees=8)).select("symbol", "open_time", "prediction").toPandas()
+    b = score(test, fit(train.repartition(7), "rf", numTrees=8)).select("symbol", "open_time", "prediction").toPandas()
+    m = a.merge(b, on=["symbol", "open_time"])
+    assert len(m) == len(a) and (m.prediction_x == m.prediction_y).all()
