@@ -17,6 +17,12 @@ from ..functions.columns import pct_change, safe_ratio
 from .clean import drop_missing
 from .sequence import DEFAULT_BLOCK_ROWS, block_window, ordered_index
 
+# Columns kept by ``layout=True``: the row number in the series and the
+# block of the feature window.
+LAYOUT_ROW = "_cf_series_row"
+LAYOUT_BLOCK = "_cf_series_block"
+LAYOUT_COLUMNS = (LAYOUT_ROW, LAYOUT_BLOCK)
+
 
 def add_features(
     silver: DataFrame,
@@ -25,6 +31,7 @@ def add_features(
     index_col: str | None = None,
     block_rows: int = DEFAULT_BLOCK_ROWS,
     total_col: str | None = None,
+    layout: bool = False,
 ) -> DataFrame:
     """Append ``close_t_plus_10, close_prev, return_1m, ma_5, ma_10,
     taker_ratio`` to silver rows (no rows are dropped here).
@@ -34,10 +41,12 @@ def add_features(
     are evaluated in blocks by :func:`block_window`, so a long series is
     spread over many tasks.  Divisions are NULL-safe (``try_divide``).
     ``index_col`` keeps the row number inside the series and ``total_col``
-    the series length, when given.
+    the series length, when given.  ``layout=True`` also keeps the block
+    columns (:data:`LAYOUT_COLUMNS`) so :func:`split.chrono_split` can number
+    rows without another sort.
     """
     parts = list(partition_by)
-    idx_name = index_col or "_cf_row"
+    idx_name = index_col or (LAYOUT_ROW if layout else "_cf_row")
     indexed = ordered_index(silver, [time_col], parts, index_col=idx_name, total_col=total_col)
 
     def window_columns(w):
@@ -57,6 +66,7 @@ def add_features(
         behind=reach_back,
         ahead=schemas.LABEL_LEAD_ROWS,
         block_rows=block_rows,
+        block_col=LAYOUT_BLOCK if layout else None,
     )
     out = [F.col(c) for c in silver.columns]
     out += [
@@ -71,6 +81,8 @@ def add_features(
         out.append(F.col(index_col))
     if total_col:
         out.append(F.col(total_col))
+    if layout:
+        out += [F.col(c) for c in (LAYOUT_ROW, LAYOUT_BLOCK) if c != index_col]
     return windowed.select(*out)
 
 
@@ -79,7 +91,13 @@ def features(
     null_policy: str | Sequence[str] | None = schemas.DEFAULT_NULL_POLICY,
     partition_by: Sequence[str] = (schemas.SYMBOL,),
     block_rows: int = DEFAULT_BLOCK_ROWS,
+    layout: bool = False,
 ) -> DataFrame:
     """Silver to the feature table: :func:`add_features` then the null
-    policy (default: label and return must be present)."""
-    return drop_missing(add_features(silver, partition_by, block_rows=block_rows), null_policy)
+    policy (default: label and return must be present).  The policy looks
+    at the feature columns only, also when ``layout`` keeps the block
+    columns."""
+    feats = add_features(silver, partition_by, block_rows=block_rows, layout=layout)
+    if layout and (null_policy is None or null_policy == "all"):
+        null_policy = [c for c in feats.columns if c not in LAYOUT_COLUMNS]
+    return drop_missing(feats, null_policy)

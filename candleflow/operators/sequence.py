@@ -122,6 +122,7 @@ def block_window(
     behind: int,
     ahead: int,
     block_rows: int = DEFAULT_BLOCK_ROWS,
+    block_col: str | None = None,
 ) -> DataFrame:
     """Evaluate row-offset window columns in blocks of ``block_rows`` rows.
 
@@ -130,7 +131,10 @@ def block_window(
     most ``behind`` rows back and ``ahead`` rows forward.  Rows within
     ``ahead`` rows of a block's start are copied into the previous block and
     rows within ``behind`` rows of its end into the next one, the window runs
-    per block, and only each block's own rows are kept.
+    per block, and only each block's own rows are kept.  ``block_col`` keeps
+    the block number: the output is then hash-partitioned by
+    (partition_by, block_col) and sorted by ``index_col`` within each block,
+    which later per-block work can use without a shuffle.
     """
     parts = _names(partition_by)
     k = int(block_rows)
@@ -151,7 +155,8 @@ def block_window(
     w = Window.partitionBy(*parts, _BLOCK).orderBy(index_col)
     new_cols = columns(w)
     computed = spread.select("*", *[c.alias(name) for name, c in new_cols.items()])
-    return computed.where(F.col(_BLOCK) == F.col(_HOME)).drop(_BLOCK, _HOME)
+    own = computed.where(F.col(_BLOCK) == F.col(_HOME)).drop(_HOME)
+    return own.withColumnRenamed(_BLOCK, block_col) if block_col else own.drop(_BLOCK)
 
 
 def running_total(

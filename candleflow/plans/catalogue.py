@@ -81,8 +81,14 @@ def _silver(spark: SparkSession, sf: str) -> DataFrame:
     return to_silver(_bars(spark, sf))
 
 
-def _features(spark: SparkSession, sf: str, policy="label_return") -> DataFrame:
-    return features(_silver(spark, sf), policy)
+def _features(spark: SparkSession, sf: str, policy="label_return", layout: bool = False) -> DataFrame:
+    return features(_silver(spark, sf), policy, layout=layout)
+
+
+def _split(spark: SparkSession, sf: str) -> DataFrame:
+    """Features and their chronological split in one plan (the split reuses
+    the feature window's blocks instead of sorting again)."""
+    return chrono_split(_features(spark, sf, layout=True))
 
 
 def _rounded(df: DataFrame) -> DataFrame:
@@ -115,7 +121,7 @@ def q_time_index(spark, sf):
 
 
 def q_chrono_split(spark, sf):
-    s = chrono_split(_features(spark, sf))
+    s = _split(spark, sf)
     return s.select("symbol", "open_time", "close", "row_id", "split")
 
 
@@ -175,7 +181,7 @@ def q_approx_median_close(spark, sf):
 
 
 def q_metrics_persistence(spark, sf):
-    s = chrono_split(_features(spark, sf))
+    s = _split(spark, sf)
     test = s.where(F.col("split") == "test").select(schemas.LABEL, F.col("close_prev").alias("prediction"))
     return regression_metrics(test, model="persistence", digits=DIGITS)
 
@@ -199,7 +205,7 @@ def q_sample_hash(spark, sf):
 
 
 def _train_test(spark, sf):
-    return train_test(chrono_split(_features(spark, sf)))
+    return train_test(_split(spark, sf))
 
 
 def _prediction_rows(scored: DataFrame) -> DataFrame:

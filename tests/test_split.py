@@ -33,3 +33,19 @@ def test_time_index_is_global(spark):
     idx = time_index(frame(spark, rows)).orderBy("row_id").collect()
     assert [r.row_id for r in idx] == list(range(1, 11))
     assert [(r.open_time.minute, r.symbol) for r in idx][:2] == [(0, "A"), (0, "B")]
+
+
+def test_layout_split_equals_index_split(spark):
+    from candleflow.operators.features import LAYOUT_COLUMNS, features
+
+    # zero volume in some rows: policy "all" drops them in the middle of series
+    rows = [candle("A", m, 10.0 + (m % 7), volume=(0.0 if m % 9 == 4 else 10.0)) for m in range(60)]
+    rows += [candle("B", m, 50.0 - (m % 5)) for m in range(45)]
+    df = frame(spark, rows)
+    with_layout = features(df, "all", block_rows=12, layout=True)
+    assert set(LAYOUT_COLUMNS) <= set(with_layout.columns)
+    a = chrono_split(with_layout)
+    b = chrono_split(features(df, "all", block_rows=12))
+    assert a.columns == b.columns
+    key = lambda d: sorted((r.symbol, r.open_time, r.row_id, r.split) for r in d.collect())
+    assert key(a) == key(b) and a.count() == 60 - 11 - 6 + 45 - 11
