@@ -28,7 +28,7 @@ from ..sinks.writers import save_model, write_kline_bodies
 from ..sources.events import bars_from_events
 from ..sources.klines import read_klines
 from ..sources.models import load_model
-from ..streaming.ingest import bars_stream, kline_stream
+from ..streaming.ingest import bars_stream, events_stream, kline_stream
 from ..streaming.incremental import start_incremental_features
 from .refresh import run_refresh
 
@@ -288,15 +288,28 @@ def _chunks(df: DataFrame, time_col: str) -> tuple:
     return chunk, ids
 
 
+def _stream_session(spark: SparkSession) -> SparkSession:
+    """A sibling session (same context and checkpoint folder) for the
+    stream queries.  Stateful operators fix their state-store partitions
+    from spark.sql.shuffle.partitions on the first run and AQE does not
+    coalesce them, so the stream gets the cluster's default parallelism
+    instead of the caller's shuffle setting; the caller's session is left
+    unchanged."""
+    ss = spark.newSession()
+    ss.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return ss
+
+
 def q_stream_features(spark, sf):
     """Land the candles as kline files in 10-day polls; after each poll run
     the incremental feature stream to completion (availableNow)."""
     bars = _bars(spark, sf)
     root = scratch_path(spark, "stream-features")
     chunk, ids = _chunks(bars, "open_time")
+    ss = _stream_session(spark)
     for c in ids:
         write_kline_bodies(bars.where(chunk == F.lit(c)), f"{root}/landed", mode="append")
-        q = start_incremental_features(kline_stream(spark, f"{root}/landed"), f"{root}/features", f"{root}/state")
+        q = start_incremental_features(kline_stream(ss, f"{root}/landed"), f"{root}/features", f"{root}/state")
         q.awaitTermination()
     out = spark.read.parquet(f"{root}/features").drop("batch_id")
     out = out.withColumn("open_time", utc_wallclock("open_time")).withColumn(
@@ -311,11 +324,10 @@ def q_stream_bars(spark, sf):
     events = table(spark, sf, "events")
     root = scratch_path(spark, "stream-bars")
     chunk, ids = _chunks(events, "ts")
+    ss = _stream_session(spark)
     for c in ids:
         events.where(chunk == F.lit(c)).write.mode("append").parquet(f"{root}/landed")
-        from ..streaming.ingest import events_stream
-
-        bars = bars_stream(events_stream(spark, f"{root}/landed"), watermark=STREAM_WATERMARK)
+        bars = bars_stream(events_stream(ss, f"{root}/landed"), watermark=STREAM_WATERMARK)
         q = (
             bars.writeStream.format("parquet")
             .outputMode("append")
