@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from . import schemas
 from .plans.refresh import run_refresh
-from .session import ensure_checkpoint_dir
+from .session import ensure_checkpoint_dir, release_scratch
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -33,6 +33,7 @@ def main(argv: list[str] | None = None) -> int:
         spark, args.source, args.out, families, args.null_policy, args.purge, args.run_id
     )
     metrics.select("model", "metric", "value").show(truncate=False)
+    release_scratch(spark)
     return 0
 
 

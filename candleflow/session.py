@@ -53,11 +53,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+# Scratch folders created by this process, for release_scratch.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh path under the shared checkpoint folder for a written
     intermediate table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/candleflow-{tag}-{uuid.uuid4().hex}"
+    path = f"{base}/candleflow-{tag}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process created and return how many
+    were removed.  Call it when the DataFrames built on them are no longer
+    needed (e.g. at the end of a job): later actions on those DataFrames
+    would find their files gone."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        fs = path.getFileSystem(conf)
+        if fs.exists(path) and fs.delete(path, True):
+            removed += 1
+    return removed
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:

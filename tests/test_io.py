@@ -96,3 +96,19 @@ def test_refresh_is_idempotent(spark):
     a = {(r.metric, round(r.value, 9)) for r in first.collect()}
     b = {(r.metric, round(r.value, 9)) for r in second.collect()}
     assert a == b and spark.read.parquet(f"{d}/out/metrics").count() == 6
+
+
+def test_release_scratch_removes_only_our_folders(spark):
+    import os
+
+    from candleflow.session import materialize, release_scratch, scratch_path
+
+    df = materialize(spark.range(5), "probe")
+    assert df.count() == 5
+    path = scratch_path(spark, "probe2")
+    spark.range(3).write.parquet(path)
+    local = path.replace("file:", "")
+    assert os.path.exists(local)
+    assert release_scratch(spark) >= 2
+    assert not os.path.exists(local)
+    assert release_scratch(spark) == 0
