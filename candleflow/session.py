@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,8 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-# Scratch folders created by this process, for release_scratch.
+# Scratch folders created by this process, for release_scratch, and the
+# scopes open in the current thread (see scratch_scope).
 _SCRATCH: list[str] = []
+_SCOPES = threading.local()
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
@@ -63,25 +67,50 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/candleflow-{tag}-{uuid.uuid4().hex}"
     _SCRATCH.append(path)
+    for scope in getattr(_SCOPES, "open", []):
+        scope.append(path)
     return path
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete the scratch folders this process created and return how many
-    were removed.  Call it when the DataFrames built on them are no longer
-    needed (e.g. at the end of a job): later actions on those DataFrames
-    would find their files gone."""
+def delete_paths(spark: SparkSession, paths: list[str]) -> int:
+    """Delete folders on the file system Spark uses for them; returns how
+    many existed and were removed."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
-    while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
         fs = path.getFileSystem(conf)
         if fs.exists(path) and fs.delete(path, True):
             removed += 1
     return removed
 
 
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process created and return how many
+    were removed.  Call it when the DataFrames built on them are no longer
+    needed (e.g. at the end of a job): later actions on those DataFrames
+    would find their files gone."""
+    paths = list(_SCRATCH)
+    _SCRATCH.clear()
+    return delete_paths(spark, paths)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete, on exit, the scratch folders created inside the block by the
+    current thread (e.g. one stream micro-batch), whose results have been
+    written elsewhere by then."""
+    scope: list[str] = []
+    open_scopes = getattr(_SCOPES, "open", [])
+    _SCOPES.open = [*open_scopes, scope]
+    try:
+        yield scope
+    finally:
+        _SCOPES.open = open_scopes
+        delete_paths(spark, scope)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and read it
     back.  This cuts the lineage (a lost executor re-reads the files instead

@@ -30,6 +30,7 @@ from ..operators.clean import dedup_keep_first, drop_missing
 from ..operators.features import add_features
 from ..operators.score import score, to_predictions
 from ..plans.sizing import bounded_broadcast
+from ..session import delete_paths, scratch_scope
 
 TAIL_ROWS = schemas.LABEL_LEAD_ROWS + max(schemas.PREV_LAG_ROWS, schemas.MA_LONG_ROWS - 1)
 
@@ -39,8 +40,10 @@ class IncrementalFeatures:
 
     ``out_path`` receives the feature rows partitioned by ``batch_id``
     (a retried micro-batch overwrites its own partition, so the output is
-    exactly-once); ``state_path`` keeps one tail version per batch;
-    ``late_path`` collects out-of-order candles.
+    exactly-once); ``state_path`` keeps the tails of the last two batches;
+    ``late_path`` collects out-of-order candles.  The scratch tables of a
+    micro-batch are deleted when it ends, so a long-running stream does not
+    grow its scratch folder.
     """
 
     def __init__(
@@ -76,8 +79,14 @@ class IncrementalFeatures:
                 # A no-data batch (e.g. a watermark step): carry the tail on.
                 if tail is not None:
                     tail.write.mode("overwrite").parquet(f"{self.state_path}/batch_id={batch_id}")
+                    if batch_id >= 2:
+                        delete_paths(spark, [f"{self.state_path}/batch_id={batch_id - 2}"])
                 return
-            self._apply(spark, new, tail, batch_id)
+            with scratch_scope(spark):
+                self._apply(spark, new, tail, batch_id)
+            if batch_id >= 2:
+                # a retry of this batch reads tail batch_id - 1; older ones are done
+                delete_paths(spark, [f"{self.state_path}/batch_id={batch_id - 2}"])
         finally:
             new.unpersist()
 

@@ -86,3 +86,19 @@ def test_stream_scoring(spark):
     assert preds.count() == feats.count()
     assert preds.columns[:2] == ["id", "symbol"]
     assert preds.where(F.col("predicted_price").isNull()).count() == 0
+
+
+def test_micro_batches_clean_up_after_themselves(spark):
+    import glob
+
+    from candleflow.session import ensure_checkpoint_dir
+
+    base = ensure_checkpoint_dir(spark).replace("file:", "")
+    before = set(glob.glob(f"{base}/candleflow-*"))
+    d = tempfile.mkdtemp(prefix="incr-clean-", dir="/tmp")
+    fn = IncrementalFeatures(f"{d}/out", f"{d}/tails", f"{d}/late")
+    for b in range(4):
+        fn(frame(spark, [candle("S", 20 * b + m, 10.0 + m) for m in range(20)]), b)
+    assert set(glob.glob(f"{base}/candleflow-*")) == before
+    assert sorted(os.listdir(f"{d}/tails")) == ["batch_id=2", "batch_id=3"]
+    assert spark.read.parquet(f"{d}/out").count() == 80 - 11
