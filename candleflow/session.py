@@ -111,6 +111,22 @@ def scratch_scope(spark: SparkSession):
         delete_paths(spark, scope)
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path`` (file-system metadata, no Spark job)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def materialize_at(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """:func:`materialize` that also returns the folder written."""
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and read it
     back.  This cuts the lineage (a lost executor re-reads the files instead

@@ -93,3 +93,16 @@ def test_equal_order_values_are_spread(spark):
     assert sum(sizes) == 2000 and max(sizes) < 1500
     got = idx.orderBy("rid").select("x").toPandas().x.tolist()
     assert got == sorted(x for _, x in rows)
+
+
+def test_bounded_broadcast_falls_back_above_the_limit(spark):
+    from candleflow.plans.sizing import bounded_broadcast
+
+    big = spark.range(0, 1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    small = spark.range(0, 1000, 3).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    hinted = bounded_broadcast(small)
+    plain = bounded_broadcast(small, byte_limit=0)
+    a = sorted(tuple(r) for r in big.join(hinted, "k").collect())
+    b = sorted(tuple(r) for r in big.join(plain, "k").collect())
+    assert a == b and len(a) == 334
+    assert "BroadcastHashJoin" in big.join(hinted, "k")._jdf.queryExecution().executedPlan().toString()
