@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
     """Cut record batches so that the values of ``column`` in one slice hold
     about ``limit`` bytes (a single longer value makes a slice of its own)."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64) // limit
         cuts = np.flatnonzero(np.diff(ends)) + 1
         for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):

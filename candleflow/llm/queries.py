@@ -1,8 +1,10 @@
 """The registered queries of this package and their DuckDB SQL."""
 
+from candleflow.llm.huffman import op2_huffman_ids
 from candleflow.llm.packing import op10_best_fit_packing
 
 QUERIES = {
+    "op2_huffman_ids": op2_huffman_ids,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLE: dict[str, str] = {}
