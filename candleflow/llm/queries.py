@@ -1,10 +1,12 @@
 """The registered queries of this package and their DuckDB SQL."""
 
 from candleflow.llm.huffman import op2_huffman_ids
+from candleflow.llm.warc import op5_warc_salvage
 from candleflow.llm.packing import op10_best_fit_packing
 
 QUERIES = {
     "op2_huffman_ids": op2_huffman_ids,
+    "op5_warc_salvage": op5_warc_salvage,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLE: dict[str, str] = {}
