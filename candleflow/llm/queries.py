@@ -4,12 +4,14 @@ from candleflow.llm.huffman import op2_huffman_ids
 from candleflow.llm.warc import op5_warc_salvage
 from candleflow.llm.licenses import op6_license_scan
 from candleflow.llm.licenses import oracle_sql as license_sql
+from candleflow.llm.linededup import op7_line_dedup
 from candleflow.llm.packing import op10_best_fit_packing
 
 QUERIES = {
     "op2_huffman_ids": op2_huffman_ids,
     "op5_warc_salvage": op5_warc_salvage,
     "op6_license_scan": op6_license_scan,
+    "op7_line_dedup": op7_line_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLE = {
