@@ -20,6 +20,8 @@ ODD_SPACE = re.compile(
 )
 # A place in front of a single space whose neighbours are plain letters or signs.
 CUT = re.compile("(?<=[!-~\xa1-ɏ])(?= [!-~\xa1-ɏ])")
+# Characters whose lower case and composed form depend on themselves alone.
+PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
 LONGEST_KEPT = 48
 
 _ENCODERS: dict[tuple[str, int], "PieceEncoder"] = {}
@@ -44,15 +46,22 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.kept = kept
+        # Some tokenizers drop white space and case; their pieces are then bare words.
+        self.bare = self.ids(" A\nb ") == self.ids("a b")
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or ODD_SPACE.search(text):
+    def ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def pieces(self, text: str) -> list[str]:
+        if ODD_SPACE.search(text):
+            return CUT.split(text)
+        if self.bare:
+            return CUT.split(text) if PLAIN.search(text) else text.lower().split()
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in " \n" or text[-1:] in " \n" or "\x01" in text:
             return CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + w for w in rest]]
+        return text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01")
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) for t in texts]
@@ -70,7 +79,7 @@ class PieceEncoder:
         passing = [p for p in missing if len(p) > LONGEST_KEPT]
         for lo in range(0, len(missing), 4096):
             part = missing[lo : lo + 4096]
-            for p, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 young[p] = array(code, e.ids).tobytes()
         out = [b"".join([young[p] for p in ps]) for ps in cut]
         for p in passing:
