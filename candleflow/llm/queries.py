@@ -5,6 +5,7 @@ from candleflow.llm.warc import op5_warc_salvage
 from candleflow.llm.licenses import op6_license_scan
 from candleflow.llm.licenses import oracle_sql as license_sql
 from candleflow.llm.linededup import op7_line_dedup
+from candleflow.llm.minhash import op8_bag_minhash
 from candleflow.llm.packing import op10_best_fit_packing
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op5_warc_salvage": op5_warc_salvage,
     "op6_license_scan": op6_license_scan,
     "op7_line_dedup": op7_line_dedup,
+    "op8_bag_minhash": op8_bag_minhash,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLE = {
