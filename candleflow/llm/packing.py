@@ -190,9 +190,15 @@ def _digests(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
         yield pa.record_batch([*[batch.column(n) for n in keep], pa.array(crc, pa.int64())], names=[*keep, "ids_crc32"])
 
 
-def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences of 2048 tokens, one row per piece."""
-    packed = pack(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+def packed_digests(docs: DataFrame, path: str) -> DataFrame:
+    """One row per piece of the packed ``docs``: doc_id, piece, start, length,
+    ids_crc32 (of the ids as unsigned 32-bit little-endian), sequence_id, offset."""
+    packed = pack(docs, path)
     width = packed.width
     slim = packed.pieces.mapInArrow(lambda it: _digests(it, width), "doc_id long, piece int, start long, length long, bin long, slot long, fill long, ids_crc32 long")
     return packed.placed(slim)
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens, one row per piece."""
+    return packed_digests(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

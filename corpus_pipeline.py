@@ -1,9 +1,65 @@
-"""The corpus pipeline: documents through a chain of filtering, dedup and
-packing stages."""
+"""The corpus pipeline: documents through a quality filter, line dedup, near
+dedup and packing.  Every stage is written as Parquet and read again; all but
+the last return the columns of ``documents``.
+
+No SQL expresses the stages (a trained network, signatures, a tokenizer), so
+``ORACLE_SQL`` is None and the stages are tested against brute force.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from candleflow.llm.byteconv import passing, train
+from candleflow.llm.common import load
+from candleflow.llm.linededup import dedup_lines
+from candleflow.llm.minhash import near_duplicates
+from candleflow.llm.packing import packed_digests
+from candleflow.session import scratch_path
 
-STAGES = []
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError("no stages yet")
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the byte-level network, trained on the labelled ones
+    among them that aren't held out, scores 0.7 or more."""
+    return passing(docs, train(docs, load(spark, sf_dir, "labels")))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without repeated passages.  A document of which nothing but
+    white space is left goes; n_chars follows the text."""
+    out = dedup_lines(docs)
+    changed = F.col("removed_chunks") > 0
+    left = out.where(~changed | (F.length(F.regexp_replace("text", r"\s+", "")) > 0))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        left = left.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return left.select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the smallest doc_id.
+    Documents without a doc_id or without words stay."""
+    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents left, packed into sequences of 2048 tokens."""
+    return packed_digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("packing", packing)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; one row per packed piece."""
+    docs = load(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
