@@ -22,6 +22,8 @@ ODD_SPACE = re.compile(
 CUT = re.compile("(?<=[!-~\xa1-ɏ])(?= [!-~\xa1-ɏ])")
 # Characters whose lower case and composed form depend on themselves alone.
 PLAIN = re.compile("[^\x00-\u012f\u0131-\u024f]")
+# A full stop or comma in front of a cut that doesn't simply follow a letter or digit.
+JOINED = re.compile("[.,](?<=[^0-9A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f][.,])[ \x01]")
 LONGEST_KEPT = 48
 
 _ENCODERS: dict[tuple[str, int], "PieceEncoder"] = {}
@@ -55,13 +57,18 @@ class PieceEncoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def pieces(self, text: str) -> list[str]:
-        if ODD_SPACE.search(text):
+        if ODD_SPACE.search(text) or "\x01" in text:
             return CUT.split(text)
         if self.bare:
-            return CUT.split(text) if PLAIN.search(text) else text.lower().split()
-        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in " \n" or text[-1:] in " \n" or "\x01" in text:
+            if PLAIN.search(text):
+                return CUT.split(text)
+            text = text.lower().replace("\n", " ")
+            # A stop or comma after a word is a token of its own.
+            return (text if JOINED.search(text) else text.replace(". ", " . ").replace(", ", " , ")).split()
+        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] in " \n" or text[-1:] in " \n":
             return CUT.split(text)
-        return text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01")
+        text = text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01")
+        return (text if JOINED.search(text) else text.replace(".\x01", "\x01.\x01").replace(",\x01", "\x01,\x01")).split("\x01")
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) for t in texts]
@@ -81,7 +88,7 @@ class PieceEncoder:
             part = missing[lo : lo + 4096]
             for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 young[p] = array(code, e.ids).tobytes()
-        out = [b"".join([young[p] for p in ps]) for ps in cut]
+        out = [b"".join(map(young.__getitem__, ps)) for ps in cut]
         for p in passing:
             del young[p]
         return out
