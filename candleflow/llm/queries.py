@@ -1,5 +1,6 @@
 """The registered queries of this package and their DuckDB SQL."""
 
+from candleflow.llm.ann import op4_adaptive_scan
 from candleflow.llm.byteconv import op1_byte_conv_quality
 from candleflow.llm.huffman import op2_huffman_ids
 from candleflow.llm.warc import op5_warc_salvage
@@ -12,6 +13,7 @@ from candleflow.llm.packing import op10_best_fit_packing
 QUERIES = {
     "op1_byte_conv_quality": op1_byte_conv_quality,
     "op2_huffman_ids": op2_huffman_ids,
+    "op4_adaptive_scan": op4_adaptive_scan,
     "op5_warc_salvage": op5_warc_salvage,
     "op6_license_scan": op6_license_scan,
     "op7_line_dedup": op7_line_dedup,
