@@ -8,11 +8,13 @@ from candleflow.llm.licenses import op6_license_scan
 from candleflow.llm.licenses import oracle_sql as license_sql
 from candleflow.llm.linededup import op7_line_dedup
 from candleflow.llm.minhash import op8_bag_minhash
+from candleflow.llm.nndescent import op3_nn_descent
 from candleflow.llm.packing import op10_best_fit_packing
 
 QUERIES = {
     "op1_byte_conv_quality": op1_byte_conv_quality,
     "op2_huffman_ids": op2_huffman_ids,
+    "op3_nn_descent": op3_nn_descent,
     "op4_adaptive_scan": op4_adaptive_scan,
     "op5_warc_salvage": op5_warc_salvage,
     "op6_license_scan": op6_license_scan,
