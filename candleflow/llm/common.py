@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleflow.session import materialize, table
@@ -32,6 +32,13 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with more columns, each computed once a row: the optimiser does
+    not copy what a generator makes into the expressions that use it, which
+    inside of array functions would be evaluated for every element."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the values of ``column`` in one slice hold
     about ``limit`` bytes (a single longer value makes a slice of its own)."""

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candleflow.llm.common import load
+from candleflow.llm.common import load, once
 from candleflow.session import materialize
 
 # Phrases whose words must stand consecutively, with their labels.
@@ -44,8 +44,6 @@ BLOCK, STRIDE = 32, 16
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same words in a text whose A-Z are still upper case.
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
@@ -58,46 +56,37 @@ def template_sets(templates: dict[str, str], containment: float) -> dict[str, tu
     return {label: (s, max(1, math.ceil(containment * len(s) - 1e-9))) for label, s in sets.items()}
 
 
-def word_ranks(docs: DataFrame, vocabulary: set[str]) -> dict[str, int]:
-    """The words of the templates by ascending count in all of ``docs``, ties
-    by the word.  At most as many rows as the templates have words reach the
-    driver."""
-    found = (docs.select(F.explode(words_of(F.col("text"))).alias("w")).where(F.col("w").isin(sorted(vocabulary))).groupBy("w").count().collect())
+def word_ranks(texts: DataFrame, vocabulary: set[str]) -> dict[str, int]:
+    """The words of the templates by the number of texts that hold them,
+    rarest first, ties by the word.  At most as many rows as the templates
+    have words reach the driver."""
+    found = texts.select(F.explode("present").alias("w")).groupBy("w").count().collect()
     counts = {r["w"]: r["count"] for r in found}
     return {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
 
 
-def matches(docs: DataFrame, templates: dict[str, str], containment: float, block: int, stride: int) -> DataFrame:
-    """Every (block, template) pair at or above ``containment``: key, block
-    number, label, score.  ``docs``: key, text."""
-    sets = template_sets(templates, containment)
+def matches(texts: DataFrame, sets: dict[str, tuple[set[str], int]], block: int, stride: int) -> DataFrame:
+    """Every (block, template) pair that shares enough words: key, block
+    number, label, score.  ``texts``: key, present (the templates' words in
+    the text), words (null where no template can match)."""
     vocabulary = set().union(*[s for s, _ in sets.values()])
     if not vocabulary:
-        return docs.select("key", F.lit(0).alias("block"), F.lit("").alias("label"), F.lit(0.0).alias("score")).limit(0)
-    ranks = word_ranks(docs, vocabulary)
+        return texts.select("key", F.lit(0).alias("block"), F.lit("").alias("label"), F.lit(0.0).alias("score")).limit(0)
+    ranks = word_ranks(texts, vocabulary)
     prefixes = []
     for label, (words, need) in sets.items():
         ordered = sorted(ranks[w] for w in words)
         prefixes += [(r, j, label, len(ordered), need, ordered) for j, r in enumerate(ordered[: len(ordered) - need + 1])]
-    index = docs.sparkSession.createDataFrame(prefixes, "rank int, j int, label string, size int, need int, t array<int>")
-
-    by_rank = sorted(ranks, key=ranks.get)
-    rare = [by_rank[r] for r in sorted({p[0] for p in prefixes})]
-    lowered = F.lower("text")
-    hit = F.lit(False)
-    for w in rare:  # a block that matches has one of these words
-        hit = hit | F.contains(lowered, F.lit(w))
+    index = texts.sparkSession.createDataFrame(prefixes, "rank int, j int, label string, size int, need int, t array<int>")
     rank_of = F.create_map(*[x for w, r in ranks.items() for x in (F.lit(w), F.lit(r))])
     known = F.array(*[F.lit(w) for w in sorted(vocabulary)])
     least = min(need for _, need in sets.values())
 
-    rows = docs.where(hit).select("key", words_of(F.col("text")).alias("words"))
-    blocks = rows.where(F.size("words") > 0).select(
+    # A block's template words as ascending ranks.
+    blocks = texts.where(F.size("words") > 0).select(
         "key", F.posexplode(F.transform(
             F.sequence(F.lit(0), F.floor((F.size("words") - 1) / stride).cast("int")),
-            lambda b: F.array_sort(F.array_distinct(F.transform(
-                F.filter(F.slice("words", b * stride + 1, block), lambda w: F.array_contains(known, w)),
-                lambda w: F.element_at(rank_of, w)))))).alias("block", "b"))
+            lambda b: F.array_sort(F.transform(F.array_intersect(F.slice("words", b * stride + 1, block), known), lambda w: F.element_at(rank_of, w))))).alias("block", "b"))
     tokens = blocks.where(F.size("b") >= least).select("key", "block", "b", F.posexplode("b").alias("i", "rank"))
     size_b = F.size("b")
     pairs = tokens.join(F.broadcast(index), "rank").where(
@@ -134,31 +123,29 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict
     words, so a template of up to that many words is never cut.
     """
     phrases = PHRASES if phrases is None else phrases
-    templates = TEMPLATES if templates is None else templates
-    text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select("doc_id", text.alias("text"))
-    key = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), F.col("text")).alias("b"), F.length("text").alias("n"))
-    keyed = base.select("doc_id", key.alias("key"), "text")
-
-    lowered = F.lower("text")
-    has = F.lit(False)
-    for p in phrases:
-        all_in = F.lit(True)
-        for w in p.split():
-            all_in = all_in & F.contains(lowered, F.lit(w))
-        has = has | all_in
-    found = keyed.where(has).select("key", words_of(F.col("text")).alias("words"))
-    found = found.select("key", F.array(*[_places(F.col("words"), p) for p in phrases]).alias("at"))
+    sets = template_sets(TEMPLATES if templates is None else templates, containment)
+    text = F.coalesce("text", F.lit(""))
+    key = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"), F.length(text).alias("n"))
+    wanted = sorted({w for p in phrases for w in p.split()}.union(*[s for s, _ in sets.values()]))
+    known = F.array(*[F.lit(w) for w in wanted]).cast("array<string>")
+    seen = once(once(docs.select("doc_id", key.alias("key"), text.alias("text")), words=words_of(F.col("text"))), present=F.array_intersect("words", known))
+    # Words are kept where the whole text holds what a block or phrase of it would need.
+    likely = F.lit(False)
+    for words, need in [*sets.values(), *[(set(p.split()), len(set(p.split()))) for p in phrases]]:
+        likely = likely | (F.size(F.array_intersect("present", F.array(*[F.lit(w) for w in sorted(words)]))) >= need)
+    texts = materialize(seen.select("doc_id", "key", F.size("words").cast("long").alias("n_words"), "present", F.when(likely, F.col("words")).alias("words")), "license-words")
+
+    found = once(texts.where("words is not null"), at=F.array(*[_places(F.col("words"), p) for p in phrases])).select("key", "at")
     flat = F.flatten("at")
     labels = F.array_compact(F.array(*[F.when(F.size(F.get("at", F.lit(k))) > 0, F.lit(label)) for k, label in enumerate(phrases.values())]))
     base_hits = found.where(F.size(flat) > 0).select(
         "key", F.size(flat).cast("long").alias("n_base"), F.array_min(flat).cast("long").alias("first_word"), F.array_max(flat).cast("long").alias("last_word"), labels.alias("base"))
-    more = matches(keyed.select("key", "text"), templates, containment, block, stride)
+    more = matches(texts, sets, block, stride)
     more = more.groupBy("key").agg(F.collect_set("label").alias("more"), F.max("score").alias("score"))
     # Texts that hold anything, one row each.
     hits = materialize(base_hits.dropDuplicates(["key"]).join(more, "key", "full"), "license-hits")
     none = F.array().cast("array<string>")
-    joined = keyed.select("doc_id", "key", F.regexp_count("text", F.lit(ANY_CASE_WORD)).cast("long").alias("n_words")).join(hits, "key", "left")
+    joined = texts.select("doc_id", "key", "n_words").join(hits, "key", "left")
     return joined.select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
         F.array_join(F.array_sort(F.array_distinct(F.coalesce("base", none))), ",").alias("base_labels"),
