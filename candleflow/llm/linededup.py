@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candleflow.llm.common import load
+from candleflow.llm.common import load, once
 from candleflow.session import materialize
 
 #: Words that a chunk needs to be removed, and a line to be a chunk of its own.
@@ -28,18 +28,11 @@ def _rotated(x: Column, by: int) -> Column:
     return F.shiftleft(x, by).bitwiseOR(F.shiftrightunsigned(x, 64 - by)) if by else x
 
 
-def _once(df: DataFrame, **columns: Column) -> DataFrame:
-    """``df`` with more columns, each computed once a row: the optimiser does
-    not copy what a generator makes into the expressions that use it, which
-    inside of array functions would be evaluated for every element."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
-
-
 def chunked(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, every: int = EVERY) -> DataFrame:
     """``docs`` (with a column text, not null) and its ``chunks``: an array of
     (words, body), the bodies joined by line feeds being the text again."""
-    lines = _once(docs, lines=F.split("text", "\n", -1))
-    hashed = _once(lines, line_words=F.transform("lines", lambda x: F.regexp_count(x, F.lit(r"\S+"))),
+    lines = once(docs, lines=F.split("text", "\n", -1))
+    hashed = once(lines, line_words=F.transform("lines", lambda x: F.regexp_count(x, F.lit(r"\S+"))),
                    line_hash=F.transform("lines", lambda x: F.xxhash64(x)))
     n = F.size("lines")
 
@@ -50,7 +43,7 @@ def chunked(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, e
         return ((i == n - 1) | (F.get("line_words", i) >= min_words) | (F.get("line_words", i + 1) >= min_words)
                 | (F.pmod(F.xxhash64(rolling), F.lit(every)) == 0))
 
-    cut = _once(hashed, ends=F.filter(F.sequence(F.lit(0), n - 1), ends))
+    cut = once(hashed, ends=F.filter(F.sequence(F.lit(0), n - 1), ends))
 
     def chunk(end: Column, k: Column) -> Column:
         start = F.when(k == 0, F.lit(0)).otherwise(F.get("ends", k - 1) + 1)
@@ -58,7 +51,7 @@ def chunked(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, e
             F.aggregate(F.slice("line_words", start + 1, end - start + 1), F.lit(0), lambda a, x: a + x).alias("words"),
             F.array_join(F.slice("lines", start + 1, end - start + 1), "\n").alias("body"))
 
-    return _once(cut, chunks=F.transform("ends", chunk)).drop("lines", "line_words", "line_hash", "ends")
+    return once(cut, chunks=F.transform("ends", chunk)).drop("lines", "line_words", "line_hash", "ends")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, every: int = EVERY) -> DataFrame:
@@ -91,7 +84,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDO
         places.join(repeated, ["h1", "h2"]).groupBy("r1", "r2").agg(F.collect_set(F.struct("k", "h1", "h2", "words", "first", "d")).alias("suspects")), "chunk-suspects")
 
     # Byte comparison: the texts that stand behind each pair of hashes.
-    bodies = chunked(slim.join(suspects, ["r1", "r2"]), min_words, window, every).select(
+    bodies = chunked(slim.join(suspects.hint("merge"), ["r1", "r2"]), min_words, window, every).select(
         "r1", "r2", F.explode(F.transform("suspects", lambda s: F.struct(
             s["k"].alias("k"), s["h1"].alias("h1"), s["h2"].alias("h2"), s["words"].alias("words"), s["d"].alias("d"),
             F.get("chunks", s["k"])["body"].alias("body")))).alias("s")).select("r1", "r2", "s.*")
@@ -107,9 +100,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDO
                 .unionByName(by_text.where(not_first).select("r1", "r2", "k", "words")))
     removed = materialize(gone.groupBy("r1", "r2").agg(F.collect_set("k").alias("gone"), F.sum("words").alias("gone_words")), "chunk-removed")
 
-    joined = docs.select(*columns).withColumns({"r1": key_1, "r2": key_2}).join(removed, ["r1", "r2"], "left")
+    joined = docs.select(*columns).withColumns({"r1": key_1, "r2": key_2}).join(removed.hint("merge"), ["r1", "r2"], "left")
     whole = joined.where("gone is null").select(*columns, F.lit(0).alias("removed_chunks"), F.lit(0).cast("long").alias("removed_words"))
-    parts = _once(chunked(joined.where("gone is not null"), min_words, window, every), kept_text=F.array_join(
+    parts = once(chunked(joined.where("gone is not null"), min_words, window, every), kept_text=F.array_join(
         F.transform(F.filter("chunks", lambda c, k: ~F.array_contains("gone", k)), lambda c: c["body"]), "\n"))
     parts = parts.withColumn("text", F.col("kept_text"))
     return whole.unionByName(parts.select(*columns, F.size("gone").alias("removed_chunks"), F.col("gone_words").alias("removed_words")))
