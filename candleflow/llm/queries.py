@@ -3,6 +3,7 @@
 from candleflow.llm.ann import op4_adaptive_scan
 from candleflow.llm.byteconv import op1_byte_conv_quality
 from candleflow.llm.huffman import op2_huffman_ids
+from candleflow.llm.segment import op9_n_best_pieces
 from candleflow.llm.warc import op5_warc_salvage
 from candleflow.llm.licenses import op6_license_scan
 from candleflow.llm.licenses import oracle_sql as license_sql
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_license_scan": op6_license_scan,
     "op7_line_dedup": op7_line_dedup,
     "op8_bag_minhash": op8_bag_minhash,
+    "op9_n_best_pieces": op9_n_best_pieces,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 ORACLE = {
