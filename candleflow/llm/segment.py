@@ -15,8 +15,10 @@ import heapq
 import re
 import zlib
 from array import array
+from bisect import insort
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import itemgetter
 
 import numpy as np
 import public_tokenizers
@@ -56,10 +58,16 @@ class Segmenter:
     n: int = BEST
 
     def __post_init__(self) -> None:
-        self.longest = max(map(len, self.pieces), default=1)
+        # Every prefix of a piece, with the piece's score and id if it is one itself.
+        self.steps: dict[str, tuple | None] = dict.fromkeys(p[:k] for p in self.pieces for k in range(1, len(p)))
+        self.steps |= {p: (score, (i,)) for p, (i, score) in self.pieces.items()}
         self.fallback = min((s for _, s in self.pieces.values() if s > NEVER), default=0.0) - PENALTY
         if any(MARK in p.lstrip(MARK) for p in self.pieces):
             raise ValueError("a piece has a space mark after another character")
+        # No piece spans a place whose two characters stand together in none.
+        self.line_feeds = not any("\n" in p for p in self.pieces)
+        before = {p[k - 1] for p in self.pieces for k in range(1, len(p)) if p[k] in ".,"}
+        self.joined = re.compile(f"[.,](?<=[{re.escape(''.join(sorted(before | {' ', chr(10), chr(1)})))}][.,])[ \x01]")
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
@@ -83,52 +91,80 @@ class Segmenter:
 
     def edges(self, word: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
         """For each end in ``word`` the (start, score, ids) that lead there."""
-        get, n = self.pieces.get, len(word)
+        get, n = self.steps.get, len(word)
         into: list[list] = [[] for _ in range(n + 1)]
         for i in range(n):
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                if found := get(word[i:j]):
-                    into[j].append((i, found[1], (found[0],)))
-            if word[i] not in self.pieces:
+            for j in range(i + 1, n + 1):
+                found = get(word[i:j], 0)
+                if found:
+                    into[j].append((i, *found))
+                elif found == 0:
+                    break
+            if not get(word[i]):
                 into[i + 1].append((i, self.fallback, tuple(self.byte_ids[b] for b in word[i].encode())))
         return into
 
     def search(self, word: str) -> list[tuple[float, tuple[int, ...]]]:
         """The ``n`` best segmentations of ``word``: score and ids, best
-        first, ties in a fixed order."""
+        first, ties in a fixed order.
+
+        A state is a place and the pieces behind it; its value, the score
+        behind plus the best score in front, is reached by some segmentation.
+        So a state is followed along its best edge to the start at once, and
+        of the other edges only those are kept whose value is among the ``n``
+        best values seen."""
         into, n = self.edges(word), len(word)
-        best = [0.0] * (n + 1)
+        best, lead = [0.0] * (n + 1), [None] * (n + 1)
         for j in range(1, n + 1):
-            best[j] = max([best[i] + s for i, s, _ in into[j]])
-        out, count = [], 0
+            top = None
+            for e in into[j]:
+                v = best[e[0]] + e[1]
+                if top is None or v > top:
+                    top, lead[j] = v, e
+            best[j] = top
+        out, count, values = [], 0, [-best[n]]
         heap = [(-best[n], 0, n, 0.0, None)]
         while heap and len(out) < self.n:
             f, _, at, behind, path = heapq.heappop(heap)
-            if not at:
-                ids: list[int] = []
-                while path:
-                    ids += path[0]
-                    path = path[1]
-                out.append((-f, tuple(ids)))
-                continue
-            for i, s, ids in into[at]:
-                count -= 1  # the newest first among equals: one path is followed to its end
-                heapq.heappush(heap, (-(best[i] + s + behind), count, i, s + behind, (ids, path)))
+            while at:
+                first = lead[at]
+                for e in into[at]:
+                    if e is not first:
+                        v = -(best[e[0]] + e[1] + behind)
+                        if len(values) < self.n or v < values[-1]:
+                            insort(values, v)
+                            del values[self.n :]
+                            count += 1
+                            heapq.heappush(heap, (v, count, e[0], e[1] + behind, (e[2], path)))
+                at, behind, path = first[0], behind + first[1], (first[2], path)
+            ids: list[int] = []
+            while path:
+                ids += path[0]
+                path = path[1]
+            out.append((-f, tuple(ids)))
         return out
 
     def words(self, text: str) -> list[str]:
-        """The words of ``text`` with the mark in front that stands for the
-        spaces before each; the model puts one space before every text."""
+        """The parts of ``text`` that no piece spans, spaces in front of each;
+        the model puts one space before every text."""
         if not text:
             return []
         text = " " + text
-        return [w.replace(" ", MARK) for w in (WORD.split(text) if "  " in text or text[-1] == " " else [" " + w for w in text[1:].split(" ")])]
+        if "  " in text or text[-1] == " " or "\x01" in text:
+            return WORD.split(text)
+        text = text.replace(" ", "\x01 ")[1:]
+        if self.line_feeds:
+            text = text.replace("\n", "\x01\n\x01")
+        if not self.joined.search(text):
+            text = text.replace(".\x01", "\x01.\x01").replace(",\x01", "\x01,\x01")
+        return text.split("\x01")
 
     def entry(self, word: str) -> tuple:
-        """(loss of the second best, best score, then (loss, ids as bytes) of each)."""
-        found = self.search(word)
+        """(loss of the second best, best score, ids of the best as bytes, then (loss, ids) of each other)."""
+        found = self.search(word.replace(" ", MARK))
         top = found[0][0]
-        return (top - found[1][0] if len(found) > 1 else float("inf"), top, *[(top - s, array("I", ids).tobytes()) for s, ids in found])
+        others = [(top - s, array("I", ids).tobytes()) for s, ids in found[1:]]
+        return (others[0][0] if others else float("inf"), top, array("I", found[0][1]).tobytes(), others)
 
     def best(self, text: str) -> list[tuple[float, bytes]]:
         """The ``n`` best segmentations of a text: score and ids, 4 bytes each
@@ -137,30 +173,29 @@ class Segmenter:
         if len(self.young) > KEPT:
             self.old, self.young = self.young, {}
         young = self.young
-        passing: dict[str, tuple] = {}
+        passing = []
         for w in set(words).difference(young):
-            e = self.old.get(w) or self.entry(w)
-            if len(w) <= LONGEST_KEPT:
-                young[w] = e
-            else:
-                passing[w] = e
-        rows = [young[w] for w in words] if not passing else [passing.get(w) or young[w] for w in words]
-        # Choices that deviate from the best one: (loss, ((word, which), ...)), at most n of them.
-        ways: list[tuple[float, tuple]] = [(0.0, ())]
-        bar = float("inf")
-        for k, row in enumerate(rows):
-            if row[0] < bar:
-                more = [(g + row[2 + c][0], (*way, (k, c)) if c else way) for g, way in ways for c in range(len(row) - 2)]
-                more.sort(key=lambda x: x[0])
-                ways = more[: self.n]
-                bar = ways[-1][0] if len(ways) == self.n else bar
+            young[w] = self.old.get(w) or self.entry(w)
+            if len(w) > LONGEST_KEPT:
+                passing.append(w)
+        rows = list(map(young.__getitem__, words))
+        for w in passing:
+            del young[w]
+        losses = [r[0] for r in rows]
+        # The n - 1 smallest losses bound what can matter.
+        bar = heapq.nsmallest(self.n - 1, losses)[-1] if 1 < self.n <= len(rows) else float("inf")
+        ways: list[tuple[float, tuple]] = [(0.0, ())]  # (loss, ((word, which), ...)): choices that deviate from the best
+        for k in [k for k, loss in enumerate(losses) if loss <= bar] if self.n > 1 else []:
+            more = ways + [(g + loss, (*way, (k, c))) for c, (loss, _) in enumerate(rows[k][3]) for g, way in ways]
+            more.sort(key=itemgetter(0))
+            ways = more[: self.n]
         total = sum([r[1] for r in rows])
-        parts = [r[2][1] for r in rows]
-        out = []
-        for loss, way in ways:
-            own = parts.copy() if way else parts
+        parts = [r[2] for r in rows]
+        out = [(total, b"".join(parts))]
+        for loss, way in ways[1:]:
+            own = parts.copy()
             for k, c in way:
-                own[k] = rows[k][2 + c][1]
+                own[k] = rows[k][3][c][1]
             out.append((total - loss, b"".join(own)))
         return out
 
