@@ -100,12 +100,18 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDO
                 .unionByName(by_text.where(not_first).select("r1", "r2", "k", "words")))
     removed = materialize(gone.groupBy("r1", "r2").agg(F.collect_set("k").alias("gone"), F.sum("words").alias("gone_words")), "chunk-removed")
 
-    joined = docs.select(*columns).withColumns({"r1": key_1, "r2": key_2}).join(removed.hint("merge"), ["r1", "r2"], "left")
-    whole = joined.where("gone is null").select(*columns, F.lit(0).alias("removed_chunks"), F.lit(0).cast("long").alias("removed_words"))
+    # The row travels as one value, so that no column of it clashes with a working one.
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), key_1.alias("r1"), key_2.alias("r2"), "text")
+    joined = row.join(removed.hint("merge"), ["r1", "r2"], "left")
     parts = once(chunked(joined.where("gone is not null"), min_words, window, every), kept_text=F.array_join(
         F.transform(F.filter("chunks", lambda c, k: ~F.array_contains("gone", k)), lambda c: c["body"]), "\n"))
-    parts = parts.withColumn("text", F.col("kept_text"))
-    return whole.unionByName(parts.select(*columns, F.size("gone").alias("removed_chunks"), F.col("gone_words").alias("removed_words")))
+
+    def result(df: DataFrame, text: str, chunks: Column, words: Column) -> DataFrame:
+        return df.select(*[(F.col(text) if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in columns],
+                         chunks.alias("removed_chunks"), words.cast("long").alias("removed_words"))
+
+    whole = result(joined.where("gone is null"), "text", F.lit(0), F.lit(0))
+    return whole.unionByName(result(parts, "kept_text", F.size("gone"), F.col("gone_words")))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
