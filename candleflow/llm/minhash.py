@@ -17,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,11 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 6
 STEP = 1 << 20
+#: Rounds in which a bucket's members are verified against one of them.
+STARS = 3
+#: Members of a bucket compared with each other at once, and how many standard
+#: deviations below the threshold a signature's estimate may be.
+BLOCK, SIGMAS = 1024, 4.0
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -170,14 +176,17 @@ def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int)
     for batch in slices(batches, "text", 2 << 20):
         t, h, c = shingles(batch.column("text").to_pylist(), size)
         n = batch.num_rows
-        names = signatures(t, h, c, n, m).reshape(n, bands, rows)
+        names = signatures(t, h, c, n, m)
+        short = [x.tobytes() for x in (names & np.uint64(255)).astype(np.uint8)]
+        names = names.reshape(n, bands, rows)
         key = np.zeros((n, bands), np.uint64)
         for r in range(rows):
             key = mix64(key + names[:, :, r] * _COEFFICIENTS[r])
         flat = pa.array(key.view(np.int64).reshape(-1))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * bands + 1, bands, dtype=np.int32)), flat)
         weight = np.bincount(t, c, n).astype(np.int64)
-        yield pa.record_batch([batch.column("doc_id"), batch.column("h1"), batch.column("h2"), pa.array(weight), lists], names=["doc_id", "h1", "h2", "n", "bands"])
+        yield pa.record_batch([batch.column("doc_id"), batch.column("h1"), batch.column("h2"), pa.array(weight), lists, pa.array(short, pa.binary())],
+                              names=["doc_id", "h1", "h2", "n", "bands", "sig"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch], size: int, threshold: float) -> Iterator[pa.RecordBatch]:
@@ -186,6 +195,30 @@ def _similar(batches: Iterator[pa.RecordBatch], size: int, threshold: float) ->
         yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(s >= threshold - 1e-12)], names=["a", "b", "link"])
 
 
+def _alike(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Pairs of one bucket from different groups whose signatures agree about
+    as often as the threshold asks; between the two blocks of a piece of work."""
+    out = []
+    for _, part in rows.groupby(["band", "bucket"]):
+        ids, root, n, block = (part[c].to_numpy() for c in ("id", "root", "n", "block"))
+        sig = np.frombuffer(b"".join(part["sig"]), np.uint8).reshape(len(ids), -1)
+        m = sig.shape[1]
+        least = int(np.floor(m * threshold - SIGMAS * np.sqrt(m * threshold * (1 - threshold))))
+        split = part["lo"].iat[0] != part["hi"].iat[0]
+        for lo in range(0, len(ids), 64):
+            i = slice(lo, lo + 64)
+            near = (ids[i, None] < ids[None, :]) & (root[i, None] != root[None, :])
+            near &= np.minimum(n[i, None], n[None, :]) >= threshold * np.maximum(n[i, None], n[None, :]) - 1e-9
+            if split:
+                near &= block[i, None] != block[None, :]
+            x, y = np.nonzero(near)
+            for at in range(0, len(x), 1 << 14):
+                u, v = x[at : at + (1 << 14)] + lo, y[at : at + (1 << 14)]
+                good = (sig[u] == sig[v]).sum(axis=1) >= least
+                out.append(pd.DataFrame({"a": ids[u[good]], "b": ids[v[good]]}))
+    return pd.concat(out) if out else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored):
     doc_id, class_id (smallest doc_id with the same text), group_id (smallest
@@ -199,28 +232,28 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     are one document.  An empty table gives no rows.
 
     Equal texts meet by hash, summed within tasks, and only one of each goes
-    on.  In a band's bucket all members are verified against its smallest
-    member; then only members whose groups still differ are verified against
-    each other.  So a bucket of thousands of copies costs one pair a member,
-    and yet every candidate pair is either verified or already in one group.
+    on.  In a band's bucket the members are verified against the one that
+    shares most buckets with others, then against one outside of its group,
+    and so on for a few rounds: a bucket of thousands of copies costs a few
+    pairs a member.  Members whose groups still differ are compared by their
+    signatures, block against block, and verified if those agree as often as
+    the threshold less ``SIGMAS`` standard deviations asks.
     """
     spark = docs.sparkSession
     importable(spark)
     text = F.coalesce("text", F.lit(""))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(5), text).alias("h2"))
     signed = materialize(base.where("doc_id is not null and text <> ''").mapInArrow(
-        lambda it: _signed(it, size, bands, rows), "doc_id long, h1 long, h2 long, n long, bands array<long>").where("n > 0"), "signatures")
-    classes = materialize(signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "text-classes")
+        lambda it: _signed(it, size, bands, rows), "doc_id long, h1 long, h2 long, n long, bands array<long>, sig binary").where("n > 0"), "signatures")
+    classes = materialize(signed.groupBy("h1", "h2").agg(
+        F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "text-classes")
 
     members = classes.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
-    leaders = members.groupBy("band", "bucket").agg(F.min("id").alias("a"), F.count("*").alias("c")).where("c > 1")
-    bucketed = materialize(members.join(leaders, ["band", "bucket"]), "buckets")
-    sizes = classes.select(F.col("id").alias("a"), F.col("n").alias("n_a"))
-    stars = materialize(
-        bucketed.where("id <> a").select("a", F.col("id").alias("b"), F.col("n").alias("n_b")).distinct().join(sizes, "a")
-        .where(F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b") - 1e-9).select("a", "b"), "stars")
-
-    ids = stars.select(F.col("a").alias("id")).union(bucketed.select("id")).distinct()
+    shared = members.groupBy("band", "bucket").agg(F.count("*").alias("c")).where("c > 1")
+    bucketed = materialize(members.join(shared, ["band", "bucket"]), "buckets")
+    weight = bucketed.groupBy("id").agg(F.sum(F.col("c") - 1).alias("deg"))
+    bucketed = materialize(bucketed.join(weight, "id"), "weighed-buckets")
+    ids = weight.select("id")
     one_text = classes.select("id", "h1", "h2").join(ids, "id", "left_semi")
     texts = materialize(base.join(one_text.select(F.col("id").alias("doc_id"), "h1", "h2"), ["doc_id", "h1", "h2"], "left_semi")
                         .dropDuplicates(["doc_id", "h1", "h2"]).select("doc_id", "text"), "candidate-texts")
@@ -230,21 +263,36 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
                   .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
         return materialize(joined.select("a", "b", "text_a", "text_b").mapInArrow(lambda it: _similar(it, size, threshold), "a long, b long, link boolean"), tag)
 
-    first = verified(stars, "star-links")
-    links = first.where("link").select("a", "b")
-    groups = components(links)
-    labelled = bucketed.where("c > 2").join(groups, "id", "left").select("band", "bucket", "id", "n", F.coalesce("root", "id").alias("root"))
-    mixed = labelled.groupBy("band", "bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band", "bucket")
-    apart = materialize(labelled.join(mixed, ["band", "bucket"], "left_semi"), "mixed-buckets")
-    if not apart.isEmpty():
-        x = apart.select("band", "bucket", F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("root").alias("root_x"))
-        y = apart.select("band", "bucket", F.col("id").alias("y"), F.col("n").alias("n_y"), F.col("root").alias("root_y"))
-        across = (x.join(y, ["band", "bucket"]).where("root_x < root_y")
-                  .where(F.least("n_x", "n_y") >= threshold * F.greatest("n_x", "n_y") - 1e-9)
-                  .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        second = verified(across.join(first.select("a", "b"), ["a", "b"], "left_anti"), "cross-links")
-        links = links.union(second.where("link").select("a", "b"))
-        groups = components(links)
+    where = ["band", "bucket"]
+    done = spark.createDataFrame([], "a long, b long, link boolean")
+    groups = spark.createDataFrame([], "id long, root long")
+    led = None
+    for turn in range(STARS + 1):
+        labelled = bucketed.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        if turn:
+            mixed = labelled.where("c > 2").groupBy(*where).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select(*where)
+            labelled = materialize(labelled.join(mixed, where, "left_semi"), "mixed-buckets")
+            if labelled.isEmpty():
+                break
+        if turn < STARS:
+            free = labelled
+            if led is not None:
+                free = labelled.join(led.join(labelled.select(*where, F.col("id").alias("leader"), "root"), [*where, "leader"]).select(*where, "root").distinct(), [*where, "root"], "left_anti")
+            lead = materialize(free.groupBy(*where).agg(F.max(F.struct("deg", (-F.col("id")).alias("minus"), "n", "root")).alias("l"))
+                               .select(*where, (-F.col("l.minus")).alias("leader"), F.col("l.n").alias("n_l"), F.col("l.root").alias("root_l")), "leaders")
+            pairs = (labelled.join(lead, where).where("root <> root_l")
+                     .where(F.least("n", "n_l") >= threshold * F.greatest("n", "n_l") - 1e-9)
+                     .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
+            led = lead.select(*where, "leader") if led is None else led.union(lead.select(*where, "leader"))
+        else:
+            placed = labelled.join(classes.select("id", "sig"), "id").withColumn("blocks", F.ceil(F.col("c") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+            work = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+                *where, "id", "n", "root", "sig", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+                F.when(F.col("blocks") == 1, F.pmod(F.xxhash64(*where), F.lit(4 * spark.sparkContext.defaultParallelism))).otherwise(F.xxhash64(*where)).alias("piece"))
+            pairs = work.groupBy("piece", "lo", "hi").applyInPandas(lambda pdf: _alike(pdf, threshold), "a long, b long").distinct()
+        new = verified(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), "verified")
+        done = done.union(new)
+        groups = components(done.where("link").select("a", "b"))
 
     of_text = classes.select("h1", "h2", F.col("id").alias("class_id")).join(groups.select(F.col("id").alias("class_id"), "root"), "class_id", "left")
     out = base.select("doc_id", "h1", "h2").join(of_text, ["h1", "h2"], "left")
