@@ -10,7 +10,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from . import schemas
-from .plans.refresh import run_refresh
+from .plans.refresh import run_refresh, score_table
 from .session import ensure_checkpoint_dir, release_scratch
 
 
@@ -24,10 +24,18 @@ def main(argv: list[str] | None = None) -> int:
     ref.add_argument("--null-policy", default=schemas.DEFAULT_NULL_POLICY, choices=sorted(schemas.NULL_POLICIES))
     ref.add_argument("--purge", type=int, default=0, help="training rows dropped in front of the cut")
     ref.add_argument("--run-id", default=None)
+    one = sub.add_parser("score", help="score a feature table with a saved model and append the records")
+    one.add_argument("--model", required=True, help="folder of the saved model")
+    one.add_argument("--source", required=True, help="feature table (Parquet)")
+    one.add_argument("--out", required=True, help="table that the prediction records are appended to")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("candleflow").getOrCreate()
     ensure_checkpoint_dir(spark)
+    if args.command == "score":
+        score_table(spark, args.model, args.source, args.out).show(truncate=False)
+        release_scratch(spark)
+        return 0
     families = [f for f in args.families.split(",") if f]
     metrics = run_refresh(
         spark, args.source, args.out, families, args.null_policy, args.purge, args.run_id

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -76,22 +76,48 @@ def drop_missing(df: DataFrame, policy: str | Sequence[str] | None = schemas.DEF
     return df.dropna(how="any", subset=list(subset) if subset else None)
 
 
+def present(df: DataFrame, policy: str | Sequence[str] | None) -> Column:
+    """Whether a row of ``df`` passes a null policy (see :func:`drop_missing`)."""
+    subset = schemas.NULL_POLICIES[policy] if isinstance(policy, str) else policy
+    names = list(subset) if subset else df.columns
+    floats = [c for c in names if df.schema[c].dataType.typeName() in ("float", "double")]
+    return ~any_null(names) & ~any_null(floats, nan_is_null=True)
+
+
+def newest_candles(
+    df: DataFrame,
+    keys: Sequence[str] = (schemas.SYMBOL, schemas.OPEN_TIME),
+    poll_col: str | None = None,
+    complete_first: bool = True,
+) -> DataFrame:
+    """One row per candle: the copy of the newest poll.
+
+    ``poll_col`` is the poll's time or number where the table has one.  A
+    candle's trade count only grows while it is open, so among copies of one
+    poll, or without a poll column, the one with more trades is newer.
+    Complete copies beat incomplete ones; what is left of a tie is broken by
+    the other columns, so the result is the same on every run.
+    """
+    order = [c for c in (poll_col, "number_of_trades") if c and c in df.columns]
+    return dedup_keep_first(df, [k for k in keys if k in df.columns], order, keep="last", complete_first=complete_first)
+
+
 def to_silver(
     bronze: DataFrame,
     keys: Sequence[str] = (schemas.SYMBOL, schemas.OPEN_TIME),
-    complete_first: bool = False,
+    complete_first: bool = True,
+    poll_col: str | None = None,
 ) -> DataFrame:
-    """Bronze to silver: one row per (symbol, open_time), then drop rows with
-    any NULL/NaN.  The ``ignore`` column has no consumer and is dropped.
+    """Bronze to silver: the newest copy of each (symbol, open_time), see
+    :func:`newest_candles`, then drop rows with any NULL/NaN.  The ``ignore``
+    column has no consumer and is dropped, and so is ``poll_col``.
 
-    The default keeps the reference's order (de-duplicate, then drop rows
-    with NULLs), which loses a key when its kept duplicate is incomplete;
-    ``complete_first=True`` prefers complete duplicates.
+    ``complete_first=False`` lets an incomplete newest copy win, which then
+    loses its key.
     """
     df = bronze.drop("ignore") if "ignore" in bronze.columns else bronze
-    keys = [k for k in keys if k in df.columns]
-    deduped = dedup_keep_first(df, keys, complete_first=complete_first)
-    return deduped.dropna(how="any")
+    deduped = newest_candles(df, keys, poll_col, complete_first)
+    return (deduped.drop(poll_col) if poll_col else deduped).dropna(how="any")
 
 
 def latest_n(

@@ -63,14 +63,14 @@ def stable_layout(df: DataFrame, keys: Sequence[str], num_partitions: int | None
     keys = [k for k in keys if k in df.columns]
     if not keys:
         return df
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys).sortWithinPartitions(*keys)
+    return df.repartition(num_partitions or FIT_PARTITIONS, *keys).sortWithinPartitions(*keys)
 
 
-# Rows per task of a fit.  Iterative learners (100 boosting rounds) pay a
-# task launch per partition per pass, so a fit runs on as many partitions
-# as its rows need, up to spark.sql.shuffle.partitions.
-ROWS_PER_FIT_TASK = 1_000_000
+# Partitions of a fit.  The bagging of tree ensembles follows the layout, so
+# the number is fixed: the same rows give the same model whatever the size of
+# the table, the cluster or spark.sql.shuffle.partitions.  Raise it (and keep
+# it) where a table needs more tasks.
+FIT_PARTITIONS = 16
 
 
 def fit(
@@ -81,36 +81,38 @@ def fit(
     prediction_col: str = "prediction",
     handle_invalid: str = "skip",
     order_keys: Sequence[str] = (schemas.SYMBOL, schemas.OPEN_TIME),
-    rows_per_task: int = ROWS_PER_FIT_TASK,
+    num_partitions: int = FIT_PARTITIONS,
     **params,
 ) -> PipelineModel:
     """Fit assembler + regressor on ``train`` (rows with a NULL label are
     left out).
 
-    Tree ensembles get a deterministic layout (hash-partitioned and sorted
-    on ``order_keys``).  The input is persisted for the fit's passes, then
-    released, and narrowed to ``ceil(rows / rows_per_task)`` partitions with
-    ``coalesce``, which merges neighbouring partitions without a shuffle and
-    keeps the layout reproducible."""
-    rows = train.where(F.col(label_col).isNotNull()).select(*dict.fromkeys([*order_keys, *inputs, label_col]))
-    if family != "lr":  # seeded sampling in tree ensembles depends on the layout
-        rows = stable_layout(rows, order_keys)
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    The rows are laid out in ``num_partitions`` partitions by a hash of
+    ``order_keys`` and sorted there, persisted for the fit's passes and
+    released at its end."""
+    rows = prepared(train, inputs, label_col, order_keys, num_partitions)
     try:
-        n = rows.count()
-        wanted = max(1, -(-n // int(rows_per_task)))
-        data = rows.coalesce(wanted) if wanted < rows.rdd.getNumPartitions() else rows
-        pipe = Pipeline(
-            stages=[
-                assembler(inputs, handle_invalid=handle_invalid),
-                estimator(family, label_col, prediction_col, **params),
-            ]
-        )
-        return pipe.fit(data)
+        return _fit_prepared(rows, family, inputs, label_col, prediction_col, handle_invalid, **params)
     finally:
         rows.unpersist()
 
 
+def prepared(train, inputs, label_col, order_keys, num_partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """The labelled rows in the layout that fits use, persisted."""
+    rows = train.where(F.col(label_col).isNotNull()).select(*dict.fromkeys([*order_keys, *inputs, label_col]))
+    return stable_layout(rows, order_keys, num_partitions).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _fit_prepared(rows, family, inputs, label_col, prediction_col, handle_invalid, **params) -> PipelineModel:
+    pipe = Pipeline(
+        stages=[
+            assembler(inputs, handle_invalid=handle_invalid),
+            estimator(family, label_col, prediction_col, **params),
+        ]
+    )
+    return pipe.fit(rows)
+
+
 def compare_models(
     train: DataFrame,
     test: DataFrame,
@@ -121,16 +123,25 @@ def compare_models(
     """Fit every family on the same split and report ``(model, metric,
     value)`` for each on the test rows.
 
-    The fits are independent Spark jobs and are submitted from one driver
-    thread each, so the many small jobs of 100 boosting rounds do not keep
-    the executors idle while the other families wait."""
-    with ThreadPoolExecutor(max_workers=max(1, len(families))) as pool:
-        models = list(pool.map(lambda fam: fit(train, fam, label_col=label_col), families))
-    reports = []
-    for family, model in zip(families, models):
-        scored = model.transform(test.where(F.col(label_col).isNotNull()))
-        reports.append(regression_metrics(scored, label_col, "prediction", model=family, digits=digits))
-    out = reports[0]
-    for r in reports[1:]:
-        out = out.unionByName(r)
-    return out
+    The training rows are prepared and persisted once for all families.  The
+    fits are independent Spark jobs and are submitted from one driver thread
+    each, so the many small jobs of 100 boosting rounds do not keep the
+    executors idle while the other families wait.  The test rows are read
+    once and get a prediction column per family; rows that a model can't
+    score are left out, as they were in training."""
+    keys = (schemas.SYMBOL, schemas.OPEN_TIME)
+    rows = prepared(train, schemas.MODEL_INPUTS, label_col, keys)
+    try:
+        rows.count()  # persisted before the threads read it
+        with ThreadPoolExecutor(max_workers=max(1, len(families))) as pool:
+            models = list(pool.map(
+                lambda fam: _fit_prepared(rows, fam, schemas.MODEL_INPUTS, label_col, f"_cf_{fam}", "skip"), families))
+    finally:
+        rows.unpersist()
+    scored = assembler(handle_invalid="skip").transform(test.where(F.col(label_col).isNotNull()))
+    for model in models:
+        scored = model.stages[-1].transform(scored)
+    pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("family"), F.col(f"_cf_{f}").alias("prediction")) for f in families]))
+    long = scored.select(F.col(label_col), pairs.alias("p")).select(label_col, "p.family", "p.prediction")
+    report = regression_metrics(long, label_col, "prediction", partition_by=["family"], digits=digits)
+    return report.select(F.col("family").alias("model"), "metric", "value")

@@ -8,6 +8,7 @@ column means or a group total.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -58,7 +59,7 @@ def quantile(
     """The ``q`` quantile of ``column`` (per ``partition_by`` group).
 
     ``rel_err == 0`` is exact and discrete: the value at 1-based position
-    ``floor((n - 1) * q) + 1`` in ascending order, NULLs and NaNs left out.
+    ``ceil(q * n)``, 1 at least, in ascending order, NULLs and NaNs left out.
     Copies of a value are counted first (map-side partial aggregation, so a
     price repeated in a third of all rows becomes one row per task), the
     distinct values are ranked with :func:`ordered_index` and their counts
@@ -90,7 +91,8 @@ def quantile(
     else:
         total = totals.first()
         with_n = cum.select("*", F.lit(int(total["_cf_n"]) if total and total["_cf_n"] else 0).alias("_cf_n"))
-    target = F.floor((F.col("_cf_n") - F.lit(1)).cast("double") * F.lit(float(q))).cast("bigint") + F.lit(1)
+    # The slack keeps a product such as 0.1 * 10 from being taken past its whole number.
+    target = F.greatest(F.ceil(F.col("_cf_n").cast("double") * F.lit(float(q)) - F.lit(1e-9)).cast("bigint"), F.lit(1).cast("bigint"))
     hit = (F.col("_cf_upto") - F.col("_cf_copies") < target) & (F.col("_cf_upto") >= target)
     return with_n.where(hit).select(*parts, F.col(column).alias(name))
 
@@ -153,13 +155,15 @@ def correlation(
     values = values.where(~any_null(xs, nan_is_null=True))
     data = materialize(values, "corr")
     means = data.agg(*[F.avg(x).alias(x) for x in xs]).first()
-    centre = [float(means[x]) if means[x] is not None else 0.0 for x in xs]
+    centre = [float(means[x]) if means[x] is not None and math.isfinite(means[x]) else 0.0 for x in xs]
 
     def value(i: int, j: int) -> str:
         cov = f"p{i}_{j} - s{i} * s{j} / n"
         var_i = f"q{i} - s{i} * s{i} / n"
         var_j = f"q{j} - s{j} * s{j} / n"
-        expr = f"try_divide({cov}, sqrt(({var_i}) * ({var_j})))"
+        ratio = f"try_divide({cov}, sqrt(({var_i}) * ({var_j})))"
+        # An infinite value leaves no correlation: NULL, not NaN.
+        expr = f"nullif(nanvl({ratio}, double('infinity')), double('infinity'))"
         return f"round({expr}, {int(digits)})" if digits is not None else expr
 
     passes = []

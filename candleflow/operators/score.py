@@ -29,7 +29,7 @@ def score(
     inputs: Sequence[str] = schemas.MODEL_INPUTS,
     prediction_col: str = "prediction",
     keep: Sequence[str] | None = None,
-    handle_invalid: str | None = None,
+    handle_invalid: str = "error",
 ) -> DataFrame:
     """Add ``prediction_col`` to every row of ``df`` (a table or a stream).
 
@@ -38,9 +38,9 @@ def score(
     rounding).  A missing input column or a missing model is an error.
     ``keep`` limits the output to those columns plus the prediction.
 
-    Rows with a NULL/NaN input follow the model's assembler (a model fitted
-    by ``ml.fit`` skips them, as training did); ``handle_invalid="error"``
-    raises instead and ``"keep"`` keeps every row (NaN prediction).
+    A row with a NULL/NaN input raises (``handle_invalid="error"``);
+    ``"keep"`` keeps every row (NaN prediction) and ``"skip"`` drops such
+    rows.
     """
     if model is None:
         raise RuntimeError("no model is loaded")
@@ -48,11 +48,9 @@ def score(
     if missing:
         raise ValueError(f"input columns missing: {missing}")
     if isinstance(model, PipelineModel):
-        if handle_invalid:
-            model = _with_invalid_policy(model, handle_invalid)
-        scored = model.transform(df)
+        scored = _with_invalid_policy(model, handle_invalid).transform(df)
     else:
-        scored = model.transform(assembler(inputs, handle_invalid=handle_invalid or "keep").transform(df))
+        scored = model.transform(assembler(inputs, handle_invalid=handle_invalid).transform(df))
     if prediction_col not in scored.columns:
         if "prediction" in scored.columns:
             scored = scored.withColumnRenamed("prediction", prediction_col)
@@ -87,15 +85,15 @@ def to_predictions(
 ) -> DataFrame:
     """Prediction records ``(id, market_time, predicted_price, created_at)``.
 
-    ``id`` is a stable hash of the series key and the market time (a
-    sequential database id is not reproducible in parallel); ``created_at``
+    ``id`` is a 128-bit digest of the series key and the market time as given
+    (a sequential database id is not reproducible in parallel); ``created_at``
     is the time of the scoring query; a NULL market time becomes that time.
     A TIMESTAMP_NTZ market time is read as UTC.
     """
     keys = [F.col(k) for k in key_cols if k in scored.columns]
     market_time = F.coalesce(as_instant(scored, time_col), F.current_timestamp())
     return scored.select(
-        F.xxhash64(*keys, F.col(time_col)).alias("id"),
+        F.md5(F.to_json(F.struct(*keys, F.col(time_col)), {"ignoreNullFields": "false"})).alias("id"),
         *[F.col(k) for k in key_cols if k in scored.columns],
         market_time.alias("market_time"),
         F.col(prediction_col).cast("double").alias("predicted_price"),

@@ -10,6 +10,7 @@ depend on summation order are rounded to 6 places on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,14 +24,14 @@ from ..operators.quality import correlation, duplicate_report, null_counts, quan
 from ..operators.ml import compare_models, fit
 from ..operators.score import score, score_linear, to_predictions
 from ..operators.split import chrono_split, time_index, train_test
-from ..session import scratch_path, table
+from ..session import materialize, scratch_path, table
 from ..sinks.writers import save_model, write_kline_bodies
 from ..sources.events import bars_from_events
 from ..sources.klines import read_klines
 from ..sources.models import load_model
-from ..streaming.ingest import bars_stream, events_stream, kline_stream
-from ..streaming.incremental import start_incremental_features
-from .refresh import run_refresh
+from ..streaming.ingest import events_stream, kline_stream, read_bars, start_bars
+from ..streaming.incremental import read_features, start_incremental_features
+from .refresh import run_refresh, score_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,11 +137,11 @@ def q_dedup_keyed_last(spark, sf):
 
 
 def q_duplicate_report(spark, sf):
-    return duplicate_report(table(spark, sf, "lineitem"), LINEITEM_KEYS)
+    return duplicate_report(table(spark, sf, "lineitem"))
 
 
 def q_dedup_rows(spark, sf):
-    return dedup_rows(table(spark, sf, "lineitem").select(*LINEITEM_KEYS, "l_returnflag", "l_linestatus"))
+    return dedup_rows(table(spark, sf, "lineitem"))
 
 
 def q_null_counts(spark, sf):
@@ -210,7 +211,7 @@ def _train_test(spark, sf):
 
 def _prediction_rows(scored: DataFrame) -> DataFrame:
     return scored.select(
-        "symbol", "open_time", schemas.LABEL, F.round("prediction", DIGITS).alias("prediction")
+        "symbol", "open_time", schemas.LABEL, F.round("prediction", 4).alias("prediction")
     )
 
 
@@ -268,79 +269,139 @@ def q_prediction_records(spark, sf):
     """Prediction records of the fitted linear model on the test rows."""
     train, test = _train_test(spark, sf)
     recs = to_predictions(score(test, fit(train, "lr")))
-    return recs.select("id", "symbol", "market_time", F.round("predicted_price", DIGITS).alias("predicted_price"))
+    return recs.select("symbol", F.unix_millis("market_time").alias("open_time_ms"), F.round("predicted_price", 4).alias("prediction"))
 
 
 def q_full_refresh(spark, sf):
     out = run_refresh(spark, _bars(spark, sf), scratch_path(spark, "refresh"), families=("lr",))
-    return out.select("model", "metric", F.round("value", DIGITS).alias("value"))
+    return out.select("model", "metric", F.round("value", 4).alias("value"))
 
 
 STREAM_CHUNK_DAYS = 10
-STREAM_WATERMARK = "10 minutes"
-
-
-def _chunks(df: DataFrame, time_col: str) -> tuple:
-    """Consecutive periods of STREAM_CHUNK_DAYS days, as landed by
-    successive polls.  Only the distinct period numbers reach the driver."""
-    chunk = F.floor(F.unix_date(F.to_date(F.col(time_col))) / F.lit(STREAM_CHUNK_DAYS))
-    ids = sorted(r[0] for r in df.select(chunk.alias("c")).distinct().collect())
-    return chunk, ids
 
 
 def _stream_session(spark: SparkSession) -> SparkSession:
-    """A sibling session (same context and checkpoint folder) for the
-    stream queries.  Stateful operators fix their state-store partitions
-    from spark.sql.shuffle.partitions on the first run and AQE does not
-    coalesce them, so the stream gets the cluster's default parallelism
-    instead of the caller's shuffle setting; the caller's session is left
-    unchanged."""
+    """A sibling session (same context and checkpoint folder) for the stream
+    queries, with the cluster's default parallelism for the small shuffles of
+    a micro-batch; the caller's session is left unchanged."""
     ss = spark.newSession()
     ss.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return ss
 
 
+def _period(time_col: str):
+    return F.floor(F.unix_date(F.to_date(F.col(time_col))) / F.lit(STREAM_CHUNK_DAYS))
+
+
+def _land_once(df: DataFrame, time_col: str, tag: str) -> tuple[str, list[int]]:
+    """``df`` written once, in a folder per period of STREAM_CHUNK_DAYS days,
+    as successive polls land it; and the period numbers, the only thing that
+    reaches the driver."""
+    path = scratch_path(df.sparkSession, tag)
+    df.withColumn("period", _period(time_col)).write.partitionBy("period").parquet(path)
+    landed = df.sparkSession.read.parquet(path)
+    return path, sorted(r[0] for r in landed.select("period").distinct().collect())
+
+
+def _stream_out(spark: SparkSession, path: str) -> DataFrame:
+    out = read_features(spark, path)
+    for c in ("open_time", "close_time"):
+        out = out.withColumn(c, utc_wallclock(c))
+    return _rounded(out.select(*schemas.FEATURE_COLUMNS))
+
+
 def q_stream_features(spark, sf):
     """Land the candles as kline files in 10-day polls; after each poll run
     the incremental feature stream to completion (availableNow)."""
-    bars = _bars(spark, sf)
+    stored, periods = _land_once(_bars(spark, sf), "open_time", "stream-bars-in")
     root = scratch_path(spark, "stream-features")
-    chunk, ids = _chunks(bars, "open_time")
     ss = _stream_session(spark)
-    for c in ids:
-        write_kline_bodies(bars.where(chunk == F.lit(c)), f"{root}/landed", mode="append")
-        q = start_incremental_features(kline_stream(ss, f"{root}/landed"), f"{root}/features", f"{root}/state")
-        q.awaitTermination()
-    out = spark.read.parquet(f"{root}/features").drop("batch_id")
-    out = out.withColumn("open_time", utc_wallclock("open_time")).withColumn(
-        "close_time", utc_wallclock("close_time")
-    )
-    return _rounded(out.select(*schemas.FEATURE_COLUMNS))
+    for p in periods:
+        poll = spark.read.parquet(f"{stored}/period={p}")
+        write_kline_bodies(poll, f"{root}/landed", mode="append")
+        start_incremental_features(kline_stream(ss, f"{root}/landed"), f"{root}/features", f"{root}/state").awaitTermination()
+    return _stream_out(spark, f"{root}/features")
+
+
+def q_stream_features_out_of_order(spark, sf):
+    """The same candles in the worst order: the newest period first, with a
+    stale copy of each symbol's last candle; then the older periods, one poll
+    for each symbol in turn; the last poll repeats the newest period, now
+    with the finished candles."""
+    stored, periods = _land_once(_bars(spark, sf), "open_time", "stream-bars-in")
+    root = scratch_path(spark, "stream-unordered")
+    ss = _stream_session(spark)
+    newest = spark.read.parquet(f"{stored}/period={periods[-1]}")
+    last = newest.groupBy("symbol").agg(F.max("open_time").alias("open_time")).withColumn("stale", F.lit(True))
+    stale = newest.join(last, ["symbol", "open_time"], "left").withColumns({
+        "number_of_trades": F.when(F.col("stale"), F.col("number_of_trades") - 1).otherwise(F.col("number_of_trades")),
+        "close": F.when(F.col("stale"), F.col("close") + 1).otherwise(F.col("close"))}).drop("stale")
+    polls = [stale]
+    if periods[:-1]:
+        older = spark.read.schema(newest.schema).parquet(*[f"{stored}/period={p}" for p in periods[:-1]])
+        turn = F.pmod(F.xxhash64("symbol"), F.lit(2))
+        polls += [older.where(turn == 1), older.where(turn == 0)]
+    for poll in [*polls, newest]:
+        write_kline_bodies(poll, f"{root}/landed", mode="append")
+        start_incremental_features(kline_stream(ss, f"{root}/landed"), f"{root}/features", f"{root}/state").awaitTermination()
+    return _stream_out(spark, f"{root}/features")
 
 
 def q_stream_bars(spark, sf):
-    """Land the events in 10-day polls and run the event-time bar stream
-    after each; a bar comes out once the watermark passes its hour."""
-    events = table(spark, sf, "events")
+    """Land the events in 10-day polls and run the bar stream after each."""
+    stored, periods = _land_once(table(spark, sf, "events"), "ts", "stream-events-in")
     root = scratch_path(spark, "stream-bars")
-    chunk, ids = _chunks(events, "ts")
     ss = _stream_session(spark)
-    for c in ids:
-        events.where(chunk == F.lit(c)).write.mode("append").parquet(f"{root}/landed")
-        bars = bars_stream(events_stream(ss, f"{root}/landed"), watermark=STREAM_WATERMARK)
-        q = (
-            bars.writeStream.format("parquet")
-            .outputMode("append")
-            .option("path", f"{root}/bars")
-            .option("checkpointLocation", f"{root}/checkpoint")
-            .trigger(availableNow=True)
-            .start()
-        )
-        q.awaitTermination()
-    out = spark.read.parquet(f"{root}/bars")
-    return out.withColumn("open_time", utc_wallclock("open_time")).withColumn(
-        "close_time", utc_wallclock("close_time")
-    )
+    for p in periods:
+        spark.read.parquet(f"{stored}/period={p}").write.mode("append").parquet(f"{root}/landed")
+        start_bars(events_stream(ss, f"{root}/landed"), f"{root}/bars", f"{root}/checkpoint").awaitTermination()
+    return read_bars(spark, f"{root}/bars")
+
+
+def q_silver_revised(spark, sf):
+    """Bronze that holds each candle as polled half an hour into its hour and
+    once more when it was finished; silver keeps the finished one."""
+    events = table(spark, sf, "events")
+    early = bars_from_events(events.where(F.minute("ts") < 30))
+    return to_silver(early.unionByName(bars_from_events(events)))
+
+
+def q_refresh_replaces(spark, sf):
+    """A refresh over all symbols, then one over half of them: the feature
+    table holds the second run only."""
+    root = scratch_path(spark, "refresh-replaces")
+    bars = _bars(spark, sf)
+    run_refresh(spark, bars, root, families=("lr",))
+    run_refresh(spark, bars.where(F.col("symbol") >= REFRESH_FROM), root, families=("lr",))
+    return _rounded(spark.read.parquet(f"{root}/features").select(*schemas.FEATURE_COLUMNS))
+
+
+def q_score_table(spark, sf):
+    """The batch scoring job: a saved model over a written table."""
+    train, test = _train_test(spark, sf)
+    root = scratch_path(spark, "score-table")
+    save_model(fit(train, "lr"), f"{root}/model")
+    test.write.parquet(f"{root}/features")
+    score_table(spark, f"{root}/model", f"{root}/features", f"{root}/records")
+    records = spark.read.parquet(f"{root}/records")
+    return records.select("symbol", F.unix_millis("market_time").alias("open_time_ms"), F.round("predicted_price", 4).alias("prediction"))
+
+
+def q_quantiles_close(spark, sf):
+    bars = materialize(_bars(spark, sf).select("close"), "closes")
+    rows = [quantile(bars, "close", q, alias="close").select(F.lit(q).alias("q"), "close") for q in QUANTILES]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def q_features_1m(spark, sf):
+    """Features of one-minute bars, each series in several blocks."""
+    bars = bars_from_events(table(spark, sf, "events"), "1 minute")
+    return _rounded(features(to_silver(bars), block_rows=MINUTE_BLOCK_ROWS))
+
+
+QUANTILES = (0.1, 0.25, 0.9, 0.95)
+MINUTE_BLOCK_ROWS = 500
+REFRESH_FROM = "l"
 
 
 QUERIES: dict[str, Query] = {
@@ -376,6 +437,12 @@ QUERIES: dict[str, Query] = {
     "full_refresh": q_full_refresh,
     "stream_features": q_stream_features,
     "stream_bars": q_stream_bars,
+    "stream_features_out_of_order": q_stream_features_out_of_order,
+    "silver_revised": q_silver_revised,
+    "refresh_replaces": q_refresh_replaces,
+    "score_table": q_score_table,
+    "quantiles_close": q_quantiles_close,
+    "features_1m": q_features_1m,
 }
 
 
@@ -486,7 +553,55 @@ def _li_order(direction: str) -> str:
     return ", ".join(f"{c} {direction} {null_order}" for c in _LI_TIE.split(", "))
 
 
+_LR_IN = ", ".join(f'cast("{c}" as double) as x{i}' for i, c in enumerate(schemas.MODEL_INPUTS))
+
+
+def _least_squares() -> str:
+    """CTEs up to ``fitted``: the least-squares prediction of every row from
+    the seven inputs, fitted on the training rows.  The inputs are centred and
+    made orthogonal one after the other; each step takes sums of one row."""
+    k = len(schemas.MODEL_INPUTS)
+    xs = range(k)
+    ctes = [f"""
+step0 as (select symbol, open_time, {schemas.LABEL} as label, row_id <= (n_rows * 8) // 10 as train, {_LR_IN}, cast({schemas.LABEL} as double) as y
+          from split)""", f"""
+mean0 as (select {", ".join(f"avg(x{i}) as m{i}" for i in xs)}, avg(y) as my from step0 where train)""", f"""
+lin0 as (select symbol, open_time, label, train, {", ".join(f"x{i} - m{i} as x{i}" for i in xs)}, y - my as y, my as p from step0, mean0)"""]
+    for j in xs:
+        rest = range(j + 1, k)
+        ctes.append(f"""
+sum{j + 1} as (select {", ".join([f"sum(x{j} * x{i}) / sum(x{j} * x{j}) as a{i}" for i in rest] + [f"sum(x{j} * y) / sum(x{j} * x{j}) as b"])}
+          from lin{j} where train)""")
+        ctes.append(f"""
+lin{j + 1} as (select symbol, open_time, label, train, {", ".join([f"x{i} - a{i} * x{j} as x{i}" for i in rest] + [""])}y - b * x{j} as y, p + b * x{j} as p
+          from lin{j}, sum{j + 1})""")
+    ctes.append(f"""
+fitted as (select symbol, open_time, label as {schemas.LABEL}, p as prediction from lin{k} where not train)""")
+    return ",".join(ctes)
+
+
+_FITTED = _with(_BARS, _RAW_FEATURES, _features_cte(), _SPLIT) + "," + _least_squares()
+_METRICS = f"""
+m as (select sqrt(avg((prediction - y) * (prediction - y))) as rmse, avg(abs(prediction - y)) as mae,
+             1 - sum((prediction - y) * (prediction - y)) / (var_pop(y) * count(*)) as r2
+      from (select {schemas.LABEL} as y, prediction from fitted))
+select 'lr' as model, 'rmse' as metric, round(rmse, 4) as value from m
+union all select 'lr', 'mae', round(mae, 4) from m
+union all select 'lr', 'r2', round(r2, 4) from m"""
+_PREDICTIONS = f"\nselect symbol, open_time, {schemas.LABEL}, round(prediction, 4) as prediction from fitted"
+
 ORACLE: dict[str, str] = {
+    "stream_features_out_of_order": _features_sql("label_return"),
+    "silver_revised": _with(_BARS) + "\nselect * from bars",
+    "refresh_replaces": _features_sql("label_return") + f" where symbol >= '{REFRESH_FROM}'",
+    "train_lr_predictions": _FITTED + _PREDICTIONS,
+    "model_reload": _FITTED + _PREDICTIONS,
+    "full_refresh": _FITTED + "," + _METRICS,
+    "prediction_records": _FITTED + "\nselect symbol, epoch_ms(open_time) as open_time_ms, round(prediction, 4) as prediction from fitted",
+    "score_table": _FITTED + "\nselect symbol, epoch_ms(open_time) as open_time_ms, round(prediction, 4) as prediction from fitted",
+    "quantiles_close": _with(_BARS) + "\n" + "\nunion all\n".join(
+        f'select cast({q} as double) as q, quantile_disc("close", {q}) as "close" from bars' for q in QUANTILES),
+    "features_1m": _features_sql("label_return").replace("interval 1 hour", "interval 1 minute"),
     "bars_1h": _with(_BARS) + "\nselect * from bars",
     "features": _features_sql("label_return"),
     "stream_features": _features_sql("label_return"),
@@ -504,10 +619,9 @@ ORACLE: dict[str, str] = {
     "dedup_keyed_last": f"""select {_LI_COLS} from (
   select {_LI_COLS}, row_number() over (partition by l_orderkey, l_linenumber order by {_li_order('desc')}) as rn
   from lineitem) where rn = 1""",
-    "duplicate_report": """select cast(sum(c) as bigint) as total_rows, count(*) as distinct_rows,
-       cast(sum(c) - count(*) as bigint) as duplicate_rows
-from (select l_orderkey, l_linenumber, count(*) as c from lineitem group by 1, 2)""",
-    "dedup_rows": "select distinct l_orderkey, l_linenumber, l_returnflag, l_linestatus from lineitem",
+    "duplicate_report": """select total_rows, distinct_rows, total_rows - distinct_rows as duplicate_rows
+from (select count(*) as total_rows from lineitem), (select count(*) as distinct_rows from (select distinct * from lineitem))""",
+    "dedup_rows": "select distinct * from lineitem",
     "null_counts": _with(_BARS, _RAW_FEATURES)
     + "\nselect count(*) as n_rows, "
     + ", ".join(f'count(*) filter (where "{c}" is null) as nulls_{c}' for c in schemas.FEATURE_COLUMNS)
@@ -545,9 +659,7 @@ from features group by symbol""",
     + """\nselect symbol, epoch_ms(open_time) as open_time_ms, "open", high, low, "close", volume,
        quote_asset_volume, number_of_trades, taker_buy_base_volume, taker_buy_quote_volume
 from bars""",
-    "stream_bars": _with(_BARS)
-    + """\nselect * from bars
-where open_time + interval 1 hour <= (select max(ts) from events) - interval 10 minutes""",
+    "stream_bars": _with(_BARS) + "\nselect * from bars",
     "klines_parse": _with(_BARS)
     + """\nselect symbol, epoch_ms(open_time) as open_time_ms, "open", high, low, "close", volume,
        epoch_ms(close_time) as close_time_ms, quote_asset_volume, number_of_trades,

@@ -9,6 +9,7 @@ the driver only sees row counts and the metric rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,9 +21,13 @@ from ..operators.clean import to_silver
 from ..operators.features import features
 from ..operators.metrics import regression_metrics
 from ..operators.ml import fit
+from ..operators.score import score, to_predictions
 from ..operators.split import chrono_split, train_test
-from ..sinks.writers import append_metrics, save_model, write_jdbc, write_parquet
+from ..session import materialize
+from ..sinks.writers import append_metrics, append_predictions, save_model, write_jdbc, write_parquet
 from ..sources.klines import read_klines
+from ..sources.models import load_model
+from ..sources.tables import read_table
 
 
 @dataclass
@@ -66,22 +71,27 @@ def run_refresh(
     """Run every stage and return this run's ``(model, metric, value)``
     rows.  ``source`` is a bronze DataFrame or a folder of landed kline
     files.  ``jdbc`` (``url``, ``table``, ``properties``) also replaces a
-    relational copy of the feature table.  Tables are replaced (the test
-    predictions per model), so a re-run gives the same tables; the metrics
-    table keeps every run."""
+    relational copy of the feature table.  Tables are replaced whole, so a
+    symbol that the source no longer holds is gone from them, and a re-run
+    gives the same tables; the metrics table keeps every run, under
+    ``run_id`` or else an id made here.  Tables are read back with the schema
+    they were written with, so a symbol such as "007" stays text.  A stage
+    without rows raises :class:`EmptyInputError` and leaves later tables as
+    they are."""
     paths = RefreshPaths(out_root.rstrip("/"))
-    bronze = read_klines(spark, source) if isinstance(source, str) else source
-    write_parquet(bronze, paths.bronze, partition_by=[schemas.SYMBOL])
+    run_id = run_id or uuid.uuid4().hex
 
-    silver = to_silver(spark.read.parquet(paths.bronze))
-    write_parquet(silver, paths.silver, partition_by=[schemas.SYMBOL])
+    def stage(df: DataFrame, path: str) -> DataFrame:
+        write_parquet(df, path, partition_by=[schemas.SYMBOL], replace="table")
+        return read_table(spark, path, schema=df.schema, require_rows=True).select(*df.columns)
 
-    feats = features(spark.read.parquet(paths.silver), null_policy)
-    write_parquet(feats, paths.features, partition_by=[schemas.SYMBOL])
+    bronze = stage(read_klines(spark, source) if isinstance(source, str) else source, paths.bronze)
+    silver = stage(to_silver(bronze), paths.silver)
+    feats = stage(features(silver, null_policy), paths.features)
     if jdbc:
-        write_jdbc(spark.read.parquet(paths.features), jdbc["url"], jdbc["table"], properties=jdbc.get("properties"))
+        write_jdbc(feats, jdbc["url"], jdbc["table"], properties=jdbc.get("properties"))
 
-    split = chrono_split(spark.read.parquet(paths.features), purge=purge)
+    split = chrono_split(feats, purge=purge)
     train, test = train_test(split)
     reports = []
     for family in families:
@@ -90,12 +100,24 @@ def run_refresh(
         scored = model.transform(test).select(
             schemas.SYMBOL, schemas.OPEN_TIME, schemas.LABEL, F.col("prediction"), F.lit(family).alias("model")
         )
-        write_parquet(scored, paths.predictions, partition_by=["model"])
-        written = spark.read.parquet(paths.predictions).where(F.col("model") == family)
+        write_parquet(scored, paths.predictions, partition_by=["model"], replace="partitions" if reports else "table")
+        written = spark.read.schema(scored.schema).parquet(paths.predictions).where(F.col("model") == family)
         reports.append(regression_metrics(written, model=family))
     metrics = reports[0]
     for r in reports[1:]:
         metrics = metrics.unionByName(r)
     append_metrics(metrics, paths.metrics, run_id)
     out = spark.read.parquet(paths.metrics)
-    return out.where(F.col("run_id").eqNullSafe(F.lit(run_id))) if run_id else out
+    return out.where(F.col("run_id") == F.lit(run_id))
+
+
+def score_table(spark: SparkSession, model_path: str, source: DataFrame | str, out_path: str) -> DataFrame:
+    """Score a table with a saved model and append the prediction records to
+    ``out_path``; returns the records of this run.  Every row is scored: one
+    with a missing input gets a NaN price.  ``source`` is a feature table or
+    its path."""
+    model = load_model(model_path)
+    rows = read_table(spark, source, require_rows=True) if isinstance(source, str) else source
+    records = materialize(to_predictions(score(rows, model, handle_invalid="keep")), "scored")
+    append_predictions(records, out_path)
+    return records

@@ -117,7 +117,7 @@ FEATURE_COLUMNS = SILVER_COLUMNS + DERIVED_COLUMNS
 
 PREDICTION = T.StructType(
     [
-        _f("id", T.LongType(), False),
+        _f("id", T.StringType(), False),
         _f("market_time", T.TimestampType()),
         _f("predicted_price", T.DoubleType()),
         _f("created_at", T.TimestampType()),

@@ -109,6 +109,14 @@ def scratch_scope(spark: SparkSession):
     finally:
         _SCOPES.open = open_scopes
         delete_paths(spark, scope)
+        gone = set(scope)
+        _SCRATCH[:] = [p for p in _SCRATCH if p not in gone]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def path_bytes(spark: SparkSession, path: str) -> int:

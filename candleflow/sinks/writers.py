@@ -19,21 +19,24 @@ def write_parquet(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     max_records_per_file: int | None = None,
+    replace: str = "partitions",
 ) -> None:
     """Write a Parquet table.
 
-    With ``partition_by`` and ``mode="overwrite"`` only the partitions
-    present in ``df`` are replaced (dynamic partition overwrite), so
-    refreshing one symbol leaves the others alone.  Each task sorts its own
-    rows by the partition columns and so writes one file per value it holds;
-    there is no shuffle by symbol, which would put a hot symbol's whole
-    table in one writer task.
+    With ``partition_by`` and ``mode="overwrite"``, ``replace="partitions"``
+    replaces only the partitions present in ``df``, so refreshing one symbol
+    leaves the others alone; ``replace="table"`` replaces everything at
+    ``path``.  The rows are rebalanced by the partition columns: a value's
+    rows meet in few tasks and so in few files, and the rebalance splits a
+    value that holds too much for one task.
     """
+    if replace not in ("partitions", "table"):
+        raise ValueError(f"unknown replacement {replace!r}")
     parts = list(partition_by)
-    writer = df.sortWithinPartitions(*parts) if parts else df
+    writer = df.hint("rebalance", *parts).sortWithinPartitions(*parts) if parts else df
     w = writer.write.mode(mode)
     if parts:
-        w = w.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
+        w = w.partitionBy(*parts).option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
     w.parquet(path)

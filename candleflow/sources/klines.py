@@ -32,20 +32,45 @@ def _typed(row: Column, symbol: Column) -> list[Column]:
     return out
 
 
-def parse_klines(text: DataFrame, symbol: str | Column, value_col: str = "value") -> DataFrame:
+def parse_klines(text: DataFrame, symbol: str | Column, value_col: str = "value", on_bad: str = "error") -> DataFrame:
     """Parse a DataFrame of JSON texts (one landed body per row) into bronze
     rows.  Numbers are cast with ``try_cast``: a bad string becomes NULL and
     the silver null policy drops the row.  Works on batch and streaming
-    frames alike."""
+    frames alike.
+
+    A body that is no array of arrays, such as a server's error message,
+    stops the job with ``on_bad="error"``; ``on_bad="skip"`` leaves it to
+    :func:`rejected_bodies`.  Blank texts are no bodies."""
+    if on_bad not in ("error", "skip"):
+        raise ValueError(f"unknown policy {on_bad!r}")
     sym = F.lit(symbol) if isinstance(symbol, str) else symbol
-    arrays = text.select(sym.alias("_cf_sym"), F.from_json(F.col(value_col), schemas.RAW_KLINE).alias("_cf_rows"))
+    body = F.from_json(F.col(value_col), schemas.RAW_KLINE)
+    if on_bad == "error":
+        message = F.concat(F.lit("no kline body: "), F.substring(value_col, 1, 200))
+        body = F.when(_bad_body(value_col), F.raise_error(message).cast(schemas.RAW_KLINE)).otherwise(body)
+    arrays = text.select(sym.alias("_cf_sym"), body.alias("_cf_rows"))
     rows = arrays.select("_cf_sym", F.explode("_cf_rows").alias("_cf_row"))
     return rows.select(*_typed(F.col("_cf_row"), F.col("_cf_sym")))
 
 
-def symbol_from_path(pattern: str = r"([A-Za-z0-9]+)[^/]*\.json$") -> Column:
-    """The symbol taken from the landed file's name (first capture group)."""
-    return F.regexp_extract(F.input_file_name(), pattern, 1)
+def _bad_body(value_col: str) -> Column:
+    parsed = F.from_json(F.col(value_col), schemas.RAW_KLINE)
+    broken = parsed.isNull() | F.exists(parsed, lambda r: r.isNull())
+    return (F.trim(value_col) != "") & F.coalesce(broken, F.lit(True))
+
+
+def rejected_bodies(text: DataFrame, value_col: str = "value") -> DataFrame:
+    """The rows of ``text`` whose body :func:`parse_klines` can't read."""
+    return text.where(_bad_body(value_col))
+
+
+def symbol_from_path(pattern: str = r"([^/_]+)(?:_[^/]*)?\.json$") -> Column:
+    """The symbol taken from the landed file's name: all of it up to the
+    first ``_`` or the extension (``BTC-USDT_1m.json`` is ``BTC-USDT``).  A
+    name that doesn't match stops the job."""
+    name = F.input_file_name()
+    found = F.regexp_extract(name, pattern, 1)
+    return F.when(found != "", found).otherwise(F.raise_error(F.concat(F.lit("no symbol in the file name "), name)).cast("string"))
 
 
 def read_klines(
@@ -53,6 +78,7 @@ def read_klines(
     path: str | Sequence[str],
     symbol: str | Column | None = None,
     whole_file: bool | None = None,
+    on_bad: str = "error",
 ) -> DataFrame:
     """Read landed kline files into bronze rows.
 
@@ -65,17 +91,18 @@ def read_klines(
     """
     paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read
-    probe = reader.text(paths) if whole_file is None else None
-    partitioned = probe is not None and "symbol" in probe.columns
-    whole = whole_file if whole_file is not None else not partitioned
-    text = reader.option("wholetext", "true").text(paths) if whole else (probe or reader.text(paths))
+    folders = "symbol" in reader.text(paths).columns
+    whole = whole_file if whole_file is not None else not folders
+    # The symbol is text whatever it looks like ("007").
+    reader = reader.schema("value string, symbol string" if folders else "value string")
+    text = reader.option("wholetext", "true").text(paths) if whole else reader.text(paths)
     if symbol is not None:
         sym = symbol
     elif "symbol" in text.columns:
-        sym = F.col("symbol")
+        sym = F.col("symbol").cast("string")
     else:
         sym = symbol_from_path()
-    return parse_klines(text, sym)
+    return parse_klines(text, sym, on_bad=on_bad)
 
 
 def klines_frame(

@@ -1,18 +1,14 @@
-"""Incremental features (T3) and stream scoring (T4).
-
-Row-offset windows are not allowed on a stream, so the features of a
-stream are kept up to date in ``foreachBatch``: every micro-batch is joined
-with a small *tail* (the last 19 silver rows of every symbol: 10 rows still
-waiting for their ten-rows-ahead label and the 9 rows their trailing
-frames reach back to).  The batch operators then compute features for the
-tail plus the new rows, rows whose label now exists are emitted once, and
-the new tail is written for the next micro-batch.  Work per micro-batch is
-the batch plus 19 rows per symbol, whatever the history length.
-
-Candles must arrive in time order per symbol (as polls do).  A candle not
-newer than the newest candle already seen for its symbol would change
-emitted rows; it is written to a *late* table (never silently dropped) for
-the next batch refresh to pick up.
+"""Incremental features (T2 and T3) and stream scoring (T4).
+
+Row-offset windows are not allowed on a stream, so the features of a stream
+are kept up to date in ``foreachBatch``.  Every micro-batch is merged with the
+stored silver rows: a candle that is new, or newer than the stored copy (see
+``operators.clean.newest_candles``), is stored, whatever its time, so lagging
+symbols, backfills and revised candles are all taken in.  A changed candle
+touches the features of the 10 rows before it (label) to the 9 rows after it
+(trailing frames); those rows are recomputed from the stored rows around them
+and written as a new version.  :func:`read_features` gives the newest version
+of every row.
 """
 
 from __future__ import annotations
@@ -20,115 +16,123 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Transformer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from .. import schemas
-from ..operators.clean import dedup_keep_first, drop_missing
+from ..operators.clean import newest_candles, present
 from ..operators.features import add_features
 from ..operators.score import score, to_predictions
-from ..plans.sizing import bounded_broadcast
-from ..session import delete_paths, scratch_scope
+from ..session import materialize, path_exists, scratch_scope
 
-TAIL_ROWS = schemas.LABEL_LEAD_ROWS + max(schemas.PREV_LAG_ROWS, schemas.MA_LONG_ROWS - 1)
+BEFORE, AFTER = schemas.LABEL_LEAD_ROWS, max(schemas.PREV_LAG_ROWS, schemas.MA_LONG_ROWS - 1)
+REACH = BEFORE + AFTER
+VERSION = "batch_id"
+
+
+class MissingStateError(RuntimeError):
+    """The stored rows of an earlier micro-batch are gone."""
 
 
 class IncrementalFeatures:
-    """``foreachBatch`` function that appends finished feature rows.
-
-    ``out_path`` receives the feature rows partitioned by ``batch_id``
-    (a retried micro-batch overwrites its own partition, so the output is
-    exactly-once); ``state_path`` keeps the tails of the last two batches;
-    ``late_path`` collects out-of-order candles.  The scratch tables of a
-    micro-batch are deleted when it ends, so a long-running stream does not
-    grow its scratch folder.
+    """``foreachBatch`` function that keeps a feature table up to date.
+
+    ``state_path`` gets the silver rows that each micro-batch changed,
+    ``out_path`` the feature rows it touched, both in folders ``batch_id=N``
+    that a retry of the micro-batch overwrites, so the result is exactly-once.
+    A touched row that the null policy leaves out (no label yet, say) is
+    written with ``live = false``.  The scratch tables of a micro-batch are
+    deleted when it ends.  If an earlier batch's state is missing the batch
+    fails with :class:`MissingStateError`; wrong features are never written.
+
+    A micro-batch reads the stored rows of the symbols it holds; their files
+    carry (symbol, open_time) statistics, and only those two columns are read
+    to find the rows around the change.
     """
 
     def __init__(
         self,
         out_path: str,
         state_path: str,
-        late_path: str,
         null_policy: str = schemas.DEFAULT_NULL_POLICY,
         columns: Sequence[str] = schemas.SILVER_COLUMNS,
     ):
         self.out_path = out_path
         self.state_path = state_path
-        self.late_path = late_path
         self.null_policy = null_policy
         self.columns = list(columns)
 
-    def _tail(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        if batch_id == 0:
-            return None
-        try:
-            return spark.read.parquet(f"{self.state_path}/batch_id={batch_id - 1}")
-        except AnalysisException:
-            return None
+    def _stored(self, spark: SparkSession, batch_id: int, schema: T.StructType) -> DataFrame:
+        folders = [f"{self.state_path}/{VERSION}={k}" for k in range(batch_id)]
+        gone = [f for f in folders if not path_exists(spark, f)]
+        if gone:
+            raise MissingStateError(f"micro-batch {batch_id} needs {gone[0]}")
+        reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(VERSION, T.LongType())]))
+        return reader.option("basePath", self.state_path).parquet(*folders)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        with scratch_scope(spark):
+            rows = batch.select(*self.columns).dropna(how="any")
+            new = materialize(newest_candles(rows), "new-candles")
+            changed = new
+            stored = None
+            if batch_id > 0:
+                stored = self._stored(spark, batch_id, new.schema)
+                stored = stored.join(new.select(schemas.SYMBOL).distinct(), schemas.SYMBOL, "left_semi")
+                changed = self._changed(new, stored, batch_id)
+            changed = materialize(changed, "changed-candles")
+            changed.sortWithinPartitions(schemas.SYMBOL, schemas.OPEN_TIME).write.mode("overwrite").parquet(f"{self.state_path}/{VERSION}={batch_id}")
+            touched = self._touched(changed, stored)
+            touched.write.mode("overwrite").parquet(f"{self.out_path}/{VERSION}={batch_id}")
+
+    def _changed(self, new: DataFrame, stored: DataFrame, batch_id: int) -> DataFrame:
+        """The candles of the batch that aren't stored or are newer than the
+        stored copy.  Of equal trade counts the later poll wins if it differs."""
+        keys = [schemas.SYMBOL, schemas.OPEN_TIME]
+        hits = stored.join(new.select(*keys), keys, "left_semi")
+        both = hits.unionByName(new.withColumn(VERSION, F.lit(batch_id).cast("long")))
+        order = F.struct("number_of_trades", VERSION, *[c for c in self.columns if c not in (*keys, "number_of_trades")])
+        best = both.groupBy(*keys).agg(F.max(order).alias("best")).select(*keys, "best.*")
+        return best.where(F.col(VERSION) == batch_id).select(*self.columns).join(hits.select(*self.columns), self.columns, "left_anti")
+
+    def _touched(self, changed: DataFrame, stored: DataFrame | None) -> DataFrame:
+        """Feature rows from ``BEFORE`` rows ahead of a symbol's first changed
+        candle to ``AFTER`` rows behind its last."""
         sym, t = schemas.SYMBOL, schemas.OPEN_TIME
-        tail = self._tail(spark, batch_id)
-        # The micro-batch is read more than once below; keep one copy.
-        new = dedup_keep_first(batch.select(*self.columns), [sym, t]).dropna(how="any").persist()
-        try:
-            if new.isEmpty():
-                # A no-data batch (e.g. a watermark step): carry the tail on.
-                if tail is not None:
-                    tail.write.mode("overwrite").parquet(f"{self.state_path}/batch_id={batch_id}")
-                    if batch_id >= 2:
-                        delete_paths(spark, [f"{self.state_path}/batch_id={batch_id - 2}"])
-                return
-            with scratch_scope(spark):
-                self._apply(spark, new, tail, batch_id)
-            if batch_id >= 2:
-                # a retry of this batch reads tail batch_id - 1; older ones are done
-                delete_paths(spark, [f"{self.state_path}/batch_id={batch_id - 2}"])
-        finally:
-            new.unpersist()
-
-    def _apply(self, spark: SparkSession, new: DataFrame, tail: DataFrame | None, batch_id: int) -> None:
-        sym, t = schemas.SYMBOL, schemas.OPEN_TIME
-        if tail is not None:
-            last = bounded_broadcast(tail.groupBy(sym).agg(F.max(t).alias("_cf_last")))
-            new = new.join(last, sym, "left")
-            late = new.where(F.col(t) <= F.col("_cf_last")).drop("_cf_last")
-            (
-                late.withColumn("batch_id", F.lit(batch_id))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id")
-                .parquet(self.late_path)
-            )
-            new = new.where(F.col("_cf_last").isNull() | (F.col(t) > F.col("_cf_last"))).drop("_cf_last")
-            combined = tail.select(*self.columns, "_cf_done").unionByName(
-                new.withColumn("_cf_done", F.lit(False))
-            )
-        else:
-            combined = new.withColumn("_cf_done", F.lit(False))
-
-        # Batch plus tail: small, and read by both writes below.
-        feats = add_features(combined, index_col="_cf_rn", total_col="_cf_n").persist()
-        try:
-            ready = F.col("_cf_rn") <= F.col("_cf_n") - F.lit(schemas.LABEL_LEAD_ROWS)
-            out_cols = [c for c in schemas.FEATURE_COLUMNS if c in feats.columns]
-            emitted = drop_missing(feats.where(~F.col("_cf_done") & ready).select(*out_cols), self.null_policy)
-            (
-                emitted.withColumn("batch_id", F.lit(batch_id))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id")
-                .parquet(self.out_path)
-            )
-            next_tail = feats.where(F.col("_cf_rn") > F.col("_cf_n") - F.lit(TAIL_ROWS)).select(
-                *self.columns, (F.col("_cf_done") | ready).alias("_cf_done")
-            )
-            next_tail.write.mode("overwrite").parquet(f"{self.state_path}/batch_id={batch_id}")
-        finally:
-            feats.unpersist()
+        spans = changed.groupBy(sym).agg(F.min(t).alias("_cf_lo"), F.max(t).alias("_cf_hi"))
+        base = changed.withColumn(VERSION, F.lit(1 << 60).cast("long"))
+        if stored is not None:
+            base = stored.unionByName(base)
+        # The newest version of each candle, then the rows around the span.
+        places = base.groupBy(sym, t).agg(F.max(VERSION).alias(VERSION)).join(spans, sym)
+        ahead = top_rows(places.where(F.col(t) < F.col("_cf_lo")), F.col(t).desc(), REACH)
+        behind = top_rows(places.where(F.col(t) > F.col("_cf_hi")), F.col(t).asc(), REACH)
+        inside = places.where((F.col(t) >= F.col("_cf_lo")) & (F.col(t) <= F.col("_cf_hi"))).withColumn("_cf_away", F.lit(0))
+        near = ahead.withColumn("_cf_away", -F.col("_cf_away")).unionByName(behind).unionByName(inside)
+        region = materialize(base.join(near.select(sym, t, VERSION, "_cf_away"), [sym, t, VERSION]).drop(VERSION), "region")
+        feats = add_features(region)
+        wanted = feats.where((F.col("_cf_away") >= -BEFORE) & (F.col("_cf_away") <= AFTER))
+        columns = [c for c in schemas.FEATURE_COLUMNS if c in feats.columns]
+        return wanted.select(*columns, present(feats, self.null_policy).alias("live"))
+
+
+def top_rows(rows: DataFrame, order: Column, n: int) -> DataFrame:
+    """The first ``n`` rows of each symbol in ``order``, numbered in ``_cf_away``."""
+    window = Window.partitionBy(schemas.SYMBOL).orderBy(order)
+    return rows.withColumn("_cf_away", F.row_number().over(window)).where(F.col("_cf_away") <= n)
+
+
+def read_features(spark: SparkSession, out_path: str) -> DataFrame:
+    """The feature table that :class:`IncrementalFeatures` keeps: the newest
+    version of every row, without those that the null policy leaves out."""
+    rows = spark.read.parquet(out_path)
+    keys = [schemas.SYMBOL, schemas.OPEN_TIME]
+    rest = [c for c in rows.columns if c not in (*keys, VERSION)]
+    newest = rows.groupBy(*keys).agg(F.max(F.struct(VERSION, *rest)).alias("row"))
+    return newest.where("row.live").select(*keys, *[F.col(f"row.{c}").alias(c) for c in rest if c != "live"])
 
 
 def start_incremental_features(
@@ -137,18 +141,12 @@ def start_incremental_features(
     checkpoint: str,
     null_policy: str = schemas.DEFAULT_NULL_POLICY,
     available_now: bool = True,
-    dedup_watermark: str | None = "1 day",
 ) -> StreamingQuery:
-    """Run T2 + T3: de-duplicate the stream within a watermark, then keep
-    ``out_path`` up to date with :class:`IncrementalFeatures`.  State lives
-    under ``checkpoint`` (the stream checkpoint, the tails and late rows)."""
-    from .ingest import dedup_stream
-
-    stream = bronze_stream
-    if dedup_watermark:
-        stream = dedup_stream(stream, watermark=dedup_watermark)
-    fn = IncrementalFeatures(out_path, f"{checkpoint}/tails", f"{checkpoint}/late", null_policy)
-    writer = stream.writeStream.foreachBatch(fn).option("checkpointLocation", f"{checkpoint}/stream")
+    """Keep ``out_path`` up to date with :class:`IncrementalFeatures`.  State
+    lives under ``checkpoint`` (the stream checkpoint and the silver rows).
+    No watermark stands in front of the merge: nothing is too late for it."""
+    fn = IncrementalFeatures(out_path, f"{checkpoint}/silver", null_policy)
+    writer = bronze_stream.writeStream.foreachBatch(fn).option("checkpointLocation", f"{checkpoint}/stream")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
@@ -162,7 +160,7 @@ def start_scoring(
 ) -> StreamingQuery:
     """T4: score a stream of feature rows and append prediction records
     ``(id, symbol, market_time, predicted_price, created_at)`` to Parquet."""
-    scored = score(feature_stream, model)
+    scored = score(feature_stream, model, handle_invalid="keep")
     records = to_predictions(scored)
     writer = (
         records.writeStream.format("parquet")

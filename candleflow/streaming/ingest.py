@@ -1,11 +1,11 @@
 """Streaming sources and stateless/stateful row operators.
 
 * :func:`kline_stream` (T1) reads landed kline files incrementally.
-* :func:`dedup_stream` (T2) removes repeated candles of overlapping polls
-  within a watermark.
-* :func:`bars_stream` is the streaming form of the events-to-bars adapter:
-  an event-time windowed aggregation that emits a bar once the watermark
-  has passed the end of its hour.
+* :func:`dedup_stream` removes repeated candles within a watermark, where a
+  consumer wants each key once and can do without late data; the feature
+  stream merges copies itself and drops nothing (see ``incremental``).
+* :func:`start_bars` / :func:`read_bars` are the streaming form of the
+  events-to-bars adapter.
 """
 
 from __future__ import annotations
@@ -15,28 +15,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..functions.columns import as_instant, utc_instant
-from ..sources.events import BAR_INTERVAL
+from ..functions.columns import utc_instant
+from ..sources.events import BAR_INTERVAL, bar_parts, finished, merge_parts, ticks
 from ..sources.klines import parse_klines, symbol_from_path
 
 
 def kline_stream(
     spark: SparkSession,
     landed_dir: str,
-    whole_file: bool = False,
+    whole_file: bool | None = None,
     max_files_per_trigger: int | None = None,
     symbol: str | None = None,
+    on_bad: str = "error",
 ) -> DataFrame:
     """Bronze rows from kline files as they land in ``landed_dir``.
 
-    Line mode (one body per line) is the default; ``whole_file=True`` reads
-    each file as one body.  The symbol comes from a ``symbol=`` folder, a
-    constant, or the file name.
+    The defaults are those of ``sources.klines.read_klines``: line mode for a
+    folder laid out as ``symbol=<name>/...``, whole files otherwise.  The
+    symbol comes from the ``symbol=`` folder, a constant, or the file name; a
+    body that can't be read stops the stream unless ``on_bad="skip"``.
     """
-    reader = spark.readStream.format("text")
-    if whole_file:
+    folders = "symbol" in spark.read.text(landed_dir).columns
+    reader = spark.readStream.format("text").schema("value string, symbol string" if folders else "value string")
+    if not folders if whole_file is None else whole_file:
         reader = reader.option("wholetext", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -47,7 +51,7 @@ def kline_stream(
         sym = F.col("symbol")
     else:
         sym = symbol_from_path()
-    return parse_klines(text, sym)
+    return parse_klines(text, sym, on_bad=on_bad)
 
 
 def dedup_stream(
@@ -76,47 +80,23 @@ def events_stream(spark: SparkSession, path: str, max_files_per_trigger: int | N
     return reader.load(path)
 
 
-def bars_stream(events: DataFrame, interval: str = BAR_INTERVAL, watermark: str = "10 minutes") -> DataFrame:
-    """Hourly bars from an event stream.  A bar is emitted (append mode)
-    once the watermark passes its end, so the newest, still open bar of
-    each symbol waits for later events.  Columns match
-    ``sources.events.bars_from_events`` with TIMESTAMP times."""
-    k = F.from_json("props", "k string").getField("k").try_cast("int")
-    q = k.cast("double") + F.lit(1.0)
-    taker = F.pmod(k, F.lit(2)) == F.lit(0)
-    ticks = events.select(
-        F.col("event_type").alias("symbol"),
-        as_instant(events, "ts").alias("ts"),
-        "event_id",
-        "value",
-        q.alias("_q"),
-        taker.alias("_taker"),
-    ).withWatermark("ts", watermark)
-    order = F.struct("ts", "event_id")
-    bars = ticks.groupBy("symbol", F.window("ts", interval).alias("_cf_w")).agg(
-        F.min_by("value", order).alias("open"),
-        F.max("value").alias("high"),
-        F.min("value").alias("low"),
-        F.max_by("value", order).alias("close"),
-        F.sum("_q").alias("volume"),
-        F.round(F.sum(F.col("value") * F.col("_q")), 4).alias("quote_asset_volume"),
-        F.count(F.lit(1)).alias("number_of_trades"),
-        F.sum(F.when(F.col("_taker"), F.col("_q")).otherwise(F.lit(0.0))).alias("taker_buy_base_volume"),
-        F.round(
-            F.sum(F.when(F.col("_taker"), F.col("value") * F.col("_q")).otherwise(F.lit(0.0))), 4
-        ).alias("taker_buy_quote_volume"),
-    )
-    return bars.select(
-        "symbol",
-        F.col("_cf_w.start").alias("open_time"),
-        "open",
-        "high",
-        "low",
-        "close",
-        "volume",
-        (F.col("_cf_w.end") - F.expr("INTERVAL 1 MILLISECOND")).alias("close_time"),
-        "quote_asset_volume",
-        "number_of_trades",
-        "taker_buy_base_volume",
-        "taker_buy_quote_volume",
-    )
+def start_bars(
+    events: DataFrame, out_path: str, checkpoint: str, interval: str = BAR_INTERVAL, available_now: bool = True
+) -> StreamingQuery:
+    """Bars of an event stream.  Every micro-batch writes the parts of bars
+    that its events make to ``out_path``, in a folder ``batch_id=N`` that a
+    retry overwrites; :func:`read_bars` puts the parts together.  There is no
+    watermark and no state: an event counts however late it comes, and the
+    newest bar is there as far as its events are."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        bar_parts(ticks(batch, interval)).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    writer = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def read_bars(spark: SparkSession, out_path: str, interval: str = BAR_INTERVAL) -> DataFrame:
+    """The bars that :func:`start_bars` keeps, with the silver candle columns."""
+    return finished(merge_parts(spark.read.parquet(out_path)), interval)

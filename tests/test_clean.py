@@ -12,15 +12,15 @@ def _bronze(spark, rows):
     return spark.createDataFrame([(*r, "0") for r in rows], "{}, ignore string".format(SILVER.simpleString()[7:-1]))
 
 
-def test_dup_key_default_loses_key_when_kept_copy_is_incomplete(spark):
+def test_complete_copies_win_by_default(spark):
     good = candle("S", 0, 10.0)
     bad = list(candle("S", 0, 10.0))
     bad[5] = None  # NULL close
     other = candle("S", 1, 11.0)
     df = _bronze(spark, [good, tuple(bad), other])
-    default = to_silver(df).collect()
-    assert [r.open_time.minute for r in default] == [1]
-    kept = to_silver(df, complete_first=True).orderBy("open_time").collect()
+    lost = to_silver(df.withColumn("number_of_trades", F.when(F.col("close").isNull(), 10**6).otherwise(F.col("number_of_trades"))), complete_first=False)
+    assert [r.open_time.minute for r in lost.collect()] == [1]
+    kept = to_silver(df).orderBy("open_time").collect()
     assert [r.open_time.minute for r in kept] == [0, 1]
     assert "ignore" not in to_silver(df).columns
 
@@ -68,3 +68,14 @@ def test_sample_is_stable_under_repartition(spark):
     a = {r.k for r in sample_rows(df, 0.1, ["k"]).collect()}
     b = {r.k for r in sample_rows(df.repartition(7), 0.1, ["k"]).collect()}
     assert a == b and 120 < len(a) < 280
+
+
+def test_silver_keeps_the_newest_copy(spark):
+    old, new = list(candle("S", 0, 100.0)), list(candle("S", 0, 101.0))
+    t = SILVER.fieldNames().index("number_of_trades")
+    old[t], new[t] = 3, 90
+    df = _bronze(spark, [tuple(old), tuple(new)])
+    assert [r.close for r in to_silver(df).collect()] == [101.0]
+    polled = df.withColumn("polled", F.when(F.col("number_of_trades") == 3, 2).otherwise(1))
+    out = to_silver(polled, poll_col="polled")
+    assert [r.close for r in out.collect()] == [100.0] and "polled" not in out.columns

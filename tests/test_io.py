@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from candleflow import schemas
 from candleflow.operators.metrics import regression_metrics
-from candleflow.plans.refresh import run_refresh
+from candleflow.plans.refresh import run_refresh, score_table
 from candleflow.sinks.writers import append_metrics, append_predictions, write_kline_bodies, write_parquet
 from candleflow.sources.events import bars_from_events
 from candleflow.sources.tables import EmptyInputError, read_nanos_parquet, read_table
@@ -61,8 +61,8 @@ def test_metric_and_prediction_appends(spark):
     append_metrics(m, f"{d}/metrics", "run2")
     assert spark.read.parquet(f"{d}/metrics").count() == 6
     rec = spark.createDataFrame(
-        [(1, dt.datetime(2024, 1, 1), 10.0, dt.datetime(2024, 1, 2))],
-        "id long, market_time timestamp, predicted_price double, created_at timestamp",
+        [("1", dt.datetime(2024, 1, 1), 10.0, dt.datetime(2024, 1, 2))],
+        "id string, market_time timestamp, predicted_price double, created_at timestamp",
     )
     append_predictions(rec, f"{d}/pred")
     append_predictions(rec, f"{d}/pred")
@@ -112,3 +112,34 @@ def test_release_scratch_removes_only_our_folders(spark):
     assert release_scratch(spark) >= 2
     assert not os.path.exists(local)
     assert release_scratch(spark) == 0
+
+
+def test_refresh_replaces_whole_tables(spark):
+    d = _tmp("refresh3-")
+    bars = bars_from_events(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    names = sorted(r.symbol for r in bars.select("symbol").distinct().collect())
+    seven = bars.where(bars.symbol == names[0])
+    both = seven.withColumn("symbol", F.lit("007")).unionByName(seven.withColumn("symbol", F.lit("7")))
+    run_refresh(spark, both, f"{d}/out", families=("lr",))
+    feats = spark.read.schema(both.schema).parquet(f"{d}/out/features")
+    counts = {r.symbol: r["count"] for r in feats.groupBy("symbol").count().collect()}
+    assert counts.keys() == {"007", "7"} and len(set(counts.values())) == 1
+    metrics = run_refresh(spark, seven, f"{d}/out", families=("lr",))
+    assert metrics.count() == 3  # this run's, though no run id was given
+    assert [r.symbol for r in spark.read.parquet(f"{d}/out/silver").select("symbol").distinct().collect()] == [names[0]]
+
+
+def test_refresh_of_nothing_says_so(spark):
+    d = _tmp("refresh4-")
+    bars = bars_from_events(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    with pytest.raises(EmptyInputError):
+        run_refresh(spark, bars.limit(0), f"{d}/out")
+
+
+def test_score_table_scores_every_row(spark):
+    d = _tmp("score-")
+    bars = bars_from_events(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    run_refresh(spark, bars, f"{d}/out", families=("lr",))
+    feats = spark.read.parquet(f"{d}/out/features").withColumn("ma_5", F.when(F.col("close") > 50, F.col("ma_5")))
+    out = score_table(spark, f"{d}/out/models/lr", feats, f"{d}/records")
+    assert out.count() == feats.count() == spark.read.parquet(f"{d}/records").select("id").distinct().count()

@@ -4,13 +4,14 @@ import tempfile
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from candleflow import schemas
 from candleflow.operators.clean import to_silver
 from candleflow.operators.features import features
 from candleflow.operators.metrics import regression_metrics
-from candleflow.operators.ml import assemble, estimator, fit
+from candleflow.operators.ml import assemble, compare_models, estimator, fit, stable_layout
 from candleflow.operators.score import score, score_linear, to_predictions
 from candleflow.operators.split import chrono_split, train_test
 from candleflow.sinks.writers import save_model
@@ -98,7 +99,7 @@ def test_invalid_rows_follow_the_chosen_policy(spark, split):
     train, test = train_test(split)
     model = fit(train, "lr")
     bad = test.limit(3).withColumn("taker_ratio", F.lit(None).cast("double"))
-    assert score(bad, model).count() == 0  # fitted with skip, as training was
+    assert score(bad, model, handle_invalid="skip").count() == 0
     kept = score(bad, model, handle_invalid="keep").collect()
     assert len(kept) == 3
     with pytest.raises(Exception):
@@ -111,3 +112,35 @@ def test_forest_does_not_depend_on_input_partitioning(spark, split):
     b = score(test, fit(train.repartition(7), "rf", numTrees=8)).select("symbol", "open_time", "prediction").toPandas()
     m = a.merge(b, on=["symbol", "open_time"])
     assert len(m) == len(a) and (m.prediction_x == m.prediction_y).all()
+
+
+def test_forest_does_not_depend_on_shuffle_partitions(spark, split):
+    train, test = train_test(split)
+    old, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("4", "7", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            model = fit(train, "rf", numTrees=6)
+            seen.append(sorted((r.symbol, str(r.open_time), r.prediction) for r in score(test, model).select("symbol", "open_time", "prediction").collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_compare_models_matches_the_evaluator(spark, split):
+    train, test = train_test(split)
+    got = {(r.model, r.metric): r.value for r in compare_models(train, test, families=("lr", "rf")).collect()}
+    for family in ("lr", "rf"):
+        scored = score(test, fit(train, family))
+        for metric in ("rmse", "mae", "r2"):
+            want = RegressionEvaluator(labelCol=schemas.LABEL, metricName=metric).evaluate(scored)
+            assert abs(got[family, metric] - want) < 1e-6 * max(1, abs(want))
+
+
+def test_gbt_matches_sparks_own_estimator(spark, split):
+    train, test = train_test(split)
+    ours = score(test, fit(train, "gbt", maxIter=4)).select("prediction").toPandas()
+    rows = assemble(stable_layout(train, ("symbol", "open_time")))
+    own = GBTRegressor(labelCol=schemas.LABEL, featuresCol="features", **{**schemas.GBT_PARAMS, "maxIter": 4}).fit(rows)
+    want = own.transform(assemble(test)).select("prediction").toPandas()
+    assert abs(sorted(ours.prediction)[5] - sorted(want.prediction)[5]) < 1e-9 and abs(ours.prediction.sum() - want.prediction.sum()) < 1e-6

@@ -23,11 +23,11 @@ def test_exact_quantile_matches_discrete_rule(spark, q):
     df = spark.createDataFrame([(("hot" if i % 2 else "c"), v) for i, v in enumerate(vals)], "g string, x double")
     got = quantile(df, "x", q, alias="m").first().m
     clean = sorted(v for v in vals if v is not None and not math.isnan(v))
-    assert got == clean[math.floor((len(clean) - 1) * q)]
+    assert got == clean[max(1, math.ceil(q * len(clean))) - 1]
     per = {r.g: r.m for r in quantile(df, "x", q, partition_by=["g"], alias="m").collect()}
     for g in ("hot", "c"):
         xs = sorted(v for i, v in enumerate(vals) if (("hot" if i % 2 else "c") == g) and v is not None and not math.isnan(v))
-        assert per[g] == xs[math.floor((len(xs) - 1) * q)]
+        assert per[g] == xs[max(1, math.ceil(q * len(xs))) - 1]
 
 
 def test_approx_quantile_is_bounded_sketch(spark):
@@ -62,3 +62,14 @@ def test_exact_quantile_with_a_hot_value(spark):
         got = quantile(df, "x", q, alias="m").first().m
         s = sorted(vals)
         assert got == s[math.floor((len(s) - 1) * q)]
+
+
+def test_quantile_off_the_median(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double")
+    assert [quantile(df, "x", q, alias="m").first().m for q in (0.0, 0.1, 0.5, 0.9, 1.0)] == [1.0, 1.0, 2.0, 3.0, 3.0]
+
+
+def test_correlation_with_an_infinite_value_is_null(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 3.0), (2.0, float("inf"), 1.0), (3.0, 1.0, 4.0)], "a double, b double, c double")
+    got = {(r.col_a, r.col_b): r.corr for r in correlation(df, ["a", "b", "c"]).collect()}
+    assert got["a", "b"] is None and got["b", "c"] is None and got["a", "c"] is not None

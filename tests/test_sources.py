@@ -3,8 +3,10 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from candleflow.operators.clean import to_silver
-from candleflow.sources.klines import klines_frame, read_klines
+from candleflow.sources.klines import klines_frame, read_klines, rejected_bodies
 
 ROW1 = [1700000000000, "37000.10", "37010.00", "36990.50", "37005.25", "12.5", 1700000059999, "462565.6", 321, "6.25", "231282.8", "0"]
 ROW2 = [1700000060000, "37005.25", "37020.00", "37000.00", "37015.00", "8.0", 1700000119999, "296100.0", 200, "4.0", "148050.0", "0"]
@@ -54,3 +56,36 @@ def test_utc_conversions_ignore_the_session_zone(spark):
         assert all(r.back == r.t for r in out)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def _land(tmp_path, name, body):
+    path = tmp_path / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(body)
+
+
+KLINE = '[[1700000000000,"1","2","0.5","1.5","3",1700000059999,"4.5",7,"1","1.5","0"]]'
+
+
+def test_symbols_of_file_names_do_not_collide(spark, tmp_path):
+    _land(tmp_path, "BTC-USDT_1m.json", KLINE)
+    _land(tmp_path, "BTC-EUR_1m.json", KLINE)
+    assert {r.symbol for r in read_klines(spark, str(tmp_path)).collect()} == {"BTC-USDT", "BTC-EUR"}
+    _land(tmp_path, "x.txt", KLINE)
+    with pytest.raises(Exception, match="no symbol"):
+        read_klines(spark, str(tmp_path)).collect()
+
+
+def test_number_like_symbol_folders_stay_text(spark, tmp_path):
+    for s in ("007", "7"):
+        _land(tmp_path, f"symbol={s}/a.txt", KLINE + "\n")
+    assert {r.symbol for r in read_klines(spark, str(tmp_path)).collect()} == {"007", "7"}
+
+
+def test_bad_bodies_raise_or_are_listed(spark, tmp_path):
+    _land(tmp_path, "symbol=A/a.txt", KLINE + "\n" + '{"msg": "Invalid symbol."}' + "\n\nnot json\n")
+    with pytest.raises(Exception, match="no kline body"):
+        read_klines(spark, str(tmp_path)).collect()
+    assert read_klines(spark, str(tmp_path), on_bad="skip").count() == 1
+    rejected = rejected_bodies(spark.read.text(str(tmp_path)))
+    assert sorted(r.value for r in rejected.collect()) == ["not json", '{"msg": "Invalid symbol."}']

@@ -2,6 +2,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from candleflow import schemas
@@ -9,9 +10,10 @@ from candleflow.operators.clean import to_silver
 from candleflow.operators.features import features
 from candleflow.operators.ml import fit
 from candleflow.operators.split import chrono_split, train_test
-from candleflow.plans.catalogue import q_features, q_stream_features
-from candleflow.streaming.incremental import IncrementalFeatures, start_scoring
-from candleflow.streaming.ingest import dedup_stream, kline_stream
+from candleflow.plans.catalogue import q_features, q_stream_features, q_stream_features_out_of_order
+from candleflow.sources.events import bars_from_events
+from candleflow.streaming.incremental import IncrementalFeatures, MissingStateError, read_features, start_scoring
+from candleflow.streaming.ingest import dedup_stream, events_stream, kline_stream, read_bars, start_bars
 from conftest import SF_SMALL
 from frames import candle, frame
 
@@ -25,25 +27,62 @@ def test_stream_equals_batch(spark):
     assert _rows(q_stream_features(spark, SF_SMALL)) == _rows(q_features(spark, SF_SMALL))
 
 
-def test_incremental_keeps_late_rows_aside(spark):
-    d = tempfile.mkdtemp(prefix="incr-", dir="/tmp")
-    fn = IncrementalFeatures(f"{d}/out", f"{d}/tails", f"{d}/late")
-    first = [candle("S", m, 10.0 + m) for m in range(15)]
-    late = candle("S", 30, 99.0)
-    second = [candle("S", m, 10.0 + m) for m in range(40, 52)]
-    fn(frame(spark, first + [late]), 0)
-    fn(frame(spark, [candle("S", 20, 5.0)] + second), 1)  # minute 20 is older than minute 30
-    out = spark.read.parquet(f"{d}/out").drop("batch_id")
-    want = features(frame(spark, first + [late] + second))
-    assert _rows(out) == _rows(want)
-    late_rows = spark.read.parquet(f"{d}/late").collect()
-    assert [r.open_time.minute for r in late_rows] == [20]
-    # an empty batch carries the tail on, and a retried batch overwrites itself
-    fn(frame(spark, []), 2)
-    fn(frame(spark, [candle("S", m, 1.0) for m in range(60, 62)]), 3)
-    fn(frame(spark, [candle("S", m, 1.0) for m in range(60, 62)]), 3)
-    again = spark.read.parquet(f"{d}/out")
-    assert again.groupBy("open_time").count().where("count > 1").count() == 0
+def test_out_of_order_equals_batch(spark):
+    assert _rows(q_stream_features_out_of_order(spark, SF_SMALL)) == _rows(q_features(spark, SF_SMALL))
+
+
+def _stream(spark, tag, batches):
+    d = tempfile.mkdtemp(prefix=tag, dir="/tmp")
+    fn = IncrementalFeatures(f"{d}/out", f"{d}/silver")
+    for k, rows in enumerate(batches):
+        fn(frame(spark, rows), k)
+    return d, fn
+
+
+def test_late_lagging_and_revised_candles_are_merged(spark):
+    first = [candle("S", m, 10.0 + m) for m in (*range(15), 30)]
+    second = [candle("S", 20, 5.0), *[candle("S", m, 10.0 + m) for m in range(40, 52)]]  # 20 is older than 30
+    other = [candle("T", m, 1.0 + m) for m in range(14)]  # a symbol that lags behind all others
+    revised = list(candle("S", 41, 77.0))
+    revised[schemas.SILVER_COLUMNS.index("number_of_trades")] += 5
+    stale = list(candle("S", 42, 99.0))
+    stale[schemas.SILVER_COLUMNS.index("number_of_trades")] -= 1
+    d, fn = _stream(spark, "incr-", [first, second, [], other, [tuple(revised), tuple(stale)]])
+    final = [c for c in first + second + other if (c[0], c[1]) != (revised[0], revised[1])] + [tuple(revised)]
+    want = _rows(features(frame(spark, final)))
+    assert _rows(read_features(spark, f"{d}/out")) == want
+    # a retried batch overwrites itself
+    fn(frame(spark, [tuple(revised), tuple(stale)]), 4)
+    assert _rows(read_features(spark, f"{d}/out")) == want
+    # so does the same poll once more; it changes nothing
+    fn(frame(spark, second), 5)
+    assert _rows(read_features(spark, f"{d}/out")) == want
+    assert spark.read.parquet(f"{d}/silver/batch_id=5").count() == 0
+
+
+def test_missing_state_is_an_error(spark):
+    d, fn = _stream(spark, "incr-gone-", [[candle("S", m, 10.0) for m in range(12)]])
+    with pytest.raises(MissingStateError):
+        fn(frame(spark, [candle("S", 20, 1.0)]), 2)
+
+
+def test_bars_count_late_events_and_retries(spark):
+    d = tempfile.mkdtemp(prefix="bars-", dir="/tmp")
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    for k, part in enumerate((events.where("event_id % 3 = 0"), events.where("event_id % 3 = 1"), events.where("event_id % 3 = 2"))):
+        part.write.mode("append").parquet(f"{d}/landed")
+        start_bars(events_stream(spark, f"{d}/landed"), f"{d}/bars", f"{d}/ck").awaitTermination()
+    assert _rows(read_bars(spark, f"{d}/bars")) == _rows(bars_from_events(events))
+
+
+def test_a_bad_body_stops_the_stream(spark):
+    d = tempfile.mkdtemp(prefix="bad-", dir="/tmp")
+    os.makedirs(f"{d}/landed")
+    with open(f"{d}/landed/AAA_1m.json", "w") as fh:
+        fh.write('{"code": -1121, "msg": "Invalid symbol."}')
+    q = kline_stream(spark, f"{d}/landed").writeStream.format("memory").queryName("bad_body").trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="no kline body"):
+        q.awaitTermination()
 
 
 ROW = [1700000000000, "1.0", "2.0", "0.5", "1.5", "3.0", 1700000059999, "4.5", 7, "1.0", "1.5", "0"]
@@ -96,9 +135,8 @@ def test_micro_batches_clean_up_after_themselves(spark):
     base = ensure_checkpoint_dir(spark).replace("file:", "")
     before = set(glob.glob(f"{base}/candleflow-*"))
     d = tempfile.mkdtemp(prefix="incr-clean-", dir="/tmp")
-    fn = IncrementalFeatures(f"{d}/out", f"{d}/tails", f"{d}/late")
+    fn = IncrementalFeatures(f"{d}/out", f"{d}/silver")
     for b in range(4):
         fn(frame(spark, [candle("S", 20 * b + m, 10.0 + m) for m in range(20)]), b)
     assert set(glob.glob(f"{base}/candleflow-*")) == before
-    assert sorted(os.listdir(f"{d}/tails")) == ["batch_id=2", "batch_id=3"]
-    assert spark.read.parquet(f"{d}/out").count() == 80 - 11
+    assert read_features(spark, f"{d}/out").count() == 80 - 11
