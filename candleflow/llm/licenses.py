@@ -135,9 +135,9 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict
         likely = likely | (F.size(F.array_intersect("present", F.array(*[F.lit(w) for w in sorted(words)]))) >= need)
     texts = materialize(seen.select("doc_id", "key", F.size("words").cast("long").alias("n_words"), "present", F.when(likely, F.col("words")).alias("words")), "license-words")
 
-    found = once(texts.where("words is not null"), at=F.array(*[_places(F.col("words"), p) for p in phrases])).select("key", "at")
+    found = once(texts.where("words is not null"), at=F.array(*[_places(F.col("words"), p) for p in phrases]).cast("array<array<int>>")).select("key", "at")
     flat = F.flatten("at")
-    labels = F.array_compact(F.array(*[F.when(F.size(F.get("at", F.lit(k))) > 0, F.lit(label)) for k, label in enumerate(phrases.values())]))
+    labels = F.array_compact(F.array(*[F.when(F.size(F.get("at", F.lit(k))) > 0, F.lit(label)) for k, label in enumerate(phrases.values())]).cast("array<string>"))
     base_hits = found.where(F.size(flat) > 0).select(
         "key", F.size(flat).cast("long").alias("n_base"), F.array_min(flat).cast("long").alias("first_word"), F.array_max(flat).cast("long").alias("last_word"), labels.alias("base"))
     more = matches(texts, sets, block, stride)
