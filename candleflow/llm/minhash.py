@@ -29,11 +29,11 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 6
 STEP = 1 << 20
-#: Rounds in which a bucket's members are verified against one of them.
-STARS = 3
 #: Members of a bucket compared with each other at once, and how many standard
 #: deviations below the threshold a signature's estimate may be.
 BLOCK, SIGMAS = 1024, 4.0
+#: Pieces of work that small buckets share, at least.
+PIECES = 64
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -157,18 +157,35 @@ def signatures(text: np.ndarray, hashes: np.ndarray, weights: np.ndarray, n: int
     return names.reshape(n, m)
 
 
+class Bags:
+    """The shingle multisets of some texts, for comparing many pairs of them."""
+
+    def __init__(self, texts: list[str | None], size: int = SHINGLE):
+        t, self.hashes, self.counts = shingles(texts, size)
+        self.total = np.bincount(t, self.counts, len(texts))
+        self.length = np.bincount(t, minlength=len(texts))
+        self.start = np.cumsum(self.length) - self.length
+
+    def overlap(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Weighted Jaccard similarity of each pair of text numbers."""
+        n = len(left)
+        both = np.concatenate([left, right])
+        length = self.length[both]
+        pair = np.repeat(np.arange(2 * n) % max(n, 1), length)
+        at = np.arange(len(pair)) + np.repeat(self.start[both] - (np.cumsum(length) - length), length)
+        h, c = self.hashes[at], self.counts[at]
+        order = np.lexsort((h, pair))
+        pair, h, c = pair[order], h[order], c[order]
+        same = (pair[1:] == pair[:-1]) & (h[1:] == h[:-1])
+        shared = np.bincount(pair[1:][same], np.minimum(c[1:], c[:-1])[same], n)
+        union = self.total[left] + self.total[right] - shared
+        return np.divide(shared, union, out=np.zeros(n), where=union > 0)
+
+
 def overlap(left: list[str], right: list[str], size: int = SHINGLE) -> np.ndarray:
     """Weighted Jaccard similarity of each pair of texts, from the multisets."""
     n = len(left)
-    t, h, c = shingles([*left, *right], size)
-    total = np.bincount(t, c, 2 * n)
-    pair = t % n
-    order = np.lexsort((h, pair))
-    pair, h, c = pair[order], h[order], c[order]
-    same = (pair[1:] == pair[:-1]) & (h[1:] == h[:-1])
-    shared = np.bincount(pair[1:][same], np.minimum(c[1:], c[:-1])[same], n)
-    union = total[:n] + total[n:] - shared
-    return np.divide(shared, union, out=np.zeros(n), where=union > 0)
+    return Bags([*left, *right], size).overlap(np.arange(n), np.arange(n, 2 * n))
 
 
 def _signed(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
@@ -195,16 +212,27 @@ def _similar(batches: Iterator[pa.RecordBatch], size: int, threshold: float) ->
         yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(s >= threshold - 1e-12)], names=["a", "b", "link"])
 
 
-def _alike(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Pairs of one bucket from different groups whose signatures agree about
-    as often as the threshold asks; between the two blocks of a piece of work."""
+def _linked(rows: pd.DataFrame, threshold: float, size: int, per_band: int) -> pd.DataFrame:
+    """Links between groups within the buckets of a piece of work, or between
+    the two blocks of one: pairs whose signatures agree about as often as the
+    threshold asks, verified on their texts.  A pair is looked at in the first
+    bucket it shares.  Of the links, as many come out as tie the linked
+    members together."""
     out = []
-    for _, part in rows.groupby(["band", "bucket"]):
+    for (band, _), part in rows.groupby(["band", "bucket"]):
         ids, root, n, block = (part[c].to_numpy() for c in ("id", "root", "n", "block"))
         sig = np.frombuffer(b"".join(part["sig"]), np.uint8).reshape(len(ids), -1)
         m = sig.shape[1]
         least = int(np.floor(m * threshold - SIGMAS * np.sqrt(m * threshold * (1 - threshold))))
         split = part["lo"].iat[0] != part["hi"].iat[0]
+        bags, head = None, list(range(len(ids)))
+
+        def find(x: int) -> int:
+            while head[x] != x:
+                head[x] = head[head[x]]
+                x = head[x]
+            return x
+
         for lo in range(0, len(ids), 64):
             i = slice(lo, lo + 64)
             near = (ids[i, None] < ids[None, :]) & (root[i, None] != root[None, :])
@@ -212,11 +240,22 @@ def _alike(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
             if split:
                 near &= block[i, None] != block[None, :]
             x, y = np.nonzero(near)
-            for at in range(0, len(x), 1 << 14):
-                u, v = x[at : at + (1 << 14)] + lo, y[at : at + (1 << 14)]
-                good = (sig[u] == sig[v]).sum(axis=1) >= least
-                out.append(pd.DataFrame({"a": ids[u[good]], "b": ids[v[good]]}))
-    return pd.concat(out) if out else pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+            x = x + lo
+            for at in range(0, len(x), 1 << 13):
+                u, v = x[at : at + (1 << 13)], y[at : at + (1 << 13)]
+                same = sig[u] == sig[v]
+                before = same[:, : per_band * band].reshape(len(u), band, per_band).all(axis=2).any(axis=1)
+                good = (same.sum(axis=1) >= least) & ~before
+                u, v = u[good], v[good]
+                if len(u) and bags is None:
+                    bags = Bags(part["text"].tolist(), size)
+                for k in range(0, len(u), 256):
+                    linked = bags.overlap(u[k : k + 256], v[k : k + 256]) >= threshold - 1e-12
+                    for a, b in zip(u[k : k + 256][linked].tolist(), v[k : k + 256][linked].tolist(), strict=True):
+                        if (p := find(a)) != (q := find(b)):
+                            head[max(p, q)] = min(p, q)
+                            out.append((ids[a], ids[b]))
+    return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -233,11 +272,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
 
     Equal texts meet by hash, summed within tasks, and only one of each goes
     on.  In a band's bucket the members are verified against the one that
-    shares most buckets with others, then against one outside of its group,
-    and so on for a few rounds: a bucket of thousands of copies costs a few
-    pairs a member.  Members whose groups still differ are compared by their
-    signatures, block against block, and verified if those agree as often as
-    the threshold less ``SIGMAS`` standard deviations asks.
+    shares most buckets with others: a bucket of thousands of copies costs a
+    pair a member.  Members whose groups still differ are then compared with
+    each other, block against block: by their signatures, and on their texts
+    if those agree as often as the threshold less ``SIGMAS`` standard
+    deviations asks.  Only links that join groups are written.
     """
     spark = docs.sparkSession
     importable(spark)
@@ -258,41 +297,29 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     texts = materialize(base.join(one_text.select(F.col("id").alias("doc_id"), "h1", "h2"), ["doc_id", "h1", "h2"], "left_semi")
                         .dropDuplicates(["doc_id", "h1", "h2"]).select("doc_id", "text"), "candidate-texts")
 
-    def verified(pairs: DataFrame, tag: str) -> DataFrame:
-        joined = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-                  .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
-        return materialize(joined.select("a", "b", "text_a", "text_b").mapInArrow(lambda it: _similar(it, size, threshold), "a long, b long, link boolean"), tag)
-
     where = ["band", "bucket"]
-    done = spark.createDataFrame([], "a long, b long, link boolean")
-    groups = spark.createDataFrame([], "id long, root long")
-    led = None
-    for turn in range(STARS + 1):
-        labelled = bucketed.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        if turn:
-            mixed = labelled.where("c > 2").groupBy(*where).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select(*where)
-            labelled = materialize(labelled.join(mixed, where, "left_semi"), "mixed-buckets")
-            if labelled.isEmpty():
-                break
-        if turn < STARS:
-            free = labelled
-            if led is not None:
-                free = labelled.join(led.join(labelled.select(*where, F.col("id").alias("leader"), "root"), [*where, "leader"]).select(*where, "root").distinct(), [*where, "root"], "left_anti")
-            lead = materialize(free.groupBy(*where).agg(F.max(F.struct("deg", (-F.col("id")).alias("minus"), "n", "root")).alias("l"))
-                               .select(*where, (-F.col("l.minus")).alias("leader"), F.col("l.n").alias("n_l"), F.col("l.root").alias("root_l")), "leaders")
-            pairs = (labelled.join(lead, where).where("root <> root_l")
-                     .where(F.least("n", "n_l") >= threshold * F.greatest("n", "n_l") - 1e-9)
-                     .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
-            led = lead.select(*where, "leader") if led is None else led.union(lead.select(*where, "leader"))
-        else:
-            placed = labelled.join(classes.select("id", "sig"), "id").withColumn("blocks", F.ceil(F.col("c") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-            work = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-                *where, "id", "n", "root", "sig", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-                F.when(F.col("blocks") == 1, F.pmod(F.xxhash64(*where), F.lit(4 * spark.sparkContext.defaultParallelism))).otherwise(F.xxhash64(*where)).alias("piece"))
-            pairs = work.groupBy("piece", "lo", "hi").applyInPandas(lambda pdf: _alike(pdf, threshold), "a long, b long").distinct()
-        new = verified(pairs.join(done.select("a", "b"), ["a", "b"], "left_anti"), "verified")
-        done = done.union(new)
-        groups = components(done.where("link").select("a", "b"))
+    lead = bucketed.groupBy(*where).agg(F.max(F.struct("deg", (-F.col("id")).alias("minus"), "n")).alias("l")).select(
+        *where, (-F.col("l.minus")).alias("leader"), F.col("l.n").alias("n_l"))
+    stars = (bucketed.join(lead, where).where("id <> leader")
+             .where(F.least("n", "n_l") >= threshold * F.greatest("n", "n_l") - 1e-9)
+             .select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct())
+    joined = (stars.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+              .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"))
+    first = materialize(joined.select("a", "b", "text_a", "text_b").mapInArrow(
+        lambda it: _similar(it, size, threshold), "a long, b long, link boolean").where("link").select("a", "b"), "star-links")
+    groups = components(first)
+
+    labelled = bucketed.where("c > 2").join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = labelled.groupBy(*where).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select(*where)
+    apart = materialize(labelled.join(mixed, where, "left_semi"), "mixed-buckets")
+    if left := apart.count():
+        placed = apart.withColumn("blocks", F.ceil(F.col("c") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        whole = placed.join(classes.select("id", "sig"), "id").join(texts.withColumnRenamed("doc_id", "id"), "id")
+        work = whole.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+            *where, "id", "n", "root", "sig", "text", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+            F.when(F.col("blocks") == 1, F.pmod(F.xxhash64(*where), F.lit(max(PIECES, left // BLOCK)))).otherwise(F.xxhash64(*where)).alias("piece"))
+        more = materialize(work.groupBy("piece", "lo", "hi").applyInPandas(lambda pdf: _linked(pdf, threshold, size, rows), "a long, b long"), "cross-links")
+        groups = components(first.union(more))
 
     of_text = classes.select("h1", "h2", F.col("id").alias("class_id")).join(groups.select(F.col("id").alias("class_id"), "root"), "class_id", "left")
     out = base.select("doc_id", "h1", "h2").join(of_text, ["h1", "h2"], "left")
