@@ -34,7 +34,7 @@ BEST = 4
 PENALTY = 10.0
 #: Scores of this and less mark pieces that are kept out of ordinary segmentations.
 NEVER = -1e8
-KEPT, LONGEST_KEPT = 300_000, 64
+KEPT, LONGEST_KEPT = 500_000, 64
 WORD = re.compile("(?<=[^ ])(?= )")
 
 _MODELS: dict[tuple[str, int], "Segmenter"] = {}
@@ -68,8 +68,11 @@ class Segmenter:
         self.line_feeds = not any("\n" in p for p in self.pieces)
         before = {p[k - 1] for p in self.pieces for k in range(1, len(p)) if p[k] in ".,"}
         self.joined = re.compile(f"[.,](?<=[{re.escape(''.join(sorted(before | {' ', chr(10), chr(1)})))}][.,])[ \x01]")
+        self.code = "H" if max(len(self.raw), max(self.byte_ids) + 1) <= 1 << 16 else "I"
+        self.width = array(self.code).itemsize
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
+        self.known: dict[str, list] = {}
 
     @classmethod
     def load(cls, path: str, n: int = BEST) -> "Segmenter":
@@ -89,20 +92,44 @@ class Segmenter:
                 raw.append(piece.replace(MARK, " ").encode())
         return cls(pieces, raw, byte_ids, n)
 
-    def edges(self, word: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        """For each end in ``word`` the (start, score, ids) that lead there."""
+    def lattice(self, word: str) -> tuple[list[float], list[list[tuple[float, int, tuple[int, ...]]]], list]:
+        """The forward pass: for each place of ``word`` the best score up to
+        it, the edges (score up to its end, start, ids) that lead there, and
+        the best of them."""
         get, n = self.steps.get, len(word)
-        into: list[list] = [[] for _ in range(n + 1)]
+        best, into, lead = [float("-inf")] * (n + 1), [[] for _ in range(n + 1)], [None] * (n + 1)
+        best[0] = 0.0
         for i in range(n):
+            here = best[i]
             for j in range(i + 1, n + 1):
                 found = get(word[i:j], 0)
                 if found:
-                    into[j].append((i, *found))
+                    v = here + found[0]
+                    edge = (v, i, found[1])
+                    into[j].append(edge)
+                    if v > best[j]:
+                        best[j], lead[j] = v, edge
                 elif found == 0:
                     break
             if not get(word[i]):
-                into[i + 1].append((i, self.fallback, tuple(self.byte_ids[b] for b in word[i].encode())))
-        return into
+                edge = (here + self.fallback, i, tuple(self.byte_ids[b] for b in word[i].encode()))
+                into[i + 1].append(edge)
+                if edge[0] > best[i + 1]:
+                    best[i + 1], lead[i + 1] = edge[0], edge
+        return best, into, lead
+
+    def first(self, word: str) -> tuple[float, float, bytes]:
+        """(loss of the second best segmentation, best score, ids of the best)."""
+        best, into, lead = self.lattice(word)
+        at, loss, parts = len(word), float("inf"), []
+        while at:
+            edge, top = lead[at], best[at]
+            for e in into[at]:
+                if e is not edge and top - e[0] < loss:
+                    loss = top - e[0]
+            parts.append(edge[2])
+            at = edge[1]
+        return loss, best[-1], array(self.code, [i for p in reversed(parts) for i in p]).tobytes()
 
     def search(self, word: str) -> list[tuple[float, tuple[int, ...]]]:
         """The ``n`` best segmentations of ``word``: score and ids, best
@@ -113,15 +140,8 @@ class Segmenter:
         So a state is followed along its best edge to the start at once, and
         of the other edges only those are kept whose value is among the ``n``
         best values seen."""
-        into, n = self.edges(word), len(word)
-        best, lead = [0.0] * (n + 1), [None] * (n + 1)
-        for j in range(1, n + 1):
-            top = None
-            for e in into[j]:
-                v = best[e[0]] + e[1]
-                if top is None or v > top:
-                    top, lead[j] = v, e
-            best[j] = top
+        best, into, lead = self.lattice(word)
+        n = len(word)
         out, count, values = [], 0, [-best[n]]
         heap = [(-best[n], 0, n, 0.0, None)]
         while heap and len(out) < self.n:
@@ -130,13 +150,13 @@ class Segmenter:
                 first = lead[at]
                 for e in into[at]:
                     if e is not first:
-                        v = -(best[e[0]] + e[1] + behind)
+                        v = -(e[0] + behind)
                         if len(values) < self.n or v < values[-1]:
                             insort(values, v)
                             del values[self.n :]
                             count += 1
-                            heapq.heappush(heap, (v, count, e[0], e[1] + behind, (e[2], path)))
-                at, behind, path = first[0], behind + first[1], (first[2], path)
+                            heapq.heappush(heap, (v, count, e[1], e[0] - best[e[1]] + behind, (e[2], path)))
+                at, behind, path = first[1], behind + first[0] - best[first[1]], (first[2], path)
             ids: list[int] = []
             while path:
                 ids += path[0]
@@ -159,23 +179,25 @@ class Segmenter:
             text = text.replace(".\x01", "\x01.\x01").replace(",\x01", "\x01,\x01")
         return text.split("\x01")
 
-    def entry(self, word: str) -> tuple:
-        """(loss of the second best, best score, ids of the best as bytes, then (loss, ids) of each other)."""
-        found = self.search(word.replace(" ", MARK))
-        top = found[0][0]
-        others = [(top - s, array("I", ids).tobytes()) for s, ids in found[1:]]
-        return (others[0][0] if others else float("inf"), top, array("I", found[0][1]).tobytes(), others)
+    def others(self, word: str) -> list[tuple[float, bytes]]:
+        """(loss, ids) of the segmentations after the best."""
+        if word not in self.known:
+            if len(self.known) > KEPT // 8:
+                self.known.clear()
+            found = self.search(word.replace(" ", MARK))
+            self.known[word] = [(found[0][0] - s, array(self.code, ids).tobytes()) for s, ids in found[1:]]
+        return self.known[word]
 
     def best(self, text: str) -> list[tuple[float, bytes]]:
-        """The ``n`` best segmentations of a text: score and ids, 4 bytes each
-        in native order."""
+        """The ``n`` best segmentations of a text: score and ids, ``width``
+        bytes each in native order."""
         words = self.words(text)
         if len(self.young) > KEPT:
             self.old, self.young = self.young, {}
         young = self.young
         passing = []
         for w in set(words).difference(young):
-            young[w] = self.old.get(w) or self.entry(w)
+            young[w] = self.old.get(w) or self.first(w.replace(" ", MARK))
             if len(w) > LONGEST_KEPT:
                 passing.append(w)
         rows = list(map(young.__getitem__, words))
@@ -186,7 +208,7 @@ class Segmenter:
         bar = heapq.nsmallest(self.n - 1, losses)[-1] if 1 < self.n <= len(rows) else float("inf")
         ways: list[tuple[float, tuple]] = [(0.0, ())]  # (loss, ((word, which), ...)): choices that deviate from the best
         for k in [k for k, loss in enumerate(losses) if loss <= bar] if self.n > 1 else []:
-            more = ways + [(g + loss, (*way, (k, c))) for c, (loss, _) in enumerate(rows[k][3]) for g, way in ways]
+            more = ways + [(g + loss, (*way, (k, c))) for c, (loss, _) in enumerate(self.others(words[k])) for g, way in ways]
             more.sort(key=itemgetter(0))
             ways = more[: self.n]
         total = sum([r[1] for r in rows])
@@ -195,13 +217,13 @@ class Segmenter:
         for loss, way in ways[1:]:
             own = parts.copy()
             for k, c in way:
-                own[k] = rows[k][3][c][1]
+                own[k] = self.others(words[k])[c][1]
             out.append((total - loss, b"".join(own)))
         return out
 
     def decode(self, ids: bytes) -> bytes:
-        """The text, in UTF-8, that ids (4 bytes each, native order) stand for."""
-        return b"".join(map(self.raw.__getitem__, array("I", ids)))[1:]
+        """The text, in UTF-8, that ids (as :meth:`best` gives them) stand for."""
+        return b"".join(map(self.raw.__getitem__, array(self.code, ids)))[1:]
 
 
 def _segmented(batches: Iterator[pa.RecordBatch], path: str, n: int, digest: bool) -> Iterator[pa.RecordBatch]:
@@ -215,8 +237,8 @@ def _segmented(batches: Iterator[pa.RecordBatch], path: str, n: int, digest: boo
                 docs.append(doc)
                 ranks.append(rank)
                 scores.append(score)
-                counts.append(len(found) // 4)
-                plain = np.frombuffer(found, np.uint32).astype("<u4").tobytes()
+                counts.append(len(found) // model.width)
+                plain = np.frombuffer(found, model.code).astype("<u4").tobytes()
                 ids.append(zlib.crc32(plain) if digest else plain)
                 same.append(model.decode(found) == raw)
         yield pa.record_batch([

@@ -19,10 +19,10 @@ def small(n=5, whole=False):
 def brute(model, text):
     """All segmentations of the whole marked text, best scores first."""
     marked = "▁" + text.replace(" ", "▁")
-    into = model.edges(marked)
+    best, into, _ = model.lattice(marked)
     ways = {0: [(0.0, ())]}
     for j in range(1, len(marked) + 1):
-        ways[j] = [(s + t, p + ids) for i, t, ids in into[j] for s, p in ways[i]]
+        ways[j] = [(s + t - best[i], p + ids) for t, i, ids in into[j] for s, p in ways[i]]
     return sorted(ways[len(marked)], key=lambda x: -x[0])
 
 
@@ -36,7 +36,7 @@ def test_matches_all_segmentations():
             got = model.best(text)
             assert [s for s, _ in got] == [s for s, _ in everything[: len(got)]] and len(got) == min(n, len(everything))
             known = {ids: s for s, ids in everything}
-            found = [tuple(np.frombuffer(ids, np.uint32).tolist()) for _, ids in got]
+            found = [tuple(np.frombuffer(ids, model.code).tolist()) for _, ids in got]
             assert len(set(found)) == len(found) and all(known[f] == s for f, (s, _) in zip(found, got))
             assert all(model.decode(ids) == text.encode() for _, ids in got)
 
