@@ -29,7 +29,7 @@ LONGEST_KEPT = 48
 _ENCODERS: dict[tuple[str, int], "PieceEncoder"] = {}
 
 
-def encoder(path: str, kept: int = 400_000) -> "PieceEncoder":
+def encoder(path: str, kept: int = 600_000) -> "PieceEncoder":
     """The encoder of a worker process, made once per tokenizer file."""
     if (path, kept) not in _ENCODERS:
         _ENCODERS[path, kept] = PieceEncoder(path, kept)
