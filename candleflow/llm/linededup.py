@@ -1,26 +1,29 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by exact runs of lines.
 
-A document's lines are hashed; a rolling hash over the last lines' hashes
-(rotate and xor) decides where a chunk ends, so the same run of lines is cut
-alike wherever it stands.  A line that is long enough to be a passage of its
-own is always a chunk of its own.  Chunks of at least ``MIN_WORDS`` words that
-occur more than once in the corpus, byte for byte, stay at their first place
-and are removed elsewhere.
+A passage is a run of lines of at least ``MIN_WORDS`` words that starts and
+ends with a line of words.  Every such run is the union of its shortest parts
+of that many words: one starts at each line, one ends at each line.  These
+windows are hashed over the hashes of their lines; those whose hash occurs
+more than once are compared by the SHA-256 of their bytes.  A window that
+stands at an earlier place of the corpus is removed, so a repeated run goes as
+a whole, wherever it stands and however short its lines are.
 
 DataFrame functions only; no Python runs on the executors.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candleflow.llm.common import load, once
 from candleflow.session import materialize
 
-#: Words that a chunk needs to be removed, and a line to be a chunk of its own.
+#: Words that a run of lines needs to be removed.
 MIN_WORDS = 50
-#: Lines in the rolling hash; one place in so many ends a chunk.
+#: Lines looked at first for the end of a window.
+AHEAD = 8
+#: :func:`chunked`: lines in the rolling hash; one place in so many ends a chunk.
 WINDOW, EVERY = 2, 8
 
 
@@ -54,64 +57,115 @@ def chunked(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, e
     return once(cut, chunks=F.transform("ends", chunk)).drop("lines", "line_words", "line_hash", "ends")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, every: int = EVERY) -> DataFrame:
-    """``docs`` (doc_id, text, any other columns) with repeated chunks taken
-    out of ``text``, and with ``removed_chunks``, ``removed_words``.
-
-    The first place of a chunk is the one with the smallest doc_id (null
-    first), then by a hash of the row, then the earliest in the text.  Rows
-    equal in doc_id and text are one document: all of them keep or lose the
-    same chunks.  A null text stays null, an empty one empty; all other rows
-    and columns come through, an empty table as such.
-
-    Chunks are counted by two 64-bit hashes, a key that occurs often being
-    summed within tasks first; the bytes of the chunks that repeat are then
-    compared, and a pair of hashes that stands for several texts is resolved
-    by the texts.  A document's chunks travel only within its own row or one
-    row per chunk.
+def windowed(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` (with a column text, not null) and its ``lines``, the places
+    ``solid`` of those with words, their ``words``, and the ``windows``: an
+    array of (s, n, h), n lines of words from the s-th on and their hash."""
+    lines = once(docs, lines=F.split("text", "\n", -1))
+    counted = once(lines, line_words=F.transform("lines", lambda x: F.regexp_count(x, F.lit(r"\S+"))))
+    placed = once(counted, solid=F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("line_words", i) > 0))
+    hashed = once(placed, words=F.transform("solid", lambda i: F.get("line_words", i)), body_hash=F.transform("solid", lambda i: F.xxhash64(F.get("lines", i))))
+
+    def unit(i: Column, k: Column) -> Column:  # a line and the lines without words between it and the last
+        before = F.coalesce(F.get("solid", k - 1), i - 1)
+        return F.when(before == i - 1, F.get("body_hash", k)).otherwise(F.xxhash64(F.array_join(F.slice("lines", before + 2, i - before), "\n")))
+
+    def shortest(words: Column) -> Column:  # lines from each on that hold min_words, null if there are too few
+        def within(i: Column, size: int) -> Column:
+            def more(a: Column, x: Column) -> Column:
+                short = a["sum"] < min_words
+                return F.struct((a["sum"] + F.when(short, F.least(x, F.lit(min_words))).otherwise(0)).alias("sum"), (a["n"] + F.when(short, 1).otherwise(0)).alias("n"))
+
+            start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"))
+            return F.aggregate(F.slice(words, i + 1, size), start, more, lambda a: F.when(a["sum"] >= min_words, a["n"]))
+
+        return F.transform(words, lambda x, i: F.when(x >= min_words, F.lit(1)).otherwise(F.coalesce(within(i, min(AHEAD, min_words)), within(i, min_words))))
+
+    turned = once(hashed, unit_hash=F.transform("solid", unit), backward=F.reverse("words"))
+    sized = once(turned, ahead=shortest(F.col("words")), back=F.reverse(shortest(F.col("backward"))))
+    from_start = F.transform("ahead", lambda n, s: F.struct(s.alias("s"), n.alias("n")))
+    to_end = F.transform("back", lambda n, e: F.struct((e - n + 1).alias("s"), n.alias("n")))
+    spans = once(sized, spans=F.concat(
+        F.filter(from_start, lambda w: w["n"].isNotNull()),
+        F.filter(to_end, lambda w: w["n"].isNotNull() & ~F.get("ahead", w["s"]).eqNullSafe(w["n"]))))
+    return once(spans, windows=F.transform("spans", lambda w: F.struct(
+        w["s"].alias("s"), w["n"].alias("n"),
+        F.xxhash64(F.slice("unit_hash", w["s"] + 2, w["n"] - 1), F.get("body_hash", w["s"])).alias("h")))).drop(
+            "line_words", "body_hash", "unit_hash", "backward", "ahead", "back", "spans")
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` (doc_id, text, any other columns) with repeated runs of lines
+    taken out of ``text``, and with ``removed_chunks`` (stretches of lines
+    taken out) and ``removed_words``.
+
+    A line of words goes if a run of lines around it, of ``min_words`` or
+    more, stands byte for byte at an earlier place that it doesn't overlap.
+    Lines without words go if the lines of words on both sides do.  Places are
+    in order of doc_id (null first), then of a hash of the row, then in the
+    text.  Rows equal in doc_id and text are one document: all of them keep or
+    lose the same lines.  A null text stays null, an empty one empty; all
+    other rows and columns come through, an empty table as such.
+
+    Windows are counted by a 64-bit hash, a key that occurs often being summed
+    within tasks first; those that repeat are compared by the SHA-256 of their
+    bytes.  Windows travel as numbers; a text travels only within its own row.
     """
     columns = [c for c in docs.columns if c not in ("removed_chunks", "removed_words")]
     has_text = F.coalesce("text", F.lit(""))
     key_1, key_2 = F.xxhash64(F.lit(1), F.col("doc_id"), has_text), F.xxhash64(F.lit(2), F.col("doc_id"), has_text)
     slim = docs.where("text is not null and text <> ''").select(F.col("doc_id").cast("long").alias("d"), key_1.alias("r1"), key_2.alias("r2"), "text")
-    keys = chunked(slim, min_words, window, every).select(
-        "d", "r1", "r2", F.posexplode(F.transform("chunks", lambda c: F.struct(
-            c["words"].alias("words"), F.xxhash64(c["body"]).alias("h1"), F.xxhash64(F.lit(3), c["body"]).alias("h2")))).alias("k", "c"))
-    places = materialize(keys.where(F.col("c.words") >= min_words).select("d", "r1", "r2", "k", "c.h1", "c.h2", "c.words"), "chunk-places")
-    place = F.struct("d", "r1", "r2", "k")
-    repeated = places.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
-    suspects = materialize(
-        places.join(repeated, ["h1", "h2"]).groupBy("r1", "r2").agg(F.collect_set(F.struct("k", "h1", "h2", "words", "first", "d")).alias("suspects")), "chunk-suspects")
-
-    # Byte comparison: the texts that stand behind each pair of hashes.
-    bodies = chunked(slim.join(suspects.hint("merge"), ["r1", "r2"]), min_words, window, every).select(
-        "r1", "r2", F.explode(F.transform("suspects", lambda s: F.struct(
-            s["k"].alias("k"), s["h1"].alias("h1"), s["h2"].alias("h2"), s["words"].alias("words"), s["d"].alias("d"),
-            F.get("chunks", s["k"])["body"].alias("body")))).alias("s")).select("r1", "r2", "s.*")
-    texts = bodies.groupBy("h1", "h2", "body").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    several = materialize(texts.groupBy("h1", "h2").agg(F.count("*").alias("texts")).where("texts > 1").select("h1", "h2"), "chunk-collisions")
-    entries = suspects.select("r1", "r2", F.explode("suspects").alias("s")).select("r1", "r2", "s.*")
-    not_first = ~((F.col("first.r1") == F.col("r1")) & (F.col("first.r2") == F.col("r2")) & (F.col("first.k") == F.col("k")))
-    if several.isEmpty():
-        gone = entries.where(not_first).select("r1", "r2", "k", "words")
-    else:
-        by_text = bodies.join(several, ["h1", "h2"], "left_semi").join(texts.where("n > 1"), ["h1", "h2", "body"])
-        gone = (entries.join(several, ["h1", "h2"], "left_anti").where(not_first).select("r1", "r2", "k", "words")
-                .unionByName(by_text.where(not_first).select("r1", "r2", "k", "words")))
-    removed = materialize(gone.groupBy("r1", "r2").agg(F.collect_set("k").alias("gone"), F.sum("words").alias("gone_words")), "chunk-removed")
+    places = materialize(windowed(slim, min_words).select("r1", "r2", F.explode("windows").alias("w")).select("r1", "r2", "w.*"), "window-places")
+    repeated = places.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    suspects = materialize(places.join(repeated, "h", "left_semi").groupBy("r1", "r2").agg(F.collect_set(F.struct("s", "n")).alias("suspects")), "window-suspects")
+
+    # The bytes of the windows that may repeat.
+    whole_lines = once(slim.join(suspects.hint("merge"), ["r1", "r2"]), lines=F.split("text", "\n", -1))
+    solid = once(whole_lines, solid=F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.regexp_count(F.get("lines", i), F.lit(r"\S+")) > 0))
+
+    def digest(w: Column) -> Column:
+        first, last = F.get("solid", w["s"]), F.get("solid", w["s"] + w["n"] - 1)
+        return F.unhex(F.sha2(F.array_join(F.slice("lines", first + 1, last - first + 1), "\n"), 256))
+
+    same = materialize(solid.select("d", "r1", "r2", F.explode(F.transform("suspects", lambda w: F.struct(
+        w["s"].alias("s"), w["n"].alias("n"), digest(w).alias("digest")))).alias("w")).select("d", "r1", "r2", "w.*"), "window-digests")
+    firsts = same.groupBy("digest").agg(F.min(F.struct("d", "r1", "r2", "s")).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
+    here = (F.col("first.r1") == F.col("r1")) & (F.col("first.r2") == F.col("r2"))
+    gone = same.join(firsts, "digest").where(~here | (F.col("s") >= F.col("first.s") + F.col("n"))).select("r1", "r2", "s", (F.col("s") + F.col("n") - 1).alias("e"))
+
+    # Windows that touch make one stretch.
+    order = Window.partitionBy("r1", "r2").orderBy("s", "e")
+    reach = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begun = gone.withColumn("new", F.when(F.col("s") <= reach + 1, 0).otherwise(1))
+    stretch = F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    stretches = begun.withColumn("stretch", stretch).groupBy("r1", "r2", "stretch").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    removed = materialize(stretches.groupBy("r1", "r2").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("gone")), "windows-removed")
 
     # The row travels as one value, so that no column of it clashes with a working one.
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), key_1.alias("r1"), key_2.alias("r2"), "text")
     joined = row.join(removed.hint("merge"), ["r1", "r2"], "left")
-    parts = once(chunked(joined.where("gone is not null"), min_words, window, every), kept_text=F.array_join(
-        F.transform(F.filter("chunks", lambda c, k: ~F.array_contains("gone", k)), lambda c: c["body"]), "\n"))
+    cut = once(joined.where("gone is not null"), lines=F.split("text", "\n", -1))
+    cut = once(cut, line_words=F.transform("lines", lambda x: F.regexp_count(x, F.lit(r"\S+"))))
+    cut = once(cut, solid=F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: F.get("line_words", i) > 0))
+
+    def between(k: Column) -> Column:  # the lines between two stretches
+        low = F.when(k == 0, F.lit(0)).otherwise(F.get("solid", F.get("gone", k - 1)["e"]) + 1)
+        high = F.when(k == F.size("gone"), F.size("lines")).otherwise(F.get("solid", F.get("gone", k)["s"]))
+        return F.slice("lines", low + 1, high - low)
+
+    def words(g: Column) -> Column:
+        first, last = F.get("solid", g["s"]), F.get("solid", g["e"])
+        return F.aggregate(F.slice("line_words", first + 1, last - first + 1), F.lit(0).cast("long"), lambda a, x: a + x)
+
+    kept_text = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), F.size("gone")), between)), "\n")
+    gone_words = F.aggregate(F.transform("gone", words), F.lit(0).cast("long"), lambda a, x: a + x)
 
-    def result(df: DataFrame, text: str, chunks: Column, words: Column) -> DataFrame:
-        return df.select(*[(F.col(text) if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in columns],
+    def result(df: DataFrame, text: Column, chunks: Column, words: Column) -> DataFrame:
+        return df.select(*[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in columns],
                          chunks.alias("removed_chunks"), words.cast("long").alias("removed_words"))
 
-    whole = result(joined.where("gone is null"), "text", F.lit(0), F.lit(0))
-    return whole.unionByName(result(parts, "kept_text", F.size("gone"), F.col("gone_words")))
+    whole = result(joined.where("gone is null"), F.col("text"), F.lit(0), F.lit(0))
+    return whole.unionByName(result(cut, kept_text, F.size("gone"), gone_words))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

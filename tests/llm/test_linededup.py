@@ -89,3 +89,54 @@ def test_hash_collisions_fall_back_to_the_texts(spark, monkeypatch):
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, ""), (2, "")]])
 def test_nothing_to_do(spark, rows):
     assert L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(rows)
+
+
+def brute_runs(spark, rows):
+    """What is left by definition: all runs of lines of MIN_WORDS or more, each
+    against all earlier places; no chunks and no windows."""
+    hashed = {(r.doc_id, r.text): (r.h1, r.h2) for r in spark.createDataFrame(rows, "doc_id long, text string").select(
+        "doc_id", "text", F.xxhash64(F.lit(1), "doc_id", "text").alias("h1"), F.xxhash64(F.lit(2), "doc_id", "text").alias("h2")).collect()}
+    first, out = {}, {}
+    for doc, (i, t) in enumerate(sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, hashed[r]))):
+        lines = t.split("\n")
+        count = [len(x.split()) for x in lines]
+        gone, place = set(), {k: n for n, k in enumerate(k for k, c in enumerate(count) if c)}
+        for a in place:
+            for b in place:
+                if b >= a and sum(count[a : b + 1]) >= L.MIN_WORDS:
+                    at = first.setdefault("\n".join(lines[a : b + 1]), (doc, a, b))
+                    if at[0] < doc or at[2] < a:
+                        gone.update(range(a, b + 1))
+        left = [k for k in range(len(lines)) if k not in gone]
+        for k in list(left):  # lines without words between two lines that go
+            around = [max((p for p in place if p < k), default=None), min((p for p in place if p > k), default=None)]
+            if not count[k] and all(p in gone for p in around):
+                left.remove(k)
+        out[i, t] = ("\n".join(lines[k] for k in left), sum(count[k] for k in gone))
+    return out
+
+
+def test_runs_of_short_lines_match_brute_force(spark):
+    rng = random.Random(4)
+    passages = [[words(rng, rng.randint(1, 25)) for _ in range(rng.randint(3, 14))] for _ in range(5)]
+    rows = []
+    for i in range(40):
+        lines = [words(rng, rng.randint(1, 12)) for _ in range(rng.randint(0, 5))]
+        for _ in range(rng.randint(0, 2)):
+            p = rng.choice(passages)
+            a = rng.randint(0, 2)
+            at = rng.randint(0, len(lines))
+            lines[at:at] = p[a : len(p) - rng.randint(0, 1)]
+        if i % 4 == 0:
+            lines[rng.randint(0, len(lines)) :][:0] = [""]
+            lines.insert(rng.randint(0, len(lines)), rng.choice(["", "  "]))
+        rows.append((i, "\n".join(lines)))
+    ten = [words(rng, 10) for _ in range(6)]
+    gap = [*ten[:3], "", *ten[3:]]
+    rows += [(60, "\n".join(["a b", *ten, "c"])), (61, "\n".join(["d", *ten, "e f g"])), (62, "\n".join(["h", *gap])), (63, "\n".join([*gap, "i"]))]
+    rows += [(64, "\n".join(["x"] * 175)), (65, "\n".join(ten + ["x y"] + ten)), (66, "\n" + "\n".join(ten) + "\n\n"), (None, "\n".join(ten[:5])), rows[4], rows[4]]
+    out = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute_runs(spark, rows)
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    assert sorted(((r.doc_id, r.text, r.removed_words) for r in out), key=key) == sorted(((i, *want[i, t]) for i, t in rows), key=key)
+    assert want[61, rows[41][1]][0] == "d\ne f g" and sum(n for _, n in want.values()) > 500
