@@ -212,7 +212,7 @@ def _similar(batches: Iterator[pa.RecordBatch], size: int, threshold: float) ->
         yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(s >= threshold - 1e-12)], names=["a", "b", "link"])
 
 
-def _linked(rows: pd.DataFrame, threshold: float, size: int, per_band: int) -> pd.DataFrame:
+def _linked(rows: pd.DataFrame, threshold: float, size: int) -> pd.DataFrame:
     """Links between groups within the buckets of a piece of work, or between
     the two blocks of one: pairs whose signatures agree about as often as the
     threshold asks, verified on their texts.  A pair is looked at in the first
@@ -222,6 +222,7 @@ def _linked(rows: pd.DataFrame, threshold: float, size: int, per_band: int) -> p
     for (band, _), part in rows.groupby(["band", "bucket"]):
         ids, root, n, block = (part[c].to_numpy() for c in ("id", "root", "n", "block"))
         sig = np.frombuffer(b"".join(part["sig"]), np.uint8).reshape(len(ids), -1)
+        keys = np.stack(part["bands"])
         m = sig.shape[1]
         least = int(np.floor(m * threshold - SIGMAS * np.sqrt(m * threshold * (1 - threshold))))
         split = part["lo"].iat[0] != part["hi"].iat[0]
@@ -244,7 +245,7 @@ def _linked(rows: pd.DataFrame, threshold: float, size: int, per_band: int) -> p
             for at in range(0, len(x), 1 << 13):
                 u, v = x[at : at + (1 << 13)], y[at : at + (1 << 13)]
                 same = sig[u] == sig[v]
-                before = same[:, : per_band * band].reshape(len(u), band, per_band).all(axis=2).any(axis=1)
+                before = (keys[u, :band] == keys[v, :band]).any(axis=1)
                 good = (same.sum(axis=1) >= least) & ~before
                 u, v = u[good], v[good]
                 if len(u) and bags is None:
@@ -314,11 +315,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     apart = materialize(labelled.join(mixed, where, "left_semi"), "mixed-buckets")
     if left := apart.count():
         placed = apart.withColumn("blocks", F.ceil(F.col("c") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-        whole = placed.join(classes.select("id", "sig"), "id").join(texts.withColumnRenamed("doc_id", "id"), "id")
+        whole = placed.join(classes.select("id", "sig", "bands"), "id").join(texts.withColumnRenamed("doc_id", "id"), "id")
         work = whole.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-            *where, "id", "n", "root", "sig", "text", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+            *where, "id", "n", "root", "sig", "bands", "text", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
             F.when(F.col("blocks") == 1, F.pmod(F.xxhash64(*where), F.lit(max(PIECES, left // BLOCK)))).otherwise(F.xxhash64(*where)).alias("piece"))
-        more = materialize(work.groupBy("piece", "lo", "hi").applyInPandas(lambda pdf: _linked(pdf, threshold, size, rows), "a long, b long"), "cross-links")
+        more = materialize(work.groupBy("piece", "lo", "hi").applyInPandas(lambda pdf: _linked(pdf, threshold, size), "a long, b long"), "cross-links")
         groups = components(first.union(more))
 
     of_text = classes.select("h1", "h2", F.col("id").alias("class_id")).join(groups.select(F.col("id").alias("class_id"), "root"), "class_id", "left")

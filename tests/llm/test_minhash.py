@@ -120,6 +120,29 @@ def test_a_chain_in_one_bucket_is_joined(spark):
     assert {r.doc_id: r.group_id for r in out} == brute(rows)
 
 
+def test_bytes_that_agree_by_chance_are_no_earlier_meeting():
+    """Only equal band keys say that a pair met in an earlier band."""
+    words = [f"w{k}" for k in range(300)]
+    texts = [" ".join(words), " ".join(words[:299])]
+
+    def linked(bands):
+        part = M.pd.DataFrame({"band": 1, "bucket": 7, "id": [1, 2], "root": [1, 2], "n": [296, 295], "block": 0, "lo": 0, "hi": 0,
+                               "sig": [bytes(144)] * 2, "bands": [np.array(b) for b in bands], "text": texts})
+        return M._linked(part, 0.8, 5).to_numpy().tolist()
+
+    assert linked([[5, 7], [6, 7]]) == [[1, 2]]
+    assert linked([[5, 7], [5, 7]]) == []
+
+
+def test_blocks_of_a_bucket_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK", 2)
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(300)]
+    rows = [(i, " ".join("z" + w if k in at else w for k, w in enumerate(words))) for i in range(12) for at in [set(rng.integers(0, 300, 5).tolist())]]
+    out = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bands=40, rows=2).collect()
+    assert {r.doc_id: r.group_id for r in out} == brute(rows)
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None), (2, ""), (None, None)]])
 def test_nothing_to_compare(spark, rows):
     out = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
