@@ -6,11 +6,13 @@ make clusters.  A list whose members are all that near is saturated: it is
 enlarged to its whole cluster, which is compared block by block, so every link
 inside a cluster is found and counted exactly without writing out the pairs.
 Some vectors are compared with all others by brute force; while too few of
-their links were found, the graph gets another start and more rounds.
+their links were found, the graph gets another start and more rounds.  Starts
+have more trees the more bits a bucket has.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +31,19 @@ TREES, ROUNDS, TRIES = 4, 2, 4
 #: Rows compared with each other at once; usual size of a starting bucket.
 BLOCK, BUCKET = 1024, 256
 AUDIT, RECALL = 64, 0.99
+#: Vectors compared with all others at most, and numbers that these may hold.
+AUDIT_MOST, AUDIT_SIZE = 8192, 1 << 22
 #: Similarities of the graph are of single precision; clusters take in so much below the threshold.
 SLACK = 1e-4
 
 
+def _trees(bits: int, threshold: float, recall: float, least: int = TREES) -> int:
+    """Trees of ``bits`` hyperplanes in which a pair at the threshold shares a
+    bucket at least once with probability ``recall``."""
+    alone = 1 - (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** bits
+    return max(least, int(np.ceil(np.log(1 - recall) / np.log(alone)))) if 0 < alone < 1 else least
+
+
 def _labels(near: np.ndarray) -> np.ndarray:
     """For each row of a symmetric boolean matrix the smallest row reachable."""
     label = np.arange(len(near))
@@ -122,12 +133,48 @@ def _counted(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
 
 
 def _brute(batches: Iterator[pa.RecordBatch], dim: int, ids: np.ndarray, v: np.ndarray, threshold: float) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(len(ids), np.int64)
+    total, nodes = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
     for batch in batches:
-        others = batch.column("id").to_numpy()
-        near = (v @ unit(matrix(batch.column("v"), dim)).T >= threshold) & (ids[:, None] != others[None, :])
-        total += near @ batch.column("copies").to_numpy()
-    yield pa.record_batch([pa.array(ids), pa.array(total)], names=["id", "true"])
+        others, copies = batch.column("id").to_numpy(), batch.column("copies").to_numpy()
+        u = unit(matrix(batch.column("v"), dim)).T
+        for lo in range(0, len(ids), BLOCK):
+            near = (v[lo : lo + BLOCK] @ u >= threshold) & (ids[lo : lo + BLOCK, None] != others[None, :])
+            total[lo : lo + BLOCK] += near @ copies
+            nodes[lo : lo + BLOCK] += near.sum(axis=1)
+    yield pa.record_batch([pa.array(ids), pa.array(total), pa.array(nodes)], names=["id", "true", "near"])
+
+
+def _audited(nodes: DataFrame, total: int, dim: int, threshold: float, audit: int) -> pd.DataFrame:
+    """Some nodes and their links among all: id, true (copies counted), near
+    (nodes).  The sample grows until ``audit`` of its nodes have links to at
+    most ``BUCKET`` nodes, so lie outside the largest clusters."""
+    place = F.pmod(F.xxhash64("id", F.lit(31)), F.lit(1_000_000))
+    most = max(audit, min(AUDIT_MOST, AUDIT_SIZE // dim))
+    want = audit
+    while True:
+        sample = nodes.where(place < 1e6 * min(1.0, want / total)).select("id", "v").limit(2 * most).toArrow()  # bounded by most
+        if not sample.num_rows:
+            if want >= min(most, total):
+                return pd.DataFrame({"id": [], "true": [], "near": []}, dtype=np.int64)
+        else:
+            ids, v = sample["id"].to_numpy(), unit(matrix(sample["v"], dim))
+            found = nodes.mapInArrow(lambda it, ids=ids, v=v: _brute(it, dim, ids, v, threshold), "id long, true long, near long").groupBy("id").agg(
+                F.sum("true").alias("true"), F.sum("near").alias("near")).toPandas()
+            if want >= min(most, total) or ((found["near"] > 0) & (found["near"] <= BUCKET)).sum() >= audit:
+                return found
+        want = min(8 * want, most)
+
+
+def _recall(truth: pd.DataFrame, counts: DataFrame) -> float:
+    """Mean share of their links found over the linked vectors of the audit:
+    the lower of those inside the largest clusters and those outside."""
+    linked = truth[truth["near"] > 0]
+    if not len(linked):
+        return 1.0
+    ids = counts.sparkSession.createDataFrame(linked[["id"]])
+    seen = counts.join(F.broadcast(ids), "id", "left_semi").groupBy("id").agg(F.sum("links").alias("links")).toPandas()
+    share = linked["id"].map(seen.set_index("id")["links"]).fillna(0).astype(float) / linked["true"]
+    return float(share.groupby(linked["near"] <= BUCKET).mean().min())
 
 
 def link_vectors(rows: DataFrame, threshold: float = THRESHOLD, column: str = "embedding", k: int = NEIGHBOURS, trees: int = TREES,
@@ -143,10 +190,13 @@ def link_vectors(rows: DataFrame, threshold: float = THRESHOLD, column: str = "e
 
     A block holds at most about ``BLOCK`` rows wherever a third of all rows
     may fall together: buckets and clusters beyond it are dealt into blocks by
-    a hash, and clusters are compared block against block.  About ``audit``
-    vectors are compared with all; below ``recall`` of their links the search
-    is repeated with new starts, its edges added to those known, ``tries``
-    times at most.
+    a hash, and clusters are compared block against block.  A start has as
+    many trees, ``trees`` at least, as let a pair at the threshold meet with
+    probability ``recall``.  Vectors are compared with all others until
+    ``audit`` linked ones lie outside the largest clusters; below a mean
+    ``recall`` of their links the search is repeated with new starts, its
+    edges added to those known, ``tries`` times at most, and a warning gives
+    the recall measured if it is still below.
     """
     spark = rows.sparkSession
     importable(spark)
@@ -158,19 +208,19 @@ def link_vectors(rows: DataFrame, threshold: float = THRESHOLD, column: str = "e
     nodes = materialize(base.groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.first("v").alias("v")), "nodes")
     total = nodes.count()
     bits = max(0, int(np.ceil(np.log2(max(1, total / BUCKET)))))
-    place = F.pmod(F.xxhash64("id", F.lit(31)), F.lit(1_000_000))
-    sample = nodes.where(place < 1e6 * min(1.0, audit / total)).limit(2 * audit).select("id", "v").toArrow()  # bounded by audit
+    trees = _trees(bits, threshold, recall, trees)
+    truth = _audited(nodes, total, dim, threshold, audit)
     known = spark.createDataFrame([], "a long, b long")
     counts = None
     for attempt in range(tries):
-        hashed = materialize(nodes.mapInArrow(lambda it: _hashed(it, dim, bits, trees, 100 + attempt), "tree int, bucket long, id long, u binary"), "hashed")
+        hashed = nodes.mapInArrow(lambda it: _hashed(it, dim, bits, trees, 100 + attempt), "tree int, bucket long, id long, u binary")
         sizes = hashed.groupBy("tree", "bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
         placed = hashed.join(sizes, ["tree", "bucket"]).withColumn("block", F.pmod(F.xxhash64("id", "tree"), F.col("blocks")))
         start = materialize(placed.groupBy("tree", "bucket", "block").applyInPandas(
             lambda pdf: _started(pdf[["id", "u"]], dim, k, threshold - SLACK), "a long, b long, s float"), "start")
         ties = start.where("s = 2").select("a", "b")
         graph = materialize(_nearest(start.where("s < 2").groupBy("a", "b").agg(F.max("s").alias("s")), "a", k), "graph")
-        units = hashed.where("tree = 0").select("id", "u")
+        units = nodes.mapInArrow(lambda it: _hashed(it, dim, 0, 1, 0), "tree int, bucket long, id long, u binary").select("id", "u")
         for _ in range(rounds):
             kth = graph.groupBy("a").agg(F.when(F.count("*") >= k, F.min("s")).otherwise(F.lit(-2.0)).cast("float").alias("kth"))
             members = units.join(kth, F.col("id") == F.col("a"), "left").select("id", "u", F.coalesce("kth", F.lit(-2.0).cast("float")).alias("kth"))
@@ -183,13 +233,11 @@ def link_vectors(rows: DataFrame, threshold: float = THRESHOLD, column: str = "e
         known = materialize(edges.distinct(), "near-edges")
         clusters = components(known)
         counts = _compared(nodes, clusters, threshold)
-        if not sample.num_rows:
-            break
-        ids, v = sample["id"].to_numpy(), unit(matrix(sample["v"], dim))
-        true = nodes.mapInArrow(lambda it: _brute(it, dim, ids, v, threshold), "id long, true long").groupBy("id").agg(F.sum("true").alias("true"))
-        seen = true.join(counts.groupBy("id").agg(F.sum("links").alias("links")), "id", "left").agg(F.sum("true").alias("t"), F.sum("links").alias("s")).first()
-        if (seen["s"] or 0) >= recall * (seen["t"] or 0):
+        measured = _recall(truth, counts)
+        if measured >= recall:
             break
+    else:
+        warnings.warn(f"near-duplicate vectors: measured recall {measured:.4f} is below {recall}", stacklevel=2)
     links = counts.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(counts.where("id <> label").select(F.col("id").alias("a"), F.col("label").alias("b")))
     per_node = nodes.select("h1", "h2", "id", "copies").join(links, "id", "left").join(roots, "id", "left").select(

@@ -66,6 +66,32 @@ def test_clusters_beyond_a_block(spark, rows, monkeypatch):
     check(spark, rows[:100] + crowd)
 
 
+def test_sparse_links_among_many_buckets(spark, monkeypatch):
+    """Isolated pairs just above the threshold, many bits a bucket, one try."""
+    monkeypatch.setattr(N, "BUCKET", 4)
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=(2, 400, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    pairs = np.concatenate([a, 0.91 * a + np.sqrt(1 - 0.91**2) * b])
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(pairs)]
+    out = N.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), rounds=0, tries=1).collect()
+    assert sum(r.n_links for r in out) >= 0.97 * 800
+
+
+def test_audit_grows_until_it_holds_sparse_links(spark):
+    rng = np.random.default_rng(6)
+    lone = rng.normal(size=(1500, 64))
+    lone[-10:] = lone[:10] + 0.1 * rng.normal(size=(10, 64))
+    crowd = rng.normal(size=64) + 0.1 * rng.normal(size=(700, 64))
+    nodes = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in enumerate(np.concatenate([lone, crowd]))], "id long, v array<float>, copies long")
+    truth = N._audited(nodes, 2200, 64, 0.9, 8)
+    assert (truth["near"] == 1).sum() >= 8
+    found = spark.createDataFrame([(i, 699) for i in range(1500, 2200)], "id long, links long")
+    assert N._recall(truth, found) == 0
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [1.0] * 16)], [(1, [1.0] * 16), (1, [1.0] * 16), (2, [1.0] * 16)]])
 def test_few_rows(spark, rows):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
