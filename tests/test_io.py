@@ -12,7 +12,7 @@ from candleflow.plans.refresh import run_refresh, score_table
 from candleflow.sinks.writers import append_metrics, append_predictions, write_kline_bodies, write_parquet
 from candleflow.sources.events import bars_from_events
 from candleflow.sources.tables import EmptyInputError, read_nanos_parquet, read_table
-from conftest import SF_SMALL
+from frames import SF_SMALL
 
 
 def _tmp(prefix):

@@ -17,7 +17,7 @@ from candleflow.operators.split import chrono_split, train_test
 from candleflow.sinks.writers import save_model
 from candleflow.sources.events import bars_from_events
 from candleflow.sources.models import load_model
-from conftest import SF_SMALL
+from frames import SF_SMALL
 
 
 @pytest.fixture(scope="module")

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_mod
-from conftest import SF_ORACLE
+from frames import SF_ORACLE
 from oracle import compare, duck
 
 ORACLES = entry_mod.oracle_sql()

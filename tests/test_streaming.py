@@ -14,8 +14,7 @@ from candleflow.plans.catalogue import q_features, q_stream_features, q_stream_f
 from candleflow.sources.events import bars_from_events
 from candleflow.streaming.incremental import IncrementalFeatures, MissingStateError, read_features, start_scoring
 from candleflow.streaming.ingest import dedup_stream, events_stream, kline_stream, read_bars, start_bars
-from conftest import SF_SMALL
-from frames import candle, frame
+from frames import SF_SMALL, candle, frame
 
 
 def _rows(df):
