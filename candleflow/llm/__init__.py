@@ -1,4 +1,4 @@
 """Operators for building training corpora: quality scoring, token files,
 near-duplicate search, nearest neighbours, web archives, license scans, line
-dedup, segmentation and packing.  Nothing outside this package imports it.
+dedup, segmentation, packing, ranked search, fingerprints and manifests.  Nothing outside this package imports it.
 """
