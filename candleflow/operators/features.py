@@ -7,9 +7,9 @@ series, so the moving averages are never NULL when ``close`` is not.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -32,6 +32,7 @@ def add_features(
     block_rows: int = DEFAULT_BLOCK_ROWS,
     total_col: str | None = None,
     layout: bool = False,
+    extra: Callable[[WindowSpec], dict[str, Column]] | None = None,
 ) -> DataFrame:
     """Append ``close_t_plus_10, close_prev, return_1m, ma_5, ma_10,
     taker_ratio`` to silver rows (no rows are dropped here).
@@ -43,7 +44,8 @@ def add_features(
     ``index_col`` keeps the row number inside the series and ``total_col``
     the series length, when given.  ``layout=True`` also keeps the block
     columns (:data:`LAYOUT_COLUMNS`) so :func:`split.chrono_split` can number
-    rows without another sort.
+    rows without another sort.  ``extra`` builds more columns over the same
+    windows (frames of at most 9 rows back and 10 ahead).
     """
     parts = list(partition_by)
     idx_name = index_col or (LAYOUT_ROW if layout else "_cf_row")
@@ -55,6 +57,7 @@ def add_features(
             "close_prev": F.lag("close", schemas.PREV_LAG_ROWS).over(w),
             "ma_5": F.avg("close").over(w.rowsBetween(-(schemas.MA_SHORT_ROWS - 1), 0)),
             "ma_10": F.avg("close").over(w.rowsBetween(-(schemas.MA_LONG_ROWS - 1), 0)),
+            **(extra(w) if extra else {}),
         }
 
     reach_back = max(schemas.PREV_LAG_ROWS, schemas.MA_LONG_ROWS - 1)
@@ -77,6 +80,8 @@ def add_features(
         F.col("ma_10"),
         safe_ratio("taker_buy_base_volume", "volume").alias("taker_ratio"),
     ]
+    if extra:
+        out += [F.col(c) for c in windowed.columns if c not in (*silver.columns, *schemas.DERIVED_COLUMNS, idx_name, total_col, *LAYOUT_COLUMNS)]
     if index_col:
         out.append(F.col(index_col))
     if total_col:

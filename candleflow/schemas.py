@@ -114,6 +114,9 @@ BRONZE = T.StructType(
 SILVER_COLUMNS = tuple(f.name for f in BRONZE.fields if f.name != "ignore")
 
 FEATURE_COLUMNS = SILVER_COLUMNS + DERIVED_COLUMNS
+FEATURES = T.StructType(
+    [f for f in BRONZE.fields if f.name != "ignore"] + [_f(c, T.DoubleType()) for c in DERIVED_COLUMNS]
+)
 
 PREDICTION = T.StructType(
     [

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.columns import nanos_to_timestamp
+from ..sinks.versions import current_version
 
 
 class EmptyInputError(RuntimeError):
@@ -18,9 +21,13 @@ def read_table(
     schema: T.StructType | None = None,
     legacy_calendar: bool = False,
     require_rows: bool = False,
+    text_columns: Sequence[str] = (),
 ) -> DataFrame:
-    """Read a Parquet directory or file.
+    """Read a Parquet directory or file, or the current version of a table
+    that ``sinks.versions.publish`` keeps.
 
+    ``text_columns`` are partition columns to read as text whatever their
+    folders look like (a symbol "007" would be read as the number 7).
     ``schema`` declares the columns instead of trusting the footer.
     ``legacy_calendar`` reads dates and INT96 timestamps written by old
     writers without rebasing.  A missing path raises Spark's
@@ -32,7 +39,11 @@ def read_table(
         reader = reader.schema(schema)
     if legacy_calendar:
         reader = reader.option("datetimeRebaseMode", "CORRECTED").option("int96RebaseMode", "CORRECTED")
-    df = reader.parquet(path)
+    at = current_version(spark, path.rstrip("/")) or path
+    df = reader.parquet(at)
+    if schema is None and any(df.schema[c].dataType != T.StringType() for c in text_columns if c in df.columns):
+        fields = [T.StructField(f.name, T.StringType()) if f.name in text_columns else f for f in df.schema.fields]
+        df = reader.schema(T.StructType(fields)).parquet(at)
     if require_rows and df.isEmpty():
         raise EmptyInputError(f"no rows in {path}")
     return df

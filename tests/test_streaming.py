@@ -12,7 +12,9 @@ from candleflow.operators.ml import fit
 from candleflow.operators.split import chrono_split, train_test
 from candleflow.plans.catalogue import q_features, q_stream_features, q_stream_features_out_of_order
 from candleflow.sources.events import bars_from_events
-from candleflow.streaming.incremental import IncrementalFeatures, MissingStateError, read_features, start_scoring
+from candleflow.streaming import incremental
+from candleflow.streaming.incremental import (
+    CompactedBatchError, IncrementalFeatures, MissingStateError, compact_state, read_features, start_scoring)
 from candleflow.streaming.ingest import dedup_stream, events_stream, kline_stream, read_bars, start_bars
 from frames import SF_SMALL, candle, frame
 
@@ -56,7 +58,7 @@ def test_late_lagging_and_revised_candles_are_merged(spark):
     # so does the same poll once more; it changes nothing
     fn(frame(spark, second), 5)
     assert _rows(read_features(spark, f"{d}/out")) == want
-    assert spark.read.parquet(f"{d}/silver/batch_id=5").count() == 0
+    assert [f for f in os.listdir(f"{d}/silver/batch_id=5") if "bucket" in f] == []
 
 
 def test_missing_state_is_an_error(spark):
@@ -65,6 +67,91 @@ def test_missing_state_is_an_error(spark):
         fn(frame(spark, [candle("S", 20, 1.0)]), 2)
 
 
+DAY = 24 * 60
+
+
+def _hours(symbol, first_day, days, close):
+    return [candle(symbol, first_day * DAY + h * 60, close + h * 0.5) for h in range(days * 24)]
+
+
+def test_a_batch_reads_only_what_lies_near_its_changes(spark):
+    """Forty days are stored; a backfilled candle of day 10 and a new one on
+    day 40 need the days around them and none in between."""
+    d = tempfile.mkdtemp(prefix="incr-near-", dir="/tmp")
+    fn = IncrementalFeatures(f"{d}/out", f"{d}/silver")
+    history = [c for k, c in enumerate(_hours("S", 0, 40, 5.0) + _hours("T", 0, 40, 9.0)) if k != 10 * 24 + 7]
+    fn(frame(spark, history), 0)
+    batch = [candle("S", 10 * DAY + 7 * 60, 77.0), candle("S", 40 * DAY, 3.0)]
+    fn(frame(spark, batch), 1)
+    first = min(int(f.rpartition("=")[2]) for f in os.listdir(f"{d}/silver/batch_id=0") if "bucket" in f)
+    read = {int(f.rpartition("=")[2]) - first for f in fn.folders_read}
+    assert read == {9, 10, 11, 39}
+    rows = spark.read.parquet(f"{d}/out/batch_id=1")
+    assert rows.count() == 20 + 11 and rows.select("symbol").distinct().count() == 1
+    assert _rows(read_features(spark, f"{d}/out")) == _rows(features(frame(spark, history + batch)))
+
+
+def test_sparse_symbols_reach_over_many_buckets(spark):
+    """With a candle a day the 19 rows around a change span as many buckets."""
+    rows = [candle("S", k * DAY, 10.0 + k) for k in range(60) if k != 30]
+    d, fn = _stream(spark, "incr-sparse-", [rows])
+    fn(frame(spark, [candle("S", 30 * DAY, 5.0)]), 1)
+    assert len(fn.folders_read) == 38
+    assert _rows(read_features(spark, f"{d}/out")) == _rows(features(frame(spark, [*rows, candle("S", 30 * DAY, 5.0)])))
+
+
+def test_compaction_between_batches(spark):
+    parts = [_hours("S", 0, 3, 1.0), _hours("S", 5, 2, 2.0) + _hours("T", 1, 2, 3.0), _hours("S", 3, 1, 4.0), _hours("S", 20, 2, 5.0)]
+    d, fn = _stream(spark, "incr-compact-", parts[:3])
+    out, state = f"{d}/out", f"{d}/silver"
+    before = _rows(read_features(spark, out))
+    assert compact_state(spark, out, state) == 1 and compact_state(spark, out, state) == 1
+    assert [f for f in sorted(os.listdir(state)) if "batch" in f] == ["batch_id=2"]
+    assert _rows(read_features(spark, out)) == before
+    fn(frame(spark, parts[2]), 2)  # the newest batch may come again, an older one may not
+    with pytest.raises(CompactedBatchError):
+        fn(frame(spark, parts[1]), 1)
+    revised = list(candle("S", 60, 99.0))
+    revised[schemas.SILVER_COLUMNS.index("number_of_trades")] += 1
+    fn(frame(spark, [*parts[3], tuple(revised)]), 3)
+    fn(frame(spark, []), 4)
+    final = [c for c in sum(parts, []) if (c[0], c[1]) != (revised[0], revised[1])] + [tuple(revised)]
+    want = _rows(features(frame(spark, final)))
+    assert _rows(read_features(spark, out)) == want
+    kept = f"{state}/_base/version=1/rows"
+    far = max(int(f.rpartition("=")[2]) for f in os.listdir(kept) if "bucket" in f)
+    assert compact_state(spark, out, state) == 3
+    assert f"bucket={far}" in os.listdir(kept)  # untouched since, so still there
+    assert _rows(read_features(spark, out)) == want
+    fn(frame(spark, [candle("T", 3 * DAY, 8.0)]), 5)
+    assert _rows(read_features(spark, out)) == _rows(features(frame(spark, [*final, candle("T", 3 * DAY, 8.0)])))
+
+
+def test_a_compaction_lost_midway_changes_nothing(spark, monkeypatch):
+    parts = [_hours("S", 0, 2, 1.0), _hours("S", 2, 1, 2.0), _hours("S", 3, 1, 4.0)]
+    d, fn = _stream(spark, "incr-lost-", parts)
+    out, state = f"{d}/out", f"{d}/silver"
+    want = _rows(read_features(spark, out))
+    real, calls = incremental._write_buckets, []
+
+    def failing(rows, path):
+        real(rows, path)
+        calls.append(path)
+        if len(calls) == fail_at:
+            raise RuntimeError("lost")
+
+    for fail_at in (1, 2):
+        calls.clear()
+        monkeypatch.setattr(incremental, "_write_buckets", failing)
+        with pytest.raises(RuntimeError, match="lost"):
+            compact_state(spark, out, state)
+        monkeypatch.setattr(incremental, "_write_buckets", real)
+        assert _rows(read_features(spark, out)) == want
+        fn(frame(spark, parts[2]), 2)
+    assert compact_state(spark, out, state) == 1
+    assert _rows(read_features(spark, out)) == want
+
+
 def test_bars_count_late_events_and_retries(spark):
     d = tempfile.mkdtemp(prefix="bars-", dir="/tmp")
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
