@@ -28,12 +28,13 @@ def main(argv: list[str] | None = None) -> int:
     one.add_argument("--model", required=True, help="folder of the saved model")
     one.add_argument("--source", required=True, help="feature table (Parquet)")
     one.add_argument("--out", required=True, help="table that the prediction records are appended to")
+    one.add_argument("--run-id", default=None, help="scoring again under the same id replaces its records")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("candleflow").getOrCreate()
     ensure_checkpoint_dir(spark)
     if args.command == "score":
-        score_table(spark, args.model, args.source, args.out).show(truncate=False)
+        score_table(spark, args.model, args.source, args.out, args.run_id).show(truncate=False)
         release_scratch(spark)
         return 0
     families = [f for f in args.families.split(",") if f]

@@ -35,8 +35,9 @@ def pct_change(current: ColumnOrName, previous: ColumnOrName) -> Column:
 
 def epoch_ms_to_timestamp(c: ColumnOrName) -> Column:
     """Epoch milliseconds (number or numeric text) to TIMESTAMP, without a
-    floating-point division."""
-    return F.timestamp_millis(col(c).try_cast("bigint"))
+    floating-point division; NULL for what is no time of the years 1 to 9999."""
+    ms = col(c).try_cast("bigint")
+    return F.when(ms.between(-62_135_596_800_000, 253_402_300_799_999), F.timestamp_millis(ms))
 
 
 def utc_instant(c: ColumnOrName) -> Column:

@@ -24,13 +24,15 @@ from ..operators.quality import correlation, duplicate_report, null_counts, quan
 from ..operators.ml import compare_models, fit
 from ..operators.score import score, score_linear, to_predictions
 from ..operators.split import chrono_split, time_index, train_test
-from ..session import materialize, scratch_path, table
-from ..sinks.writers import save_model, write_kline_bodies
+from ..session import delete_paths, materialize, scratch_path, table
+from ..sinks.versions import numbered, publish
+from ..sinks.writers import append_predictions, read_runs, save_model, write_kline_bodies
 from ..sources.events import bars_from_events
-from ..sources.klines import read_klines
+from ..sources.klines import landed_texts, read_klines, split_klines
 from ..sources.models import load_model
+from ..sources.tables import read_table
 from ..streaming.ingest import events_stream, kline_stream, read_bars, start_bars
-from ..streaming.incremental import read_features, start_incremental_features
+from ..streaming.incremental import compact_state, read_features, read_scores, start_incremental_features, start_scoring
 from .refresh import run_refresh, score_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -373,18 +375,108 @@ def q_refresh_replaces(spark, sf):
     bars = _bars(spark, sf)
     run_refresh(spark, bars, root, families=("lr",))
     run_refresh(spark, bars.where(F.col("symbol") >= REFRESH_FROM), root, families=("lr",))
-    return _rounded(spark.read.parquet(f"{root}/features").select(*schemas.FEATURE_COLUMNS))
+    return _rounded(read_table(spark, f"{root}/features").select(*schemas.FEATURE_COLUMNS))
+
+
+# Symbols that a partitioned table would take for numbers.
+NUMBERED_SYMBOLS = {"click": "007", "signup": "1e3"}
+
+
+def _numbered_symbols(df: DataFrame) -> DataFrame:
+    return df.replace(NUMBERED_SYMBOLS, subset=["symbol"])
+
+
+def _records(records: DataFrame) -> DataFrame:
+    return records.select("symbol", F.unix_millis("market_time").alias("open_time_ms"), F.round("predicted_price", 4).alias("prediction"))
 
 
 def q_score_table(spark, sf):
-    """The batch scoring job: a saved model over a written table."""
+    """The batch scoring job: a saved model over a feature table partitioned
+    by symbol, some of which look like numbers; scored twice under one run id,
+    as a retry does, and the records are there once."""
     train, test = _train_test(spark, sf)
     root = scratch_path(spark, "score-table")
     save_model(fit(train, "lr"), f"{root}/model")
-    test.write.parquet(f"{root}/features")
-    score_table(spark, f"{root}/model", f"{root}/features", f"{root}/records")
-    records = spark.read.parquet(f"{root}/records")
-    return records.select("symbol", F.unix_millis("market_time").alias("open_time_ms"), F.round("predicted_price", 4).alias("prediction"))
+    publish(_numbered_symbols(test), f"{root}/features", partition_by=["symbol"])
+    for _ in range(2):
+        score_table(spark, f"{root}/model", f"{root}/features", f"{root}/records", run_id="retried")
+    return _records(read_runs(spark, f"{root}/records"))
+
+
+def q_score_runs(spark, sf):
+    """Two scoring runs over halves of the table, the first repeated after the
+    second: each run's records once."""
+    train, test = _train_test(spark, sf)
+    model, root = fit(train, "lr"), scratch_path(spark, "score-runs")
+    scored = to_predictions(score(test, model))
+    for run, half in (("a", scored.where(F.col("symbol") < REFRESH_FROM)), ("b", scored.where(F.col("symbol") >= REFRESH_FROM)), ("a", scored.where(F.col("symbol") < REFRESH_FROM))):
+        append_predictions(half, f"{root}/records", run_id=run)
+    return _records(read_runs(spark, f"{root}/records"))
+
+
+def q_score_stream(spark, sf):
+    """A stream of feature rows scored in micro-batches, the last of which is
+    repeated as after a failure; every row has one record."""
+    train, test = _train_test(spark, sf)
+    root = scratch_path(spark, "score-stream")
+    model = fit(train, "lr")
+    _numbered_symbols(test).repartition(3, "symbol").write.parquet(f"{root}/features")
+    ss = _stream_session(spark)
+    stream = ss.readStream.schema(test.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/features")
+    for _ in range(2):
+        start_scoring(stream, model, f"{root}/scores", f"{root}/checkpoint", model_version="lr-1").awaitTermination()
+        # Without its commit the last batch counts as lost, and the next start runs it again.
+        delete_paths(spark, [f"{root}/checkpoint/commits/{n}" for n in numbered(spark, f"{root}/scores", "batch_id=")[-1:]])
+    return _records(read_scores(spark, f"{root}/scores"))
+
+
+def q_klines_quarantine(spark, sf):
+    """Landed bodies with damaged rows and bodies: what is good, and what is
+    rejected for which reason, by symbol."""
+    landed = scratch_path(spark, "landed-damaged")
+    write_kline_bodies(_bars(spark, sf), landed)
+    text, sym = landed_texts(spark, landed)
+    trades = schemas.KLINE_FIELDS.index("number_of_trades")
+
+    def damaged(row):
+        kind = F.pmod(row[trades].cast("int"), F.lit(DAMAGE_EVERY))
+
+        def with_field(name, value):
+            return F.transform(row, lambda x, i: F.when(i == schemas.KLINE_FIELDS.index(name), F.lit(value)).otherwise(x))
+
+        return F.when(kind == 0, with_field("close", "x")).when(kind == 1, F.slice(row, 1, 11)).when(kind == 2, with_field("open_time", "soon")).otherwise(row)
+
+    bodies = F.transform(F.from_json("value", schemas.RAW_KLINE), damaged)
+    lost = F.pmod(F.size(bodies), F.lit(DAMAGE_EVERY)) == 0
+    good, bad = split_klines(text.select("symbol", F.when(lost, F.lit('{"msg": "try again"}')).otherwise(F.to_json(bodies)).alias("value")), sym)
+    reasons = good.select("symbol", F.lit("good").alias("reason")).unionByName(bad.select("symbol", "reason"))
+    return reasons.groupBy("symbol", "reason").agg(F.count("*").alias("n"))
+
+
+def q_stream_features_backfill(spark, sf):
+    """The candles with a hole of two days, then the state compacted, then one
+    micro-batch that fills the hole and brings the newest days, compacted once
+    more, then a poll that repeats the newest period."""
+    stored, periods = _land_once(_bars(spark, sf), "open_time", "stream-bars-in")
+    root = scratch_path(spark, "stream-backfill")
+    ss = _stream_session(spark)
+    whole = spark.read.parquet(stored).drop("period")
+    first = F.date_add(F.lit("1970-01-01").cast("date"), periods[0] * STREAM_CHUNK_DAYS)
+    day = F.datediff(F.to_date("open_time"), first)
+    hole, newest = day.between(3, 4), day >= (len(periods) - 1) * STREAM_CHUNK_DAYS
+
+    def poll(rows: DataFrame) -> None:
+        write_kline_bodies(rows, f"{root}/landed", mode="append")
+        start_incremental_features(kline_stream(ss, f"{root}/landed"), f"{root}/features", f"{root}/state").awaitTermination()
+
+    old = whole.where(~hole & ~newest)
+    for rows in (old.where(F.col("symbol") < REFRESH_FROM), old.where(F.col("symbol") >= REFRESH_FROM)):
+        poll(rows)
+    compact_state(spark, f"{root}/features", f"{root}/state/silver")
+    poll(whole.where(hole | newest))
+    compact_state(spark, f"{root}/features", f"{root}/state/silver")
+    poll(whole.where(newest))
+    return _stream_out(spark, f"{root}/features")
 
 
 def q_quantiles_close(spark, sf):
@@ -402,6 +494,7 @@ def q_features_1m(spark, sf):
 QUANTILES = (0.1, 0.25, 0.9, 0.95)
 MINUTE_BLOCK_ROWS = 500
 REFRESH_FROM = "l"
+DAMAGE_EVERY = 7
 
 
 QUERIES: dict[str, Query] = {
@@ -441,6 +534,10 @@ QUERIES: dict[str, Query] = {
     "silver_revised": q_silver_revised,
     "refresh_replaces": q_refresh_replaces,
     "score_table": q_score_table,
+    "score_runs": q_score_runs,
+    "score_stream": q_score_stream,
+    "klines_quarantine": q_klines_quarantine,
+    "stream_features_backfill": q_stream_features_backfill,
     "quantiles_close": q_quantiles_close,
     "features_1m": q_features_1m,
 }
@@ -590,6 +687,8 @@ union all select 'lr', 'mae', round(mae, 4) from m
 union all select 'lr', 'r2', round(r2, 4) from m"""
 _PREDICTIONS = f"\nselect symbol, open_time, {schemas.LABEL}, round(prediction, 4) as prediction from fitted"
 
+_NUMBERED = "case symbol " + " ".join(f"when '{k}' then '{v}'" for k, v in NUMBERED_SYMBOLS.items()) + " else symbol end"
+
 ORACLE: dict[str, str] = {
     "stream_features_out_of_order": _features_sql("label_return"),
     "silver_revised": _with(_BARS) + "\nselect * from bars",
@@ -598,7 +697,17 @@ ORACLE: dict[str, str] = {
     "model_reload": _FITTED + _PREDICTIONS,
     "full_refresh": _FITTED + "," + _METRICS,
     "prediction_records": _FITTED + "\nselect symbol, epoch_ms(open_time) as open_time_ms, round(prediction, 4) as prediction from fitted",
-    "score_table": _FITTED + "\nselect symbol, epoch_ms(open_time) as open_time_ms, round(prediction, 4) as prediction from fitted",
+    "score_table": _FITTED + f"\nselect {_NUMBERED} as symbol, epoch_ms(open_time) as open_time_ms, round(prediction, 4) as prediction from fitted",
+    "score_stream": _FITTED + f"\nselect {_NUMBERED} as symbol, epoch_ms(open_time) as open_time_ms, round(prediction, 4) as prediction from fitted",
+    "score_runs": _FITTED + "\nselect symbol, epoch_ms(open_time) as open_time_ms, round(prediction, 4) as prediction from fitted",
+    "stream_features_backfill": _features_sql("label_return"),
+    "klines_quarantine": _with(_BARS) + f""",
+bodies as (select symbol, open_time::date as day, count(*) as n from bars group by 1, 2),
+faults as (
+  select b.symbol, case number_of_trades % {DAMAGE_EVERY} when 0 then 'bad number: close' when 1 then 'row has fewer than 12 fields' when 2 then 'bad time: open_time' else 'good' end as reason
+  from bars b join bodies d on b.symbol = d.symbol and b.open_time::date = d.day where d.n % {DAMAGE_EVERY} <> 0
+  union all select symbol, 'body is no array of arrays' from bodies where n % {DAMAGE_EVERY} = 0)
+select symbol, reason, count(*)::bigint as n from faults group by 1, 2""",
     "quantiles_close": _with(_BARS) + "\n" + "\nunion all\n".join(
         f'select cast({q} as double) as q, quantile_disc("close", {q}) as "close" from bars' for q in QUANTILES),
     "features_1m": _features_sql("label_return").replace("interval 1 hour", "interval 1 minute"),

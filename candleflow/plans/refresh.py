@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +25,11 @@ from ..operators.ml import fit
 from ..operators.score import score, to_predictions
 from ..operators.split import chrono_split, train_test
 from ..session import materialize
-from ..sinks.writers import append_metrics, append_predictions, save_model, write_jdbc, write_parquet
+from ..sinks.versions import publish, release_versions
+from ..sinks.writers import append_metrics, append_predictions, read_runs, save_model, write_jdbc
 from ..sources.klines import read_klines
 from ..sources.models import load_model
-from ..sources.tables import read_table
+from ..sources.tables import EmptyInputError, read_table
 
 
 @dataclass
@@ -71,10 +73,13 @@ def run_refresh(
     """Run every stage and return this run's ``(model, metric, value)``
     rows.  ``source`` is a bronze DataFrame or a folder of landed kline
     files.  ``jdbc`` (``url``, ``table``, ``properties``) also replaces a
-    relational copy of the feature table.  Tables are replaced whole, so a
-    symbol that the source no longer holds is gone from them, and a re-run
-    gives the same tables; the metrics table keeps every run, under
-    ``run_id`` or else an id made here.  Tables are read back with the schema
+    relational copy of the feature table.  Tables are replaced whole by a new
+    version (see ``sinks.versions``; ``read_table`` reads the newest), so a
+    symbol that the source no longer holds is gone from them, a re-run gives
+    the same tables, and a job lost midway leaves the old ones in place.  The
+    version before stays for readers that have planned on it, older ones go.
+    The metrics table keeps every run, under ``run_id`` or else an id made
+    here; a run repeated under its id replaces its metrics.  Tables are read back with the schema
     they were written with, so a symbol such as "007" stays text.  A stage
     without rows raises :class:`EmptyInputError` and leaves later tables as
     they are."""
@@ -82,8 +87,11 @@ def run_refresh(
     run_id = run_id or uuid.uuid4().hex
 
     def stage(df: DataFrame, path: str) -> DataFrame:
-        write_parquet(df, path, partition_by=[schemas.SYMBOL], replace="table")
-        return read_table(spark, path, schema=df.schema, require_rows=True).select(*df.columns)
+        if df.isEmpty():
+            raise EmptyInputError(f"no rows for {path}")
+        publish(df, path, partition_by=[schemas.SYMBOL])
+        release_versions(spark, path, keep=2)
+        return read_table(spark, path, schema=df.schema).select(*df.columns)
 
     bronze = stage(read_klines(spark, source) if isinstance(source, str) else source, paths.bronze)
     silver = stage(to_silver(bronze), paths.silver)
@@ -93,31 +101,28 @@ def run_refresh(
 
     split = chrono_split(feats, purge=purge)
     train, test = train_test(split)
-    reports = []
+    predictions, reports = [], []
     for family in families:
         model = fit(train, family)
         save_model(model, paths.model(family))
         scored = model.transform(test).select(
             schemas.SYMBOL, schemas.OPEN_TIME, schemas.LABEL, F.col("prediction"), F.lit(family).alias("model")
         )
-        write_parquet(scored, paths.predictions, partition_by=["model"], replace="partitions" if reports else "table")
-        written = spark.read.schema(scored.schema).parquet(paths.predictions).where(F.col("model") == family)
-        reports.append(regression_metrics(written, model=family))
-    metrics = reports[0]
-    for r in reports[1:]:
-        metrics = metrics.unionByName(r)
-    append_metrics(metrics, paths.metrics, run_id)
-    out = spark.read.parquet(paths.metrics)
-    return out.where(F.col("run_id") == F.lit(run_id))
-
-
-def score_table(spark: SparkSession, model_path: str, source: DataFrame | str, out_path: str) -> DataFrame:
-    """Score a table with a saved model and append the prediction records to
+        predictions.append(materialize(scored, "test-predictions"))
+        reports.append(regression_metrics(predictions[-1], model=family))
+    publish(reduce(DataFrame.unionByName, predictions), paths.predictions, partition_by=["model"])
+    release_versions(spark, paths.predictions, keep=2)
+    append_metrics(reduce(DataFrame.unionByName, reports), paths.metrics, run_id)
+    return read_runs(spark, paths.metrics, run_id)
+
+
+def score_table(spark: SparkSession, model_path: str, source: DataFrame | str, out_path: str, run_id: str | None = None) -> DataFrame:
+    """Score a table with a saved model and add the prediction records to
     ``out_path``; returns the records of this run.  Every row is scored: one
-    with a missing input gets a NaN price.  ``source`` is a feature table or
-    its path."""
+    with a missing input gets a NaN price.  ``source`` is a feature table
+    (its symbols are text, also where it is partitioned by them) or its path.
+    Scoring again under the same ``run_id`` replaces the run's records."""
     model = load_model(model_path)
-    rows = read_table(spark, source, require_rows=True) if isinstance(source, str) else source
-    records = materialize(to_predictions(score(rows, model, handle_invalid="keep")), "scored")
-    append_predictions(records, out_path)
-    return records
+    rows = read_table(spark, source, require_rows=True, text_columns=[schemas.SYMBOL]) if isinstance(source, str) else source
+    run_id = append_predictions(to_predictions(score(rows, model, handle_invalid="keep")), out_path, run_id=run_id)
+    return read_runs(spark, out_path, run_id)

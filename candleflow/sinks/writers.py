@@ -3,11 +3,14 @@ model saves."""
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml.util import MLWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.columns import as_instant
@@ -67,23 +70,48 @@ def read_jdbc(spark, url: str, table: str, properties: dict[str, str] | None = N
     return spark.read.jdbc(url=url, table=table, properties=dict(properties or {}))
 
 
-def append_predictions(predictions: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append prediction records (see ``score.to_predictions``) to a table.
-    The table is created by the first append."""
+RUN_ID = "run_id"
+
+
+def _write_run(rows: DataFrame, path: str, run_id: str | None, fmt: str = "parquet") -> str:
+    """Write ``rows`` as the folder ``run_id=<id>`` of the table at ``path``,
+    replacing what an earlier attempt of the same run left there and nothing
+    else.  Spark stages the files and moves the folder into place when all
+    tasks are done, so a lost job leaves the table as it was."""
+    run_id = run_id or uuid.uuid4().hex
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", run_id):
+        raise ValueError(f"a run id is made of letters, digits, dots, hyphens and underscores, not {run_id!r}")
+    named = rows.withColumn(RUN_ID, F.lit(run_id))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN_ID).format(fmt).save(path)
+    return run_id
+
+
+def append_predictions(predictions: DataFrame, path: str, fmt: str = "parquet", run_id: str | None = None) -> str:
+    """K4: add prediction records (see ``score.to_predictions``) to a table,
+    which the first run creates; returns the run id.
+
+    A run's records are one partition of the table.  Writing a run again under
+    its id replaces them, so a retried job adds nothing; without an id every
+    call is a run of its own.  A run without records adds nothing and replaces
+    nothing.  ``read_runs`` reads the table."""
     cols = [f.name for f in schemas.PREDICTION.fields]
-    extra = [c for c in predictions.columns if c not in cols]
-    predictions.select(*cols, *extra).write.mode("append").format(fmt).save(path)
+    extra = [c for c in predictions.columns if c not in (*cols, RUN_ID)]
+    return _write_run(predictions.select(*cols, *extra), path, run_id, fmt)
 
 
-def append_metrics(metrics: DataFrame, path: str, run_id: str | None = None) -> None:
-    """Append a ``(model, metric, value)`` report, stamped with the run time
-    and an optional run id, so runs can be compared later."""
-    stamped = metrics.select(
-        "*",
-        F.current_timestamp().alias("run_at"),
-        F.lit(run_id).cast("string").alias("run_id"),
-    )
-    stamped.write.mode("append").parquet(path)
+def append_metrics(metrics: DataFrame, path: str, run_id: str | None = None) -> str:
+    """K7: add a ``(model, metric, value)`` report, stamped with the run time,
+    to a table of all runs, under the rules of :func:`append_predictions`."""
+    return _write_run(metrics.select("*", F.current_timestamp().alias("run_at")), path, run_id)
+
+
+def read_runs(spark: SparkSession, path: str, run_id: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """The records of all runs in a table of runs, or of one.  Ids stay text
+    whatever they look like."""
+    schema = spark.read.format(fmt).load(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name == RUN_ID else f for f in schema.fields]
+    rows = spark.read.format(fmt).schema(T.StructType(fields)).load(path)
+    return rows if run_id is None else rows.where(F.col(RUN_ID) == run_id)
 
 
 def write_kline_bodies(

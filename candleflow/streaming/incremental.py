@@ -141,10 +141,10 @@ class IncrementalFeatures:
     fails with :class:`MissingStateError`, if it was compacted already with
     :class:`CompactedBatchError`; wrong features are never written.
 
-    A micro-batch reads the counts, the stored copies of its own candles'
-    buckets and the buckets that reach within ``REACH`` rows of a change;
-    ``folders_read`` names the folders of the last one.  Changes that lie far
-    apart (a backfill and the newest candle) read nothing in between.
+    A micro-batch reads the counts, and the stored rows of the buckets that
+    reach within ``REACH`` rows of one of its candles; ``folders_read`` names
+    the folders of the last one.  Candles that lie far apart (a backfill and
+    the newest candle) read nothing in between.
     """
 
     def __init__(
@@ -170,17 +170,13 @@ class IncrementalFeatures:
             bucket = F.floor(F.unix_seconds(F.col(schemas.OPEN_TIME).cast("timestamp")) / F.lit(self.bucket_seconds)).cast("long")
             new = materialize(newest_candles(rows).withColumn(BUCKET, bucket), "new-candles")
             stored = StoredRows(spark, self.state_path, batch_id)
-            symbols = new.select(schemas.SYMBOL).distinct()
-            counts = materialize(stored.counts().join(symbols, schemas.SYMBOL, "left_semi"), "state-counts")
-            own = stored.folders(counts.join(new.select(schemas.SYMBOL, BUCKET).distinct(), [schemas.SYMBOL, BUCKET], "left_semi"))
-            changed = materialize(self._changed(new, stored.rows(own, schema), batch_id), "changed-candles")
-            added = changed.groupBy(schemas.SYMBOL, BUCKET).agg(F.count_if("_cf_new").alias("n"))
-            stored.write(changed.drop("_cf_new"), added, batch_id)
-
-            needed = materialize(self._needed(counts, added), "needed-buckets")
-            around = stored.folders(counts.join(needed, [schemas.SYMBOL, BUCKET], "left_semi"))
-            self.folders_read = sorted({f for _, f in (*own, *around)})
-            near = stored.rows(around, schema).join(needed, [schemas.SYMBOL, BUCKET], "left_semi")
+            counts = stored.counts()
+            needed = materialize(self._needed(counts, new), "needed-buckets") if batch_id > 0 else counts
+            folders = stored.folders(needed) if batch_id > 0 else []
+            self.folders_read = [f for _, f in folders]
+            near = stored.rows(folders, schema).join(needed.select(schemas.SYMBOL, BUCKET).distinct(), [schemas.SYMBOL, BUCKET], "left_semi")
+            changed = materialize(self._changed(new, near, batch_id), "changed-candles")
+            stored.write(changed.drop("_cf_new"), changed.groupBy(schemas.SYMBOL, BUCKET).agg(F.count_if("_cf_new").alias("n")), batch_id)
             region = near.unionByName(changed.drop("_cf_new").withColumn(VERSION, F.lit(batch_id).cast("long")))
             touched = self._touched(materialize(_newest(region), "region"), batch_id)
             _write_buckets(touched, f"{self.out_path}/{_BATCH}{batch_id}")
@@ -202,19 +198,21 @@ class IncrementalFeatures:
         won = best.where((F.col(f"best.{VERSION}") == batch_id) & differs)
         return won.select(*[F.col(c) if c in _KEYS else F.col(f"best.{c}").alias(c) for c in (*self.columns, BUCKET)], F.col("old").isNull().alias("_cf_new"))
 
-    def _needed(self, counts: DataFrame, added: DataFrame) -> DataFrame:
-        """(symbol, bucket) that hold a change or lie within ``REACH`` rows of
-        a bucket that does.  The window runs over one row per bucket, not per
-        candle."""
-        hot = added.withColumn("hot", F.lit(True))
-        per = counts.select(schemas.SYMBOL, BUCKET, "n", F.lit(False).alias("hot")).unionByName(hot).groupBy(schemas.SYMBOL, BUCKET).agg(
+    def _needed(self, counts: DataFrame, new: DataFrame) -> DataFrame:
+        """The counts of the buckets that hold candles of the batch or lie
+        within ``REACH`` rows of one that does.  The window runs over one row
+        per bucket, not per candle."""
+        hot = new.groupBy(schemas.SYMBOL, BUCKET).agg(F.lit(0).cast("long").alias("n"), F.lit(True).alias("hot"))
+        mine = counts.join(new.select(schemas.SYMBOL).distinct(), schemas.SYMBOL, "left_semi")
+        per = mine.select(schemas.SYMBOL, BUCKET, "n", F.lit(False).alias("hot")).unionByName(hot).groupBy(schemas.SYMBOL, BUCKET).agg(
             F.sum("n").alias("n"), F.max("hot").alias("hot"))
         order = Window.partitionBy(schemas.SYMBOL).orderBy(BUCKET)
         sums = per.withColumn("through", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("before", F.col("through") - F.col("n"))
         ahead = F.min(F.when(F.col("hot"), F.col("before"))).over(order.rowsBetween(1, Window.unboundedFollowing))
         behind = F.max(F.when(F.col("hot"), F.col("through"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
         reach = sums.withColumn("ahead", ahead - F.col("through")).withColumn("behind", F.col("before") - behind)
-        return reach.where(F.col("hot") | (F.col("ahead") < REACH) | (F.col("behind") < REACH)).select(schemas.SYMBOL, BUCKET)
+        wanted = reach.where(F.col("hot") | (F.col("ahead") < REACH) | (F.col("behind") < REACH)).select(schemas.SYMBOL, BUCKET)
+        return mine.join(wanted, [schemas.SYMBOL, BUCKET], "left_semi")
 
     def _touched(self, region: DataFrame, batch_id: int) -> DataFrame:
         """Feature rows within ``BEFORE`` rows ahead of a changed candle to
@@ -326,22 +324,42 @@ def start_incremental_features(
     return writer.start()
 
 
+class ScoreBatches:
+    """``foreachBatch`` function that scores every micro-batch once (T4).
+
+    The records of batch N are the folder ``batch_id=N`` of the table, which a
+    retry overwrites, so a batch that is repeated after a failure adds
+    nothing.  Every record names the ``model_version`` that scored it: the
+    version is the caller's, and belongs to the batch that was scored with it.
+    A batch without rows leaves an empty folder."""
+
+    def __init__(self, model: Transformer, out_path: str, model_version: str = ""):
+        self.model, self.out_path, self.model_version = model, out_path.rstrip("/"), model_version
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        records = to_predictions(score(batch, self.model, handle_invalid="keep"))
+        records.withColumn("model_version", F.lit(self.model_version)).write.mode("overwrite").parquet(f"{self.out_path}/{_BATCH}{batch_id}")
+
+
+def read_scores(spark: SparkSession, out_path: str) -> DataFrame:
+    """The records that :class:`ScoreBatches` keeps, with their batch."""
+    fields = [T.StructField("id", T.StringType()), T.StructField(schemas.SYMBOL, T.StringType()), *schemas.PREDICTION.fields[1:],
+              T.StructField("model_version", T.StringType()), T.StructField(VERSION, T.LongType())]
+    return spark.read.schema(T.StructType(fields)).parquet(out_path)
+
+
 def start_scoring(
     feature_stream: DataFrame,
     model: Transformer,
     out_path: str,
     checkpoint: str,
     available_now: bool = True,
+    model_version: str = "",
 ) -> StreamingQuery:
-    """T4: score a stream of feature rows and append prediction records
-    ``(id, symbol, market_time, predicted_price, created_at)`` to Parquet."""
-    scored = score(feature_stream, model, handle_invalid="keep")
-    records = to_predictions(scored)
-    writer = (
-        records.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out_path)
-        .option("checkpointLocation", checkpoint)
-    )
+    """T4: score a stream of feature rows into prediction records
+    ``(id, symbol, market_time, predicted_price, created_at, model_version)``
+    with :class:`ScoreBatches`; :func:`read_scores` reads them."""
+    fn = ScoreBatches(model, out_path, model_version)
+    writer = feature_stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -36,7 +36,7 @@ def kline_stream(
     The defaults are those of ``sources.klines.read_klines``: line mode for a
     folder laid out as ``symbol=<name>/...``, whole files otherwise.  The
     symbol comes from the ``symbol=`` folder, a constant, or the file name; a
-    body that can't be read stops the stream unless ``on_bad="skip"``.
+    body or row that can't be read is treated as ``on_bad`` says (see ``parse_klines``).
     """
     folders = "symbol" in spark.read.text(landed_dir).columns
     reader = spark.readStream.format("text").schema("value string, symbol string" if folders else "value string")

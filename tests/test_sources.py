@@ -6,7 +6,7 @@ import tempfile
 import pytest
 
 from candleflow.operators.clean import to_silver
-from candleflow.sources.klines import klines_frame, read_klines, rejected_bodies
+from candleflow.sources.klines import klines_frame, parse_klines, read_klines, rejected_bodies, rejected_klines, split_klines
 
 ROW1 = [1700000000000, "37000.10", "37010.00", "36990.50", "37005.25", "12.5", 1700000059999, "462565.6", 321, "6.25", "231282.8", "0"]
 ROW2 = [1700000060000, "37005.25", "37020.00", "37000.00", "37015.00", "8.0", 1700000119999, "296100.0", 200, "4.0", "148050.0", "0"]
@@ -89,3 +89,37 @@ def test_bad_bodies_raise_or_are_listed(spark, tmp_path):
     assert read_klines(spark, str(tmp_path), on_bad="skip").count() == 1
     rejected = rejected_bodies(spark.read.text(str(tmp_path)))
     assert sorted(r.value for r in rejected.collect()) == ["not json", '{"msg": "Invalid symbol."}']
+
+
+def test_bad_rows_are_set_apart_and_good_ones_stay(spark, tmp_path):
+    good = [1700000000000, "1.0", "2.0", "0.5", "1.5", "3.0", 1700000059999, "4.5", 7, "1.0", "1.5", "0"]
+
+    def but(i, v):
+        return [v if k == i else x for k, x in enumerate(good)]
+
+    body = [good, good[:11], but(0, "soon"), but(4, "x"), but(8, "1.5"), but(0, 10**17), [], but(11, None), good + ["more"], but(6, None)]
+    texts = [json.dumps(body), "[]", " ", '{"msg": "no"}', json.dumps([good, None])]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    kept, bad = split_klines(df, "S")
+    reasons = [(r.place, r.reason) for r in bad.orderBy("place").collect()]
+    want = [(None, "body is no array of arrays"), (1, "row has fewer than 12 fields"), (1, "row is no array"), (2, "bad time: open_time"), (3, "bad number: close"),
+            (4, "bad number: number_of_trades"), (5, "bad time: open_time"), (6, "row has fewer than 12 fields"), (9, "bad time: close_time")]
+    assert sorted(reasons, key=str) == sorted(want, key=str)
+    assert kept.count() == 4 and kept.where("close = 1.5").count() == 4
+    assert sorted(map(str, bad.drop("file").collect())) == sorted(map(str, rejected_klines(df, "S").drop("file").collect()))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, parse_klines(df, "S", on_bad="quarantine").collect()))
+    assert bad.where("reason like 'bad number: close'").first().raw == json.dumps([str(x) for x in but(4, "x")], separators=(",", ":"))
+    # "skip" keeps rows whose fields are bad, for the null policy of silver
+    assert parse_klines(df, "S", on_bad="skip").count() == 4 + 5
+    for t in (json.dumps([good, good[:11]]), texts[3]):
+        with pytest.raises(Exception, match="no kline body"):
+            parse_klines(spark.createDataFrame([(t,)], "value string"), "S").count()
+
+
+def test_rejected_rows_name_their_file(spark, tmp_path):
+    (tmp_path / "symbol=007").mkdir()
+    (tmp_path / "symbol=007" / "p1.txt").write_text('[["1"]]\n')
+    from candleflow.sources.klines import landed_texts
+
+    row = rejected_klines(*landed_texts(spark, str(tmp_path))).first()
+    assert (row.symbol, row.place, row.reason) == ("007", 0, "row has fewer than 12 fields") and row.file.endswith("p1.txt")
