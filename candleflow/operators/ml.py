@@ -6,17 +6,19 @@ saved model scores raw feature rows without a separate assembly step.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import Bucketizer, VectorAssembler
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.columns import hash_unit
 from .metrics import regression_metrics
 
 FAMILIES = ("lr", "gbt", "rf")
@@ -56,23 +58,6 @@ def estimator(
     raise ValueError(f"unknown model family {family!r}")
 
 
-def stable_layout(df: DataFrame, keys: Sequence[str], num_partitions: int | None = None) -> DataFrame:
-    """Hash-partition on ``keys`` and sort within partitions, so seeded
-    sampling inside tree ensembles sees the same rows in the same tasks on
-    every run."""
-    keys = [k for k in keys if k in df.columns]
-    if not keys:
-        return df
-    return df.repartition(num_partitions or FIT_PARTITIONS, *keys).sortWithinPartitions(*keys)
-
-
-# Partitions of a fit.  The bagging of tree ensembles follows the layout, so
-# the number is fixed: the same rows give the same model whatever the size of
-# the table, the cluster or spark.sql.shuffle.partitions.  Raise it (and keep
-# it) where a table needs more tasks.
-FIT_PARTITIONS = 16
-
-
 def fit(
     train: DataFrame,
     family: str = "lr",
@@ -81,36 +66,115 @@ def fit(
     prediction_col: str = "prediction",
     handle_invalid: str = "skip",
     order_keys: Sequence[str] = (schemas.SYMBOL, schemas.OPEN_TIME),
-    num_partitions: int = FIT_PARTITIONS,
     **params,
 ) -> PipelineModel:
     """Fit assembler + regressor on ``train`` (rows with a NULL label are
-    left out).
-
-    The rows are laid out in ``num_partitions`` partitions by a hash of
-    ``order_keys`` and sorted there, persisted for the fit's passes and
-    released at its end."""
-    rows = prepared(train, inputs, label_col, order_keys, num_partitions)
+    left out).  The rows stay in the partitions they come in and are persisted
+    for the fit's passes.  ``order_keys`` name a row for the forest's bags
+    (see :func:`fit_forest`)."""
+    rows = prepared(train, inputs, label_col, order_keys)
     try:
-        return _fit_prepared(rows, family, inputs, label_col, prediction_col, handle_invalid, **params)
+        return _fit_prepared(rows, family, inputs, label_col, prediction_col, handle_invalid, order_keys, **params)
     finally:
         rows.unpersist()
 
 
-def prepared(train, inputs, label_col, order_keys, num_partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """The labelled rows in the layout that fits use, persisted."""
-    rows = train.where(F.col(label_col).isNotNull()).select(*dict.fromkeys([*order_keys, *inputs, label_col]))
-    return stable_layout(rows, order_keys, num_partitions).persist(StorageLevel.MEMORY_AND_DISK)
+def prepared(train, inputs, label_col, order_keys) -> DataFrame:
+    """The labelled rows with what fits read, persisted."""
+    columns = [c for c in dict.fromkeys([*order_keys, *inputs, label_col]) if c in train.columns]
+    return train.where(F.col(label_col).isNotNull()).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _fit_prepared(rows, family, inputs, label_col, prediction_col, handle_invalid, order_keys, **params) -> PipelineModel:
+    if family == "rf":
+        return fit_forest(rows, inputs, label_col, prediction_col, handle_invalid, order_keys, **params)
+    return Pipeline(stages=[assembler(inputs, handle_invalid=handle_invalid), estimator(family, label_col, prediction_col, **params)]).fit(rows)
+
+
+#: Rows that the bins of a forest's inputs are cut by, about.
+BIN_ROWS = 100_000
+#: Trees of a forest that are fitted side by side.
+TREES_AT_ONCE = 4
+
+
+def poisson_weight(keys: Sequence[str], tree: int, seed: int, rate: float = 1.0) -> Column:
+    """How often a row is drawn for a tree's bag: a Poisson value from a hash
+    of the row's key, the tree and the seed, so it depends on nothing else."""
+    u = hash_unit([F.lit(tree), *keys], seed)
+    drawn, below, chance = F.lit(0), 0.0, math.exp(-rate)
+    for n in range(1, 16):
+        below += chance
+        drawn = drawn + F.when(u >= below, 1).otherwise(0)
+        chance *= rate / n
+    return drawn.cast("double")
 
 
-def _fit_prepared(rows, family, inputs, label_col, prediction_col, handle_invalid, **params) -> PipelineModel:
-    pipe = Pipeline(
-        stages=[
-            assembler(inputs, handle_invalid=handle_invalid),
-            estimator(family, label_col, prediction_col, **params),
-        ]
-    )
-    return pipe.fit(rows)
+def bin_edges(rows: DataFrame, inputs: Sequence[str], keys: Sequence[str], seed: int, bins: int, sample_rows: int = BIN_ROWS) -> list[list[float]]:
+    """Inner edges of at most ``bins`` bins of equal counts for each input,
+    from rows chosen by a hash of their keys: the same whatever the layout."""
+    n = rows.count()
+    some = rows.where(hash_unit(keys, seed) < min(1.0, sample_rows / n)) if n > sample_rows else rows
+    shares = F.array(*[F.lit(k / bins) for k in range(1, bins)])
+    found = some.agg(*[F.percentile(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")), shares).alias(f"_cf_{i}") for i, c in enumerate(inputs)]).first()
+    return [sorted(set(found[i] or ())) for i in range(len(inputs))]
+
+
+def fit_forest(
+    rows: DataFrame,
+    inputs: Sequence[str] = schemas.MODEL_INPUTS,
+    label_col: str = schemas.LABEL,
+    prediction_col: str = "prediction",
+    handle_invalid: str = "skip",
+    order_keys: Sequence[str] = (schemas.SYMBOL, schemas.OPEN_TIME),
+    **params,
+) -> PipelineModel:
+    """M4: a random forest that the layout of the rows has no say in.
+
+    Spark draws its bags by the number of the partition and the place in it,
+    so the same rows in other partitions give another forest.  Here a tree's
+    bag is a weight per row (see :func:`poisson_weight`), handed as
+    ``weightCol`` to Spark's own learner, which fits one tree at a time
+    without a bag of its own; and the inputs are cut into bins first (see
+    :func:`bin_edges`), since the learner samples rows for its candidate
+    splits.  The trees are put together to one Spark forest model, which
+    saves, loads and predicts like any other; the model's bins are part of
+    the pipeline.  4, 16 or 400 partitions give the same splits.
+
+    The price: every tree reads the rows on its own, ``TREES_AT_ONCE`` side by
+    side, where Spark's forest grows all trees in one pass per level.
+    ``order_keys`` must name the rows; rows with equal keys share their draws.
+    """
+    settings = {**schemas.RF_PARAMS, **params}
+    trees, seed = settings.pop("numTrees"), settings.pop("seed")
+    bins = settings.get("maxBins", 32)
+    keys = [k for k in order_keys if k in rows.columns] or list(inputs)
+    settings.setdefault("featureSubsetStrategy", "onethird" if trees > 1 else "all")
+    edges = bin_edges(rows, inputs, keys, seed, bins)
+    binned = [f"_cf_bin_{i}" for i in range(len(inputs))]
+    # An input of one value has no edge; any value is then its single bin.
+    splits = [[-math.inf, *(e or [0.0]), math.inf] for e in edges]
+    cutter = Bucketizer(splitsArray=splits, inputCols=list(inputs), outputCols=binned, handleInvalid=handle_invalid)
+    front = Pipeline(stages=[cutter, assembler(binned, handle_invalid=handle_invalid)]).fit(rows)
+    ready = front.transform(rows).select("features", F.col(label_col).cast("double").alias(label_col), *[F.col(k) for k in keys]).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def grow(tree: int):
+        bag = ready.withColumn("_cf_drawn", poisson_weight(keys, tree, seed)).where("_cf_drawn > 0")
+        learner = RandomForestRegressor(featuresCol="features", labelCol=label_col, weightCol="_cf_drawn", numTrees=1, bootstrap=False, subsamplingRate=1.0, seed=seed + tree, **settings)
+        return learner.fit(bag)._java_obj.trees()[0]
+
+    try:
+        with ThreadPoolExecutor(max_workers=TREES_AT_ONCE) as pool:
+            grown = list(pool.map(grow, range(trees)))
+    finally:
+        ready.unpersist()
+    sc = rows.sparkSession.sparkContext
+    array = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, trees)
+    for i, tree in enumerate(grown):
+        array[i] = tree
+    java = sc._jvm.org.apache.spark.ml.regression.RandomForestRegressionModel(f"RandomForestRegressor_{seed}", array, len(inputs))
+    java.set(java.getParam("numTrees"), trees)  # saved models are checked against it
+    forest = RandomForestRegressionModel(java).setFeaturesCol("features").setPredictionCol(prediction_col)
+    return PipelineModel([*front.stages, forest])
 
 
 def compare_models(
@@ -123,7 +187,7 @@ def compare_models(
     """Fit every family on the same split and report ``(model, metric,
     value)`` for each on the test rows.
 
-    The training rows are prepared and persisted once for all families.  The
+    The training rows are persisted once for all families.  The
     fits are independent Spark jobs and are submitted from one driver thread
     each, so the many small jobs of 100 boosting rounds do not keep the
     executors idle while the other families wait.  The test rows are read
@@ -135,12 +199,12 @@ def compare_models(
         rows.count()  # persisted before the threads read it
         with ThreadPoolExecutor(max_workers=max(1, len(families))) as pool:
             models = list(pool.map(
-                lambda fam: _fit_prepared(rows, fam, schemas.MODEL_INPUTS, label_col, f"_cf_{fam}", "skip"), families))
+                lambda fam: _fit_prepared(rows, fam, schemas.MODEL_INPUTS, label_col, f"_cf_{fam}", "skip", keys), families))
     finally:
         rows.unpersist()
-    scored = assembler(handle_invalid="skip").transform(test.where(F.col(label_col).isNotNull()))
+    scored = test.where(F.col(label_col).isNotNull())
     for model in models:
-        scored = model.stages[-1].transform(scored)
+        scored = model.transform(scored).drop("features")
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("family"), F.col(f"_cf_{f}").alias("prediction")) for f in families]))
     long = scored.select(F.col(label_col), pairs.alias("p")).select(label_col, "p.family", "p.prediction")
     report = regression_metrics(long, label_col, "prediction", partition_by=["family"], digits=digits)

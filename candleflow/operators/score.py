@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +16,9 @@ from .ml import assembler
 
 
 def _with_invalid_policy(model: PipelineModel, handle_invalid: str) -> PipelineModel:
-    """A copy of ``model`` whose vector assembler uses ``handle_invalid``."""
+    """A copy of ``model`` whose bins and vector assembler use ``handle_invalid``."""
     stages = [
-        s.copy({s.handleInvalid: handle_invalid}) if isinstance(s, VectorAssembler) else s for s in model.stages
+        s.copy({s.handleInvalid: handle_invalid}) if isinstance(s, (Bucketizer, VectorAssembler)) else s for s in model.stages
     ]
     return PipelineModel(stages)
 

@@ -11,12 +11,12 @@ from candleflow import schemas
 from candleflow.operators.clean import to_silver
 from candleflow.operators.features import features
 from candleflow.operators.metrics import regression_metrics
-from candleflow.operators.ml import assemble, compare_models, estimator, fit, stable_layout
+from candleflow.operators.ml import assemble, compare_models, estimator, fit, poisson_weight
 from candleflow.operators.score import score, score_linear, to_predictions
 from candleflow.operators.split import chrono_split, train_test
 from candleflow.sinks.writers import save_model
 from candleflow.sources.events import bars_from_events
-from candleflow.sources.models import load_model
+from candleflow.sources.models import DamagedModelError, ModelInputsError, load_model, model_inputs
 from frames import SF_SMALL
 
 
@@ -106,25 +106,39 @@ def test_invalid_rows_follow_the_chosen_policy(spark, split):
         score(bad, model, handle_invalid="error").collect()
 
 
-def test_forest_does_not_depend_on_input_partitioning(spark, split):
+def test_forest_does_not_depend_on_the_layout(spark, split):
+    """The same splits at 1, 4, 16 and 40 partitions, and in other orders."""
     train, test = train_test(split)
-    a = score(test, fit(train, "rf", numTrees=8)).select("symbol", "open_time", "prediction").toPandas()
-    b = score(test, fit(train.repartition(7), "rf", numTrees=8)).select("symbol", "open_time", "prediction").toPandas()
-    m = a.merge(b, on=["symbol", "open_time"])
-    assert len(m) == len(a) and (m.prediction_x == m.prediction_y).all()
-
-
-def test_forest_does_not_depend_on_shuffle_partitions(spark, split):
-    train, test = train_test(split)
-    old, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
-    try:
-        for n in ("4", "7", "16"):
-            spark.conf.set("spark.sql.shuffle.partitions", n)
-            model = fit(train, "rf", numTrees=6)
-            seen.append(sorted((r.symbol, str(r.open_time), r.prediction) for r in score(test, model).select("symbol", "open_time", "prediction").collect()))
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-    assert seen[0] == seen[1] == seen[2]
+    train = train.cache()
+    seen = []
+    for rows in (train.coalesce(1), train.repartition(4), train.repartition(16, "close").sortWithinPartitions("volume"), train.repartition(40)):
+        model = fit(rows, "rf", numTrees=4, maxDepth=5)
+        scored = score(test, model).select("symbol", "open_time", "prediction").collect()
+        splits = [line.split("Predict")[0] for line in model.stages[-1].toDebugString.splitlines()[1:]]
+        seen.append((splits, {(r.symbol, r.open_time): r.prediction for r in scored}))
+    for splits, scored in seen[1:]:
+        assert splits == seen[0][0] and scored.keys() == seen[0][1].keys()
+        assert all(abs(scored[k] - v) < 1e-9 * max(1, abs(v)) for k, v in seen[0][1].items())
+    d = tempfile.mkdtemp(prefix="forest-", dir="/tmp")
+    save_model(model, d)
+    again = {(r.symbol, r.open_time): r.prediction for r in score(test, load_model(d)).collect()}
+    assert again == seen[-1][1] and load_model(d).stages[-1].getNumTrees == 4
+
+
+def test_forest_learns_and_takes_odd_inputs(spark):
+    rows = spark.range(3000).selectExpr("'S' as symbol", "id as open_time", "cast(id % 97 as double) as a", "7.0D as b", "cast(null as double) as c",
+                                        "if(id % 97 < 40, 5.0D, 1.0D) as y")
+    model = fit(rows.fillna(0.0, ["c"]), "rf", inputs=["a", "b", "c"], label_col="y", numTrees=7, maxDepth=3, featureSubsetStrategy="all")
+    got = model.transform(rows.fillna(0.0, ["c"])).selectExpr("avg(abs(prediction - y)) as e").first().e
+    assert got < 0.2
+    assert score(rows, model, inputs=["a", "b", "c"], handle_invalid="skip").count() == 0
+    assert score(rows, model, inputs=["a", "b", "c"], handle_invalid="keep").count() == 3000
+
+
+def test_bags_are_poisson(spark):
+    rows = spark.range(40_000).select(*[poisson_weight(["id"], t, 42).alias(f"w{t}") for t in (0, 1)])
+    r = rows.selectExpr("avg(w0) as m", "var_pop(w0) as v", "avg(if(w0 = 0, 1, 0)) as z", "corr(w0, w1) as c").first()
+    assert abs(r.m - 1) < 0.03 and abs(r.v - 1) < 0.05 and abs(r.z - 0.3679) < 0.01 and abs(r.c) < 0.02
 
 
 def test_compare_models_matches_the_evaluator(spark, split):
@@ -140,7 +154,29 @@ def test_compare_models_matches_the_evaluator(spark, split):
 def test_gbt_matches_sparks_own_estimator(spark, split):
     train, test = train_test(split)
     ours = score(test, fit(train, "gbt", maxIter=4)).select("prediction").toPandas()
-    rows = assemble(stable_layout(train, ("symbol", "open_time")))
+    rows = assemble(train)
     own = GBTRegressor(labelCol=schemas.LABEL, featuresCol="features", **{**schemas.GBT_PARAMS, "maxIter": 4}).fit(rows)
     want = own.transform(assemble(test)).select("prediction").toPandas()
     assert abs(sorted(ours.prediction)[5] - sorted(want.prediction)[5]) < 1e-9 and abs(ours.prediction.sum() - want.prediction.sum()) < 1e-6
+
+
+def test_a_model_that_is_there_but_wrong_says_so(spark, split):
+    train, _ = train_test(split)
+    d = tempfile.mkdtemp(prefix="models-wrong-", dir="/tmp")
+    save_model(fit(train, "lr", inputs=["ma_5", "volume"]), f"{d}/two")
+    save_model(estimator("lr").fit(assemble(train, ["ma_5"])), f"{d}/bare")
+    save_model(fit(train, "rf", numTrees=2, maxDepth=2), f"{d}/forest")
+    assert load_model(f"{d}/nothing") is None
+    assert model_inputs(load_model(f"{d}/two", inputs=None)) == ["ma_5", "volume"]
+    assert model_inputs(load_model(f"{d}/forest")) == list(schemas.MODEL_INPUTS)
+    for path, inputs in ((f"{d}/two", schemas.MODEL_INPUTS), (f"{d}/two", ["volume", "ma_5"]), (f"{d}/bare", schemas.MODEL_INPUTS)):
+        with pytest.raises(ModelInputsError):
+            load_model(path, inputs)
+    assert load_model(f"{d}/two", ["ma_5", "volume"]) is not None and load_model(f"{d}/bare", ["ma_5"]) is not None
+    for part in os.listdir(f"{d}/two/stages/{sorted(os.listdir(f'{d}/two/stages'))[-1]}/data"):
+        with open(f"{d}/two/stages/{sorted(os.listdir(f'{d}/two/stages'))[-1]}/data/{part}", "wb"):
+            pass
+    os.makedirs(f"{d}/empty")
+    for path in (f"{d}/two", f"{d}/empty"):
+        with pytest.raises(DamagedModelError):
+            load_model(path, inputs=None)
