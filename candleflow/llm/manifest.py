@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from candleflow.llm.common import load, once
 from candleflow.operators.sequence import ordered_index, running_total
+from candleflow.plans.sizing import bounded_broadcast
 from candleflow.session import materialize
 
 #: Children of a node, and levels reduced in one shuffle.
@@ -161,8 +162,8 @@ def _reduced(nodes: DataFrame, carried: list[str]) -> list[DataFrame]:
     the ``carried`` columns) to one node a group, each a written table.  In
     the last every group has one row, its ``top`` the group's last node."""
     sizes = nodes.groupBy("grp").agg(F.count("*").alias("n"))
-    # One row a group; the join is left to the planner, as there can be many groups.
-    rounds = [materialize(_slots(nodes.join(sizes, "grp"), carried), "manifest-round")]
+    # One row a group, broadcast if that is small, so that nodes of a large group don't meet in one task.
+    rounds = [materialize(_slots(nodes.join(bounded_broadcast(sizes), "grp"), carried), "manifest-round")]
     while not rounds[-1].where(F.col("n") > SLOTS).isEmpty():
         tops = rounds[-1].select("grp", F.col("up").alias("pos"), F.col("top").alias("digest"), F.ceil(F.col("n") / SLOTS).cast("long").alias("n"))
         rounds.append(materialize(_slots(tops, []), "manifest-round"))
@@ -197,7 +198,8 @@ def merkle_manifest(docs: DataFrame) -> DataFrame:
     with the original siblings; ``verified`` tells whether it gives the root.
     """
     leaves = materialize(leaves_of(docs), "manifest-leaves")
-    rounds = _reduced(placed_leaves(leaves).withColumnRenamed("leaf", "digest"), ["doc_id", "changed"])
+    placed = materialize(placed_leaves(leaves).withColumnRenamed("leaf", "digest"), "manifest-nodes")
+    rounds = _reduced(placed, ["doc_id", "changed"])
     subroots = rounds[-1].select("grp", F.col("top").alias("digest"))
     ordered = ordered_index(subroots, ["grp"], [], index_col="pos").select(
         F.lit("").alias("grp"), (F.col("pos") - 1).alias("pos"), "digest", F.col("grp").alias("of"))
