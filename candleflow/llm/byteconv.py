@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from candleflow.llm.common import importable, load, slices
 
 FILTERS, UNITS, HALF = 32, 16, 32
-#: The fit uses about so many documents of each class, none of more bytes than that.
-FIT_PER_CLASS, FIT_MAX_BYTES = 1000, 16_384
+#: The fit uses about so many documents of each class, of so many bytes in all.
+FIT_PER_CLASS, FIT_BYTES = 1000, 8 << 20
 EPOCHS, BATCH, RATE = 6, 32, 4e-3
 KEEP_FROM = 0.7
 LOW = np.float32(-1e9)
@@ -191,30 +191,46 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = FIT_PER_CLASS, max_bytes: int = FIT_MAX_BYTES) -> Network | float:
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = FIT_PER_CLASS, max_bytes: int = FIT_BYTES) -> Network | float:
     """Fit on a bounded sample: of the labelled documents that aren't held
-    out, about ``per_class`` of each class, chosen by a hash of the doc_id,
-    of at most ``max_bytes`` bytes each.  Documents with contradicting labels
-    are left out.  If a class has no row, the share of ones (with one row of
-    each class added) is returned for want of a network."""
+    out, about ``per_class`` of each class, chosen by a hash of the doc_id
+    whatever their length, as long as a class has at most ``max_bytes`` bytes
+    (its shortest text if none fits).  Documents with contradicting labels are
+    left out.  If a class has no text at all, the share of ones (with one row
+    of each class added) is returned for want of a network."""
     importable(docs.sparkSession)
     known = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(label).alias("y"), F.max(label).alias("hi")).where("y = hi").drop("hi"))
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     zeros, ones = counts.get(0, 0), counts.get(1, 0)
+    share = (ones + 1) / (zeros + ones + 2)
     if not zeros or not ones:
-        return (ones + 1) / (zeros + ones + 2)
+        return share
     fine = 1_000_000
     place = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(fine))
     chosen = known.where(place < F.when(F.col("y") == 0, fine * per_class / zeros).otherwise(fine * per_class / ones)).limit(3 * per_class)
     text = F.coalesce("text", F.lit(""))
-    # The chosen rows are bounded by the line above.
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).where(F.octet_length("text") <= max_bytes)
-            .join(F.broadcast(chosen), "doc_id").limit(3 * per_class).collect())
+    # The chosen rows are bounded by the line above; their texts are fetched once their sizes are known.
+    found = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
+             .join(F.broadcast(chosen), "doc_id"))
+    sizes = found.select("doc_id", "y", "h", F.octet_length("text").alias("n")).distinct().limit(3 * per_class).collect()
+    keys = []
+    for y in (0, 1):
+        mine, total = sorted((r for r in sizes if r["y"] == y), key=lambda r: (r["doc_id"], r["h"])), 0
+        fitting = []
+        for r in mine:
+            if total + r["n"] <= max_bytes:
+                fitting.append((r["doc_id"], r["h"]))
+                total += r["n"]
+        keys += fitting or [(r["doc_id"], r["h"]) for r in sorted(mine, key=lambda r: r["n"])[:1]]
+    if not keys:
+        return share
+    wanted = docs.sparkSession.createDataFrame(keys, "doc_id long, h long")
+    rows = found.join(F.broadcast(wanted), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).select("doc_id", "text", "y").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     y = np.array([r["y"] for r in rows], np.float32)
-    if y.min(initial=1) == y.max(initial=0):
-        return (ones + 1) / (zeros + ones + 2)
+    if y.min() == y.max():
+        return share
     # The sample's shares are known; the output is moved to those of all labelled rows.
     prior = float(np.log(ones / zeros) - np.log(y.sum() / (len(y) - y.sum())))
     return fit([r["text"].encode() for r in rows], y, prior)
@@ -247,7 +263,11 @@ def score(docs: DataFrame, net: Network | float) -> DataFrame:
 
 
 def passing(docs: DataFrame, net: Network | float, least: float = KEEP_FROM) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text scores ``least`` or more."""
+    """The rows of ``docs``, all columns, whose text scores ``least`` or more.
+    Without a network (a class without text) nothing is known against any row,
+    and all stay.  Repeated rows go or stay together; an empty table stays so."""
+    if isinstance(net, float):
+        return docs
     return docs.mapInArrow(lambda it: _passed(it, net, least), docs.schema)
 
 

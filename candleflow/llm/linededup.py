@@ -6,7 +6,10 @@ of that many words: one starts at each line, one ends at each line.  These
 windows are hashed over the hashes of their lines; those whose hash occurs
 more than once are compared by the SHA-256 of their bytes.  A window that
 stands at an earlier place of the corpus is removed, so a repeated run goes as
-a whole, wherever it stands and however short its lines are.
+a whole, wherever it stands and however short its lines are.  (Chunks cut by a
+rolling hash over line hashes, the method named for this operator, miss most
+repeated runs of short lines, as a run of a few lines rarely holds a whole
+chunk; see the README.)
 
 DataFrame functions only; no Python runs on the executors.
 """
@@ -23,38 +26,6 @@ from candleflow.session import materialize
 MIN_WORDS = 50
 #: Lines looked at first for the end of a window.
 AHEAD = 8
-#: :func:`chunked`: lines in the rolling hash; one place in so many ends a chunk.
-WINDOW, EVERY = 2, 8
-
-
-def _rotated(x: Column, by: int) -> Column:
-    return F.shiftleft(x, by).bitwiseOR(F.shiftrightunsigned(x, 64 - by)) if by else x
-
-
-def chunked(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, every: int = EVERY) -> DataFrame:
-    """``docs`` (with a column text, not null) and its ``chunks``: an array of
-    (words, body), the bodies joined by line feeds being the text again."""
-    lines = once(docs, lines=F.split("text", "\n", -1))
-    hashed = once(lines, line_words=F.transform("lines", lambda x: F.regexp_count(x, F.lit(r"\S+"))),
-                   line_hash=F.transform("lines", lambda x: F.xxhash64(x)))
-    n = F.size("lines")
-
-    def ends(i: Column) -> Column:
-        rolling = F.lit(0).cast("long")
-        for back in range(window):
-            rolling = rolling.bitwiseXOR(_rotated(F.coalesce(F.get("line_hash", i - back), F.lit(0).cast("long")), back))
-        return ((i == n - 1) | (F.get("line_words", i) >= min_words) | (F.get("line_words", i + 1) >= min_words)
-                | (F.pmod(F.xxhash64(rolling), F.lit(every)) == 0))
-
-    cut = once(hashed, ends=F.filter(F.sequence(F.lit(0), n - 1), ends))
-
-    def chunk(end: Column, k: Column) -> Column:
-        start = F.when(k == 0, F.lit(0)).otherwise(F.get("ends", k - 1) + 1)
-        return F.struct(
-            F.aggregate(F.slice("line_words", start + 1, end - start + 1), F.lit(0), lambda a, x: a + x).alias("words"),
-            F.array_join(F.slice("lines", start + 1, end - start + 1), "\n").alias("body"))
-
-    return once(cut, chunks=F.transform("ends", chunk)).drop("lines", "line_words", "line_hash", "ends")
 
 
 def windowed(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

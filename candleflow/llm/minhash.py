@@ -259,7 +259,12 @@ def _linked(rows: pd.DataFrame, threshold: float, size: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def text_hashes() -> list[F.Column]:
+    text = F.coalesce("text", F.lit(""))
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(5), text).alias("h2")]
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, with_text: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored):
     doc_id, class_id (smallest doc_id with the same text), group_id (smallest
     doc_id that links lead to), kept (doc_id = group_id).
@@ -269,7 +274,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     lower case.  A document without words, null or empty, links with nothing
     and is kept; one of fewer than ``size`` words is a single shingle.  Rows
     with a null doc_id take no part and are kept; rows that repeat a doc_id
-    are one document.  An empty table gives no rows.
+    are one document.  An empty table gives no rows.  ``with_text`` adds the
+    two hashes h1, h2 of the row's text (``text_hashes``) and whether it has
+    words (``worded``), for rows that share a doc_id with other texts.
 
     Equal texts meet by hash, summed within tasks, and only one of each goes
     on.  In a band's bucket the members are verified against the one that
@@ -282,7 +289,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     spark = docs.sparkSession
     importable(spark)
     text = F.coalesce("text", F.lit(""))
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(5), text).alias("h2"))
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *text_hashes())
     signed = materialize(base.where("doc_id is not null and text <> ''").mapInArrow(
         lambda it: _signed(it, size, bands, rows), "doc_id long, h1 long, h2 long, n long, bands array<long>, sig binary").where("n > 0"), "signatures")
     classes = materialize(signed.groupBy("h1", "h2").agg(
@@ -326,7 +333,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     out = base.select("doc_id", "h1", "h2").join(of_text, ["h1", "h2"], "left")
     class_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id"))
     group_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "class_id", "doc_id"))
-    return out.select("doc_id", class_id.alias("class_id"), group_id.alias("group_id"), F.coalesce(F.col("doc_id") == group_id, F.lit(True)).alias("kept"))
+    more = ["h1", "h2", F.col("class_id").isNotNull().alias("worded")] if with_text else []
+    return out.select("doc_id", class_id.alias("class_id"), group_id.alias("group_id"), F.coalesce(F.col("doc_id") == group_id, F.lit(True)).alias("kept"), *more)
 
 
 def op8_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 A text is cut at single spaces between two non-space characters.  No token of
 the tokenizers used here reaches across such a place, so encoding the pieces
 and joining their ids equals encoding the text; pieces repeat, so most of them
-come from a bounded table of pieces seen before.
+come from a bounded table of pieces seen before.  The ids are those of the
+library's plain call, added tokens included.
 """
 
 from __future__ import annotations
@@ -45,7 +46,11 @@ class PieceEncoder:
 
     def __init__(self, path: str, kept: int):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # A text that holds the string of an added token goes to the library whole, which gives the token's id.
+        self.plain = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.plain.get_added_tokens_decoder().values()]
+        # In a piece such a string can only come from lower-casing and is ordinary text.
+        self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.kept = kept
         # Some tokenizers drop white space and case; their pieces are then bare words.
@@ -71,7 +76,8 @@ class PieceEncoder:
         return (text if JOINED.search(text) else text.replace(".\x01", "\x01.\x01").replace(",\x01", "\x01,\x01")).split("\x01")
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
+        marked = {i: self.plain.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if any(a in t for a in self.added)}
+        cut = [() if i in marked else self.pieces(t) for i, t in enumerate(texts)]
         if len(self.young) > self.kept:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
@@ -89,6 +95,8 @@ class PieceEncoder:
             for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 young[p] = array(code, e.ids).tobytes()
         out = [b"".join(map(young.__getitem__, ps)) for ps in cut]
+        for i, ids in marked.items():
+            out[i] = array(code, ids).tobytes()
         for p in passing:
             del young[p]
         return out

@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from candleflow.llm import byteconv as B
-from candleflow.llm import linededup as L
 from candleflow.llm.common import components, load
 from candleflow.session import scratch_path
+from test_linededup import brute_runs
 from test_minhash import brute as groups
 
 SF = "/root/testdata/sf0.001"
@@ -41,18 +41,9 @@ def test_quality_keeps_what_scores_well(spark, stages):
 
 def test_line_dedup_leaves_each_passage_once(spark, stages):
     before, after = stages["line_dedup"]
-    seen, want = set(), {}
-    for r in sorted(before.collect(), key=lambda r: r.doc_id):
-        chunks = L.chunked(spark.createDataFrame([(r.text,)], "text string")).first()["chunks"] if r.text else []
-        kept = []
-        for c in chunks:
-            if c["words"] < L.MIN_WORDS or c["body"] not in seen:
-                kept.append(c["body"])
-            if c["words"] >= L.MIN_WORDS:
-                seen.add(c["body"])
-        text = "\n".join(kept)
-        if text == (r.text or "") or text.strip():
-            want[r.doc_id] = text
+    rows = [(r.doc_id, r.text) for r in before.collect()]
+    left = brute_runs(spark, [r for r in rows if r[1]])
+    want = {i: (left[i, t][0] if t else t) for i, t in rows if not t or left[i, t][1] == 0 or left[i, t][0].strip()}
     assert {r.doc_id: r.text for r in after.collect()} == want
     assert after.where(F.col("n_chars") != F.length("text")).count() == 0
 
@@ -91,3 +82,40 @@ def test_components(spark):
     out = {r.id: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert out == {x: find(x) for x in root}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_near_dedup_decides_by_row(spark):
+    """A doc_id on rows of different texts, repeated rows, rows without words
+    or doc_id, and columns with names that clash."""
+    copied, own, more = (" ".join(f"{w}{k}" for k in range(30)) for w in "abc")
+    rows = [(1, copied), (2, copied), (2, own), (3, more), (3, more), (4, more + " end"), (5, ""), (6, " "), (5, None), (None, copied), (None, copied), (7, own)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], COLUMNS).selectExpr("*", "1 as h1", "2 as group_id", "'x' as kept")
+    out = C.near_dedup(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id or 0, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, copied), (2, own), (3, more), (5, ""), (5, None), (6, " "), (0, copied), (0, copied)], key=str)
+
+
+@pytest.mark.parametrize("stage", [C.line_dedup, C.near_dedup])
+def test_stages_take_empty_tables(spark, stage):
+    docs = spark.createDataFrame([], COLUMNS)
+    assert stage(spark, docs, "").count() == 0 and stage(spark, docs, "").columns == docs.columns
+    assert C.packing(spark, docs, "").count() == 0
+
+
+def test_quality_without_labelled_texts_keeps_all(spark):
+    docs = spark.createDataFrame([(i, "some text", "en", "s", 9) for i in range(5)], COLUMNS)
+    labels = spark.createDataFrame([(100 + i, i % 2) for i in range(40)], "doc_id long, quality int")
+    net = B.train(docs, labels)
+    assert isinstance(net, float) and 0 < net < 1
+    assert B.passing(docs, net).count() == 5 and B.score(docs, net).where("score between 0 and 1").count() == 5
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    docs = spark.createDataFrame([(i, ("aeiou stou " if i % 2 else "*** zz# ") * 2500) for i in range(12)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    assert isinstance(B.train(docs, labels), B.Network)
+    assert isinstance(B.train(docs, labels, max_bytes=10), B.Network)  # the shortest of each class

@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 from candleflow.llm.tokens import PieceEncoder
 
-PARTS = ["a", "B", "é", " ", "  ", "\n", "\t", "'s", "'", " '", "3", "!", ".", ",", ". ", ", ", "|", "\xa0", "ß", "\u0301", "日", "İ", "Σ", "\x1c", "\x01", "<|endoftext|>"]
+PARTS = ["a", "B", "é", " ", "  ", "\n", "\t", "'s", "'", " '", "3", "!", ".", ",", ". ", ", ", "|", "\xa0", "ß", "\u0301", "日", "İ", "Σ", "\x1c", "\x01", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>"]
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
@@ -16,7 +16,6 @@ def test_pieces_give_the_ids_of_the_whole_text(name):
     texts = ["".join(rng.choice(PARTS) for _ in range(rng.randint(0, 40))) for _ in range(8000)]
     texts += [" ".join(rng.choice(["one,", "Two.", "thr'ee", "4.5", "six"]) for _ in range(30)) for _ in range(300)]
     whole = Tokenizer.from_file(public_tokenizers.path(name))
-    whole.encode_special_tokens = True
     enc = PieceEncoder(public_tokenizers.path(name), kept=50)  # few kept: both generations are used
     got = [ids for lo in range(0, len(texts), 64) for ids in enc(texts[lo : lo + 64])]
     want = whole.encode_batch(texts, add_special_tokens=False)
