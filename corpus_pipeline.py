@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from candleflow.llm.byteconv import passing, train
 from candleflow.llm.common import load
 from candleflow.llm.linededup import dedup_lines
-from candleflow.llm.minhash import near_duplicates
+from candleflow.llm.minhash import near_duplicates, text_hashes
 from candleflow.llm.packing import packed_digests
 from candleflow.session import scratch_path
 
@@ -30,7 +30,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated passages.  A document of which nothing but
-    white space is left goes; n_chars follows the text."""
+    white space is left goes; n_chars follows the text.  The first place of a
+    passage, by doc_id, stays; rows equal in doc_id and text keep or lose the
+    same lines, null and empty texts stay as they are, an empty table too."""
     out = dedup_lines(docs)
     changed = F.col("removed_chunks") > 0
     left = out.where(~changed | (F.length(F.regexp_replace("text", r"\s+", "")) > 0))
@@ -41,10 +43,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the smallest doc_id.
-    Documents without a doc_id or without words stay."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near duplicates: the smallest doc_id's, of
+    several texts under it the one with the smallest hash.  Rows are decided
+    by doc_id and text, so a doc_id that stands on several texts loses only
+    those that repeat others; rows equal in both are one, the smallest by its
+    columns.  Rows without a doc_id stay, and so do texts without words.  An
+    empty table stays empty."""
+    decided = near_duplicates(docs, with_text=True).where("doc_id is not null and kept")
+    best = decided.where("worded").groupBy("group_id").agg(F.min(F.struct("doc_id", "h1", "h2")).alias("b")).select("b.*")
+    stay = best.unionByName(decided.where(~F.col("worded")).select("doc_id", "h1", "h2"))
+    keys = [F.col("doc_id").cast("long").alias("d"), *text_hashes()]
+    rows = docs.where("doc_id is not null").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *keys)
+    one = rows.groupBy("d", "h1", "h2").agg(F.min("row").alias("row"))
+    # Null and empty texts share their hashes; without words, every text of its own stays.
+    worded = one.join(stay.withColumnRenamed("doc_id", "d"), ["d", "h1", "h2"], "left_semi").select("row.*")
+    empty = docs.where("doc_id is not null and coalesce(text, '') = ''")
+    return worded.where("coalesce(text, '') <> ''").unionByName(empty).unionByName(docs.where("doc_id is null"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
