@@ -23,6 +23,7 @@ from ..operators.metrics import regression_metrics
 from ..operators.quality import correlation, duplicate_report, null_counts, quantile, rows_with_null
 from ..operators.ml import compare_models, fit
 from ..operators.score import score, score_linear, to_predictions
+from ..operators.sketches import merge_sketches, quantile_rank_errors, rank_error, read_sketches, sketch_quantiles, store_sketches
 from ..operators.split import chrono_split, time_index, train_test
 from ..session import delete_paths, materialize, scratch_path, table
 from ..sinks.versions import numbered, publish
@@ -33,7 +34,7 @@ from ..sources.models import load_model
 from ..sources.tables import read_table
 from ..streaming.ingest import events_stream, kline_stream, read_bars, start_bars
 from ..streaming.incremental import compact_state, read_features, read_scores, start_incremental_features, start_scoring
-from .refresh import run_refresh, score_table
+from .refresh import RefreshPaths, run_refresh, score_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -491,6 +492,34 @@ def q_features_1m(spark, sf):
     return _rounded(features(to_silver(bars), block_rows=MINUTE_BLOCK_ROWS))
 
 
+def q_refresh_quality(spark, sf):
+    """A refresh over bronze that holds candles as polled half an hour into
+    their hour, some without a volume, and once more when finished: what its
+    write jobs counted, other than zero."""
+    events = table(spark, sf, "events")
+    early = bars_from_events(events.where(F.minute("ts") < 30))
+    holes = early.withColumn("volume", F.when(F.col("number_of_trades") % DAMAGE_EVERY != 0, F.col("volume")))
+    paths = RefreshPaths(scratch_path(spark, "refresh-quality"))
+    run_refresh(spark, holes.unionByName(bars_from_events(events)), paths.root, families=("lr",), run_id="counted")
+    return read_runs(spark, paths.quality, "counted").where("value <> 0").select("stage", "metric", "value")
+
+
+def q_sketch_quantiles(spark, sf):
+    """Quantiles of the close per symbol from sketches by day, stored in two
+    refreshes that overlap by a period: how many values stand behind each, and
+    whether its rank is within twice the sketch's error."""
+    stored, periods = _land_once(_bars(spark, sf), "open_time", "sketch-bars")
+    path = scratch_path(spark, "sketches")
+    bars = spark.read.parquet(stored)
+    half = periods[len(periods) // 2]
+    for part in (bars.where(F.col("period") <= half), bars.where(F.col("period") >= half)):
+        store_sketches(part, path, ["close"])
+    merged = merge_sketches(read_sketches(spark, path), ["symbol"])
+    answers = sketch_quantiles(merged, QUANTILES, ["symbol"])
+    found = quantile_rank_errors(bars, materialize(answers, "sketch-answers"), ["symbol"])
+    return found.select("symbol", "q", "n", (F.col("off") <= 2 * rank_error()).alias("within_bound"))
+
+
 QUANTILES = (0.1, 0.25, 0.9, 0.95)
 MINUTE_BLOCK_ROWS = 500
 REFRESH_FROM = "l"
@@ -528,6 +557,8 @@ QUERIES: dict[str, Query] = {
     "silver_from_klines": q_silver_from_klines,
     "prediction_records": q_prediction_records,
     "full_refresh": q_full_refresh,
+    "refresh_quality": q_refresh_quality,
+    "sketch_quantiles": q_sketch_quantiles,
     "stream_features": q_stream_features,
     "stream_bars": q_stream_bars,
     "stream_features_out_of_order": q_stream_features_out_of_order,
@@ -564,6 +595,8 @@ bars as (
         from events)
   group by 1, 2)"""
 
+_EARLY = _BARS.replace("\nbars as (", "\nearly as (").replace("from events)", "from events where minute(ts) < 30)")
+
 _RAW_FEATURES = """
 w_feat as (
   select *,
@@ -708,6 +741,18 @@ faults as (
   from bars b join bodies d on b.symbol = d.symbol and b.open_time::date = d.day where d.n % {DAMAGE_EVERY} <> 0
   union all select symbol, 'body is no array of arrays' from bodies where n % {DAMAGE_EVERY} = 0)
 select symbol, reason, count(*)::bigint as n from faults group by 1, 2""",
+    "sketch_quantiles": _with(_BARS) + f"""
+select symbol, q, count("close") as n, true as within_bound
+from bars, (select unnest([{", ".join(map(str, QUANTILES))}])::double as q) group by 1, 2""",
+    "refresh_quality": _with(_BARS, _EARLY, _RAW_FEATURES, _features_cte()) + f""",
+sizes as (select (select count(*) from bars) as b, (select count(*) from early) as e,
+                 (select count(*) from early where number_of_trades % {DAMAGE_EVERY} = 0) as h, (select count(*) from features) as f)
+select u.stage, u.metric, u.value::bigint as value from sizes, unnest([
+  {{'stage': 'bronze', 'metric': 'n_rows', 'value': b + e}}, {{'stage': 'bronze', 'metric': 'complete_rows', 'value': b + e - h}},
+  {{'stage': 'bronze', 'metric': 'nulls_volume', 'value': h}}, {{'stage': 'silver', 'metric': 'n_rows', 'value': b}},
+  {{'stage': 'silver', 'metric': 'complete_rows', 'value': b}}, {{'stage': 'silver', 'metric': 'duplicate_rows', 'value': e - h}},
+  {{'stage': 'features', 'metric': 'n_rows', 'value': f}}, {{'stage': 'features', 'metric': 'complete_rows', 'value': f}}]) as t(u)
+where u.value <> 0""",
     "quantiles_close": _with(_BARS) + "\n" + "\nunion all\n".join(
         f'select cast({q} as double) as q, quantile_disc("close", {q}) as "close" from bars' for q in QUANTILES),
     "features_1m": _features_sql("label_return").replace("interval 1 hour", "interval 1 minute"),

@@ -22,16 +22,22 @@ from ..operators.clean import to_silver
 from ..operators.features import features
 from ..operators.metrics import regression_metrics
 from ..operators.ml import fit
+from ..operators.observed import QualityCounts, duplicate_rows, quality_report
 from ..operators.score import score, to_predictions
+from ..operators.sketches import DAY, sketch_columns
 from ..operators.split import chrono_split, train_test
 from ..session import materialize
 from ..sinks.versions import publish, release_versions
-from ..sinks.writers import append_metrics, append_predictions, read_runs, save_model, write_jdbc
+from ..sinks.writers import append_metrics, append_predictions, append_quality, read_runs, save_model, write_jdbc
 from ..sources.klines import read_klines
 from ..sources.models import load_model
 from ..sources.tables import EmptyInputError, read_table
 
 
+#: Feature columns whose quantiles can be asked from stored sketches.
+SKETCHED = (*schemas.MODEL_INPUTS, schemas.LABEL)
+
+
 @dataclass
 class RefreshPaths:
     root: str
@@ -48,6 +54,14 @@ class RefreshPaths:
     def features(self) -> str:
         return f"{self.root}/features"
 
+    @property
+    def sketches(self) -> str:
+        return f"{self.root}/quantile_sketches"
+
+    @property
+    def quality(self) -> str:
+        return f"{self.root}/quality"
+
     @property
     def predictions(self) -> str:
         return f"{self.root}/test_predictions"
@@ -82,20 +96,35 @@ def run_refresh(
     here; a run repeated under its id replaces its metrics.  Tables are read back with the schema
     they were written with, so a symbol such as "007" stays text.  A stage
     without rows raises :class:`EmptyInputError` and leaves later tables as
-    they are."""
+    they are.
+
+    The jobs that write bronze, silver and features count their rows, NULLs
+    and duplicates on the way; the counts go to a table of runs under the same
+    id (``RefreshPaths.quality``).  Sketches of the features by symbol and day
+    are stored next to them (``RefreshPaths.sketches``; ``operators.sketches``
+    answers quantiles from them)."""
     paths = RefreshPaths(out_root.rstrip("/"))
     run_id = run_id or uuid.uuid4().hex
 
+    counts: dict[str, dict[str, int]] = {}
+
     def stage(df: DataFrame, path: str) -> DataFrame:
         if df.isEmpty():
             raise EmptyInputError(f"no rows for {path}")
-        publish(df, path, partition_by=[schemas.SYMBOL])
+        counter = QualityCounts([c for c in df.columns if c != "ignore"])
+        publish(df, path, partition_by=[schemas.SYMBOL], watch=counter.watch)
+        counts[path.rpartition("/")[2]] = counter.get()
         release_versions(spark, path, keep=2)
         return read_table(spark, path, schema=df.schema).select(*df.columns)
 
     bronze = stage(read_klines(spark, source) if isinstance(source, str) else source, paths.bronze)
     silver = stage(to_silver(bronze), paths.silver)
     feats = stage(features(silver, null_policy), paths.features)
+    counts["silver"]["duplicate_rows"] = duplicate_rows(counts["bronze"], counts["silver"])
+    append_quality(quality_report(spark, counts), paths.quality, run_id)
+    dated = feats.withColumn(DAY, F.to_date(schemas.OPEN_TIME))
+    publish(sketch_columns(dated, SKETCHED, [schemas.SYMBOL, DAY]), paths.sketches, partition_by=[DAY])
+    release_versions(spark, paths.sketches, keep=2)
     if jdbc:
         write_jdbc(feats, jdbc["url"], jdbc["table"], properties=jdbc.get("properties"))
 

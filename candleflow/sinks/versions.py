@@ -11,7 +11,7 @@ have planned on them; folders without a mark are left-overs of lost jobs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,11 +67,12 @@ def new_version(spark: SparkSession, root: str, number: int | None = None) -> It
     mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(mark, True).close()
 
 
-def publish(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
+def publish(df: DataFrame, root: str, partition_by: Sequence[str] = (), watch: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """K1: replace the table at ``root`` by ``df``; returns the folder of the
-    new version.  ``sources.tables.read_table`` reads the newest."""
+    new version.  ``sources.tables.read_table`` reads the newest.  ``watch``
+    goes to ``write_parquet``."""
     with new_version(df.sparkSession, root) as path:
-        write_parquet(df, path, partition_by=partition_by, replace="table")
+        write_parquet(df, path, partition_by=partition_by, replace="table", watch=watch)
     return path
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.util import MLWritable
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +23,7 @@ def write_parquet(
     partition_by: Sequence[str] = (),
     max_records_per_file: int | None = None,
     replace: str = "partitions",
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write a Parquet table.
 
@@ -32,11 +33,16 @@ def write_parquet(
     ``path``.  The rows are rebalanced by the partition columns: a value's
     rows meet in few tasks and so in few files, and the rebalance splits a
     value that holds too much for one task.
+
+    ``watch`` (see ``operators.observed``) gets the rows behind the rebalance,
+    as they are written.
     """
     if replace not in ("partitions", "table"):
         raise ValueError(f"unknown replacement {replace!r}")
     parts = list(partition_by)
-    writer = df.hint("rebalance", *parts).sortWithinPartitions(*parts) if parts else df
+    rows = df.hint("rebalance", *parts) if parts else df
+    rows = watch(rows) if watch else rows
+    writer = rows.sortWithinPartitions(*parts) if parts else rows
     w = writer.write.mode(mode)
     if parts:
         w = w.partitionBy(*parts).option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
@@ -105,6 +111,12 @@ def append_metrics(metrics: DataFrame, path: str, run_id: str | None = None) ->
     return _write_run(metrics.select("*", F.current_timestamp().alias("run_at")), path, run_id)
 
 
+def append_quality(report: DataFrame, path: str, run_id: str | None = None) -> str:
+    """Add the quality report of a run (see ``operators.observed``) to a table
+    of all runs, under the rules of :func:`append_predictions`."""
+    return _write_run(report, path, run_id)
+
+
 def read_runs(spark: SparkSession, path: str, run_id: str | None = None, fmt: str = "parquet") -> DataFrame:
     """The records of all runs in a table of runs, or of one.  Ids stay text
     whatever they look like."""
