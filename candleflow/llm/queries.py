@@ -11,6 +11,7 @@ from candleflow.llm.manifest import op13_merkle_manifest
 from candleflow.llm.manifest import oracle_sql as manifest_sql
 from candleflow.llm.segment import op9_n_best_pieces
 from candleflow.llm.warc import op5_warc_salvage
+from candleflow.llm.warc import oracle_sql as archive_sql
 from candleflow.llm.licenses import op6_license_scan
 from candleflow.llm.licenses import oracle_sql as license_sql
 from candleflow.llm.linededup import op7_line_dedup
@@ -34,6 +35,7 @@ QUERIES = {
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE = {
+    "op5_warc_salvage": archive_sql(),
     "op6_license_scan": license_sql(),
     "op11_ranked_search": search_sql(),
     "op12_bottom_k_fingerprints": fingerprint_sql(),

@@ -5,6 +5,8 @@ The writer makes one gzip member per record, members parted by a NUL byte
 The reader checks every member and record; after a failed check it searches
 for the next place where a member or a version line begins and all checks
 pass, goes on from there, and reports the bytes between as a quarantined gap.
+The search also runs inside a member, over what of its text can be inflated,
+so one damaged record or a lost tail costs only what it holds.
 """
 
 from __future__ import annotations
@@ -28,6 +30,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1."
 STEP = 1 << 16
+#: Bytes of html written as one value, and such values in one archive.
+CHUNK_BYTES = 4 << 20
+CHUNKS = 64
 
 
 # ---- writing ---------------------------------------------------------------
@@ -85,25 +90,30 @@ def member(data: bytes) -> bytes:
 
 
 def _members(batches: Iterator[pa.RecordBatch], gzip: bool) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "html", 4 << 20):
-        out = []
-        for r in batch.to_pylist():
-            data = record(r["page_id"], r["url"], r["html"].encode(), r["digest"], r["type"], r["refers_to"])
-            out.append(member(data) if gzip else data)
-        yield pa.record_batch([pa.array(out, pa.binary())], names=["value"])
+    for batch in batches:
+        for part in slices(iter([batch]), "html", CHUNK_BYTES):
+            out = []
+            for r in part.to_pylist():
+                data = record(r["page_id"], r["url"], r["html"].encode(), r["digest"], r["type"], r["refers_to"])
+                out.append(member(data) if gzip else data)
+            yield pa.record_batch([pa.array([b"\0".join(out)], pa.binary())], names=["value"])
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT, gzip: bool = True, max_records: int = 50_000) -> None:
+def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT, gzip: bool = True, chunks: int = CHUNKS) -> None:
     """Write a record for each row of ``pages`` to archives at ``path``; see
     :func:`with_revisits` for which become revisits.  A null html is an empty
     payload, a null url is replaced by a name made from the page_id; an empty
-    table gives no archive."""
+    table gives no archive.
+
+    Records are written in values of about ``CHUNK_BYTES`` bytes of html (a
+    longer page is one of its own), ``chunks`` of which fill an archive, so an
+    archive is bounded by bytes, not by its number of records."""
     spark = pages.sparkSession
     importable(spark)
     rows = with_revisits(pages, min_bytes)
     # The text writer stores the bytes of a string as they are; its line separator is the padding.
     (rows.mapInArrow(lambda it: _members(it, gzip), "value binary").select(F.col("value").cast("string").alias("value"))
-     .write.option("lineSep", "\0").option("maxRecordsPerFile", max_records).text(path))
+     .write.option("lineSep", "\0").option("maxRecordsPerFile", chunks).text(path))
 
 
 # ---- reading ---------------------------------------------------------------
@@ -116,8 +126,9 @@ class Damage(Exception):
         self.end = end
 
 
-def parse_record(data: bytes, at: int) -> tuple[dict, int]:
-    """The record that begins at ``at`` and the place after it."""
+def parse_record(data: bytes, at: int, sure: bool = False) -> tuple[dict, int]:
+    """The record that begins at ``at`` and the place after it.  ``sure``: only
+    if it carries a digest of its bytes, as the text around it is doubtful."""
     if not data.startswith(VERSION, at):
         raise Damage("no version line")
     stop = data.find(b"\r\n\r\n", at)
@@ -144,58 +155,124 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
     want = fields.get("warc-payload-digest")
     if want and fields.get("warc-type") == "response" and want != _base32(hashlib.sha1(payload).digest()):
         raise Damage("payload digest differs")
+    if sure and "warc-block-digest" not in fields and not (want and fields.get("warc-type") == "response"):
+        raise Damage("no digest in a damaged member")
     return {"fields": fields, "payload": payload}, end + 4
 
 
-def parse_member(data: bytes, at: int) -> tuple[list[dict], int]:
-    """The records of the gzip member that begins at ``at``."""
+def inflate(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """The text of the gzip member that begins at ``at``, where it ends, and
+    what is wrong with it.  The text of a broken member is what comes before
+    the break, and its end is the last place read."""
     z, pos, parts = zlib.decompressobj(31), at, []
-    try:
-        while not z.eof and pos < len(data):
+    while not z.eof and pos < len(data):
+        before = z.copy()
+        try:
             parts.append(z.decompress(data[pos : pos + STEP]))
             pos += STEP
-    except zlib.error as error:
-        raise Damage(f"member: {error}"[:80]) from None
+        except zlib.error as error:
+            # Byte by byte up to the break, whose step loses all it inflates.
+            try:
+                while True:
+                    parts.append(before.decompress(data[pos : pos + 1]))
+                    pos += 1
+            except zlib.error:
+                return b"".join(parts), pos, f"member: {error}"[:80]
     if not z.eof:
-        raise Damage("member without end")
-    end = min(pos, len(data)) - len(z.unused_data)
-    text, inside, records = b"".join(parts), 0, []
-    while inside < len(text):
+        return b"".join(parts), len(data), "member without end"
+    return b"".join(parts), min(pos, len(data)) - len(z.unused_data), None
+
+
+def records_of(text: bytes, broken: bool = False) -> Iterator[tuple[int, int, dict | None, str | None]]:
+    """(start, end, record, None) of each good record of a member's text and
+    (start, end, None, reason) of each gap, in order.  In a ``broken`` member
+    a record counts if a digest of its own holds and the text goes on behind
+    it; what is left at the break is no gap of the text."""
+    at, gap, reason = 0, None, None
+    while at < len(text):
         try:
-            found, inside = parse_record(text, inside)
+            one, end = parse_record(text, at, broken)
+            if broken and end == len(text):
+                break
         except Damage as damage:
-            raise Damage(str(damage), end) from None
-        records.append(found)
-    return records, end
+            if gap is None:
+                gap, reason = at, str(damage)
+            at = text.find(VERSION, at + 1)
+            at = len(text) if at < 0 else at
+            continue
+        if gap is not None:
+            yield gap, at, None, reason
+            gap = None
+        yield at, end, one, None
+        at = end
+    if gap is not None and not broken:
+        yield gap, len(text), None, reason
+
+
+class Search:
+    """The next places of a mark in growing order; each stretch is searched once."""
+
+    def __init__(self, data: bytes, mark: bytes):
+        self.data, self.mark, self.at = data, mark, -1
+
+    def after(self, place: int) -> int:
+        if self.at < place:
+            found = self.data.find(self.mark, place)
+            self.at = found if found >= 0 else len(self.data)
+        return self.at
+
+
+def _same(one: dict) -> bytes:
+    """A digest of a record, to know it again."""
+    return hashlib.sha1(repr(sorted(one["fields"].items())).encode() + one["payload"]).digest()
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str | None]]:
     """(start, end, record, None) of each good record and (start, end, None,
-    reason) of each gap, in order; NUL padding is neither."""
+    reason) of each gap, in order; NUL padding is neither.
+
+    The records of a member have its place.  If some of a damaged member are
+    good, a gap at the member's place names each stretch of its text that is
+    lost; a member whose end is lost is a gap from its start on, besides the
+    records read from it."""
     at, gap, reason = 0, None, None
+    held: set[bytes] = set()  # records read from a broken member, which may show their bytes uncompressed
+    members, versions = Search(data, MAGIC), Search(data, VERSION)
     while at < len(data):
         if gap is None and data[at] == 0:
             at += 1
             continue
-        try:
-            if data.startswith(MAGIC, at):
-                records, end = parse_member(data, at)
-            else:
+        found, fault, known = [], None, None
+        if data.startswith(MAGIC, at):
+            text, end, fault = inflate(data, at)
+            found = list(records_of(text, fault is not None))
+            good = any(one for _, _, one, _ in found)
+            if fault is None and not good and found:
+                fault, known = found[0][3], end
+        else:
+            try:
                 one, end = parse_record(data, at)
-                records = [one]
-        except Damage as damage:
-            if gap is None:
-                gap, reason = at, str(damage)
-            after = damage.end or at + 1
-            places = [p for p in (data.find(MAGIC, after), data.find(VERSION, after)) if p >= 0]
-            at = min(places, default=len(data))
-            continue
-        if gap is not None:
+                if gap is not None and _same(one) in held:
+                    raise Damage("read before")
+                found, good = [(at, end, one, None)], True
+            except Damage as damage:
+                fault, good = str(damage), False
+        if gap is not None and (good or fault is None):
             yield gap, at, None, reason
             gap = None
-        for one in records:
-            yield at, end, one, None
-        at = end
+            held = held if fault else set()
+        if good:
+            for start, stop, one, why in found:
+                yield at, end, one, f"{why}, bytes {start} to {stop} of the member's text" if why else None
+        if fault is None:
+            at = end
+            continue
+        if gap is None:
+            gap, reason = at, fault
+        if known is None:
+            held.update(_same(one) for _, _, one, _ in found if one)
+        after = known or at + 1
+        at = min(members.after(after), versions.after(after))
     if gap is not None:
         yield gap, len(data), None, reason
 
@@ -245,7 +322,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     start, stop (the bytes taken), gap (the reason, for a gap), record_type,
     record_id, url, page_id, payload_bytes, payload_digest, refers_to,
     payload.  A file is read by one task, so archives should stay well under
-    2 GB, as the writer's do."""
+    2 GB, as the writer's do (256 MB of html, or one longer page)."""
     importable(spark)
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(lambda it: _read(it, payloads), READ_DDL)
@@ -258,3 +335,14 @@ def op5_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_archives(load(spark, sf_dir, "pages"), path)
     log = materialize(read_archives(spark, path, payloads=False), "warc-log")
     return log.where("gap is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def oracle_sql() -> str:
+    """What is read back, from the pages themselves."""
+    return f"""
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as payload_digest, strlen(coalesce(html, ''))::bigint as payload_bytes from pages),
+r as (select payload_digest, max(page_id) as response, count(*) as n from p where payload_bytes >= {MIN_REVISIT} group by 1)
+select page_id, payload_bytes, p.payload_digest,
+       case when n > 1 and page_id is distinct from response then 'revisit' else 'response' end as record_type,
+       case when n > 1 and page_id is distinct from response then response end as refers_to
+from p left join r on p.payload_digest = r.payload_digest and payload_bytes >= {MIN_REVISIT}"""

@@ -63,6 +63,69 @@ def test_wrong_length_and_wrong_digest():
     assert ids(good.replace(b"payload\r\n\r\n", b"pAyload\r\n\r\n") + rec(2, b"z")) == [2]
 
 
+def packed(n=10, size=400):
+    """n records, and the places in their text where they begin."""
+    import random
+
+    rng = random.Random(n)
+    parts = [rec(i, bytes(rng.randrange(32, 127) for _ in range(size))) for i in range(n)]
+    return parts, b"".join(parts)
+
+
+def test_one_damaged_record_of_a_member():
+    parts, text = packed()
+    hurt = bytearray(text)
+    hurt[sum(map(len, parts[:4])) + len(parts[4]) - 20] ^= 1
+    data = W.member(rec(77, b"before")) + b"\0" + W.member(bytes(hurt)) + b"\0" + W.member(rec(88, b"after"))
+    assert ids(data) == [77, 0, 1, 2, 3, 5, 6, 7, 8, 9, 88]
+    (start, end, _, reason), = [x for x in W.salvage(data) if x[2] is None]
+    assert start == len(W.member(rec(77, b"before"))) + 1 and end == start + len(W.member(bytes(hurt)))
+    a = sum(map(len, parts[:4]))
+    assert reason == f"block digest differs, bytes {a} to {a + len(parts[4])} of the member's text"
+    hurt[:4] = b"XXXX"
+    assert ids(W.member(bytes(hurt))) == [1, 2, 3, 5, 6, 7, 8, 9]
+
+
+def test_a_member_that_breaks_off_or_goes_bad_keeps_what_comes_before():
+    parts, text = packed(20, 5000)
+    whole = W.member(text)
+    for lost in (40, len(whole) // 2):
+        got = ids(whole[:-lost])
+        assert got == list(range(len(got))) and len(got) >= 20 * (len(whole) - lost) // len(whole) - 1
+        assert gaps(whole[:-lost]) == [(0, len(whole) - lost)]
+        assert ids(whole[:-lost] + W.member(rec(99, b"x"))) == [*got, 99]
+    hurt = bytearray(whole)
+    hurt[len(whole) // 2 : len(whole) // 2 + 50] = b"\xff" * 50
+    got = ids(bytes(hurt) + b"\0" + W.member(rec(99, b"x")))
+    assert got[-1] == 99 and set(range(9)) <= set(got) and len(set(got)) == len(got)
+
+
+def test_records_without_digest_count_only_in_sound_members():
+    bare = b"\r\n".join(x for x in rec(1, b"p").split(b"\r\n") if b"Digest" not in x)
+    assert ids(W.member(bare + rec(2, b"q"))) == [1, 2]
+    broken = W.member(bare + rec(2, b"q") + rec(3, b"r" * 50))[:-4]
+    assert ids(broken) == [2]
+
+
+def test_a_broken_member_of_stored_blocks_gives_records_once():
+    import zlib
+
+    _, text = packed(6, 300)
+    z = zlib.compressobj(0, zlib.DEFLATED, 31)
+    data = (z.compress(text) + z.flush())[:-30]
+    assert ids(data + b"\0" + W.member(rec(50, b"x"))) == [0, 1, 2, 3, 4, 50]
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    import os
+
+    df = spark.range(40).selectExpr("id as page_id", "'u' as url", "repeat(sha1(cast(id as string)), 15000) as html")
+    W.write_archives(df, str(tmp_path / "a"), gzip=False, chunks=2)
+    sizes = [os.path.getsize(tmp_path / "a" / f) for f in os.listdir(tmp_path / "a") if f.startswith("part")]
+    assert max(sizes) <= 2 * (W.CHUNK_BYTES + 610_000) and sum(sizes) > 24_000_000
+    assert sorted(r.page_id for r in W.read_archives(spark, str(tmp_path / "a"), payloads=False).collect()) == list(range(40))
+
+
 def test_pages_edge_cases(spark, tmp_path):
     big, text = "é" * 600, "y" * 999
     rows = [(1, "u", big, 7), (5, "u", big, 7), (3, None, big, 7), (None, "u\r\nv", big, 7), (6, "u", text, 7), (7, "u", text, 7),
