@@ -1,8 +1,10 @@
 """License scans: an exact set-similarity join of text blocks with templates.
 
-A block is a window of consecutive words; a template matches a block when the
-block holds at least ``CONTAINMENT`` of the template's distinct words.  All
-words of the templates are ordered by their global count, rarest first.  Two
+A block is a window of consecutive words that starts at any word of a
+template; a template matches a block when the block holds at least
+``CONTAINMENT`` of the template's distinct words, unless all it finds there
+belongs to another template that finds more.  Only blocks around a word of
+some template's prefix are built.  All words of the templates are ordered by their global count, rarest first.  Two
 sets that share o words must share one of the first ``size - o + 1`` words of
 either (prefix filter); a block with fewer than o template words can't match
 (length filter); a first shared word so late that fewer than o can follow
@@ -39,8 +41,8 @@ TEMPLATES = {
     "mit-terms": "permission is hereby granted free of charge to any person obtaining a copy of this software",
 }
 CONTAINMENT = 0.8
-#: Words of a block, and words from the start of one block to the next.
-BLOCK, STRIDE = 32, 16
+#: Words of a block.
+BLOCK = 32
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -65,10 +67,14 @@ def word_ranks(texts: DataFrame, vocabulary: set[str]) -> dict[str, int]:
     return {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
 
 
-def matches(texts: DataFrame, sets: dict[str, tuple[set[str], int]], block: int, stride: int) -> DataFrame:
-    """Every (block, template) pair that shares enough words: key, block
-    number, label, score.  ``texts``: key, present (the templates' words in
-    the text), words (null where no template can match)."""
+def matches(texts: DataFrame, sets: dict[str, tuple[set[str], int]], block: int) -> DataFrame:
+    """Every (block, template) pair that shares enough words: key, the place
+    where the block begins, label, score.  ``texts``: key, present (the
+    templates' words in the text), words (null where no template can match).
+
+    The places of template words are found in one pass over a text; a block is
+    a stretch of at most ``block`` of them, so its cost doesn't depend on the
+    length of the text."""
     vocabulary = set().union(*[s for s, _ in sets.values()])
     if not vocabulary:
         return texts.select("key", F.lit(0).alias("block"), F.lit("").alias("label"), F.lit(0.0).alias("score")).limit(0)
@@ -79,21 +85,41 @@ def matches(texts: DataFrame, sets: dict[str, tuple[set[str], int]], block: int,
         prefixes += [(r, j, label, len(ordered), need, ordered) for j, r in enumerate(ordered[: len(ordered) - need + 1])]
     index = texts.sparkSession.createDataFrame(prefixes, "rank int, j int, label string, size int, need int, t array<int>")
     rank_of = F.create_map(*[x for w, r in ranks.items() for x in (F.lit(w), F.lit(r))])
-    known = F.array(*[F.lit(w) for w in sorted(vocabulary)])
+    first_ranks = sorted({r for r, *_ in prefixes})
     least = min(need for _, need in sets.values())
 
-    # A block's template words as ascending ranks.
-    blocks = texts.where(F.size("words") > 0).select(
-        "key", F.posexplode(F.transform(
-            F.sequence(F.lit(0), F.floor((F.size("words") - 1) / stride).cast("int")),
-            lambda b: F.array_sort(F.transform(F.array_intersect(F.slice("words", b * stride + 1, block), known), lambda w: F.element_at(rank_of, w))))).alias("block", "b"))
-    tokens = blocks.where(F.size("b") >= least).select("key", "block", "b", F.posexplode("b").alias("i", "rank"))
+    # The places of template words, and those of them up to a block's length before a prefix word.
+    marked = once(texts.where(F.size("words") > 0).select("key", "words"), at=F.filter(
+        F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).isin(sorted(vocabulary))))
+    hits = once(marked.where(F.size("at") >= least), hits=F.transform(
+        "at", lambda i: F.struct(i.alias("i"), F.element_at(rank_of, F.get("words", i)).alias("r")))).select("key", "hits")
+    rare = once(hits, rare=F.filter(F.sequence(F.lit(0), F.size("hits") - 1), lambda k: F.get("hits", k)["r"].isin(first_ranks)))
+
+    def before(k: Column) -> Column:
+        low = F.greatest(k - (block - 1), F.lit(0))
+        return F.filter(F.sequence(low, k), lambda a: F.get("hits", a)["i"] > F.get("hits", k)["i"] - block)
+
+    begun = once(rare.where(F.size("rare") > 0), starts=F.array_distinct(F.flatten(F.transform("rare", before))))
+
+    def ranks_from(a: Column) -> Column:
+        near = F.filter(F.slice("hits", a + 1, block), lambda h: h["i"] < F.get("hits", a)["i"] + block)
+        return F.struct(F.get("hits", a)["i"].alias("block"), F.array_sort(F.array_distinct(F.transform(near, lambda h: h["r"]))).alias("b"))
+
+    built = once(begun, built=F.filter(F.transform("starts", ranks_from), lambda x: F.size(x["b"]) >= least))
+    blocks = built.select("key", F.inline("built"))
+    tokens = blocks.select("key", "block", "b", F.posexplode("b").alias("i", "rank")).where(F.col("rank").isin(first_ranks))
     size_b = F.size("b")
     pairs = tokens.join(F.broadcast(index), "rank").where(
         (size_b >= F.col("need")) & (F.col("i") <= size_b - F.col("need"))
         & (F.least(F.col("size") - F.col("j"), size_b - F.col("i")) >= F.col("need")))
-    verified = pairs.withColumn("shared", F.size(F.array_intersect("b", "t"))).where("shared >= need")
-    return verified.groupBy("key", "block", "label").agg(F.max(F.col("shared") / F.col("size")).alias("score"))
+    verified = pairs.withColumn("shared", F.array_intersect("b", "t")).where(F.size("shared") >= F.col("need"))
+    # At most one entry a template in a block.
+    met = verified.groupBy("key", "block").agg(F.collect_set(F.struct("label", "shared", (F.size("shared") / F.col("size")).alias("score"))).alias("met"))
+
+    def taken(x: Column) -> Column:
+        return F.exists("met", lambda o: (F.size(o["shared"]) > F.size(x["shared"])) & (F.size(F.array_except(x["shared"], o["shared"])) == 0))
+
+    return once(met, own=F.filter("met", lambda x: ~taken(x))).select("key", "block", F.inline("own")).drop("shared")
 
 
 def _places(words: Column, phrase: str) -> Column:
@@ -111,16 +137,16 @@ def _places(words: Column, phrase: str) -> Column:
 
 
 def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict[str, str] | None = None,
-         containment: float = CONTAINMENT, block: int = BLOCK, stride: int = STRIDE) -> DataFrame:
+         containment: float = CONTAINMENT, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text; other columns are ignored):
     doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     A null text counts as empty: no words, no labels, score 0.  The result
     depends on a row's text alone but for the order of the words, so repeated
     rows and null doc_ids get equal results each; an empty table gives no
-    rows.  ``score`` is the largest share of a template's words found in a
-    block, 0 if no template matches.  Blocks overlap by ``block - stride``
-    words, so a template of up to that many words is never cut.
+    rows.  ``score`` is the largest share of a matching template's words found
+    in a block, 0 if no template matches.  Blocks start at every template
+    word, so what matches doesn't depend on where it stands in the text.
     """
     phrases = PHRASES if phrases is None else phrases
     sets = template_sets(TEMPLATES if templates is None else templates, containment)
@@ -140,7 +166,7 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: dict
     labels = F.array_compact(F.array(*[F.when(F.size(F.get("at", F.lit(k))) > 0, F.lit(label)) for k, label in enumerate(phrases.values())]).cast("array<string>"))
     base_hits = found.where(F.size(flat) > 0).select(
         "key", F.size(flat).cast("long").alias("n_base"), F.array_min(flat).cast("long").alias("first_word"), F.array_max(flat).cast("long").alias("last_word"), labels.alias("base"))
-    more = matches(texts, sets, block, stride)
+    more = matches(texts, sets, block)
     more = more.groupBy("key").agg(F.collect_set("label").alias("more"), F.max("score").alias("score"))
     # Texts that hold anything, one row each.
     hits = materialize(base_hits.dropDuplicates(["key"]).join(more, "key", "full"), "license-hits")
@@ -159,7 +185,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The same by brute force in DuckDB: every block with every template."""
+    """The same by brute force in DuckDB: every block, from every template word on, with every template."""
     def sql_list(values):
         return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
@@ -178,12 +204,17 @@ places as (
 base as (
   select row_id, count(*) as n_base, min(pos) as first_word, max(pos) as last_word, string_agg(distinct label, ',' order by label) as base_labels
   from places group by row_id),
-blocks as (
-  select row_id, words[b * {STRIDE} + 1 : b * {STRIDE} + {BLOCK}] as w
-  from (select row_id, words, unnest(range((len(words) - 1) // {STRIDE} + 1)) as b from d where len(words) > 0)),
+starts as (
+  select row_id, words, unnest(list_filter(range(len(words)::bigint), lambda i: list_contains({sql_list(sorted(set().union(*[x for x, _ in sets.values()])))}, words[i + 1]))) as b
+  from d where len(words) > 0),
+blocks as (select row_id, b, words[b + 1 : b + {BLOCK}] as w from starts),
+met as (
+  select row_id, b, label, len(t) as size, list_intersect(w, t) as shared
+  from blocks, templates where len(list_intersect(w, t)) >= need),
 more as (
-  select row_id, label, max(len(list_intersect(w, t)) / len(t)) as score
-  from blocks, templates where len(list_intersect(w, t)) >= need group by row_id, label),
+  select row_id, label, max(len(shared) / size) as score from met x
+  where not exists (select 1 from met o where o.row_id = x.row_id and o.b = x.b and len(o.shared) > len(x.shared) and list_has_all(o.shared, x.shared))
+  group by row_id, label),
 named as (
   select row_id, label from places union select row_id, label from more),
 labels as (select row_id, string_agg(distinct label, ',' order by label) as labels from named group by row_id),
