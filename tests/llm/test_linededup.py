@@ -22,20 +22,43 @@ def test_columns_and_odd_rows(spark):
     assert got == sorted(want, key=str)
 
 
-def test_hash_collisions_fall_back_to_the_texts(spark, monkeypatch):
-    """With hashes that always collide the bytes alone decide."""
+@pytest.mark.parametrize("distinct", [1, 5])
+def test_hash_collisions_fall_back_to_the_bytes(spark, monkeypatch, distinct):
+    """With line hashes that collide, always or often, the bytes decide."""
     rng = random.Random(3)
-    a, b = words(rng, 60), words(rng, 60)
-    rows = [(1, a), (2, a), (3, b), (4, b + "\nq")]
+    a, b = words(rng, 60), "\n".join(words(rng, 8) for _ in range(9))
+    gap = b.replace("\n", "\n\n", 1)
+    rows = [(1, a), (2, a), (3, b), (4, "z\n" + b + "\nq"), (5, gap), (6, gap), (7, "\n".join(words(rng, 8) for _ in range(9)))]
     real = F.xxhash64
-
-    def weak(*cols):
-        text = str(cols[-1])
-        return F.lit(7).cast("long") if "body" in text else real(*cols)
-
-    monkeypatch.setattr(L.F, "xxhash64", weak)
-    out = {r.doc_id: r.text for r in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert out == {1: a, 2: "", 3: b, 4: "q"}
+    monkeypatch.setattr(L, "line_hash", lambda line: F.pmod(real(line), F.lit(distinct)).cast("long"))
+    out = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute_runs(spark, rows)
+    assert {r.doc_id: (r.text, r.removed_words) for r in out} == {i: want[i, t] for i, t in rows}
+    assert want[rows[3]] == ("z\nq", 72) and want[rows[5]] == ("", 72) and want[rows[6]][1] == 0
+
+
+def test_boundaries_do_not_depend_on_what_stands_around(spark):
+    """The same run chooses the same boundaries wherever it stands, and every
+    run of enough words has one."""
+    rng = random.Random(8)
+    run = [words(rng, rng.randint(1, 20)) for _ in range(40)]
+    texts = ["\n".join([words(rng, 5) for _ in range(k)] + run + [words(rng, 9)] * k) for k in range(4)]
+    rows = L.windowed(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")).collect()
+    chosen = [{(w.s - r.doc_id, w.n, w.at - r.doc_id, w.anchor) for w in r.windows if r.doc_id <= w.s and w.s + w.n <= r.doc_id + 40} for r in rows]
+    assert len(chosen[0]) > 40 and all(c == chosen[0] for c in chosen)
+    assert len({at for _, _, at, _ in chosen[0]}) < 30  # fewer boundaries than lines
+
+
+def test_frequent_keys_stay_where_they_are(spark, monkeypatch):
+    """A passage that stands in most rows gives the same result through the
+    broadcast of its key."""
+    rng = random.Random(9)
+    hot, own = "\n".join(words(rng, 15) for _ in range(5)), [words(rng, 55) for _ in range(10)]
+    rows = [(i, f"{rng.choice(own)}\n{hot}\nend {i}") for i in range(40)]
+    monkeypatch.setattr(L, "HOT", 20)
+    out = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute_runs(spark, rows)
+    assert {r.doc_id: (r.text, r.removed_words) for r in out} == {i: want[i, t] for i, t in rows}
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, ""), (2, "")]])
