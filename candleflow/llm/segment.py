@@ -16,7 +16,7 @@ import re
 import zlib
 from array import array
 from bisect import insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from operator import itemgetter
 
@@ -61,6 +61,15 @@ class Segmenter:
         # Every prefix of a piece, with the piece's score and id if it is one itself.
         self.steps: dict[str, tuple | None] = dict.fromkeys(p[:k] for p in self.pieces for k in range(1, len(p)))
         self.steps |= {p: (score, (i,)) for p, (i, score) in self.pieces.items()}
+        # The same as a tree: (children by character, score and ids of the piece that ends here).
+        self.tree: dict[str, list] = {}
+        for p, (i, score) in self.pieces.items():
+            level = self.tree
+            for c in p:
+                node = level.setdefault(c, [{}, None])
+                level = node[0]
+            node[1] = (score, (i,))
+        self.longest = max(map(len, self.pieces), default=1)
         self.fallback = min((s for _, s in self.pieces.values() if s > NEVER), default=0.0) - PENALTY
         if any(MARK in p.lstrip(MARK) for p in self.pieces):
             raise ValueError("a piece has a space mark after another character")
@@ -118,18 +127,47 @@ class Segmenter:
                     best[i + 1], lead[i + 1] = edge[0], edge
         return best, into, lead
 
-    def first(self, word: str) -> tuple[float, float, bytes]:
-        """(loss of the second best segmentation, best score, ids of the best)."""
-        best, into, lead = self.lattice(word)
-        at, loss, parts = len(word), float("inf"), []
+    def first(self, word: str) -> tuple[float, float, bytes, bool]:
+        """(loss of the second best segmentation, best score, ids of the best,
+        whether these decode to the word): a forward pass that keeps the two
+        best scores of every place."""
+        marked = word.replace(" ", MARK)
+        n, tree, reach, never = len(marked), self.tree, self.longest, float("-inf")
+        best, second, lead = [never] * (n + 1), [never] * (n + 1), [None] * (n + 1)
+        best[0] = 0.0
+        for i in range(n):
+            here, level, j = best[i], tree, i
+            for c in marked[i : i + reach]:
+                node = level.get(c)
+                if node is None:
+                    break
+                j += 1
+                level, piece = node
+                if piece:
+                    v = here + piece[0]
+                    if v > best[j]:
+                        w = second[i] + piece[0]
+                        second[j] = w if w > best[j] else best[j]
+                        best[j], lead[j] = v, (i, piece[1])
+                    elif v > second[j]:
+                        second[j] = v
+            node = tree.get(marked[i])
+            if node is None or not node[1]:
+                v, w, j = here + self.fallback, second[i] + self.fallback, i + 1
+                if v > best[j]:
+                    second[j] = max(w, best[j])
+                    best[j], lead[j] = v, (i, tuple(self.byte_ids[b] for b in marked[i].encode()))
+                elif v > second[j]:
+                    second[j] = v
+        at, parts = n, []
         while at:
-            edge, top = lead[at], best[at]
-            for e in into[at]:
-                if e is not edge and top - e[0] < loss:
-                    loss = top - e[0]
-            parts.append(edge[2])
-            at = edge[1]
-        return loss, best[-1], array(self.code, [i for p in reversed(parts) for i in p]).tobytes()
+            at, ids = lead[at]
+            parts.append(ids)
+        ids = [i for p in reversed(parts) for i in p]
+        return best[n] - second[n], best[n], array(self.code, ids).tobytes(), self.spelt(ids) == word.encode()
+
+    def spelt(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.raw.__getitem__, ids))
 
     def search(self, word: str) -> list[tuple[float, tuple[int, ...]]]:
         """The ``n`` best segmentations of ``word``: score and ids, best
@@ -179,25 +217,28 @@ class Segmenter:
             text = text.replace(".\x01", "\x01.\x01").replace(",\x01", "\x01,\x01")
         return text.split("\x01")
 
-    def others(self, word: str) -> list[tuple[float, bytes]]:
-        """(loss, ids) of the segmentations after the best."""
+    def others(self, word: str) -> list[tuple[float, bytes, bool]]:
+        """(loss, ids, whether they decode to the word) of the segmentations
+        after the best."""
         if word not in self.known:
             if len(self.known) > KEPT // 8:
                 self.known.clear()
             found = self.search(word.replace(" ", MARK))
-            self.known[word] = [(found[0][0] - s, array(self.code, ids).tobytes()) for s, ids in found[1:]]
+            self.known[word] = [(found[0][0] - s, array(self.code, ids).tobytes(), self.spelt(ids) == word.encode()) for s, ids in found[1:]]
         return self.known[word]
 
-    def best(self, text: str) -> list[tuple[float, bytes]]:
-        """The ``n`` best segmentations of a text: score and ids, ``width``
-        bytes each in native order."""
+    def best(self, text: str) -> list[tuple[float, bytes, bool]]:
+        """The ``n`` best segmentations of a text: score, ids, ``width`` bytes
+        each in native order, and whether they decode to the text.  A word's
+        ids are decoded once, when its segmentation is found: the parts spell
+        the text if each spells its word."""
         words = self.words(text)
         if len(self.young) > KEPT:
             self.old, self.young = self.young, {}
         young = self.young
         passing = []
         for w in set(words).difference(young):
-            young[w] = self.old.get(w) or self.first(w.replace(" ", MARK))
+            young[w] = self.old.get(w) or self.first(w)
             if len(w) > LONGEST_KEPT:
                 passing.append(w)
         rows = list(map(young.__getitem__, words))
@@ -208,17 +249,18 @@ class Segmenter:
         bar = heapq.nsmallest(self.n - 1, losses)[-1] if 1 < self.n <= len(rows) else float("inf")
         ways: list[tuple[float, tuple]] = [(0.0, ())]  # (loss, ((word, which), ...)): choices that deviate from the best
         for k in [k for k, loss in enumerate(losses) if loss <= bar] if self.n > 1 else []:
-            more = ways + [(g + loss, (*way, (k, c))) for c, (loss, _) in enumerate(self.others(words[k])) for g, way in ways]
+            more = ways + [(g + loss, (*way, (k, c))) for c, (loss, _, _) in enumerate(self.others(words[k])) for g, way in ways]
             more.sort(key=itemgetter(0))
             ways = more[: self.n]
-        total = sum([r[1] for r in rows])
-        parts = [r[2] for r in rows]
-        out = [(total, b"".join(parts))]
+        total, right = sum([r[1] for r in rows]), [r[3] for r in rows]
+        parts, wrong = [r[2] for r in rows], right.count(False)
+        out = [(total, b"".join(parts), not wrong)]
         for loss, way in ways[1:]:
-            own = parts.copy()
+            own, bad = parts.copy(), wrong
             for k, c in way:
-                own[k] = self.others(words[k])[c][1]
-            out.append((total - loss, b"".join(own)))
+                _, own[k], fine = self.others(words[k])[c]
+                bad += right[k] - fine
+            out.append((total - loss, b"".join(own), not bad))
         return out
 
     def decode(self, ids: bytes) -> bytes:
@@ -232,15 +274,14 @@ def _segmented(batches: Iterator[pa.RecordBatch], path: str, n: int, digest: boo
     for batch in slices(batches, "text", 1 << 18):
         docs, ranks, scores, counts, ids, same = [], [], [], [], [], []
         for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            raw = text.encode()
-            for rank, (score, found) in enumerate(model.best(text), 1):
+            for rank, (score, found, right) in enumerate(model.best(text), 1):
                 docs.append(doc)
                 ranks.append(rank)
                 scores.append(score)
                 counts.append(len(found) // model.width)
                 plain = np.frombuffer(found, model.code).astype("<u4").tobytes()
                 ids.append(zlib.crc32(plain) if digest else plain)
-                same.append(model.decode(found) == raw)
+                same.append(right)
         yield pa.record_batch([
             pa.array(docs, pa.int64()), pa.array(ranks, pa.int32()), pa.array(scores, pa.float64()), pa.array(counts, pa.int64()),
             pa.array(same, pa.bool_()), pa.array(ids, pa.int64() if digest else pa.binary())], names=["doc_id", "rank", "score", "n_tokens", "round_trip", last])
@@ -264,6 +305,30 @@ def n_best(docs: DataFrame, path: str, n: int = BEST, digest: bool = False) -> D
     return slim.mapInArrow(lambda it: _segmented(it, path, n, digest), f"doc_id long, rank int, score double, n_tokens long, round_trip boolean, {kind}")
 
 
+def _decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    model = segmenter(path, BEST)
+    for batch in slices(batches, "ids", 1 << 20):
+        texts = [None if ids is None else model.spelt(np.frombuffer(ids, "<u4").tolist()).removeprefix(b" ").decode(errors="replace")
+                 for ids in batch.column("ids").to_pylist()]
+        yield pa.record_batch([batch.column("key"), pa.array(texts, pa.string())], names=["key", "text"])
+
+
+def decoded(encoded: DataFrame, path: str) -> DataFrame:
+    """``encoded`` (ids as :func:`n_best` gives them, any other columns) with
+    the ``text`` that the ids stand for in place of them.
+
+    Null ids give a null text, no ids an empty one; bytes that are not UTF-8
+    become replacement characters; an id that the model doesn't have ends the
+    job.  Repeated rows stay; an empty table stays empty; a column that is
+    already called text is replaced."""
+    importable(encoded.sparkSession)
+    others = [c for c in encoded.columns if c not in ("ids", "text")]
+    packed = encoded.select(F.struct(F.lit(0).alias("at"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(others)]).alias("key"), "ids")
+    kind = packed.schema["key"].dataType.simpleString()
+    out = packed.mapInArrow(lambda it: _decoded(it, path), f"key {kind}, text string")
+    return out.select(*[F.col(f"key.c{k}").alias(c) for k, c in enumerate(others)], "text")
+
+
 def op9_n_best_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four best segmentations of all documents."""
     return n_best(load(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)

@@ -34,11 +34,11 @@ def test_matches_all_segmentations():
             text = "".join(rng.choice("aabb c é") for _ in range(rng.randint(1, 11)))
             everything = brute(model, text)
             got = model.best(text)
-            assert [s for s, _ in got] == [s for s, _ in everything[: len(got)]] and len(got) == min(n, len(everything))
+            assert [s for s, _, _ in got] == [s for s, _ in everything[: len(got)]] and len(got) == min(n, len(everything))
             known = {ids: s for s, ids in everything}
-            found = [tuple(np.frombuffer(ids, model.code).tolist()) for _, ids in got]
-            assert len(set(found)) == len(found) and all(known[f] == s for f, (s, _) in zip(found, got))
-            assert all(model.decode(ids) == text.encode() for _, ids in got)
+            found = [tuple(np.frombuffer(ids, model.code).tolist()) for _, ids, _ in got]
+            assert len(set(found)) == len(found) and all(known[f] == s for f, (s, _, _) in zip(found, got))
+            assert all(right and model.decode(ids) == text.encode() for _, ids, right in got)
 
 
 def test_remembered_words_do_not_change_the_result(monkeypatch):
@@ -52,7 +52,7 @@ def test_remembered_words_do_not_change_the_result(monkeypatch):
 def test_long_words_and_repeats_end():
     model = small(4)
     got = model.best("ab" * 3000)
-    assert len(got) == 4 and all(model.decode(i) == b"ab" * 3000 for _, i in got)
+    assert len(got) == 4 and all(right and model.decode(i) == b"ab" * 3000 for _, i, right in got)
 
 
 def test_real_model_round_trip_and_edges(spark):
@@ -67,3 +67,37 @@ def test_real_model_round_trip_and_edges(spark):
         scores = [s for _, _, s in group]
         assert scores == sorted(scores, reverse=True)
     assert S.n_best(spark.createDataFrame([], "doc_id long, text string"), public_tokenizers.path("piece_bpe_32k.model")).count() == 0
+
+
+def test_round_trip_is_that_of_the_whole_text():
+    """What is kept per word says the same as decoding the whole text."""
+    rng = random.Random(11)
+    real = S.segmenter(public_tokenizers.path("piece_bpe_32k.model"), 4)
+    for model in (small(4), real):
+        for _ in range(200):
+            text = "".join(rng.choice(["a", "b", "ab", " ", "▁", "é", "\n", ". ", "\x01", "日"]) for _ in range(rng.randint(0, 12)))
+            assert all(right == (model.decode(ids) == text.encode()) for _, ids, right in model.best(text))
+
+
+def test_second_best_is_that_of_the_search():
+    rng = random.Random(12)
+    model = small(3)
+    for _ in range(300):
+        word = "".join(rng.choice("aabbc é") for _ in range(rng.randint(1, 10)))
+        loss, score, ids, _ = model.first(word)
+        found = model.search(word.replace(" ", S.MARK))
+        assert score == found[0][0] and ids == S.array(model.code, found[0][1]).tobytes()
+        assert loss == (found[0][0] - found[1][0] if len(found) > 1 else float("inf"))
+
+
+def test_ids_decode_to_the_texts(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = ["", None, "Hello world", "  two  spaces ", "é 日本 \n\tx", "a" * 5000, "Hello world", "zß\x00\x7f"]
+    found = S.n_best(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path)
+    out = S.decoded(found.selectExpr("doc_id", "rank", "ids", "'x' as key", "1 as row"), path)
+    assert out.columns == ["doc_id", "rank", "key", "row", "text"]
+    rows = out.collect()
+    assert len(rows) == found.count() and all(r.text == (texts[r.doc_id] or "") and r.key == "x" for r in rows)
+    odd = spark.createDataFrame([(None,), (b"",)], "ids binary")
+    assert [r.text for r in S.decoded(odd, path).collect()] == [None, ""]
+    assert S.decoded(odd.limit(0), path).count() == 0
