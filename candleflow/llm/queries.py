@@ -17,6 +17,7 @@ from candleflow.llm.licenses import oracle_sql as license_sql
 from candleflow.llm.linededup import op7_line_dedup
 from candleflow.llm.minhash import op8_bag_minhash
 from candleflow.llm.nndescent import op3_nn_descent
+from candleflow.llm.nndescent import oracle_sql as link_sql
 from candleflow.llm.packing import op10_best_fit_packing
 
 QUERIES = {
@@ -35,6 +36,7 @@ QUERIES = {
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE = {
+    "op3_nn_descent": link_sql(),
     "op5_warc_salvage": archive_sql(),
     "op6_license_scan": license_sql(),
     "op11_ranked_search": search_sql(),

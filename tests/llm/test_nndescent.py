@@ -67,7 +67,7 @@ def test_clusters_beyond_a_block(spark, rows, monkeypatch):
 
 
 def test_sparse_links_among_many_buckets(spark, monkeypatch):
-    """Isolated pairs just above the threshold, many bits a bucket, one try."""
+    """Isolated pairs just above the threshold, many bits a bucket."""
     monkeypatch.setattr(N, "BUCKET", 4)
     rng = np.random.default_rng(5)
     a, b = rng.normal(size=(2, 400, 64))
@@ -76,10 +76,42 @@ def test_sparse_links_among_many_buckets(spark, monkeypatch):
     b /= np.linalg.norm(b, axis=1, keepdims=True)
     pairs = np.concatenate([a, 0.91 * a + np.sqrt(1 - 0.91**2) * b])
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(pairs)]
-    out = N.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), rounds=0, tries=1).collect()
+    out = N.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
     assert sum(r.n_links for r in out) >= 0.97 * 800
 
 
+NEAR = 0.9995
+
+
+def _on_a_sphere(spark):
+    rng = np.random.default_rng(7)
+    points = rng.normal(size=(1500, 3)) @ rng.normal(size=(3, 16))
+    rows = [(i, [float(x) for x in np.float32(v)]) for i, v in enumerate(points)]
+    unit = np.float32(points).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    true = int((unit @ unit.T >= NEAR).sum()) - len(rows)
+    return true, spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+
+
+def test_rounds_find_what_the_start_misses(spark, monkeypatch):
+    """Three trees dealt into small blocks hold few of the links; the rounds
+    find the others, without a look at the audit."""
+    monkeypatch.setattr(N, "BLOCK", 16)
+    true, df = _on_a_sphere(spark)
+    found = {settled: sum(r.n_links for r in N.link_vectors(df, NEAR, trees=3, settled=settled, recall=0).collect()) for settled in (1.0, 0.01)}
+    assert true > 500 and found[1.0] < 0.5 * true and found[0.01] >= 0.98 * true
+
+
+def test_a_low_recall_adds_trees_or_ends_the_job(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 16)
+    true, df = _on_a_sphere(spark)
+    # One tree parts the vectors, so rounds alone find nothing between its blocks.
+    assert sum(r.n_links for r in N.link_vectors(df, NEAR, trees=1).collect()) >= 0.97 * true
+    monkeypatch.setattr(N, "MOST_TREES", 1)
+    with pytest.raises(RuntimeError, match="recall"):
+        N.link_vectors(df, NEAR, trees=1)
+
+
 def test_audit_grows_until_it_holds_sparse_links(spark):
     rng = np.random.default_rng(6)
     lone = rng.normal(size=(1500, 64))
@@ -90,6 +122,7 @@ def test_audit_grows_until_it_holds_sparse_links(spark):
     assert (truth["near"] == 1).sum() >= 8
     found = spark.createDataFrame([(i, 699) for i in range(1500, 2200)], "id long, links long")
     assert N._recall(truth, found) == 0
+    assert N._recall(truth[truth['near'] == 0], found) is None
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [1.0] * 16)], [(1, [1.0] * 16), (1, [1.0] * 16), (2, [1.0] * 16)]])
