@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -19,9 +20,12 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import hash_unit
+from ..session import delete_paths, materialize_at
 from .metrics import regression_metrics
 
 FAMILIES = ("lr", "gbt", "rf")
+#: Rows of a task in fits of many passes: a pass over them takes about as long as starting the task.
+ROWS_PER_TASK = 20_000
 
 
 def assembler(
@@ -69,20 +73,46 @@ def fit(
     **params,
 ) -> PipelineModel:
     """Fit assembler + regressor on ``train`` (rows with a NULL label are
-    left out).  The rows stay in the partitions they come in and are persisted
-    for the fit's passes.  ``order_keys`` name a row for the forest's bags
+    left out).  The rows are persisted for the fit's passes, in the partitions
+    they come in for the one pass of ``lr``, else in even ones (see
+    :func:`evened`).  ``order_keys`` name a row for the forest's bags
     (see :func:`fit_forest`)."""
     rows = prepared(train, inputs, label_col, order_keys)
-    try:
-        return _fit_prepared(rows, family, inputs, label_col, prediction_col, handle_invalid, order_keys, **params)
-    finally:
-        rows.unpersist()
+    if family == "lr":
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return _fit_prepared(rows, family, inputs, label_col, prediction_col, handle_invalid, order_keys, **params)
+        finally:
+            rows.unpersist()
+    with evened(rows) as even:
+        return _fit_prepared(even, family, inputs, label_col, prediction_col, handle_invalid, order_keys, **params)
 
 
 def prepared(train, inputs, label_col, order_keys) -> DataFrame:
-    """The labelled rows with what fits read, persisted."""
+    """The labelled rows with what fits read."""
     columns = [c for c in dict.fromkeys([*order_keys, *inputs, label_col]) if c in train.columns]
-    return train.where(F.col(label_col).isNotNull()).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    return train.where(F.col(label_col).isNotNull()).select(*columns)
+
+
+@contextmanager
+def evened(rows: DataFrame, rows_per_task: int = ROWS_PER_TASK):
+    """All of ``rows``, persisted in as many equal partitions as their number
+    asks for, for fits that read them in hundreds of small jobs.
+
+    The feature window leaves the rows in a partition for each block of a
+    series among ``spark.sql.shuffle.partitions``, most of them empty: every
+    job then starts that many tasks while a few hold all rows.  Here the rows
+    are dealt by a hash of their columns and sorted, so partitions and their
+    order follow from the rows alone."""
+    written, at = materialize_at(rows, "train")
+    parts = max(1, -(-written.count() // rows_per_task))
+    even = written.repartition(parts, *written.columns).sortWithinPartitions(*written.columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        even.count()  # persisted before threads read it
+        yield even
+    finally:
+        even.unpersist()
+        delete_paths(rows.sparkSession, [at])
 
 
 def _fit_prepared(rows, family, inputs, label_col, prediction_col, handle_invalid, order_keys, **params) -> PipelineModel:
@@ -187,21 +217,17 @@ def compare_models(
     """Fit every family on the same split and report ``(model, metric,
     value)`` for each on the test rows.
 
-    The training rows are persisted once for all families.  The
-    fits are independent Spark jobs and are submitted from one driver thread
+    The training rows are persisted once for all families, in even partitions
+    (see :func:`evened`).  The fits are independent Spark jobs and are submitted from one driver thread
     each, so the many small jobs of 100 boosting rounds do not keep the
     executors idle while the other families wait.  The test rows are read
     once and get a prediction column per family; rows that a model can't
     score are left out, as they were in training."""
     keys = (schemas.SYMBOL, schemas.OPEN_TIME)
-    rows = prepared(train, schemas.MODEL_INPUTS, label_col, keys)
-    try:
-        rows.count()  # persisted before the threads read it
+    with evened(prepared(train, schemas.MODEL_INPUTS, label_col, keys)) as rows:
         with ThreadPoolExecutor(max_workers=max(1, len(families))) as pool:
             models = list(pool.map(
                 lambda fam: _fit_prepared(rows, fam, schemas.MODEL_INPUTS, label_col, f"_cf_{fam}", "skip", keys), families))
-    finally:
-        rows.unpersist()
     scored = test.where(F.col(label_col).isNotNull())
     for model in models:
         scored = model.transform(scored).drop("features")

@@ -11,7 +11,8 @@ from candleflow import schemas
 from candleflow.operators.clean import to_silver
 from candleflow.operators.features import features
 from candleflow.operators.metrics import regression_metrics
-from candleflow.operators.ml import assemble, compare_models, estimator, fit, poisson_weight
+from candleflow.operators import ml
+from candleflow.operators.ml import assemble, compare_models, estimator, evened, fit, poisson_weight
 from candleflow.operators.score import score, score_linear, to_predictions
 from candleflow.operators.split import chrono_split, train_test
 from candleflow.sinks.writers import save_model
@@ -180,3 +181,29 @@ def test_a_model_that_is_there_but_wrong_says_so(spark, split):
     for path in (f"{d}/two", f"{d}/empty"):
         with pytest.raises(DamagedModelError):
             load_model(path, inputs=None)
+
+
+def test_fits_of_many_passes_read_even_partitions(spark, split, monkeypatch):
+    """As many tasks as the rows ask for, whatever partitions they come in."""
+    train, test = train_test(split)
+    wide = train.repartition(64, "symbol")  # a partition per symbol, the others empty
+    seen, real = [], ml._fit_prepared
+    monkeypatch.setattr(ml, "_fit_prepared", lambda rows, family, *a, **k: seen.append((family, rows.rdd.getNumPartitions(), rows.count())) or real(rows, family, *a, **k))
+    assert compare_models(wide, test, families=("lr",)).count() == 3
+    fit(wide, "gbt", maxIter=1, maxDepth=1)
+    n = train.where(f"{schemas.LABEL} is not null").count()
+    assert seen == [("lr", 1, n), ("gbt", 1, n)]
+
+
+def test_evened_rows_are_all_there_in_an_order_of_their_own(spark):
+    rows = spark.createDataFrame([(k % 7 or None, float(k % 50)) for k in range(1000)], "a int, x double")
+    held = []
+    for layout in (rows.coalesce(1), rows.repartition(30, "a"), rows.repartition(5)):
+        with evened(layout, rows_per_task=100) as even:
+            parts = [[tuple(r) for r in part] for part in even.rdd.glom().collect()]
+        assert len(parts) == 10 and max(map(len, parts)) < 300
+        held.append(parts)
+    assert held[0] == held[1] == held[2]
+    assert sorted(map(repr, sum(held[0], []))) == sorted(repr(tuple(r)) for r in rows.collect())
+    with evened(rows.where("false")) as even:
+        assert even.count() == 0
