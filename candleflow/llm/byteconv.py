@@ -24,6 +24,8 @@ FILTERS, UNITS, HALF = 32, 16, 32
 #: The fit uses about so many documents of each class, of so many bytes in all.
 FIT_PER_CLASS, FIT_BYTES = 1000, 8 << 20
 EPOCHS, BATCH, RATE = 6, 32, 4e-3
+#: Bytes of text scored at once: a byte takes about 150 bytes of arrays, which every Python worker of an executor holds.
+SCORE_BYTES = 1 << 17
 KEEP_FROM = 0.7
 LOW = np.float32(-1e9)
 
@@ -243,12 +245,12 @@ def _probabilities(net: Network | float, texts: list[str | None]) -> np.ndarray:
 
 
 def _scored(batches: Iterator[pa.RecordBatch], net: Network | float) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", 1 << 20):
+    for batch in slices(batches, "text", SCORE_BYTES):
         yield pa.record_batch([batch.column("doc_id"), pa.array(_probabilities(net, batch.column("text").to_pylist()))], names=["doc_id", "score"])
 
 
 def _passed(batches: Iterator[pa.RecordBatch], net: Network | float, least: float) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text", 1 << 20):
+    for batch in slices(batches, "text", SCORE_BYTES):
         yield batch.filter(pa.array(_probabilities(net, batch.column("text").to_pylist()) >= least))
 
 

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from candleflow.llm import byteconv as B
@@ -80,3 +81,20 @@ def test_without_both_classes(spark, labels):
     net = B.train(d, spark.createDataFrame(labels, "doc_id long, quality int"))
     assert isinstance(net, float) and B.score(d, net).count() == 2
     assert B.score(d.limit(0), net).count() == 0
+
+
+def test_texts_are_scored_a_few_at_a_time(monkeypatch):
+    """A worker holds the arrays of about SCORE_BYTES of text, not of a whole batch, and scores every row."""
+    texts = ["x" * 5000 + str(k) for k in range(200)] + [None, "y" * 300_000]
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    seen, real = [], B.logits
+    monkeypatch.setattr(B, "logits", lambda net, part: seen.append(part) or real(net, part))
+    net = B.Network.start()
+    scored = pa.Table.from_batches(B._scored(iter([batch]), net)).to_pydict()
+    assert scored["doc_id"] == list(range(len(texts)))
+    assert all(sum(map(len, part)) <= (1 << 17) + 10_000 or len(part) <= 2 for part in seen) and len(seen) >= 8
+    one = np.array([B._probabilities(net, [t])[0] for t in texts])
+    assert np.allclose(scored["score"], one, atol=1e-6)
+    seen.clear()
+    passed = pa.Table.from_batches(B._passed(iter([batch]), net, -1.0), schema=batch.schema)
+    assert passed.num_rows == len(texts) and len(seen) >= 8
