@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from itertools import chain, filterfalse
+from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -80,27 +80,40 @@ class PieceEncoder:
         return (text if JOINED.search(text) else text.replace(".\x01", "\x01.\x01").replace(",\x01", "\x01,\x01")).split("\x01")
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        marked = {i: self.plain.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if any(a in t for a in self.added)}
-        cut = [() if i in marked else self.pieces(t) for i, t in enumerate(texts)]
         if len(self.young) > self.kept:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        new = set(filterfalse(young.__contains__, chain.from_iterable(cut)))
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        out: list[bytes] = []
+        # Text by text while its pieces are fresh in the processor's cache, one look-up each: place, ids so far, gaps and their pieces.
+        unfinished: list[tuple[int, list, list[int], list[str]]] = []
+        for i, t in enumerate(texts):
+            if any(a in t for a in self.added):
+                out.append(array(code, self.plain.encode(t, add_special_tokens=False).ids).tobytes())
+                continue
+            pieces = self.pieces(t)
+            found = list(map(young.get, pieces))
+            try:
+                out.append(b"".join(found))
+            except TypeError:  # a piece is not known yet
+                gaps = [k for k, ids in enumerate(found) if ids is None]
+                unfinished.append((i, found, gaps, [pieces[k] for k in gaps]))
+                out.append(b"")
         missing = []
-        for p in new:
+        for p in set(chain.from_iterable(ps for *_, ps in unfinished)):
             if (ids := old.get(p)) is None:
                 missing.append(p)
             else:
                 young[p] = ids
-        code = "H" if self.dtype.itemsize == 2 else "I"
         passing = [p for p in missing if len(p) > LONGEST_KEPT]
         for lo in range(0, len(missing), 4096):
             part = missing[lo : lo + 4096]
             for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 young[p] = array(code, e.ids).tobytes()
-        out = [b"".join(map(young.__getitem__, ps)) for ps in cut]
-        for i, ids in marked.items():
-            out[i] = array(code, ids).tobytes()
+        for i, found, gaps, ps in unfinished:
+            for k, p in zip(gaps, ps, strict=True):
+                found[k] = young[p]
+            out[i] = b"".join(found)
         for p in passing:
             del young[p]
         return out
