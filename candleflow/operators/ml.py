@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.columns import hash_unit
-from ..session import delete_paths, materialize_at
 from .metrics import regression_metrics
 
 FAMILIES = ("lr", "gbt", "rf")
 #: Rows of a task in fits of many passes: a pass over them takes about as long as starting the task.
 ROWS_PER_TASK = 20_000
+#: So many partitions of few rows are not worth a shuffle.
+FEW_TASKS = 16
 
 
 def assembler(
@@ -103,16 +104,20 @@ def evened(rows: DataFrame, rows_per_task: int = ROWS_PER_TASK):
     series among ``spark.sql.shuffle.partitions``, most of them empty: every
     job then starts that many tasks while a few hold all rows.  Here the rows
     are dealt by a hash of their columns and sorted, so partitions and their
-    order follow from the rows alone."""
-    written, at = materialize_at(rows, "train")
-    parts = max(1, -(-written.count() // rows_per_task))
-    even = written.repartition(parts, *written.columns).sortWithinPartitions(*written.columns).persist(StorageLevel.MEMORY_AND_DISK)
+    order follow from the rows alone.  Rows that one task could take stay as
+    they come if that is in at most ``FEW_TASKS`` partitions."""
+    held = [rows.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        even.count()  # persisted before threads read it
-        yield even
+        parts = max(1, -(-rows.count() // rows_per_task))
+        if parts > 1 or rows.rdd.getNumPartitions() > FEW_TASKS:
+            even = rows.repartition(parts, *rows.columns).sortWithinPartitions(*rows.columns).persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(even)
+            even.count()  # persisted before threads read it
+            held.pop(0).unpersist()
+        yield held[-1]
     finally:
-        even.unpersist()
-        delete_paths(rows.sparkSession, [at])
+        for df in held:
+            df.unpersist()
 
 
 def _fit_prepared(rows, family, inputs, label_col, prediction_col, handle_invalid, order_keys, **params) -> PipelineModel:
